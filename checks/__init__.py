@@ -1,0 +1 @@
+"""Queries over the given tables and the SQL their results are held to."""

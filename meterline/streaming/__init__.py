@@ -1,0 +1 @@
+"""Kept empty on purpose: every operator of this workload is a batch operator."""
