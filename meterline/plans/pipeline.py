@@ -24,6 +24,8 @@ from ..sinks.layers import write_layer
 from ..sinks.tables import create_table, reset_schema, save_table
 from ..sources.layers import (
     LAYOUT,
+    PARENT_FOLDER,
+    Input,
     Scan,
     find_service_inputs,
     list_inputs,
@@ -73,7 +75,7 @@ def load_raw(
 
 def _each_scan(
     spark: SparkSession,
-    inputs: Sequence[str],
+    inputs: Sequence[Input],
     run: Callable[[Scan], None],
     *,
     base: str | None = None,
@@ -91,20 +93,20 @@ def _each_scan(
             if not skip_failed:
                 raise
             if len(scan.inputs) == 1:
-                log.error("left out %s: %s", scan.inputs[0], error)
+                log.error("left out %s: %s", scan.inputs[0].path, error)
                 continue
             log.warning("running %d inputs one by one after: %s", len(scan.inputs), error)
-            for name in scan.inputs:
-                _each_scan(spark, [name], run, base=base, skip_failed=True)
+            for item in scan.inputs:
+                _each_scan(spark, [item], run, base=base, skip_failed=True)
 
 
 def layer_inputs(
     spark: SparkSession, root: str, service: str, years: Iterable[int] | None = None
-) -> list[str]:
+) -> list[Input]:
     """The ``source`` folders of one service in a layer, of all or of the given years."""
     wanted = "*" if years is None else "{" + ",".join(str(y) for y in years) + "}"
-    files = list_inputs(spark, f"{root}/service={service}/batch_year={wanted}/*/*.parquet")
-    return sorted({name.rsplit("/", 1)[0] for name in files})
+    pattern = f"{root}/service={service}/batch_year={wanted}/*/*.parquet"
+    return list_inputs(spark, pattern, PARENT_FOLDER)
 
 
 def clean_layer(
@@ -186,7 +188,7 @@ def read_clean(
             except AnalysisException as error:
                 if not skip_failed:
                     raise
-                log.error("left out %s: %s", ", ".join(scan.inputs), error)
+                log.error("left out %s: %s", ", ".join(i.path for i in scan.inputs), error)
                 continue
             frames.append(checked)
     if not frames:

@@ -37,11 +37,24 @@ def read_tree(spark: SparkSession, root: str, schema: StructType | None = None)
     return (reader.schema(schema) if schema is not None else reader).parquet(root)
 
 
-def list_inputs(spark: SparkSession, pattern: str) -> list[str]:
-    """Parquet inputs matched by a glob, each a file or a folder of part files.
+# Up to the first part that ends in .parquet: a file, or the folder around its parts.
+WHOLE_INPUT = r"^(.*?\.parquet)(/.*)?$"
+PARENT_FOLDER = r"^(.*)/[^/]+$"
 
-    Spark lists the files; only their names are looked at, never their content. What
-    comes to the driver is one name per monthly input.
+
+@dataclass(frozen=True)
+class Input:
+    """A monthly input (a file or a folder of part files) and one file of it."""
+
+    path: str
+    sample: str
+
+
+def list_inputs(spark: SparkSession, pattern: str, unit: str = WHOLE_INPUT) -> list[Input]:
+    """Parquet inputs matched by a glob; ``unit`` tells a file's input from its path.
+
+    Spark lists the files, at any depth, and looks at their names only. What comes to
+    the driver is one row per monthly input, however many part files it has.
     """
     try:
         files = (
@@ -54,9 +67,10 @@ def list_inputs(spark: SparkSession, pattern: str) -> list[str]:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return []
-    # Up to the first part that ends in .parquet: the file, or the folder around it.
-    name = F.regexp_extract("path", r"^(.*?\.parquet)(/.*)?$", 1)
-    return sorted(row.input for row in files.select(name.alias("input")).distinct().collect())
+    inputs = files.groupBy(F.regexp_extract("path", unit, 1).alias("input")).agg(
+        F.min("path").alias("sample")
+    )
+    return sorted((Input(r.input, r.sample) for r in inputs.collect()), key=lambda i: i.path)
 
 
 @dataclass(frozen=True)
@@ -64,12 +78,12 @@ class Scan:
     """Inputs that share one schema, as one frame."""
 
     df: DataFrame
-    inputs: tuple[str, ...]
+    inputs: tuple[Input, ...]
 
 
 def scan_by_schema(
     spark: SparkSession,
-    inputs: Iterable[str],
+    inputs: Iterable[Input],
     *,
     base: str | None = None,
     skip_unreadable: bool = False,
@@ -78,20 +92,21 @@ def scan_by_schema(
 
     Monthly inputs differ in columns and types. Reading them as one would either fail
     or fill absent columns with nulls, for which cleaning then drops the whole month.
-    An input whose schema cannot be read is an error, or is logged and left out.
+    One footer per input is read. An input whose footer cannot be read is an error, or
+    is logged and left out.
     """
-    groups: dict[str, tuple[StructType, list[str]]] = {}
-    for name in inputs:
+    groups: dict[str, list[Input]] = {}
+    for item in inputs:
         try:
-            schema = spark.read.parquet(name).schema
+            schema = spark.read.parquet(item.sample).schema
         except Exception as error:
             if not skip_unreadable:
                 raise
-            log.error("cannot read %s: %s", name, error)
+            log.error("left out %s: %s", item.path, error)
             continue
-        groups.setdefault(schema.json(), (schema, []))[1].append(name)
+        groups.setdefault(schema.json(), []).append(item)
     reader = spark.read.option("basePath", base) if base else spark.read
-    return [Scan(reader.parquet(*names), tuple(names)) for _, names in groups.values()]
+    return [Scan(reader.parquet(*[i.path for i in g]), tuple(g)) for g in groups.values()]
 
 
 LAYOUT = "{base}/{year}/{service}/*.parquet"
@@ -111,22 +126,23 @@ def find_service_inputs(
     years: Iterable[int | str],
     services: Sequence[str],
     layout: str = LAYOUT,
-) -> dict[str, list[str]]:
+) -> dict[str, list[Input]]:
     """Inputs of the given years per service; what is missing is warned about."""
     years = [str(y) for y in years]
     found = {}
     for service in services:
         any_year = "{" + ",".join(years) + "}"
         pattern = layout.format(base=base.rstrip("/"), year=any_year, service=service)
-        names = list_inputs(spark, pattern)
-        counts = Counter(re.search(year_pattern(layout, service), name)[1] for name in names)
+        inputs = list_inputs(spark, pattern)
+        in_path = year_pattern(layout, service)
+        counts = Counter(re.search(in_path, item.path)[1] for item in inputs)
         for year in years:
             if counts[year]:
                 log.info("%d inputs for %s %s", counts[year], service, year)
             else:
                 log.warning("no inputs for %s %s below %s", service, year, base)
-        if names:
-            found[service] = names
+        if inputs:
+            found[service] = inputs
     if not found:
         log.warning("no inputs at all below %s", base)
     return found

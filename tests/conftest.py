@@ -1,0 +1,79 @@
+import datetime as dt
+
+import pytest
+
+from meterline.session import local_session
+
+SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    work = tmp_path_factory.mktemp("work")
+    session = local_session(
+        cores="8",
+        shuffle_partitions=4,
+        spark__checkpoint__dir=str(work),
+        spark__sql__warehouse__dir=str(work / "warehouse"),
+    )
+    session.sparkContext.setLogLevel("OFF")
+    yield session
+    session.stop()
+
+
+RAW_TYPES = (
+    "VendorID bigint, {p}_pickup_datetime timestamp_ntz, {p}_dropoff_datetime timestamp_ntz, "
+    "store_and_fwd_flag string, passenger_count double, trip_distance double, "
+    "RatecodeID double, PULocationID int, DOLocationID int, payment_type bigint, "
+    "fare_amount double, extra double, mta_tax double, tip_amount double, "
+    "tolls_amount double, total_amount double, improvement_surcharge double, "
+    "congestion_surcharge double"
+)
+
+
+@pytest.fixture(scope="session")
+def raw_trips(spark):
+    """Builds raw trips: ``raw_trips("green", {}, {"VendorID": 2}, ...)``, a dict per trip."""
+
+    def build(service, *trips, extra_columns="", extra_values=()):
+        prefix = {"green": "lpep", "yellow": "tpep"}[service]
+        plain = {
+            "VendorID": 1,
+            "pickup_datetime": dt.datetime(2024, 1, 1, 0, 57, 55),
+            "dropoff_datetime": dt.datetime(2024, 1, 1, 1, 17, 43),
+            "store_and_fwd_flag": None,
+            "passenger_count": 1.0,
+            "trip_distance": 1.5,
+            "RatecodeID": 1.0,
+            "PULocationID": 1,
+            "DOLocationID": 2,
+            "payment_type": 1,
+            "fare_amount": 10.0,
+            "extra": 1.0,
+            "mta_tax": 0.5,
+            "tip_amount": 2.0,
+            "tolls_amount": 0.0,
+            "total_amount": 14.5,
+            "improvement_surcharge": 1.0,
+            "congestion_surcharge": 0.0,
+        }
+        rows = [tuple({**plain, **t}.values()) + tuple(extra_values) for t in trips]
+        types = RAW_TYPES.format(p=prefix) + (f", {extra_columns}" if extra_columns else "")
+        return spark.createDataFrame(rows, types)
+
+    return build
+
+
+@pytest.fixture(scope="session")
+def zones(spark):
+    """Zones 1, 2 and 5 are complete, 21 has no coordinates."""
+    return spark.createDataFrame(
+        [
+            (1, "EWR", "Airport", "EWR", 40.5, -74.25),
+            (2, "Queens", "Bay", "Boro Zone", 40.75, -73.75),
+            (5, "Staten Island", "Heights", "Boro Zone", 53.25, -7.5),
+            (21, "Brooklyn", "East", "Boro Zone", None, None),
+        ],
+        "LocationID int, Borough string, zone string, service_zone string, "
+        "latitude double, longitude double",
+    )

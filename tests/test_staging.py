@@ -1,0 +1,84 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from meterline.operators.cleaning import clean_trips
+from meterline.operators.grouping import (
+    add_calendar,
+    build_staging,
+    grouped_sums,
+    staging_input,
+    tag_service,
+    union_services,
+)
+from meterline.schemas import MEASURES, STAGING, STAGING_AS_DECLARED, conform
+
+
+@pytest.fixture()
+def clean(raw_trips, zones):
+    def build(service, *trips):
+        return clean_trips(raw_trips(service, *trips), zones, service).transform(
+            tag_service, service
+        )
+
+    return build
+
+
+def test_equal_keys_meet_in_one_row(clean):
+    rows = build_staging(clean("green", {}, {"fare_amount": 2.5}, {"VendorID": 2})).collect()
+    assert sorted((r.vendor_id, r.fare_amount, r.passenger_count) for r in rows) == [
+        (1, 12.5, 2.0),
+        (2, 10.0, 1.0),
+    ]
+
+
+def test_services_are_grouped_apart(clean):
+    both = union_services(clean("yellow", {}, {}), clean("green", {}))
+    rows = build_staging(both).collect()
+    assert sorted((r.service_type, r.passenger_count) for r in rows) == [(1, 2.0), (2, 1.0)]
+
+
+def test_staging_schema(clean):
+    staging = build_staging(clean("green", {}))
+    assert [(f.name, f.dataType) for f in staging.schema] == [
+        (f.name, f.dataType) for f in STAGING
+    ]
+    assert len(staging.columns) == 25
+    row = staging.first()
+    assert (row.year, row.month, row.dow, row.rate_code_id) == (2024, "January", "Monday", 1.0)
+    declared = conform(staging, STAGING_AS_DECLARED)
+    assert declared.first().year == "2024"
+
+
+def test_grouping_equals_grouping_by_all_fourteen_keys(clean):
+    trips = [
+        {"pickup_datetime": dt.datetime(2024, m, d, h), "tip_amount": float(h)}
+        for m in (1, 2)
+        for d in (1, 2)
+        for h in (1, 1, 2)
+    ]
+    df = clean("green", *trips)
+    plain = add_calendar(staging_input(df, "service_type"))
+    keys = [c for c in plain.columns if c not in MEASURES]
+    wanted = plain.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in MEASURES])
+    got = grouped_sums(staging_input(df, "service_type"), "service_type")
+    assert sorted(got.select(wanted.columns).collect()) == sorted(wanted.collect())
+    assert got.count() == 8
+
+
+def test_null_keys_form_a_group_and_null_measures_are_skipped(spark, clean):
+    df = clean("green", {}, {}).withColumns(
+        {
+            "RatecodeID": F.lit(None).cast("double"),
+            "extra": F.lit(None).cast("double"),
+            "tip_amount": F.when(F.col("VendorID") == 1, 2.0),
+        }
+    )
+    rows = build_staging(df).collect()
+    assert len(rows) == 1
+    assert rows[0].rate_code_id is None and rows[0].extra is None and rows[0].tip_amount == 4.0
+
+
+def test_empty_input(clean):
+    assert build_staging(clean("green", {"VendorID": None})).count() == 0
