@@ -167,8 +167,9 @@ def failed_relationship(
 ) -> DataFrame:
     """Number of child rows whose key has no parent; null keys are left out.
 
-    The child is counted per key first, so one row per key meets the parent however
-    many rows, or however uneven a share of them, a key has.
+    The child is counted per key, so one row per key is shuffled to meet the parent,
+    however uneven the keys are. Where Spark finds the parent small enough to broadcast
+    it looks the rows up before counting, which then needs no shuffle of them either.
     """
     keys = child.where(F.col(column).isNotNull()).groupBy(column).agg(
         F.count(F.lit(1)).alias("rows")

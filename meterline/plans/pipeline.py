@@ -219,17 +219,11 @@ def reset_warehouse(spark: SparkSession, warehouse: Warehouse, *, cascade: bool
     """Drop and create both schemas, and create the empty staging table."""
     for schema in (warehouse.staging, warehouse.production):
         reset_schema(spark, schema, location=warehouse.folder(schema), cascade=cascade)
-    _declare_staging(spark, warehouse)
-
-
-def _declare_staging(spark: SparkSession, warehouse: Warehouse) -> None:
-    folder = warehouse.folder(warehouse.staging)
     create_table(
         spark,
         warehouse.staging_table,
         StructType([*STAGING.fields, StructField("batch_year", IntegerType())]),
         partition_by=("batch_year", "service_type"),
-        location=f"{folder}/trips" if folder else None,
     )
 
 
@@ -252,11 +246,8 @@ def load_staging(
         log.warning("no clean trips below %s", clean)
         return read_staging(spark, warehouse.staging_table)
     rows = trips.transform(staging_rows, "batch_year")
-    (
-        rows.select(*spark.table(warehouse.staging_table).columns)
-        .write.option("partitionOverwriteMode", "dynamic")
-        .insertInto(warehouse.staging_table, overwrite=True)
-    )
+    columns = spark.table(warehouse.staging_table).columns
+    rows.select(*columns).write.insertInto(warehouse.staging_table, overwrite=True)
     return read_staging(spark, warehouse.staging_table)
 
 

@@ -24,17 +24,18 @@ def create_table(
     *,
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
-    location: str | None = None,
 ) -> None:
     """Drop and create an empty table with declared types.
 
-    With a location the data there is kept and becomes the table's content.
+    Overwriting a partitioned table replaces the partitions that rows are given for.
     """
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    by = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-    at = f" LOCATION '{location}'" if location else ""
+    by = ""
+    if partition_by:
+        by = " OPTIONS ('partitionOverwriteMode' = 'dynamic')"
+        by += f" PARTITIONED BY ({', '.join(partition_by)})"
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"CREATE TABLE {table} ({columns}) USING {fmt}{by}{at}")
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING {fmt}{by}")
 
 
 def save_table(df: DataFrame, table: str, *, fmt: str = "parquet") -> DataFrame:

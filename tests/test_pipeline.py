@@ -1,0 +1,195 @@
+import datetime as dt
+import logging
+import pathlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from meterline.operators import quality
+from meterline.plans import pipeline
+from meterline.sources.warehouse import read_staging, read_star
+
+
+def land(df, base, year, service, month):
+    path = f"{base}/{year}/{service}/{service}_tripdata_{year}-{month:02}.parquet"
+    df.coalesce(1).write.mode("overwrite").parquet(path)
+    return path
+
+
+@pytest.fixture()
+def base(raw_trips, tmp_path):
+    """Yellow months whose columns and types drift, one green month, one stray pickup."""
+    base = str(tmp_path / "delivery")
+    yellow = raw_trips("yellow", {}, {"fare_amount": 5.0}, {"PULocationID": 21})
+    land(yellow.withColumn("Airport_fee", F.lit(1.75)), base, 2024, "yellow", 1)
+    drifted = raw_trips("yellow", {"VendorID": 2}, {"passenger_count": None})
+    drifted = drifted.withColumns(
+        {
+            "passenger_count": F.col("passenger_count").cast("bigint"),
+            "airport_fee": F.lit(None).cast("int"),
+        }
+    )
+    land(drifted, base, 2024, "yellow", 2)
+    stray = raw_trips("yellow", {"pickup_datetime": dt.datetime(2009, 1, 1)})
+    land(stray, base, 2023, "yellow", 12)
+    green = raw_trips("green", {"RatecodeID": 99.0}, {}).withColumns(
+        {"ehail_fee": F.lit(None).cast("double"), "trip_type": F.lit(1)}
+    )
+    land(green, base, 2024, "green", 1)
+    return base
+
+
+@pytest.fixture()
+def warehouse(spark, tmp_path, request):
+    tag = f"t{abs(hash(request.node.name)) % 10**9}"
+    made = pipeline.Warehouse(f"stg_{tag}", f"prd_{tag}", str(tmp_path / "wh"))
+    yield made
+    for schema in (made.staging, made.production):
+        spark.sql(f"DROP DATABASE IF EXISTS {schema} CASCADE")
+
+
+def run(spark, base, tmp_path, zones, warehouse, years=(2023, 2024), **options):
+    return pipeline.run_all(
+        spark, base, str(tmp_path / "lake"), zones, warehouse, list(years), **options
+    )
+
+
+def test_full_run(spark, base, tmp_path, zones, warehouse):
+    out = run(spark, base, tmp_path, zones, warehouse)
+    staging = read_staging(spark, warehouse.staging_table)
+    got = sorted((r.service_type, r.year, r.vendor_id, r.fare_amount) for r in staging.collect())
+    assert got == [
+        (1, 2009, 1, 10.0),
+        (1, 2024, 1, 15.0),
+        (1, 2024, 2, 10.0),
+        (2, 2024, 1, 10.0),
+        (2, 2024, 1, 10.0),
+    ]
+    assert out["factTrip"].count() == 4
+    assert all(r.success for r in out["staging_report"].collect())
+    assert all(r.success for r in out["star_report"].collect())
+    star = read_star(spark, warehouse.production)
+    assert sorted(star["factTrip"].collect()) == sorted(out["factTrip"].collect())
+
+
+def test_layers_keep_one_folder_per_source(spark, base, tmp_path, zones):
+    lake = str(tmp_path / "lake")
+    pipeline.load_raw(spark, base, f"{lake}/raw", [2023, 2024])
+    for layer in ("raw", "clean"):
+        if layer == "clean":
+            pipeline.clean_layer(spark, f"{lake}/raw", f"{lake}/clean", zones)
+        folders = sorted(
+            "/".join(p.parts[-3:]) for p in pathlib.Path(lake, layer).glob("*/*/source=*")
+        )
+        assert folders == [
+            "service=green/batch_year=2024/source=green_tripdata_2024-01",
+            "service=yellow/batch_year=2023/source=yellow_tripdata_2023-12",
+            "service=yellow/batch_year=2024/source=yellow_tripdata_2024-01",
+            "service=yellow/batch_year=2024/source=yellow_tripdata_2024-02",
+        ]
+    january = spark.read.parquet(
+        f"{lake}/raw/service=yellow/batch_year=2024/source=yellow_tripdata_2024-01"
+    )
+    assert january.count() == 3 and "Airport_fee" in january.columns
+
+
+def test_a_second_run_changes_nothing(spark, base, tmp_path, zones, warehouse):
+    run(spark, base, tmp_path, zones, warehouse)
+    first = sorted(read_staging(spark, warehouse.staging_table).collect())
+    lake = str(tmp_path / "lake")
+    pipeline.load_raw(spark, base, f"{lake}/raw", [2024])
+    pipeline.clean_layer(spark, f"{lake}/raw", f"{lake}/clean", zones, years=[2024])
+    pipeline.load_staging(spark, f"{lake}/clean", warehouse, years=[2024])
+    assert sorted(read_staging(spark, warehouse.staging_table).collect()) == first
+
+
+def test_one_year_leaves_the_other_years_alone(spark, base, tmp_path, zones, warehouse, raw_trips):
+    """A stray pickup of 2009 in the 2024 files must not replace the one of 2023."""
+    run(spark, base, tmp_path, zones, warehouse)
+    lake = str(tmp_path / "lake")
+    again = raw_trips("yellow", {"pickup_datetime": dt.datetime(2009, 1, 1), "VendorID": 2})
+    land(again, base, 2024, "yellow", 1)
+    pipeline.load_raw(spark, base, f"{lake}/raw", [2024], services=["yellow"])
+    pipeline.clean_layer(spark, f"{lake}/raw", f"{lake}/clean", zones, years=[2024])
+    pipeline.load_staging(spark, f"{lake}/clean", warehouse, years=[2024])
+    staging = read_staging(spark, warehouse.staging_table).where("year = 2009")
+    assert sorted(r.vendor_id for r in staging.collect()) == [1, 2]
+
+
+def corrupt(path, keep=None):
+    """Break the part file of an input; ``keep`` leaves its footer readable."""
+    part = next(pathlib.Path(path).glob("part-*.parquet"))
+    for check in pathlib.Path(path).glob(".*.crc"):
+        check.unlink()
+    data = part.read_bytes()
+    part.write_bytes(data[:4] + b"\xff" * keep + data[4 + keep :] if keep else b"broken")
+
+
+def test_failed_inputs_are_left_out_and_named(spark, base, tmp_path, zones, caplog, raw_trips):
+    lake = str(tmp_path / "lake")
+    good = raw_trips("yellow", {}, {"fare_amount": 7.0}).withColumn("Airport_fee", F.lit(1.75))
+    land(good, base, 2024, "yellow", 3)
+    corrupt(land(good, base, 2024, "yellow", 4))
+    corrupt(land(good, base, 2024, "yellow", 5), keep=40)
+    with pytest.raises(Exception):
+        pipeline.load_raw(spark, base, f"{lake}/raw", [2024])
+    with caplog.at_level(logging.ERROR):
+        pipeline.load_raw(spark, base, f"{lake}/raw", [2024], skip_failed=True)
+    sources = {
+        r.source
+        for r in spark.read.parquet(f"{lake}/raw/service=yellow").select("source").collect()
+    }
+    assert sources == {f"yellow_tripdata_2024-0{m}" for m in (1, 2, 3)}
+    left_out = [r.args[0].rsplit("/", 1)[-1] for r in caplog.records]
+    assert sorted(left_out) == [f"yellow_tripdata_2024-0{m}.parquet" for m in (4, 5)]
+
+
+def test_months_that_lack_a_column_are_cleaned_but_cannot_be_staged(
+    spark, base, tmp_path, zones, warehouse, raw_trips, caplog
+):
+    old = raw_trips("green", {}).drop("congestion_surcharge")
+    land(old, base, 2024, "green", 6)
+    out = run(spark, base, tmp_path, zones, warehouse, skip_failed=True)
+    lake = tmp_path / "lake"
+    cleaned = spark.read.parquet(
+        f"{lake}/clean/service=green/batch_year=2024/source=green_tripdata_2024-06"
+    )
+    assert cleaned.count() == 1
+    assert "green_tripdata_2024-06" in caplog.text
+    assert out["factTrip"].count() == 4
+    with pytest.raises(Exception, match="congestion_surcharge"):
+        pipeline.read_clean(spark, f"{lake}/clean")
+
+
+def test_convert_layer(spark, base, tmp_path, zones, caplog):
+    lake = str(tmp_path / "lake")
+    pipeline.load_raw(spark, base, f"{lake}/raw", [2023, 2024])
+    pipeline.clean_layer(spark, f"{lake}/raw", f"{lake}/clean", zones)
+    pipeline.convert_layer(spark, f"{lake}/clean", f"{lake}/orc", fmt="orc")
+    converted = spark.read.orc(f"{lake}/orc")
+    assert converted.count() == 6
+    assert dict(converted.dtypes)["passenger_count"] == "double"
+    pipeline.convert_layer(spark, f"{lake}/nothing", f"{lake}/orc2", fmt="orc")
+    assert "nothing to convert" in caplog.text
+
+
+def test_no_input_at_all(spark, tmp_path, zones, warehouse, caplog):
+    out = run(spark, str(tmp_path / "empty"), tmp_path, zones, warehouse, years=[2024])
+    assert out["factTrip"].count() == 0
+    assert "no clean trips" in caplog.text
+
+
+def test_validation_results_can_be_kept(spark, base, tmp_path, zones, warehouse):
+    run(spark, base, tmp_path, zones, warehouse)
+    suite = [quality.NotNull("vendor_id"), quality.Between("fare_amount", 0, 12)]
+    report = pipeline.validate_staging(spark, warehouse, suite, results=str(tmp_path / "report"))
+    assert [r.success for r in report.orderBy("position").collect()] == [True, False]
+    assert spark.read.parquet(str(tmp_path / "report")).count() == 2
+
+
+def test_reset_warehouse(spark, base, tmp_path, zones, warehouse):
+    run(spark, base, tmp_path, zones, warehouse)
+    with pytest.raises(Exception):
+        pipeline.reset_warehouse(spark, warehouse)
+    pipeline.reset_warehouse(spark, warehouse, cascade=True)
+    assert spark.table(warehouse.staging_table).count() == 0
