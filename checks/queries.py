@@ -330,7 +330,7 @@ def preview_rows(spark, sf_dir):
 # --- stored layers and tables ------------------------------------------------------
 
 
-def _delivered_years(spark, sf_dir) -> list[int]:
+def delivered_years(spark, sf_dir) -> list[int]:
     """Years of the delivery; only its folder names are needed."""
     base, _ = landing(spark, sf_dir)
     years = union_services(
@@ -342,7 +342,7 @@ def _delivered_years(spark, sf_dir) -> list[int]:
 def _raw_layer(spark, sf_dir) -> str:
     base, layout = landing(spark, sf_dir)
     lake = new_folder(spark, "raw")
-    pipeline.load_raw(spark, base, lake, _delivered_years(spark, sf_dir), layout=layout)
+    pipeline.load_raw(spark, base, lake, delivered_years(spark, sf_dir), layout=layout)
     return lake
 
 
@@ -398,7 +398,7 @@ def _run(spark, sf_dir) -> dict[str, DataFrame]:
         f"{folder}/lake",
         zones(spark, sf_dir),
         warehouse,
-        _delivered_years(spark, sf_dir),
+        delivered_years(spark, sf_dir),
         layout=layout,
     )
 

@@ -30,8 +30,9 @@ from ..sources.layers import (
     find_service_inputs,
     list_inputs,
     scan_by_schema,
+    source_of_path,
     union_drifted,
-    year_pattern,
+    year_of_path,
 )
 from ..sources.warehouse import read_staging
 
@@ -62,10 +63,8 @@ def load_raw(
             rows = scan.df.withColumns(
                 {
                     "service": F.lit(service),
-                    "batch_year": F.regexp_extract(
-                        path, year_pattern(layout, service), 1
-                    ).cast("int"),
-                    "source": F.regexp_extract(path, r"^.*?([^/]+)\.parquet(/.*)?$", 1),
+                    "batch_year": year_of_path(path, layout),
+                    "source": source_of_path(path),
                 }
             )
             write_layer(rows, raw, partition_by=PARTITIONS)

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import logging
-import re
 from collections import Counter
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (
     DataType,
     DoubleType,
@@ -112,12 +111,34 @@ def scan_by_schema(
 LAYOUT = "{base}/{year}/{service}/*.parquet"
 
 
-def year_pattern(layout: str, service: str) -> str:
-    """Regular expression that finds the year in a path of a delivery laid out so."""
-    pieces = {"{year}": r"([^/]+)", "{service}": re.escape(service), "*": "[^/]*"}
-    tail = layout.split("{base}", 1)[-1]
-    parts = re.split(r"(\{year\}|\{service\}|\*)", tail)
-    return "".join(pieces.get(p, re.escape(p)) for p in parts) + "(?:/.*)?$"
+def _year_segment(layout: str) -> tuple[int, str]:
+    """Where a layout has the year: segments from the file's end, and text before it."""
+    segments = layout.split("/")
+    for back, segment in enumerate(reversed(segments), 1):
+        if segment.endswith("{year}"):
+            return back, segment.removesuffix("{year}")
+    raise ValueError(f"no {{year}} at the end of a folder name in {layout}")
+
+
+def year_of_path(path: Column, layout: str = LAYOUT) -> Column:
+    """The year a file was delivered for, as its layout gives it."""
+    back, before = _year_segment(layout)
+    whole = F.substring_index(path, ".parquet", 1)
+    segment = F.substring_index(F.substring_index(whole, "/", -back), "/", 1)
+    return F.substr(segment, F.lit(len(before) + 1)).cast("int")
+
+
+def source_of_path(path: Column) -> Column:
+    """Name of the monthly input a file belongs to: itself, or the folder of its parts.
+
+    Plain text functions, as this runs for every row of a delivery.
+    """
+    return F.substring_index(F.substring_index(path, ".parquet", 1), "/", -1)
+
+
+def _year(path: str, layout: str) -> str:
+    back, before = _year_segment(layout)
+    return path.split(".parquet")[0].split("/")[-back].removeprefix(before)
 
 
 def find_service_inputs(
@@ -134,8 +155,7 @@ def find_service_inputs(
         any_year = "{" + ",".join(years) + "}"
         pattern = layout.format(base=base.rstrip("/"), year=any_year, service=service)
         inputs = list_inputs(spark, pattern)
-        in_path = year_pattern(layout, service)
-        counts = Counter(re.search(in_path, item.path)[1] for item in inputs)
+        counts = Counter(_year(item.path, layout) for item in inputs)
         for year in years:
             if counts[year]:
                 log.info("%d inputs for %s %s", counts[year], service, year)

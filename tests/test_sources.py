@@ -3,19 +3,20 @@ import math
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from meterline.schemas import ZONES
 from meterline.session import new_folder, shared_folder, stored
 from meterline.sources.layers import (
-    LAYOUT,
     PARENT_FOLDER,
     find_service_inputs,
     list_inputs,
     read_parquet,
     read_tree,
     scan_by_schema,
+    source_of_path,
     union_drifted,
-    year_pattern,
+    year_of_path,
 )
 from meterline.sources.warehouse import read_jdbc
 from meterline.sources.zones import read_zones
@@ -74,14 +75,23 @@ def test_missing_inputs_are_warned_about(spark, delivery, caplog):
     assert "no inputs at all" in caplog.records[-1].message
 
 
-def test_year_pattern():
-    import re
-
-    path = "file:/lake/2022/x/2024/green/g.parquet/part-0.parquet"
-    assert re.search(year_pattern(LAYOUT, "green"), path)[1] == "2024"
-    layout = "{base}/{service}/year={year}/*.parquet"
-    assert re.search(year_pattern(layout, "green"), "/b/green/year=2024/p.parquet")[1] == "2024"
-    assert re.search(year_pattern(layout, "green"), "/b/yellow/year=2024/p.parquet") is None
+def test_year_and_source_of_a_path(spark):
+    df = spark.createDataFrame(
+        [
+            ("file:/lake/2022/x/2024/green/green_tripdata_2024-01.parquet",),
+            ("file:/lake/2022/x/2024/green/green_tripdata_2024-01.parquet/part-0.snappy.parquet",),
+        ],
+        "p string",
+    )
+    path = F.col("p")
+    rows = df.select(year_of_path(path).alias("y"), source_of_path(path).alias("s")).collect()
+    assert [tuple(r) for r in rows] == [(2024, "green_tripdata_2024-01")] * 2
+    hive = df.select(
+        year_of_path(F.lit("/b/green/year=2024/a.parquet"), "{base}/{service}/year={year}/*.parquet")
+    )
+    assert hive.first()[0] == 2024
+    with pytest.raises(ValueError, match="year"):
+        year_of_path(path, "{base}/{service}/*.parquet")
 
 
 def test_scans_are_grouped_by_schema(spark, tmp_path, caplog):
