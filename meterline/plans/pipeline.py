@@ -20,6 +20,7 @@ from ..operators.joins import fits_broadcast
 from ..operators.quality import STAGING_SUITE, Expectation, star_tests, validate
 from ..operators.star import build_star
 from ..schemas import SERVICES, STAGING
+from ..sinks.jdbc import append_jdbc
 from ..sinks.layers import write_layer
 from ..sinks.tables import create_table, reset_schema, save_table
 from ..sources.layers import (
@@ -226,6 +227,24 @@ def reset_warehouse(spark: SparkSession, warehouse: Warehouse, *, cascade: bool
     )
 
 
+def staging_frame(
+    spark: SparkSession,
+    clean: str,
+    *,
+    years: Iterable[int] | None = None,
+    skip_failed: bool = False,
+) -> DataFrame | None:
+    """The staging rows of the clean layer with their ``batch_year``; None if there are none.
+
+    One shuffle does the grouping of both services and all years.
+    """
+    trips = read_clean(spark, clean, years, skip_failed=skip_failed)
+    if trips is None:
+        log.warning("no clean trips below %s", clean)
+        return None
+    return trips.transform(staging_rows, "batch_year")
+
+
 def load_staging(
     spark: SparkSession,
     clean: str,
@@ -234,22 +253,35 @@ def load_staging(
     years: Iterable[int] | None = None,
     skip_failed: bool = False,
 ) -> DataFrame:
-    """Group the clean trips and replace the years they belong to in the staging table.
+    """Replace the years the clean trips belong to in the staging table.
 
     The years are those of the delivery, not of the pickup: a stray trip dated years
-    back must not replace that year's rows. One shuffle does the grouping of both
-    services and all years.
+    back must not replace that year's rows.
     """
-    trips = read_clean(spark, clean, years, skip_failed=skip_failed)
-    if trips is None:
-        log.warning("no clean trips below %s", clean)
-        return read_staging(spark, warehouse.staging_table)
-    rows = trips.transform(staging_rows, "batch_year")
-    columns = spark.table(warehouse.staging_table).columns
-    rows.select(*columns).write.insertInto(warehouse.staging_table, overwrite=True)
+    rows = staging_frame(spark, clean, years=years, skip_failed=skip_failed)
+    if rows is not None:
+        columns = spark.table(warehouse.staging_table).columns
+        rows.select(*columns).write.insertInto(warehouse.staging_table, overwrite=True)
     return read_staging(spark, warehouse.staging_table)
 
 
+def load_staging_jdbc(
+    spark: SparkSession,
+    clean: str,
+    url: str,
+    table: str,
+    properties: Mapping[str, str],
+    *,
+    years: Iterable[int] | None = None,
+    mode: str = "append",
+    skip_failed: bool = False,
+) -> None:
+    """Append the staging rows to a table of a relational warehouse instead."""
+    rows = staging_frame(spark, clean, years=years, skip_failed=skip_failed)
+    if rows is not None:
+        append_jdbc(rows.drop("batch_year"), url, table, properties, mode=mode)
+
+
 def validate_staging(
     spark: SparkSession,
     warehouse: Warehouse,
