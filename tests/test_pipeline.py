@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from meterline.operators import quality
 from meterline.plans import pipeline
+from meterline.schemas import STAGING
 from meterline.sources.warehouse import read_staging, read_star
 
 
@@ -193,3 +194,21 @@ def test_reset_warehouse(spark, base, tmp_path, zones, warehouse):
         pipeline.reset_warehouse(spark, warehouse)
     pipeline.reset_warehouse(spark, warehouse, cascade=True)
     assert spark.table(warehouse.staging_table).count() == 0
+
+
+def test_staging_rows_for_a_relational_warehouse(spark, base, tmp_path, zones, monkeypatch):
+    lake = str(tmp_path / "lake")
+    pipeline.load_raw(spark, base, f"{lake}/raw", [2024])
+    pipeline.clean_layer(spark, f"{lake}/raw", f"{lake}/clean", zones)
+    written = []
+    monkeypatch.setattr(
+        pipeline,
+        "append_jdbc",
+        lambda df, url, table, properties, mode: written.append((df, url, table, mode)),
+    )
+    pipeline.load_staging_jdbc(spark, f"{lake}/clean", "jdbc:x", "staging.trips", {})
+    (df, url, table, mode) = written[0]
+    assert (url, table, mode) == ("jdbc:x", "staging.trips", "append")
+    assert df.columns == STAGING.fieldNames() and df.count() == 4
+    pipeline.load_staging_jdbc(spark, f"{lake}/none", "jdbc:x", "staging.trips", {})
+    assert len(written) == 1
