@@ -1,4 +1,4 @@
-"""Stages from the command line, for ``spark-submit`` or ``python -m meterline STAGE``.
+"""Stages from the command line: ``spark-submit run.py STAGE`` or ``python -m meterline STAGE``.
 
 The session's settings (master, file systems, catalog) come from the caller's Spark
 configuration. Stages in separate applications need a catalog that outlives them.

@@ -12,7 +12,7 @@ def spark(tmp_path_factory):
     work = tmp_path_factory.mktemp("work")
     session = local_session(
         cores="8",
-        shuffle_partitions=4,
+        shuffle_partitions=3,
         spark__checkpoint__dir=str(work),
         spark__sql__warehouse__dir=str(work / "warehouse"),
     )

@@ -3,6 +3,7 @@ import logging
 import pathlib
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from meterline.operators import quality
@@ -19,8 +20,11 @@ def land(df, base, year, service, month):
 
 @pytest.fixture()
 def base(raw_trips, tmp_path):
+    return deliver(raw_trips, str(tmp_path / "delivery"))
+
+
+def deliver(raw_trips, base):
     """Yellow months whose columns and types drift, one green month, one stray pickup."""
-    base = str(tmp_path / "delivery")
     yellow = raw_trips("yellow", {}, {"fare_amount": 5.0}, {"PULocationID": 21})
     land(yellow.withColumn("Airport_fee", F.lit(1.75)), base, 2024, "yellow", 1)
     drifted = raw_trips("yellow", {"VendorID": 2}, {"passenger_count": None})
@@ -72,6 +76,19 @@ def test_full_run(spark, base, tmp_path, zones, warehouse):
     star = read_star(spark, warehouse.production)
     assert sorted(star["factTrip"].collect()) == sorted(out["factTrip"].collect())
 
+    # Results of a validation can be kept.
+    suite = [quality.NotNull("vendor_id"), quality.Between("fare_amount", 0, 12)]
+    report = pipeline.validate_staging(spark, warehouse, suite, results=str(tmp_path / "report"))
+    assert [r.success for r in report.orderBy("position").collect()] == [True, False]
+    assert spark.read.parquet(str(tmp_path / "report")).count() == 2
+
+    # Schemas with tables are only dropped on request.
+    with pytest.raises(AnalysisException):
+        pipeline.reset_warehouse(spark, warehouse)
+    pipeline.reset_warehouse(spark, warehouse, cascade=True)
+    assert spark.table(warehouse.staging_table).count() == 0
+    assert spark.catalog.listTables(warehouse.production) == []
+
 
 def test_layers_keep_one_folder_per_source(spark, base, tmp_path, zones):
     lake = str(tmp_path / "lake")
@@ -94,27 +111,22 @@ def test_layers_keep_one_folder_per_source(spark, base, tmp_path, zones):
     assert january.count() == 3 and "Airport_fee" in january.columns
 
 
-def test_a_second_run_changes_nothing(spark, base, tmp_path, zones, warehouse):
+def test_repeated_runs(spark, base, tmp_path, zones, warehouse, raw_trips):
     run(spark, base, tmp_path, zones, warehouse)
     first = sorted(read_staging(spark, warehouse.staging_table).collect())
     lake = str(tmp_path / "lake")
-    pipeline.load_raw(spark, base, f"{lake}/raw", [2024])
-    pipeline.clean_layer(spark, f"{lake}/raw", f"{lake}/clean", zones, years=[2024])
-    pipeline.load_staging(spark, f"{lake}/clean", warehouse, years=[2024])
-    assert sorted(read_staging(spark, warehouse.staging_table).collect()) == first
 
+    def again():
+        pipeline.load_raw(spark, base, f"{lake}/raw", [2024])
+        pipeline.clean_layer(spark, f"{lake}/raw", f"{lake}/clean", zones, years=[2024])
+        pipeline.load_staging(spark, f"{lake}/clean", warehouse, years=[2024])
+        return sorted(read_staging(spark, warehouse.staging_table).collect())
 
-def test_one_year_leaves_the_other_years_alone(spark, base, tmp_path, zones, warehouse, raw_trips):
-    """A stray pickup of 2009 in the 2024 files must not replace the one of 2023."""
-    run(spark, base, tmp_path, zones, warehouse)
-    lake = str(tmp_path / "lake")
-    again = raw_trips("yellow", {"pickup_datetime": dt.datetime(2009, 1, 1), "VendorID": 2})
-    land(again, base, 2024, "yellow", 1)
-    pipeline.load_raw(spark, base, f"{lake}/raw", [2024], services=["yellow"])
-    pipeline.clean_layer(spark, f"{lake}/raw", f"{lake}/clean", zones, years=[2024])
-    pipeline.load_staging(spark, f"{lake}/clean", warehouse, years=[2024])
-    staging = read_staging(spark, warehouse.staging_table).where("year = 2009")
-    assert sorted(r.vendor_id for r in staging.collect()) == [1, 2]
+    assert again() == first
+    # A stray pickup of 2009 in the 2024 files must not replace the one of 2023.
+    stray = raw_trips("yellow", {"pickup_datetime": dt.datetime(2009, 1, 1), "VendorID": 2})
+    land(stray, base, 2024, "yellow", 1)
+    assert sorted(r.vendor_id for r in again() if r.year == 2009) == [1, 2]
 
 
 def corrupt(path, keep=None):
@@ -180,22 +192,6 @@ def test_no_input_at_all(spark, tmp_path, zones, warehouse, caplog):
     assert "no clean trips" in caplog.text
 
 
-def test_validation_results_can_be_kept(spark, base, tmp_path, zones, warehouse):
-    run(spark, base, tmp_path, zones, warehouse)
-    suite = [quality.NotNull("vendor_id"), quality.Between("fare_amount", 0, 12)]
-    report = pipeline.validate_staging(spark, warehouse, suite, results=str(tmp_path / "report"))
-    assert [r.success for r in report.orderBy("position").collect()] == [True, False]
-    assert spark.read.parquet(str(tmp_path / "report")).count() == 2
-
-
-def test_reset_warehouse(spark, base, tmp_path, zones, warehouse):
-    run(spark, base, tmp_path, zones, warehouse)
-    with pytest.raises(Exception):
-        pipeline.reset_warehouse(spark, warehouse)
-    pipeline.reset_warehouse(spark, warehouse, cascade=True)
-    assert spark.table(warehouse.staging_table).count() == 0
-
-
 def test_staging_rows_for_a_relational_warehouse(spark, base, tmp_path, zones, monkeypatch):
     lake = str(tmp_path / "lake")
     pipeline.load_raw(spark, base, f"{lake}/raw", [2024])
