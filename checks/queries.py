@@ -42,7 +42,7 @@ from meterline.schemas import MEASURES, SERVICES, STAGING_AS_DECLARED, conform
 from meterline.session import new_folder, stored
 from meterline.sinks.tables import reset_schema, save_table
 from meterline.sources.layers import read_tree
-from meterline.sources.sample import land_sample, sample_zones
+from meterline.sources.sample import land_sample
 from meterline.sources.warehouse import read_star
 from meterline.sources.zones import read_zones
 
@@ -52,7 +52,7 @@ _landed: dict[tuple[str, str], tuple[str, str]] = {}
 
 
 def landing(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """Raw Parquet trips derived from all of ``sf_dir``: their folder and its layout.
+    """Raw Parquet trips and zone CSV derived from all of ``sf_dir``: folder and layout.
 
     Written once per session; every query scans these files.
     """
@@ -69,10 +69,9 @@ def raw(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The zone lookup, written as CSV by Spark and read back as the lookup is read."""
-    path = new_folder(spark, "zones")
-    sample_zones(spark, sf_dir).write.csv(path, header=True)
-    return read_zones(spark, path)
+    """The zone lookup, read from the CSV that landed beside the trips."""
+    base, _ = landing(spark, sf_dir)
+    return read_zones(spark, f"{base}/zones")
 
 
 def _per_service(spark: SparkSession, sf_dir: str, step) -> DataFrame:

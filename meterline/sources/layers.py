@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections import Counter
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -40,6 +41,8 @@ def read_tree(spark: SparkSession, root: str, schema: StructType | None = None)
 WHOLE_INPUT = r"^(.*?\.parquet)(/.*)?$"
 PARENT_FOLDER = r"^(.*)/[^/]+$"
 
+FOOTER_READERS = 16
+
 
 @dataclass(frozen=True)
 class Input:
@@ -91,19 +94,26 @@ def scan_by_schema(
 
     Monthly inputs differ in columns and types. Reading them as one would either fail
     or fill absent columns with nulls, for which cleaning then drops the whole month.
-    One footer per input is read. An input whose footer cannot be read is an error, or
+    One footer per input is read, several at a time. An input whose footer cannot be read is an error, or
     is logged and left out.
     """
-    groups: dict[str, list[Input]] = {}
-    for item in inputs:
+    def schema_of(item: Input) -> str | Exception:
         try:
-            schema = spark.read.parquet(item.sample).schema
+            return spark.read.parquet(item.sample).schema.json()
         except Exception as error:
-            if not skip_unreadable:
-                raise
-            log.error("left out %s: %s", item.path, error)
-            continue
-        groups.setdefault(schema.json(), []).append(item)
+            return error
+
+    inputs = list(inputs)
+    with ThreadPoolExecutor(FOOTER_READERS) as pool:
+        schemas = list(pool.map(schema_of, inputs))
+    groups: dict[str, list[Input]] = {}
+    for item, schema in zip(inputs, schemas):
+        if isinstance(schema, str):
+            groups.setdefault(schema, []).append(item)
+        elif skip_unreadable:
+            log.error("left out %s: %s", item.path, schema)
+        else:
+            raise schema
     reader = spark.read.option("basePath", base) if base else spark.read
     return [Scan(reader.parquet(*[i.path for i in g]), tuple(g)) for g in groups.values()]
 

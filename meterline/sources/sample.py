@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..schemas import SERVICES
+from ..session import stored
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -92,26 +93,29 @@ RAW_NAMES = {
 }
 
 
-def sample_raw(spark: SparkSession, folder: str, service: str) -> DataFrame:
-    """The trips of one service as that service would deliver them."""
-    return as_raw(sample_trips(spark, folder), service)
+RAW_PICKUP = {service: names["pickup_datetime"] for service, names in RAW_NAMES.items()}
 
 
 def as_raw(trips: DataFrame, service: str) -> DataFrame:
+    """The trips of one service as that service would deliver them."""
     own = trips.where(F.col("service_type") == SERVICES[service])
     hidden = ["service_type"] + (["trip_type"] if service == "yellow" else [])
     return own.drop(*hidden).withColumnsRenamed(RAW_NAMES[service])
 
 
 def land_sample(spark: SparkSession, folder: str, base: str) -> str:
-    """Write the raw trips below ``base`` as a delivery; returns its folder layout."""
-    trips = sample_trips(spark, folder).withColumn("year", F.year("pickup_datetime"))
+    """Write raw trips and the zone lookup below ``base``; returns the trips' layout.
+
+    The order tables are joined once, for both services.
+    """
+    trips = stored(sample_trips(spark, folder), "trips")
     for service in SERVICES:
-        raw = as_raw(trips, service)
+        raw = as_raw(trips, service).withColumn("year", F.year(RAW_PICKUP[service]))
         (
             raw.hint("rebalance", F.col("year"))
             .write.mode("overwrite")
             .partitionBy("year")
             .parquet(f"{base}/{service}")
         )
+    sample_zones(spark, folder).write.mode("overwrite").csv(f"{base}/zones", header=True)
     return "{base}/{service}/year={year}/*.parquet"
