@@ -29,6 +29,8 @@ from ..sources.layers import (
     Input,
     Scan,
     find_service_inputs,
+    input_name,
+    input_year,
     list_inputs,
     scan_by_schema,
     source_of_path,
@@ -40,6 +42,7 @@ from ..sources.warehouse import read_staging
 log = logging.getLogger(__name__)
 
 PARTITIONS = ("service", "batch_year", "source")
+_PARTITION_TYPES = "service string, batch_year int, source string"
 
 
 def load_raw(
@@ -57,6 +60,7 @@ def load_raw(
     A job per service and distinct schema takes all years; a row's year and source are
     read off the path of its file.
     """
+    years = list(years)
     for service, inputs in find_service_inputs(spark, base, years, services, layout).items():
 
         def write(scan: Scan, service=service) -> None:
@@ -70,7 +74,40 @@ def load_raw(
             )
             write_layer(rows, raw, partition_by=PARTITIONS)
 
-        _each_scan(spark, inputs, write, skip_failed=skip_failed)
+        earlier = _samples(layer_inputs(spark, raw, service, years))
+        done = _each_scan(spark, inputs, write, skip_failed=skip_failed)
+        folders = {
+            f"/service={service}/batch_year={input_year(i.path, layout)}"
+            f"/source={input_name(i.path)}"
+            for i in done
+        }
+        _empty_unreplaced(spark, raw, folders, earlier, layer_inputs(spark, raw, service, years))
+
+
+def _samples(inputs: Iterable[Input]) -> dict[str, str]:
+    """A file of each source folder, by the folder's path below its layer."""
+    return {i.path[i.path.rindex("/service=") :]: i.sample for i in inputs}
+
+
+def _empty_unreplaced(
+    spark: SparkSession,
+    layer: str,
+    folders: Iterable[str],
+    earlier: Mapping[str, str],
+    now: Iterable[Input],
+) -> None:
+    """Empty the folders of a layer that a run covered but had no rows for.
+
+    Overwriting partitions leaves alone those without new rows, but their earlier rows
+    are no longer true. They still hold the file they held before the run, as every run
+    names its files anew.
+    """
+    present = _samples(now)
+    for folder in folders:
+        if folder in earlier and earlier[folder] == present.get(folder):
+            log.warning("no rows any more in %s%s", layer, folder)
+            schema = spark.read.parquet(f"{layer}{folder}").schema
+            spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{layer}{folder}")
 
 
 def _each_scan(
@@ -80,15 +117,17 @@ def _each_scan(
     *,
     base: str | None = None,
     skip_failed: bool = False,
-) -> None:
+) -> list[Input]:
     """Run a job per distinct schema; where one fails, isolate the inputs that cause it.
 
     With ``skip_failed`` the inputs of a failed job are run one by one, and those that
-    fail again are logged and left out as a whole.
+    fail again are logged and left out as a whole. Returns the inputs that were run.
     """
-    for scan in scan_by_schema(spark, inputs, base=base, skip_unreadable=skip_failed):
+    done: list[Input] = []
+    for scan in _scans(spark, inputs, base, skip_failed):
         try:
             run(scan)
+            done += scan.inputs
         except Exception as error:
             if not skip_failed:
                 raise
@@ -97,15 +136,29 @@ def _each_scan(
                 continue
             log.warning("running %d inputs one by one after: %s", len(scan.inputs), error)
             for item in scan.inputs:
-                _each_scan(spark, [item], run, base=base, skip_failed=True)
+                done += _each_scan(spark, [item], run, base=base, skip_failed=True)
+    return done
+
+
+def _scans(
+    spark: SparkSession, inputs: Iterable[Input], base: str | None, skip_unreadable: bool
+) -> list[Scan]:
+    types = _PARTITION_TYPES if base else ""
+    return scan_by_schema(
+        spark, inputs, base=base, partitions=types, skip_unreadable=skip_unreadable
+    )
+
+
+def _any_of(years: Iterable[int] | None) -> str:
+    """Glob for the given years, or for any."""
+    return "*" if years is None else "{" + ",".join(str(y) for y in years) + "}"
 
 
 def layer_inputs(
     spark: SparkSession, root: str, service: str, years: Iterable[int] | None = None
 ) -> list[Input]:
     """The ``source`` folders of one service in a layer, of all or of the given years."""
-    wanted = "*" if years is None else "{" + ",".join(str(y) for y in years) + "}"
-    pattern = f"{root}/service={service}/batch_year={wanted}/*/*.parquet"
+    pattern = f"{root}/service={service}/batch_year={_any_of(years)}/*/*.parquet"
     return list_inputs(spark, pattern, PARENT_FOLDER)
 
 
@@ -132,7 +185,10 @@ def clean_layer(
             write_layer(rows, clean, partition_by=PARTITIONS)
 
         inputs = layer_inputs(spark, raw, service, years)
-        _each_scan(spark, inputs, write, base=raw, skip_failed=skip_failed)
+        earlier = _samples(layer_inputs(spark, clean, service, years))
+        done = _each_scan(spark, inputs, write, base=raw, skip_failed=skip_failed)
+        now = layer_inputs(spark, clean, service, years)
+        _empty_unreplaced(spark, clean, _samples(done), earlier, now)
 
 
 def convert_layer(
@@ -149,9 +205,7 @@ def convert_layer(
     frames = [
         scan.df
         for service in SERVICES
-        for scan in scan_by_schema(
-            spark, layer_inputs(spark, source, service, years), base=source
-        )
+        for scan in _scans(spark, layer_inputs(spark, source, service, years), source, False)
     ]
     if not frames:
         log.warning("nothing to convert below %s", source)
@@ -181,7 +235,7 @@ def read_clean(
     frames = []
     for service, code in SERVICES.items():
         inputs = layer_inputs(spark, clean, service, years)
-        for scan in scan_by_schema(spark, inputs, base=clean, skip_unreadable=skip_failed):
+        for scan in _scans(spark, inputs, clean, skip_failed):
             tagged = scan.df.withColumn("service_type", F.lit(code))
             try:
                 checked = staging_input(tagged, "service_type", "batch_year")
@@ -251,18 +305,40 @@ def load_staging(
     warehouse: Warehouse,
     *,
     years: Iterable[int] | None = None,
+    append: bool = False,
     skip_failed: bool = False,
 ) -> DataFrame:
-    """Replace the years the clean trips belong to in the staging table.
+    """Replace the years the clean trips belong to in the staging table, or append to it.
 
     The years are those of the delivery, not of the pickup: a stray trip dated years
-    back must not replace that year's rows.
+    back must not replace that year's rows. A year of a service that was asked for and
+    has no rows any more leaves the table.
     """
+    table = warehouse.staging_table
+    years = None if years is None else list(years)
     rows = staging_frame(spark, clean, years=years, skip_failed=skip_failed)
-    if rows is not None:
-        columns = spark.table(warehouse.staging_table).columns
-        rows.select(*columns).write.insertInto(warehouse.staging_table, overwrite=True)
-    return read_staging(spark, warehouse.staging_table)
+    if rows is None:
+        return read_staging(spark, table)
+    earlier = {} if append else _staged_files(spark, table, years)
+    columns = spark.table(table).columns
+    rows.select(*columns).write.insertInto(table, overwrite=not append)
+    present = _staged_files(spark, table, years) if earlier else {}
+    for partition, file in earlier.items():
+        if present.get(partition) == file:
+            log.warning("no rows any more in %s (%s)", table, partition)
+            spark.sql(f"ALTER TABLE {table} DROP PARTITION ({partition})")
+    return read_staging(spark, table)
+
+
+def _staged_files(
+    spark: SparkSession, table: str, years: Sequence[int] | None
+) -> dict[str, str]:
+    """A file of each stored year and service of the staging table."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    location = described.where("col_name = 'Location'").first().data_type
+    pattern = f"{location}/batch_year={_any_of(years)}/*/*.parquet"
+    inputs = list_inputs(spark, pattern, PARENT_FOLDER)
+    return {", ".join(i.path.split("/")[-2:]): i.sample for i in inputs}
 
 
 def load_staging_jdbc(

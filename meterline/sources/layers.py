@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import logging
 from collections import Counter
 from collections.abc import Iterable, Sequence
@@ -88,10 +89,14 @@ def scan_by_schema(
     inputs: Iterable[Input],
     *,
     base: str | None = None,
+    partitions: str = "",
     skip_unreadable: bool = False,
 ) -> list[Scan]:
     """One scan per distinct schema among ``inputs``.
 
+    Inputs that are folders of a layer below ``base`` also get its ``partitions``, given
+    as column definitions.
+
     Monthly inputs differ in columns and types. Reading them as one would either fail
     or fill absent columns with nulls, for which cleaning then drops the whole month.
     One footer per input is read, several at a time. An input whose footer cannot be read is an error, or
@@ -115,7 +120,13 @@ def scan_by_schema(
         else:
             raise schema
     reader = spark.read.option("basePath", base) if base else spark.read
-    return [Scan(reader.parquet(*[i.path for i in g]), tuple(g)) for g in groups.values()]
+    scans = []
+    for schema, items in groups.items():
+        columns = StructType.fromJson(json.loads(schema)).fields
+        known = StructType([*columns, *StructType.fromDDL(partitions).fields])
+        scan = reader.schema(known).parquet(*[i.path for i in items])
+        scans.append(Scan(scan, tuple(items)))
+    return scans
 
 
 LAYOUT = "{base}/{year}/{service}/*.parquet"
@@ -146,11 +157,17 @@ def source_of_path(path: Column) -> Column:
     return F.substring_index(F.substring_index(path, ".parquet", 1), "/", -1)
 
 
-def _year(path: str, layout: str) -> str:
+def input_year(path: str, layout: str) -> str:
+    """As ``year_of_path``, for the path of one input."""
     back, before = _year_segment(layout)
     return path.split(".parquet")[0].split("/")[-back].removeprefix(before)
 
 
+def input_name(path: str) -> str:
+    """As ``source_of_path``, for the path of one input."""
+    return path.split(".parquet")[0].split("/")[-1]
+
+
 def find_service_inputs(
     spark: SparkSession,
     base: str,
@@ -165,7 +182,7 @@ def find_service_inputs(
         any_year = "{" + ",".join(years) + "}"
         pattern = layout.format(base=base.rstrip("/"), year=any_year, service=service)
         inputs = list_inputs(spark, pattern)
-        counts = Counter(_year(item.path, layout) for item in inputs)
+        counts = Counter(input_year(item.path, layout) for item in inputs)
         for year in years:
             if counts[year]:
                 log.info("%d inputs for %s %s", counts[year], service, year)

@@ -129,6 +129,32 @@ def test_repeated_runs(spark, base, tmp_path, zones, warehouse, raw_trips):
     assert sorted(r.vendor_id for r in again() if r.year == 2009) == [1, 2]
 
 
+def test_rows_that_a_new_delivery_no_longer_has_go(
+    spark, base, tmp_path, zones, warehouse, raw_trips, caplog
+):
+    run(spark, base, tmp_path, zones, warehouse)
+    lake = str(tmp_path / "lake")
+    incomplete = raw_trips("green", {"passenger_count": None})
+    land(incomplete, base, 2024, "green", 1)
+    land(raw_trips("yellow", {}).limit(0), base, 2024, "yellow", 2)
+    for year in (2023, 2024):
+        pipeline.load_raw(spark, base, f"{lake}/raw", [year])
+        pipeline.clean_layer(spark, f"{lake}/raw", f"{lake}/clean", zones, years=[year])
+        pipeline.load_staging(spark, f"{lake}/clean", warehouse, years=[year])
+    assert "no rows any more" in caplog.text
+    rows = read_staging(spark, warehouse.staging_table).collect()
+    assert sorted((r.service_type, r.year, r.fare_amount) for r in rows) == [
+        (1, 2009, 10.0),
+        (1, 2024, 15.0),
+    ]
+    raw = spark.read.parquet(f"{lake}/raw/service=yellow").where("batch_year = 2024")
+    assert {r.source for r in raw.collect()} == {"yellow_tripdata_2024-01"}
+
+    # Appending keeps what is there.
+    pipeline.load_staging(spark, f"{lake}/clean", warehouse, years=[2024], append=True)
+    assert read_staging(spark, warehouse.staging_table).count() == 3
+
+
 def corrupt(path, keep=None):
     """Break the part file of an input; ``keep`` leaves its footer readable."""
     part = next(pathlib.Path(path).glob("part-*.parquet"))
