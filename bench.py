@@ -13,7 +13,7 @@ import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from checks import queries as q  # noqa: E402
+from meterline_checks import queries as q  # noqa: E402
 from meterline.operators.quality import star_tests  # noqa: E402
 from meterline.operators.star import revenue_by_vendor  # noqa: E402
 from meterline.plans import pipeline  # noqa: E402

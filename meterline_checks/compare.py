@@ -1,4 +1,4 @@
-"""Run every query beside its SQL: ``python -m checks.compare [sf_dir] [name ...]``."""
+"""Run every query beside its SQL: ``python -m meterline_checks.compare [sf_dir] [name ...]``."""
 
 from __future__ import annotations
 
@@ -7,8 +7,8 @@ import time
 
 import duckdb
 
-from checks.oracles import ORACLES
-from checks.queries import QUERIES
+from meterline_checks.oracles import ORACLES
+from meterline_checks.queries import QUERIES
 from meterline.session import local_session
 
 TABLES = (

@@ -3,8 +3,8 @@
 import pytest
 
 import __spark_entry__ as entry_module
-from checks.compare import connect, differences
-from checks.queries import QUERIES, cleaned, staging, trips, zones
+from meterline_checks.compare import connect, differences
+from meterline_checks.queries import QUERIES, cleaned, staging, trips, zones
 from meterline.operators import quality, star
 from meterline.operators.cleaning import add_zone
 from meterline.session import stored
