@@ -113,54 +113,51 @@ SERVICE_TEXT = "CASE {0} WHEN 1 THEN 'Yellow' WHEN 2 THEN 'Green' END"
 _RATE_TEXT = "rate_code_id::BIGINT::VARCHAR"
 
 DIMS = f"""
+known AS (SELECT * FROM staging WHERE vendor_id IS NOT NULL),
 dim_vendor AS (
-    SELECT md5(vendor_id::VARCHAR) AS vendor_key, vendor_id,
+    SELECT DISTINCT md5(vendor_id::VARCHAR) AS vendor_key, vendor_id,
            {VENDOR_NAME.format("vendor_id")} AS vendor_name
-    FROM (SELECT DISTINCT vendor_id FROM staging WHERE vendor_id IS NOT NULL)
-    WHERE vendor_id < 3
+    FROM known WHERE vendor_id < 3
 ),
 dim_rate_code AS (
-    SELECT md5({_RATE_TEXT}) AS rate_code_key, rate_code_id,
+    SELECT DISTINCT md5({_RATE_TEXT}) AS rate_code_key, rate_code_id,
            {RATE_CODE_TEXT.format("rate_code_id")} AS rate_code_description
-    FROM (SELECT DISTINCT rate_code_id FROM staging WHERE vendor_id IS NOT NULL)
-    WHERE rate_code_id IS NOT NULL AND rate_code_id::INTEGER < 7
+    FROM known WHERE rate_code_id::INTEGER < 7
 ),
 dim_payment AS (
-    SELECT md5(payment_type_id::VARCHAR) AS payment_type_key, payment_type_id,
+    SELECT DISTINCT md5(payment_type_id::VARCHAR) AS payment_type_key, payment_type_id,
            {PAYMENT_TEXT.format("payment_type_id")} AS payment_description
-    FROM (SELECT DISTINCT payment_type_id FROM staging WHERE vendor_id IS NOT NULL)
-    WHERE payment_type_id IS NOT NULL
+    FROM known WHERE payment_type_id IS NOT NULL
 ),
 dim_service AS (
-    SELECT service_type AS service_type_id, {SERVICE_TEXT.format("service_type")} AS service_name
-    FROM (SELECT DISTINCT service_type FROM staging WHERE vendor_id IS NOT NULL)
-    WHERE service_type IS NOT NULL
+    SELECT DISTINCT service_type AS service_type_id,
+           {SERVICE_TEXT.format("service_type")} AS service_name
+    FROM known WHERE service_type IS NOT NULL
 ),
 dim_pickup_location AS (
-    SELECT DISTINCT pickup_location_id, pickup_latitude, pickup_longitude FROM staging
-    WHERE vendor_id IS NOT NULL AND pickup_location_id IS NOT NULL
+    SELECT DISTINCT pickup_location_id, pickup_latitude, pickup_longitude
+    FROM known WHERE pickup_location_id IS NOT NULL
 ),
 dim_dropoff_location AS (
-    SELECT DISTINCT dropoff_location_id, dropoff_latitude, dropoff_longitude FROM staging
-    WHERE vendor_id IS NOT NULL AND dropoff_location_id IS NOT NULL
+    SELECT DISTINCT dropoff_location_id, dropoff_latitude, dropoff_longitude
+    FROM known WHERE dropoff_location_id IS NOT NULL
 )"""
 
 FACT = f"""
 fact AS (
-    SELECT md5(concat_ws('-', t.vendor_id::VARCHAR, t.{_RATE_TEXT},
-                         t.pickup_location_id::VARCHAR, t.dropoff_location_id::VARCHAR,
-                         t.payment_type_id::VARCHAR, t.service_type::VARCHAR,
-                         t.pickup_datetime::VARCHAR, t.dropoff_datetime::VARCHAR)) AS trip_id,
-           vendor_key, rate_code_key, t.pickup_location_id, t.dropoff_location_id,
-           payment_type_key, t.service_type AS service_type_id,
-           t.pickup_datetime, t.dropoff_datetime,
-           {", ".join("t." + m for m in MEASURES)}
-    FROM staging AS t
-    JOIN dim_vendor AS v ON t.vendor_id = v.vendor_id
-    JOIN dim_rate_code AS r ON t.rate_code_id = r.rate_code_id
-    JOIN dim_payment AS p ON t.payment_type_id = p.payment_type_id
-    JOIN dim_pickup_location AS pu ON t.pickup_location_id = pu.pickup_location_id
-    JOIN dim_dropoff_location AS d ON t.dropoff_location_id = d.dropoff_location_id
+    SELECT md5(concat_ws('-', vendor_id::VARCHAR, {_RATE_TEXT}, pickup_location_id::VARCHAR,
+                         dropoff_location_id::VARCHAR, payment_type_id::VARCHAR,
+                         service_type::VARCHAR, pickup_datetime::VARCHAR,
+                         dropoff_datetime::VARCHAR)) AS trip_id,
+           vendor_key, rate_code_key, pickup_location_id, dropoff_location_id,
+           payment_type_key, service_type AS service_type_id, pickup_datetime,
+           dropoff_datetime, {", ".join(MEASURES)}
+    FROM staging
+    JOIN dim_vendor USING (vendor_id)
+    JOIN dim_rate_code USING (rate_code_id)
+    JOIN dim_payment USING (payment_type_id)
+    JOIN dim_pickup_location USING (pickup_location_id)
+    JOIN dim_dropoff_location USING (dropoff_location_id)
 )"""
 
 _UP_TO = {
@@ -331,6 +328,7 @@ ORACLES: dict[str, str] = {
 SELECT {ALIGNED}, latitude AS pickup_latitude, longitude AS pickup_longitude
 FROM trips JOIN zones ON PULocationID = LocationID""",
     "both_zone_join": _sql("located", f"SELECT {_CLEAN_COLUMNS} FROM located"),
+    "both_zone_join_shuffled": _sql("located", f"SELECT {_CLEAN_COLUMNS} FROM located"),
     "complete_rows": _sql("clean", f"SELECT {_CLEAN_COLUMNS} FROM clean"),
     "clean_trips": _sql("clean", f"SELECT {_CLEAN_COLUMNS} FROM clean"),
     "calendar_columns": _sql(
@@ -436,10 +434,10 @@ FROM trips JOIN zones ON PULocationID = LocationID""",
     + ZONES
     + ","
     + TRIPS
-    + ", known AS (SELECT * FROM zones WHERE latitude IS NOT NULL)\n"
-    + _orphans("PULocationID", "trips", "known", "LocationID")
+    + ", located_zones AS (SELECT * FROM zones WHERE latitude IS NOT NULL)\n"
+    + _orphans("PULocationID", "trips", "located_zones", "LocationID")
     + "\nUNION ALL\n"
-    + _orphans("DOLocationID", "trips", "known", "LocationID"),
+    + _orphans("DOLocationID", "trips", "located_zones", "LocationID"),
     "star_tests": _sql("fact", _star_tests()),
     "preview_rows": _sql(
         "dims", "SELECT * FROM dim_dropoff_location ORDER BY dropoff_location_id LIMIT 5"

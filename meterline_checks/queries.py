@@ -18,6 +18,7 @@ from meterline.functions import (
 )
 from meterline.operators import quality, star
 from meterline.operators.cleaning import (
+    ROLES,
     add_zone,
     canonical_columns,
     cast_ids,
@@ -26,6 +27,7 @@ from meterline.operators.cleaning import (
     drop_if_present,
     drop_service_columns,
     rename_service_columns,
+    zone_role,
 )
 from meterline.operators.grouping import (
     add_calendar,
@@ -35,7 +37,7 @@ from meterline.operators.grouping import (
     tag_service,
     union_services,
 )
-from meterline.operators.joins import fits_broadcast
+from meterline.operators.joins import fits_broadcast, lookup_join
 from meterline.operators.profile import null_profile, preview
 from meterline.plans import pipeline
 from meterline.schemas import MEASURES, SERVICES, STAGING_AS_DECLARED, conform
@@ -158,6 +160,17 @@ def both_zone_join(spark, sf_dir):
     return located
 
 
+def both_zone_join_shuffled(spark, sf_dir):
+    """The way a lookup too large to broadcast is joined, with every zone a hot key."""
+    located = trips(spark, sf_dir)
+    lookup = zones(spark, sf_dir)
+    for role, location in ROLES.items():
+        keyed = located.withColumn("zone", F.col(location))
+        part = zone_role(lookup, role).withColumnRenamed("__zone", "zone")
+        located = lookup_join(keyed, part, "zone", small=False, rows_per_salt=500).drop("zone")
+    return located
+
+
 def complete_trips(spark, sf_dir):
     return complete_rows(both_zone_join(spark, sf_dir))
 
@@ -414,6 +427,7 @@ QUERIES: dict[str, Query] = {
     "canonical_columns": canonical_order,
     "pickup_zone_join": pickup_zone_join,
     "both_zone_join": both_zone_join,
+    "both_zone_join_shuffled": both_zone_join_shuffled,
     "complete_rows": complete_trips,
     "clean_trips": clean_trips_query,
     "calendar_columns": calendar_columns,
