@@ -41,6 +41,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
             one.add_argument("--production", default="production")
             one.add_argument("--root", help="folder of both schemas, if not the catalog's")
             one.add_argument("--cascade", action="store_true", help="drop schemas with tables")
+            one.add_argument("--append", action="store_true", help="add to staging")
             one.add_argument("--suite", help="JSON file with expectations")
             one.add_argument("--results", help="folder to keep the validation report in")
         if "format" in needs:
@@ -100,7 +101,7 @@ def main(argv: list[str] | None = None) -> int:
         case "create":
             pipeline.reset_warehouse(spark, warehouse, cascade=a.cascade)
         case "load-staging":
-            pipeline.load_staging(spark, clean, warehouse, **options)
+            pipeline.load_staging(spark, clean, warehouse, append=a.append, **options)
         case "load-jdbc":
             properties = dict(p.split("=", 1) for p in a.property)
             pipeline.load_staging_jdbc(
@@ -122,7 +123,9 @@ def main(argv: list[str] | None = None) -> int:
                 zones(),
                 warehouse,
                 a.years,
+                services=a.services,
                 layout=a.layout,
+                reset=a.cascade,
                 skip_failed=a.skip_failed,
             )
             return max(_report(out["staging_report"]), _report(out["star_report"]))

@@ -22,7 +22,7 @@ from ..operators.star import build_star
 from ..schemas import SERVICES, STAGING
 from ..sinks.jdbc import append_jdbc
 from ..sinks.layers import write_layer
-from ..sinks.tables import create_table, reset_schema, save_table
+from ..sinks.tables import create_schema, create_table, reset_schema, save_table
 from ..sources.layers import (
     LAYOUT,
     PARENT_FOLDER,
@@ -269,15 +269,27 @@ class Warehouse:
         return f"{self.staging}.trips"
 
 
+def create_warehouse(spark: SparkSession, warehouse: Warehouse) -> None:
+    """Create both schemas and the staging table where they are missing."""
+    for schema in (warehouse.staging, warehouse.production):
+        create_schema(spark, schema, location=warehouse.folder(schema))
+    _declare_staging(spark, warehouse, replace=False)
+
+
 def reset_warehouse(spark: SparkSession, warehouse: Warehouse, *, cascade: bool = False) -> None:
     """Drop and create both schemas, and create the empty staging table."""
     for schema in (warehouse.staging, warehouse.production):
         reset_schema(spark, schema, location=warehouse.folder(schema), cascade=cascade)
+    _declare_staging(spark, warehouse, replace=True)
+
+
+def _declare_staging(spark: SparkSession, warehouse: Warehouse, *, replace: bool) -> None:
     create_table(
         spark,
         warehouse.staging_table,
         StructType([*STAGING.fields, StructField("batch_year", IntegerType())]),
         partition_by=("batch_year", "service_type"),
+        replace=replace,
     )
 
 
@@ -390,15 +402,31 @@ def run_all(
     warehouse: Warehouse,
     years: Sequence[int],
     *,
+    services: Sequence[str] = tuple(SERVICES),
     layout: str = LAYOUT,
+    reset: bool = False,
     skip_failed: bool = False,
 ) -> dict[str, DataFrame]:
-    """Every stage in order; returns the star, the staging report and the star tests."""
-    load_raw(spark, base, f"{lake}/raw", years, layout=layout, skip_failed=skip_failed)
+    """Every stage in order; returns the star, the staging report and the star tests.
+
+    Years loaded before stay in the warehouse unless ``reset`` drops both schemas.
+    """
+    load_raw(
+        spark,
+        base,
+        f"{lake}/raw",
+        years,
+        services=services,
+        layout=layout,
+        skip_failed=skip_failed,
+    )
     clean_layer(
         spark, f"{lake}/raw", f"{lake}/clean", zones, years=years, skip_failed=skip_failed
     )
-    reset_warehouse(spark, warehouse, cascade=True)
+    if reset:
+        reset_warehouse(spark, warehouse, cascade=True)
+    else:
+        create_warehouse(spark, warehouse)
     load_staging(spark, f"{lake}/clean", warehouse, years=years, skip_failed=skip_failed)
     report = validate_staging(spark, warehouse)
     star = load_star(spark, warehouse)

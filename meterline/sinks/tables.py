@@ -8,13 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
+def create_schema(spark: SparkSession, name: str, *, location: str | None = None) -> None:
+    """Create a schema unless it is there."""
+    at = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{at}")
+
+
 def reset_schema(
     spark: SparkSession, name: str, *, location: str | None = None, cascade: bool = False
 ) -> None:
     """Drop and create a schema; one that still has tables is only dropped on request."""
     spark.sql(f"DROP DATABASE IF EXISTS `{name}` {'CASCADE' if cascade else 'RESTRICT'}")
-    at = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{at}")
+    create_schema(spark, name, location=location)
 
 
 def create_table(
@@ -24,8 +29,9 @@ def create_table(
     *,
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
+    replace: bool = True,
 ) -> None:
-    """Drop and create an empty table with declared types.
+    """Create an empty table with declared types; drop an earlier one, or keep it.
 
     Overwriting a partitioned table replaces the partitions that rows are given for.
     """
@@ -34,8 +40,9 @@ def create_table(
     if partition_by:
         by = " OPTIONS ('partitionOverwriteMode' = 'dynamic')"
         by += f" PARTITIONED BY ({', '.join(partition_by)})"
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"CREATE TABLE {table} ({columns}) USING {fmt}{by}")
+    if replace:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING {fmt}{by}")
 
 
 def save_table(df: DataFrame, table: str, *, fmt: str = "parquet") -> DataFrame:

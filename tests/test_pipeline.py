@@ -111,6 +111,16 @@ def test_layers_keep_one_folder_per_source(spark, base, tmp_path, zones):
     assert january.count() == 3 and "Airport_fee" in january.columns
 
 
+def test_runs_of_single_years_add_up(spark, base, tmp_path, zones, warehouse):
+    run(spark, base, tmp_path, zones, warehouse, years=[2023])
+    out = run(spark, base, tmp_path, zones, warehouse, years=[2024])
+    assert out["factTrip"].count() == 4
+    staging = read_staging(spark, warehouse.staging_table)
+    assert {r.year for r in staging.collect()} == {2009, 2024}
+    run(spark, base, tmp_path, zones, warehouse, years=[2024], reset=True)
+    assert {r.year for r in read_staging(spark, warehouse.staging_table).collect()} == {2024}
+
+
 def test_repeated_runs(spark, base, tmp_path, zones, warehouse, raw_trips):
     run(spark, base, tmp_path, zones, warehouse)
     first = sorted(read_staging(spark, warehouse.staging_table).collect())
