@@ -97,7 +97,14 @@ def main(argv: list[str] | None = None) -> int:
         case "clean":
             pipeline.clean_layer(spark, raw, clean, zones(), **options)
         case "convert":
-            pipeline.convert_layer(spark, clean, a.target, fmt=a.format, years=a.years)
+            pipeline.convert_layer(
+                spark,
+                clean,
+                a.target,
+                fmt=a.format,
+                years=a.years,
+                skip_unreadable=a.skip_failed,
+            )
         case "create":
             pipeline.reset_warehouse(spark, warehouse, cascade=a.cascade)
         case "load-staging":

@@ -74,14 +74,17 @@ def load_raw(
             )
             write_layer(rows, raw, partition_by=PARTITIONS)
 
-        earlier = _samples(layer_inputs(spark, raw, service, years))
-        done = _each_scan(spark, inputs, write, skip_failed=skip_failed)
         folders = {
-            f"/service={service}/batch_year={input_year(i.path, layout)}"
-            f"/source={input_name(i.path)}"
-            for i in done
+            item: f"/service={service}/batch_year={input_year(item.path, layout)}"
+            f"/source={input_name(item.path)}"
+            for item in inputs
         }
-        _empty_unreplaced(spark, raw, folders, earlier, layer_inputs(spark, raw, service, years))
+        if len(set(folders.values())) < len(folders):
+            raise ValueError(f"inputs of {service} that share a year and a name: {base}")
+        earlier = _samples(layer_inputs(spark, raw, service, years))
+        done = _each_scan(spark, inputs, write, skip_failed=skip_failed)
+        now = layer_inputs(spark, raw, service, years)
+        _empty_unreplaced(spark, raw, [folders[item] for item in done], earlier, now)
 
 
 def _samples(inputs: Iterable[Input]) -> dict[str, str]:
@@ -199,13 +202,16 @@ def convert_layer(
     fmt: str = "delta",
     years: Iterable[int] | None = None,
     options: Mapping[str, str] | None = None,
+    skip_unreadable: bool = False,
 ) -> None:
     """Rewrite a layer in another format as one table partitioned by service and year."""
     years = None if years is None else list(years)
     frames = [
         scan.df
         for service in SERVICES
-        for scan in _scans(spark, layer_inputs(spark, source, service, years), source, False)
+        for scan in _scans(
+            spark, layer_inputs(spark, source, service, years), source, skip_unreadable
+        )
     ]
     if not frames:
         log.warning("nothing to convert below %s", source)

@@ -165,6 +165,19 @@ def test_rows_that_a_new_delivery_no_longer_has_go(
     assert read_staging(spark, warehouse.staging_table).count() == 3
 
 
+def test_inputs_of_one_name_are_refused(spark, tmp_path):
+    for month in (1, 2):
+        spark.range(1).coalesce(1).write.parquet(f"{tmp_path}/d/2024/green/{month}/trips.parquet")
+    with pytest.raises(ValueError, match="share a year and a name"):
+        pipeline.load_raw(
+            spark,
+            f"{tmp_path}/d",
+            f"{tmp_path}/raw",
+            [2024],
+            layout="{base}/{year}/{service}/*/*.parquet",
+        )
+
+
 def corrupt(path, keep=None):
     """Break the part file of an input; ``keep`` leaves its footer readable."""
     part = next(pathlib.Path(path).glob("part-*.parquet"))
