@@ -123,8 +123,9 @@ def _each_scan(
 ) -> list[Input]:
     """Run a job per distinct schema; where one fails, isolate the inputs that cause it.
 
-    With ``skip_failed`` the inputs of a failed job are run one by one, and those that
-    fail again are logged and left out as a whole. Returns the inputs that were run.
+    With ``skip_failed`` the inputs of a failed job are halved and run again until those
+    that fail by themselves are found; these are logged and left out as a whole. Returns
+    the inputs that were run.
     """
     done: list[Input] = []
     for scan in _scans(spark, inputs, base, skip_failed):
@@ -137,9 +138,10 @@ def _each_scan(
             if len(scan.inputs) == 1:
                 log.error("left out %s: %s", scan.inputs[0].path, error)
                 continue
-            log.warning("running %d inputs one by one after: %s", len(scan.inputs), error)
-            for item in scan.inputs:
-                done += _each_scan(spark, [item], run, base=base, skip_failed=True)
+            log.warning("halving %d inputs after: %s", len(scan.inputs), error)
+            middle = len(scan.inputs) // 2
+            for half in (scan.inputs[:middle], scan.inputs[middle:]):
+                done += _each_scan(spark, half, run, base=base, skip_failed=True)
     return done
 
 

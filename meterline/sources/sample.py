@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators.joins import fits_broadcast, lookup_join
 from ..schemas import SERVICES
 from ..session import stored
 
@@ -38,15 +39,27 @@ def _first_of(at: str, unit: str):
 
 def sample_trips(spark: SparkSession, folder: str) -> DataFrame:
     """One trip per order line, both services together, with ``service_type``."""
-    lines = _table(spark, folder, "lineitem")
-    orders = _table(spark, folder, "orders")
-    suppliers = _table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
-    customers = _table(spark, folder, "customer").select("c_custkey", "c_nationkey")
-    joined = (
-        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-        .join(suppliers, lines.l_suppkey == suppliers.s_suppkey)
-        .join(customers, orders.o_custkey == customers.c_custkey)
+    lines = _table(spark, folder, "lineitem").withColumnsRenamed(
+        {"l_orderkey": "order", "l_suppkey": "supplier"}
     )
+    orders = _table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("order"),
+        F.col("o_custkey").alias("customer"),
+        "o_orderstatus",
+        "o_orderdate",
+        "o_orderpriority",
+    )
+    suppliers = _table(spark, folder, "supplier").select(
+        F.col("s_suppkey").alias("supplier"), "s_nationkey"
+    )
+    customers = _table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("customer"), "c_nationkey"
+    )
+    # Orders meet customers first: fewer rows take part than if order lines did. There
+    # are as many placed orders as orders, so the latter, which are stored, are counted.
+    placed = lookup_join(orders, customers, "customer")
+    ordered = lookup_join(lines, placed, "order", small=fits_broadcast(orders))
+    joined = lookup_join(ordered, suppliers, "supplier")
     status = F.col("o_orderstatus")
     vendor = F.when(status == "F", 1).when(status == "O", 2).otherwise(3)
     trips = joined.select(
