@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -41,7 +42,7 @@ from ..sources.warehouse import read_staging
 
 log = logging.getLogger(__name__)
 
-PARTITIONS = ("service", "batch_year", "source")
+PARTITIONS = ("batch_year", "source")  # below a folder per service
 _PARTITION_TYPES = "service string, batch_year int, source string"
 
 
@@ -61,30 +62,37 @@ def load_raw(
     read off the path of its file.
     """
     years = list(years)
-    for service, inputs in find_service_inputs(spark, base, years, services, layout).items():
+    found = find_service_inputs(spark, base, years, services, layout)
 
-        def write(scan: Scan, service=service) -> None:
+    def load(service: str) -> None:
+        def write(scan: Scan) -> None:
             path = F.col("_metadata.file_path")
             rows = scan.df.withColumns(
-                {
-                    "service": F.lit(service),
-                    "batch_year": year_of_path(path, layout),
-                    "source": source_of_path(path),
-                }
+                {"batch_year": year_of_path(path, layout), "source": source_of_path(path)}
             )
-            write_layer(rows, raw, partition_by=PARTITIONS)
+            write_layer(rows, f"{raw}/service={service}", partition_by=PARTITIONS)
 
         folders = {
             item: f"/service={service}/batch_year={input_year(item.path, layout)}"
             f"/source={input_name(item.path)}"
-            for item in inputs
+            for item in found[service]
         }
         if len(set(folders.values())) < len(folders):
             raise ValueError(f"inputs of {service} that share a year and a name: {base}")
         earlier = _samples(layer_inputs(spark, raw, service, years))
-        done = _each_scan(spark, inputs, write, skip_failed=skip_failed)
-        now = layer_inputs(spark, raw, service, years)
-        _empty_unreplaced(spark, raw, [folders[item] for item in done], earlier, now)
+        done = _each_scan(spark, found[service], write, skip_failed=skip_failed)
+        if earlier:
+            now = _samples(layer_inputs(spark, raw, service, years))
+            _empty_unreplaced(spark, raw, [folders[item] for item in done], earlier, now)
+
+    _side_by_side(load, found)
+
+
+def _side_by_side(work: Callable[[str], None], services: Iterable[str]) -> None:
+    """Work on all services at the same time, each in a folder of its own."""
+    services = list(services)
+    with ThreadPoolExecutor(max(len(services), 1)) as pool:
+        list(pool.map(work, services))
 
 
 def _samples(inputs: Iterable[Input]) -> dict[str, str]:
@@ -97,7 +105,7 @@ def _empty_unreplaced(
     layer: str,
     folders: Iterable[str],
     earlier: Mapping[str, str],
-    now: Iterable[Input],
+    now: Mapping[str, str],
 ) -> None:
     """Empty the folders of a layer that a run covered but had no rows for.
 
@@ -105,9 +113,8 @@ def _empty_unreplaced(
     are no longer true. They still hold the file they held before the run, as every run
     names its files anew.
     """
-    present = _samples(now)
     for folder in folders:
-        if folder in earlier and earlier[folder] == present.get(folder):
+        if folder in earlier and earlier[folder] == now.get(folder):
             log.warning("no rows any more in %s%s", layer, folder)
             schema = spark.read.parquet(f"{layer}{folder}").schema
             spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{layer}{folder}")
@@ -183,17 +190,20 @@ def clean_layer(
     """
     years = None if years is None else list(years)
     small = fits_broadcast(zones)
-    for service in SERVICES:
 
-        def write(scan: Scan, service=service) -> None:
-            rows = clean_trips(scan.df, zones, service, small=small)
-            write_layer(rows, clean, partition_by=PARTITIONS)
+    def work(service: str) -> None:
+        def write(scan: Scan) -> None:
+            rows = clean_trips(scan.df, zones, service, small=small).drop("service")
+            write_layer(rows, f"{clean}/service={service}", partition_by=PARTITIONS)
 
         inputs = layer_inputs(spark, raw, service, years)
         earlier = _samples(layer_inputs(spark, clean, service, years))
         done = _each_scan(spark, inputs, write, base=raw, skip_failed=skip_failed)
-        now = layer_inputs(spark, clean, service, years)
-        _empty_unreplaced(spark, clean, _samples(done), earlier, now)
+        if earlier:
+            now = _samples(layer_inputs(spark, clean, service, years))
+            _empty_unreplaced(spark, clean, _samples(done), earlier, now)
+
+    _side_by_side(work, SERVICES)
 
 
 def convert_layer(
