@@ -161,7 +161,10 @@ def both_zone_join(spark, sf_dir):
 
 
 def both_zone_join_shuffled(spark, sf_dir):
-    """The way a lookup too large to broadcast is joined, with every zone a hot key."""
+    """The way a lookup too large to broadcast is joined, with every zone a hot key.
+
+    The hot keys are as few as the zone numbers that trips use.
+    """
     located = trips(spark, sf_dir)
     lookup = zones(spark, sf_dir)
     for role, location in ROLES.items():
