@@ -68,13 +68,17 @@ def load_raw(
         def write(scan: Scan) -> None:
             path = F.col("_metadata.file_path")
             rows = scan.df.withColumns(
-                {"batch_year": year_of_path(path, layout), "source": source_of_path(path)}
+                {
+                    "batch_year": year_of_path(path, layout),
+                    "source": source_of_path(path, layout),
+                }
             )
             write_layer(rows, f"{raw}/service={service}", partition_by=PARTITIONS)
 
+        # A partition's folder has '=' in a value escaped.
         folders = {
             item: f"/service={service}/batch_year={input_year(item.path, layout)}"
-            f"/source={input_name(item.path)}"
+            f"/source={input_name(item.path, layout).replace('=', '%3D')}"
             for item in found[service]
         }
         if len(set(folders.values())) < len(folders):

@@ -149,12 +149,21 @@ def year_of_path(path: Column, layout: str = LAYOUT) -> Column:
     return F.substr(segment, F.lit(len(before) + 1)).cast("int")
 
 
-def source_of_path(path: Column) -> Column:
+def _own_segments(layout: str) -> int:
+    """How many segments at the end of a layout name an input within its year and service."""
+    segments = layout.split("/")
+    return next(n for n, segment in enumerate(reversed(segments)) if "{" in segment)
+
+
+def source_of_path(path: Column, layout: str = LAYOUT) -> Column:
     """Name of the monthly input a file belongs to: itself, or the folder of its parts.
 
-    Plain text functions, as this runs for every row of a delivery.
+    Folders that the layout has below year and service are part of the name. Plain text
+    functions, as this runs for every row of a delivery.
     """
-    return F.substring_index(F.substring_index(path, ".parquet", 1), "/", -1)
+    own = _own_segments(layout)
+    name = F.substring_index(F.substring_index(path, ".parquet", 1), "/", -own)
+    return name if own == 1 else F.replace(name, F.lit("/"), F.lit("-"))
 
 
 def input_year(path: str, layout: str) -> str:
@@ -163,9 +172,9 @@ def input_year(path: str, layout: str) -> str:
     return path.split(".parquet")[0].split("/")[-back].removeprefix(before)
 
 
-def input_name(path: str) -> str:
+def input_name(path: str, layout: str) -> str:
     """As ``source_of_path``, for the path of one input."""
-    return path.split(".parquet")[0].split("/")[-1]
+    return "-".join(path.split(".parquet")[0].split("/")[-_own_segments(layout) :])
 
 
 def find_service_inputs(

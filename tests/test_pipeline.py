@@ -165,17 +165,31 @@ def test_rows_that_a_new_delivery_no_longer_has_go(
     assert read_staging(spark, warehouse.staging_table).count() == 3
 
 
-def test_inputs_of_one_name_are_refused(spark, tmp_path):
+def test_deeper_layouts_and_inputs_of_one_name(spark, tmp_path):
     for month in (1, 2):
-        spark.range(1).coalesce(1).write.parquet(f"{tmp_path}/d/2024/green/{month}/trips.parquet")
+        df = spark.range(month).toDF("n").coalesce(1)
+        df.write.parquet(f"{tmp_path}/d/2024/green/m={month}/trips.parquet")
+    deep = "{base}/{year}/{service}/m=*/*.parquet"
+    raw = f"{tmp_path}/raw"
+    for _ in range(2):
+        pipeline.load_raw(spark, f"{tmp_path}/d", raw, [2024], layout=deep)
+        rows = spark.read.parquet(f"{raw}/service=green").groupBy("source").count().collect()
+        assert {r.source: r["count"] for r in rows} == {"m=1-trips": 1, "m=2-trips": 2}
+    spark.range(0).toDF("n").coalesce(1).write.mode("overwrite").parquet(
+        f"{tmp_path}/d/2024/green/m=2/trips.parquet"
+    )
+    pipeline.load_raw(spark, f"{tmp_path}/d", raw, [2024], layout=deep)
+    assert spark.read.parquet(f"{raw}/service=green").count() == 1
+    assert [i.path[-18:] for i in pipeline.layer_inputs(spark, raw, "green")] == [
+        "source=m%3D1-trips",
+        "source=m%3D2-trips",
+    ]
+
+    for form in ("a/b-c", "a-b/c"):
+        spark.range(1).coalesce(1).write.parquet(f"{tmp_path}/e/2024/green/{form}.parquet")
+    deep = "{base}/{year}/{service}/*/*.parquet"
     with pytest.raises(ValueError, match="share a year and a name"):
-        pipeline.load_raw(
-            spark,
-            f"{tmp_path}/d",
-            f"{tmp_path}/raw",
-            [2024],
-            layout="{base}/{year}/{service}/*/*.parquet",
-        )
+        pipeline.load_raw(spark, f"{tmp_path}/e", raw, [2024], layout=deep)
 
 
 def corrupt(path, keep=None):

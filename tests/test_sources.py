@@ -10,6 +10,8 @@ from meterline.session import new_folder, shared_folder, stored
 from meterline.sources.layers import (
     PARENT_FOLDER,
     find_service_inputs,
+    input_name,
+    input_year,
     list_inputs,
     read_parquet,
     read_tree,
@@ -90,6 +92,13 @@ def test_year_and_source_of_a_path(spark):
         year_of_path(F.lit("/b/green/year=2024/a.parquet"), "{base}/{service}/year={year}/*.parquet")
     )
     assert hive.first()[0] == 2024
+    deep = "{base}/{year}/{service}/month=*/*.parquet"
+    of = "/b/2024/green/month=01/part-0.c000.snappy.parquet"
+    assert spark.range(1).select(source_of_path(F.lit(of), deep)).first()[0] == (
+        "month=01-part-0.c000.snappy"
+    )
+    assert input_name(of, deep) == "month=01-part-0.c000.snappy"
+    assert input_year(of, deep) == "2024"
     with pytest.raises(ValueError, match="year"):
         year_of_path(path, "{base}/{service}/*.parquet")
 
