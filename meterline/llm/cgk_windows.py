@@ -1,131 +1,153 @@
 """Benchmark decontamination: CGK embedding, bit-sampling LSH, exact edit verification.
 
 Texts and items become sequences of normalised words. A window of a text starts at every
-``step``-th word; an item is entered with its first ``step`` starts, so that one of them
-stands exactly at a window of any text that quotes it. The CGK random walk reads symbol i,
+``step``-th word; an item is entered with every start, so that several of them stand
+exactly at windows of any text that quotes it, and edits in one part leave the others. The CGK random walk reads symbol i,
 writes it, and moves on or stays by a random bit of (symbol, place); it maps edit distance
 to Hamming distance with a distortion that depends on the distance alone. Only the
 sampled places of the walk are hashed: each repetition has its own walk, ``bands`` samples
 of ``sampled`` places, and windows of several lengths, so that short items and the parts
-of long ones have keys of their own. A window whose key an item has is a candidate, and the
-item is aligned with the text around it: Sellers' algorithm gives the exact least number
-of character edits between the whole item and any part of the text. It is a leak at
+of long ones have keys of their own. A window whose key an item has is a candidate. A
+bound on common trigrams (each edit spoils three at most) leaves out what cannot be near;
+the others are aligned with the text around them: Sellers' algorithm gives the exact least
+number of character edits between the whole item and any part of the text. It is a leak at
 ``1 - edits / len(item) >= similarity``.
 
 Items go to the tasks in blocks with a bound on rows and characters (``item_block``,
 ``block_chars``); more items mean more passes, never a larger broadcast.
 
-Defined results: null and empty texts and items match nothing; an item of fewer than
-``min_words`` words is found as an exact word sequence instead of by its keys. Repeated
+Defined results: null and empty texts and items match nothing; an item too short for
+a key at every alignment (``step + lengths[0] - 1`` words) is found as an exact word sequence. Repeated
 rows are judged alike. Other columns are not read. Recall on planted edits is measured in
 the tests.
 """
 
 from __future__ import annotations
 
-import re
+from collections import Counter
 from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import mixed
+from meterline.llm.common import in_groups, mixed, word_hashes
 
-_SYMBOL = re.compile(r"\w+")
+_KEEP = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
 
-def words_of(text: str) -> list[str]:
-    return _SYMBOL.findall(text.lower())
+def letters(text) -> bytes:
+    """Lower-case text with blanks for ASCII punctuation and white space; null is empty."""
+    return text.lower().encode("utf-8", "surrogatepass").translate(_KEEP) if isinstance(text, str) else b""
 
 
-class Symbols:
-    """64 random bits for each word, remembered up to a bound."""
-
-    def __init__(self, limit: int = 400_000):
-        self._limit, self._known = limit, {}
-
-    def __call__(self, words: list[str]) -> np.ndarray:
-        known = self._known
-        if len(known) > self._limit:
-            known.clear()
-        known.update((w, xxhash.xxh3_64_intdigest(w)) for w in set(words).difference(known))
-        return np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
+def plain_text(words: bytes) -> str:
+    """Words with single blanks between them."""
+    return b" ".join(words.split()).decode("utf-8", "replace")
 
 
 class Plan:
-    """Which places of which walk each key hashes; the same on both sides."""
+    """Which places of which walk each key hashes; the same on both sides.
 
-    def __init__(self, walks: int, bands: int, sampled: int, lengths: tuple[int, ...], seed: int):
-        self.walks, self.lengths = walks, lengths
+    Places are drawn one from each of ``sampled`` strata. A walk may stay on a word for many
+    places; keys that saw fewer than ``distinct`` words say little and are dropped on both
+    sides alike, other windows and bands take their part.
+    """
+
+    def __init__(self, walks: int, bands: int, sampled: int, lengths: tuple[int, ...], distinct: int, seed: int):
+        self.walks, self.lengths, self.distinct = walks, lengths, distinct
         rng = np.random.default_rng(seed)
-        # samples[walk][length] is a list of sorted arrays of places
-        self.samples = [
-            {n: [np.sort(rng.choice(n, size=min(sampled, n), replace=False)) for _ in range(bands)] for n in lengths}
-            for _ in range(walks)
-        ]
+        draw = lambda n: [int(rng.integers(a, b)) for a, b in zip(*self._strata(n, sampled))]
+        # Bands by place: (length, band) of the keys that hash this place of a walk.
+        self.at = [[[] for _ in range(lengths[-1])] for _ in range(walks)]
+        for walk in range(walks):
+            for n in lengths:
+                for band in range(bands):
+                    for place in draw(n):
+                        self.at[walk][place].append((n, band))
+
+    @staticmethod
+    def _strata(n: int, sampled: int):
+        edges = np.linspace(0, n, min(sampled, n) + 1).astype(int)
+        return edges[:-1], edges[1:]
 
     def keys(self, symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray):
-        """(length, walk, band, rows, keys): for windows that hold at least ``length`` words."""
+        """(rows, keys) of the windows that hold at least ``length`` words, for each length,
+        walk and band. A walk of n places reads at most n words, so nothing is padded."""
         for walk in range(self.walks):
-            # A walk of n places reads at most n words, so windows need no padding.
             bits = mixed(symbols ^ np.uint64(0xA0761D6478BD642F * (walk + 1) & (2**64 - 1)))
-            at = starts.astype(np.int64)
             rows = np.flatnonzero(ends - starts >= self.lengths[0])
-            at = at[rows]
-            sums = {n: [np.zeros(len(rows), dtype=np.uint64) for _ in self.samples[walk][n]] for n in self.lengths}
+            at = starts[rows].astype(np.int64)
+            sums: dict = {}
             for place in range(self.lengths[-1]):
                 here = bits[at]
-                for n in self.lengths:
-                    if place >= n:
-                        continue
-                    for band, places in enumerate(self.samples[walk][n]):
-                        if place in places:
-                            s = sums[n][band]
-                            s *= np.uint64(0x9E3779B97F4A7C15)
-                            s += here
-                at = at + ((here >> np.uint64(place % 64)) & np.uint64(1)).astype(np.int64)
+                for mark in self.at[walk][place]:
+                    if mark in sums:
+                        s, last, seen = sums[mark]
+                        s *= np.uint64(0x9E3779B97F4A7C15)
+                        s += here
+                        seen += at != last
+                        sums[mark] = s, at, seen
+                    else:
+                        sums[mark] = here.copy(), at, np.ones(len(at), dtype=np.uint8)
+                at = at + ((here >> np.uint64(place)) & np.uint64(1)).astype(np.int64)
                 done = place + 1
                 if done in self.lengths:
-                    for band, s in enumerate(sums.pop(done)):
-                        yield done, walk, band, rows, mixed(s ^ np.uint64((walk * 64 + band) * 256 + done))
+                    for n, band in [m for m in sums if m[0] == done]:
+                        s, _, seen = sums.pop((n, band))
+                        good = seen >= self.distinct
+                        tag = np.uint64((walk * 64 + band) * 256 + done)
+                        yield rows[good], mixed(s[good] ^ tag)
                     if done != self.lengths[-1]:
                         bound = self.lengths[self.lengths.index(done) + 1]
                         stay = np.flatnonzero((ends - starts)[rows] >= bound)
                         rows, at = rows[stay], at[stay]
-                        sums = {n: [s[stay] for s in v] for n, v in sums.items() if n > done}
+                        sums = {m: (s[stay], last[stay], seen[stay]) for m, (s, last, seen) in sums.items()}
+
+
+def _trigrams(text: str) -> Counter:
+    return Counter(text[i : i + 3] for i in range(len(text) - 2))
 
 
 def least_edits(item: str, text: str) -> int:
-    """The least number of edits between ``item`` and any part of ``text`` (Sellers)."""
+    """The least number of edits between ``item`` and any part of ``text``: Sellers' table,
+    a column at a time as two bit vectors (Myers)."""
     if item in text:
         return 0
-    if not text:
-        return len(item)
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    row = np.zeros(len(codes) + 1, dtype=np.int32)
-    steps = np.arange(len(codes) + 1, dtype=np.int32)
-    for i, ch in enumerate(item, 1):
-        new = np.empty_like(row)
-        new[0] = i
-        np.minimum(row[1:] + 1, row[:-1] + (codes != ord(ch)), out=new[1:])
-        # insertions run along the row: new[j] = min over l <= j of new[l] + (j - l)
-        new = np.minimum.accumulate(new - steps) + steps
-        row = new
-    return int(row.min())
-
-
-def _candidates(items: list[tuple[int, str]], plan: Plan, step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    size = len(item)
+    full, top = (1 << size) - 1, 1 << (size - 1)
+    where: dict[str, int] = {}
+    for i, ch in enumerate(item):
+        where[ch] = where.get(ch, 0) | 1 << i
+    up, down, edits = full, 0, size
+    least = size
+    for ch in text:
+        match = where.get(ch, 0)
+        diagonal = match | down
+        level = (((match & up) + up) ^ up) | match
+        rise = down | (full & ~(level | up))
+        fall = up & level
+        if rise & top:
+            edits += 1
+        elif fall & top:
+            edits -= 1
+            least = min(least, edits)
+        rise = (rise << 1) & full
+        fall = (fall << 1) & full
+        up = fall | (full & ~(diagonal | rise))
+        down = rise & diagonal
+    return least
+
+
+def _candidates(items: list[tuple[int, str]], plan: Plan) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted keys of the items, with the item and the start of each."""
-    symbols = Symbols()
     keys, owners, offsets = [], [], []
     for owner, (_, text) in enumerate(items):
-        words = words_of(text)
-        starts = np.arange(min(step, len(words)))
-        ends = np.full(len(starts), len(words))
-        for _, _, _, rows, found in plan.keys(symbols(words), starts, ends):
+        symbols, _, _, _ = word_hashes([letters(text)])
+        starts = np.arange(len(symbols))
+        ends = np.full(len(starts), len(symbols))
+        for rows, found in plan.keys(symbols, starts, ends):
             keys.append(found)
             owners.append(np.full(len(rows), owner))
             offsets.append(starts[rows])
@@ -136,24 +158,25 @@ def _candidates(items: list[tuple[int, str]], plan: Plan, step: int) -> tuple[np
     return keys[order], owners[order], offsets[order]
 
 
-def _judge(items, plan: Plan, step: int, similarity: float, min_words: int) -> Callable:
+def _judge(items, plan: Plan, step: int, similarity: float) -> Callable:
     def run(batches):
-        keys, owners, offsets = _candidates(items, plan, step)
+        keys, owners, offsets = _candidates(items, plan)
         bloom = np.zeros(1 << 20, dtype=bool)
         bloom[(keys & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-        plain = [" ".join(words_of(t)) for _, t in items]
+        plain = [plain_text(letters(t)) for _, t in items]
+        grams = [_trigrams(t) for t in plain]
+        min_words = step + plan.lengths[0] - 1
         short = [i for i, t in enumerate(plain) if t and t.count(" ") + 1 < min_words]
-        symbols = Symbols()
 
-        def judge(docs: list[tuple], words: list[list[str]]) -> list[tuple]:
-            sizes = np.array([len(w) for w in words])
+        def judge(docs: list, texts: list[bytes]) -> list[tuple]:
+            all_words, sizes, places, joined = word_hashes(texts)
             edges = np.concatenate([[0], np.cumsum(sizes)])
-            all_words = symbols([w for ws in words for w in ws])
+            places = np.append(places, len(joined))
             starts = np.concatenate([np.arange(a, b, step) for a, b in zip(edges, edges[1:])])
             owner_doc = np.repeat(np.arange(len(docs)), -(-sizes // step))
             ends = edges[owner_doc + 1]
             wanted: set = set()
-            for _, _, _, rows, found in plan.keys(all_words, starts, ends):
+            for rows, found in plan.keys(all_words, starts, ends):
                 hits = np.flatnonzero(bloom[(found & np.uint64((1 << 20) - 1)).astype(np.int64)])
                 if not len(hits):
                     continue
@@ -163,7 +186,8 @@ def _judge(items, plan: Plan, step: int, similarity: float, min_words: int) -> C
                     for e in range(lo, hi):
                         row = rows[h]
                         doc = int(owner_doc[row])
-                        wanted.add((doc, int(owners[e]), int(starts[row] - edges[doc] - offsets[e])))
+                        at = int(starts[row] - edges[doc] - offsets[e])
+                        wanted.add((doc, int(owners[e]), at))
             out: dict = {}
             for doc, item, at in sorted(wanted):
                 size = plain[item].count(" ") + 1
@@ -171,15 +195,21 @@ def _judge(items, plan: Plan, step: int, similarity: float, min_words: int) -> C
                 first = max(0, at - slack)
                 if (doc, item) in out and out[doc, item][0] == 0:
                     continue
-                part = " ".join(words[doc][first : at + size + slack])
+                a = edges[doc] + first
+                b = min(edges[doc + 1], edges[doc] + at + size + slack)
+                part = plain_text(joined[places[a] : places[b]])
+                most = int((1 - similarity) * len(plain[item]) + 1e-9)
+                common = (grams[item] & _trigrams(part)).total()
+                if common < len(plain[item]) - 2 - 3 * most:
+                    continue
                 edits = least_edits(plain[item], part)
-                if edits <= (1 - similarity) * len(plain[item]) + 1e-9:
+                if edits <= most:
                     old = out.get((doc, item))
                     if old is None or edits < old[0]:
                         out[doc, item] = (edits, max(at, 0))
-            for doc, ws in enumerate(words):
-                if short:
-                    body = f" {' '.join(ws)} "
+            for doc, own in enumerate(texts if short else []):
+                if own:
+                    body = f" {plain_text(own)} "
                     for item in short:
                         p = body.find(f" {plain[item]} ")
                         if p >= 0:
@@ -192,21 +222,10 @@ def _judge(items, plan: Plan, step: int, similarity: float, min_words: int) -> C
         columns = ["doc_id", "item_id", "edits", "item_chars", "word_start"]
         for batch in batches:
             found: list = []
-            docs: list = []
-            words: list = []
-            held = 0
-            for key, text in zip(batch["key"].tolist(), batch["text"].tolist()):
-                ws = words_of(text) if isinstance(text, str) else []
-                if not ws:
-                    continue
-                docs.append(None if pd.isna(key) else int(key))
-                words.append(ws)
-                held += len(ws)
-                if held > 200_000:
-                    found.extend(judge(docs, words))
-                    docs, words, held = [], [], 0
-            if docs:
-                found.extend(judge(docs, words))
+            pairs = ((k, letters(t)) for k, t in zip(batch["key"].tolist(), batch["text"].tolist()))
+            for group in in_groups(pairs, lambda p: len(p[1])):
+                keys_, texts = zip(*group)
+                found.extend(judge([None if pd.isna(k) else int(k) for k in keys_], list(texts)))
             yield pd.DataFrame(found, columns=columns).astype({"doc_id": "Int64", "item_id": "Int64"})
 
     return run
@@ -237,23 +256,23 @@ def leaks(
     item_text: str = "text",
     similarity: float = 0.8,
     walks: int = 2,
-    bands: int = 6,
-    sampled: int = 4,
-    lengths: tuple[int, ...] = (10, 20),
-    step: int = 8,
-    min_words: int = 18,
+    bands: int = 4,
+    sampled: int = 5,
+    distinct: int = 4,
+    lengths: tuple[int, ...] = (12, 24),
+    step: int = 5,
     item_block: int = 5_000,
     block_chars: int = 5_000_000,
     seed: int = 7,
 ) -> DataFrame:
     """doc_id, item_id, edits, item_chars and word_start of every leak."""
     spark = docs.sparkSession
-    plan = Plan(walks, bands, sampled, lengths, seed)
+    plan = Plan(walks, bands, sampled, lengths, distinct, seed)
     pairs = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     schema = "doc_id long, item_id long, edits int, item_chars int, word_start int"
     out = spark.createDataFrame([], schema)
     for block in item_blocks(items, item_key, item_text, item_block, block_chars):
-        out = out.unionByName(pairs.mapInPandas(_judge(block, plan, step, similarity, min_words), schema))
+        out = out.unionByName(pairs.mapInPandas(_judge(block, plan, step, similarity), schema))
     return out
 
 

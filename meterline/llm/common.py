@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -25,25 +24,54 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, _UPPER, _UPPER.lower())
 
 
-def ascii_words(text: str) -> list[bytes]:
-    """Words of a text with A-Z lower-cased (``bytes`` methods touch ASCII alone)."""
-    return text.encode("utf-8", "surrogatepass").lower().split()
+#: Lower-cases A-Z and makes the six white-space characters blanks.
+_PLAIN = bytes(32 if c in b" \t\n\r\x0b\x0c" else c + 32 if 65 <= c <= 90 else c for c in range(256))
+#: Random numbers for a byte at a place of a word.
+_AT = np.random.default_rng(17).integers(0, 2**63, size=(256, 32), dtype=np.uint64)
 
 
-class WordHashes:
-    """64-bit hashes of words, remembered up to a bound."""
+def plain_bytes(text) -> bytes:
+    """A text with A-Z lower-cased and its words between blanks; null is empty."""
+    return text.encode("utf-8", "surrogatepass").translate(_PLAIN) if isinstance(text, str) else b""
 
-    def __init__(self, limit: int = 400_000):
-        self._limit, self._known = limit, {}
 
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        known = self._known
-        if len(known) > self._limit:
-            known.clear()
-        new = set(words).difference(known)
-        digest = xxhash.xxh3_64_intdigest
-        known.update((w, digest(w)) for w in new)
-        return np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
+def word_hashes(buffers: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
+    """Hashes of the blank-separated words of all buffers, the number of words of each
+    buffer, and where each word starts in the buffers joined by blanks.
+
+    A hash is a sum over the bytes of random numbers by byte and place, so the whole batch
+    is one pass of array operations and words never become objects.
+    """
+    joined = b" " + b" ".join(buffers) + b" "
+    a = np.frombuffer(joined, dtype=np.uint8)
+    blank = a == 32
+    starts = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1
+    ends = 1 + np.cumsum([len(b) + 1 for b in buffers])
+    counts = np.diff(np.searchsorted(starts, ends), prepend=0) if buffers else np.zeros(0, dtype=np.int64)
+    if not len(starts):
+        return np.zeros(0, dtype=np.uint64), counts, starts, joined
+    begun = np.zeros(len(a), dtype=np.int32)
+    begun[starts] = starts
+    place = np.arange(len(a), dtype=np.int32) - np.maximum.accumulate(begun)
+    parts = _AT[a, place & 31]
+    if place.max() >= 32:
+        parts *= (2 * (place >> 5) + 1).astype(np.uint64)
+    parts[blank] = 0
+    return mixed(np.add.reduceat(parts, starts)), counts, starts, joined
+
+
+def in_groups(items, size, most: int = 1 << 20):
+    """Lists of consecutive items whose sizes add up to about ``most``."""
+    group: list = []
+    held = 0
+    for item in items:
+        group.append(item)
+        held += size(item)
+        if held >= most:
+            yield group
+            group, held = [], 0
+    if group:
+        yield group
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

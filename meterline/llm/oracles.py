@@ -125,11 +125,11 @@ WITH RECURSIVE words AS (
 ), items AS (
   SELECT doc_id, hash(unnest(s)) AS h FROM sets
 ), shared AS (
-  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
   FROM items a JOIN items b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY ALL
 ), links AS (
   SELECT x, y FROM shared o JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
-  WHERE 100 * both >= 85 * (a.n + b.n - both)
+  WHERE 100 * common >= 85 * (a.n + b.n - common)
 ), edges AS (
   SELECT x AS u, y AS v FROM links UNION ALL SELECT y, x FROM links
 ), reach AS (

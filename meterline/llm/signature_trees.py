@@ -37,13 +37,14 @@ from pyspark.sql import functions as F
 
 from meterline.llm.common import (
     Links,
-    WordHashes,
-    ascii_words,
     components,
+    in_groups,
     key_lists,
     mixed,
+    plain_bytes,
     ranked,
     shingle_set,
+    word_hashes,
 )
 from meterline.session import stored
 
@@ -62,12 +63,19 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
     return int(np.int64(a.view(np.int64))), int(np.int64(b.view(np.int64)))
 
 
+def _sets(texts: list, width: int) -> Iterator[np.ndarray]:
+    """The shingle set of each text."""
+    for group in in_groups(map(plain_bytes, texts), len):
+        hashes, counts, _, _ = word_hashes(group)
+        ends = np.cumsum(counts)
+        for end, n in zip(ends.tolist(), counts.tolist()):
+            yield shingle_set(hashes[end - n : end], width)
+
+
 def _texts(batches: Iterator[pd.DataFrame], width: int) -> Iterator[tuple]:
-    hashes = WordHashes()
     for batch in batches:
-        for key, text in zip(batch["key"].tolist(), batch["text"].tolist()):
-            words = ascii_words(text) if isinstance(text, str) else []
-            yield (None if pd.isna(key) else int(key)), shingle_set(hashes(words), width)
+        for key, s in zip(batch["key"].tolist(), _sets(batch["text"].tolist(), width)):
+            yield (None if pd.isna(key) else int(key)), s
 
 
 def _first_pass(width: int) -> Callable:
@@ -319,16 +327,12 @@ def _forests(num: int, den: int) -> Callable:
 
 def _exact(width: int, num: int, den: int) -> Callable:
     def run(batches):
-        hashes = WordHashes()
         out: list = []
         columns = ("id", "d1", "d2", "text", "i", "j", "side")
         # Texts turn into sets at once, so that a block's memory is that of its sets.
         def sets():
             for batch in batches:
-                shingles = [
-                    shingle_set(hashes(ascii_words(t)), width) if isinstance(t, str) else np.zeros(0, np.uint64)
-                    for t in batch["text"].tolist()
-                ]
+                shingles = list(_sets(batch["text"].tolist(), width))
                 yield batch.assign(text=pd.Series(shingles, index=batch.index, dtype=object))
 
         for rows in key_lists(sets(), ("comp", "i", "j"), columns):
