@@ -255,12 +255,12 @@ def leaks(
     item_key: str = "item_id",
     item_text: str = "text",
     similarity: float = 0.8,
-    walks: int = 2,
+    walks: int = 3,
     bands: int = 4,
     sampled: int = 5,
     distinct: int = 4,
     lengths: tuple[int, ...] = (12, 24),
-    step: int = 5,
+    step: int = 4,
     item_block: int = 5_000,
     block_chars: int = 5_000_000,
     seed: int = 7,
