@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.llm.common import key_lists
-from meterline.session import new_folder, stored
+from meterline.session import new_folder
 
 VOCABULARY = os.environ.get("TOKENIZER_FILE", "/opt/tokenizers/byte_bpe_50k.tiktoken")
 #: Fixed value: the word pattern of this vocabulary.
@@ -145,13 +145,13 @@ def write_shards(
     spark: SparkSession = docs.sparkSession
     folder = folder or new_folder(spark, "token-shards")
     pairs = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    made = stored(
-        pairs.mapInPandas(
-            _sequences(vocabulary, stride),
-            "task int, number long, doc_id long, part int, n_tokens int, ids binary",
-        ),
-        "token-sequences",
+    made = pairs.mapInPandas(
+        _sequences(vocabulary, stride),
+        "task int, number long, doc_id long, part int, n_tokens int, ids binary",
     )
+    sequences = new_folder(spark, "token-sequences")
+    made.write.option("compression", "zstd").parquet(sequences)
+    made = spark.read.schema(made.schema).parquet(sequences)
     # One count for each task of the encoding.
     starts, total = [], 0
     for task, count in sorted((r["task"], r["count"]) for r in made.groupBy("task").count().collect()):
