@@ -185,7 +185,8 @@ def test_clause_roles():
 
 def test_toxic_learning(spark, edges, empty):
     random.seed(4)
-    plain = lambda: " ".join(random.choice("abcdefgh") * 5 for _ in range(30))
+    words = ["".join(random.choices("abcdefgh", k=6)) for _ in range(2000)]
+    plain = lambda: " ".join(random.choices(words, k=30))
     docs = [(i, plain() + (" moron" if i % 3 == 0 else "")) for i in range(150)]
     df = spark.createDataFrame(docs, "doc_id long, text string")
     marks = df.select("doc_id", (F.col("doc_id") % 3 == 0).cast("int").alias("toxic"))
