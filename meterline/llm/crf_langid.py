@@ -183,7 +183,7 @@ def fit(
     texts: list[str],
     langs: list[str],
     *,
-    words: int = 120_000,
+    words: int = 50_000,
     length: int = 48,
     rounds: int = 30,
     rate: float = 0.3,
@@ -226,9 +226,10 @@ def fit(
     for at, s in parts:
         owners.append(np.searchsorted(start, at, "right") - 1)
         slots.append(s)
-    owner, slot = np.concatenate(owners), np.concatenate(slots)
+    owner, slot = (np.concatenate(x).astype(np.int32) for x in (owners, slots))
     order = np.argsort(owner, kind="stable")
     owner, slot = owner[order], slot[order]
+    del owners, slots, order
     begin = np.searchsorted(owner, np.arange(use))
 
     y = gold.reshape(-1, length)
@@ -260,9 +261,8 @@ def fit(
                 b = eb @ move.T
                 b /= b.sum(axis=1, keepdims=True)
         rest = (marginal - hot).reshape(-1, count)
-        spread = rest[owner]
         gradients = [
-            np.stack([np.bincount(slot, spread[:, c], TABLE) for c in range(count)], axis=1),
+            np.stack([np.bincount(slot, rest[owner, c], TABLE) for c in range(count)], axis=1),
             np.stack([np.bincount(lexicon, rest[:, c], TABLE) for c in range(count)], axis=1),
             moves - gold_moves,
             (marginal[:, 0] - hot[:, 0]).sum(axis=0),
@@ -298,7 +298,7 @@ def train(
     key: str = "doc_id",
     text: str = "text",
     lang: str = "lang",
-    per_label: int = 400,
+    per_label: int = 200,
     most_labels: int = 64,
     most_chars: int = 20_000,
 ) -> Model:
