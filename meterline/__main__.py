@@ -74,6 +74,8 @@ def main(argv: list[str] | None = None) -> int:
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
     a = arguments(argv)
     spark = SparkSession.builder.appName(f"meterline {a.stage}").getOrCreate()
+    # Calendar columns must not depend on the cluster's setting.
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     raw, clean = (f"{a.lake}/raw", f"{a.lake}/clean") if hasattr(a, "lake") else (None, None)
     options = {"years": a.years, "skip_failed": a.skip_failed}
     warehouse = None

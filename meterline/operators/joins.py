@@ -3,17 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import DataFrame, functions as F
 
 # Lookups are projected to a few fixed-width columns first (ids, coordinates, md5
 # keys: under 100 bytes a row), so this many rows stay under about 50 MB.
 BROADCAST_ROWS = 500_000
-# A key with more rows than this on the large side is split over several tasks.
-ROWS_PER_SALT = 2_000_000
-_ROWS, _SALTS, _SALT = "__rows", "__salts", "__salt"
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
@@ -31,49 +26,17 @@ def lookup_join(
     on: str | Sequence[str],
     *,
     small: bool | None = None,
-    rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """Inner equi-join of a large frame with a lookup.
 
     ``small`` says whether the lookup's size has been checked already; None checks it
     here. A small lookup is broadcast, so the large side is not shuffled and a hot
-    key costs nothing. A lookup beyond the bound takes the salted shuffle join.
+    key costs nothing. A lookup beyond the bound takes a plain shuffled join, in which
+    adaptive execution splits the partitions of hot keys; each side is read once.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if small is None:
         small = fits_broadcast(lookup)
     if small:
         return left.join(F.broadcast(lookup), keys, "inner")
-    return _salted_join(left, lookup, keys, rows_per_salt)
-
-
-def _salted_join(
-    left: DataFrame, lookup: DataFrame, keys: list[str], rows_per_salt: int
-) -> DataFrame:
-    """Shuffle join in which a hot key gets as many salts as its rows need.
-
-    Hot keys are found by counting; there are at most rows / ``rows_per_salt`` of them,
-    which bounds what is broadcast. Only their lookup rows are repeated, once per salt.
-    The salt comes from the number of the input partition: a task that runs again gets
-    the same salt, whatever order its rows arrive in, and equal rows of different
-    partitions still part.
-    """
-    left = left.where(reduce(and_, [F.col(k).isNotNull() for k in keys]))
-    hot = (
-        left.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias(_ROWS))
-        .where(F.col(_ROWS) > rows_per_salt)
-        .select(*keys, F.ceil(F.col(_ROWS) / rows_per_salt).cast("int").alias(_SALTS))
-    )
-    salts = F.coalesce(F.col(_SALTS), F.lit(1))
-    spread = (
-        left.join(F.broadcast(hot), keys, "left")
-        .withColumn(_SALT, F.pmod(F.spark_partition_id(), salts))
-        .drop(_SALTS)
-    )
-    repeated = (
-        lookup.join(F.broadcast(hot), keys, "left")
-        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), salts - 1)))
-        .drop(_SALTS)
-    )
-    return spread.join(repeated, [*keys, _SALT], "inner").drop(_SALT)
+    return left.join(lookup, keys, "inner")

@@ -170,7 +170,7 @@ def both_zone_join_shuffled(spark, sf_dir):
     for role, location in ROLES.items():
         keyed = located.withColumn("zone", F.col(location))
         part = zone_role(lookup, role).withColumnRenamed("__zone", "zone")
-        located = lookup_join(keyed, part, "zone", small=False, rows_per_salt=500).drop("zone")
+        located = lookup_join(keyed, part, "zone", small=False).drop("zone")
     return located
 
 

@@ -19,43 +19,42 @@ def sides(spark):
     return large, lookup.unionAll(lookup.where("k = 3").withColumn("v", F.lit("b")))
 
 
-def test_salted_join_equals_broadcast_join(sides):
+def test_shuffled_join_equals_broadcast_join(sides):
     large, lookup = sides
-    wide = lookup_join(large, lookup, "k", small=False, rows_per_salt=100)
+    wide = lookup_join(large, lookup, "k", small=False)
     narrow = lookup_join(large, lookup, "k", small=True)
     assert wide.columns == narrow.columns
     assert sorted(wide.collect()) == sorted(narrow.collect())
 
 
-def test_salted_join_spreads_the_hot_key(spark, sides):
-    large, lookup = sides
-    # Adaptive execution would broadcast or merge what is this small.
+def test_a_hot_key_is_split_wherever_its_rows_lie(spark):
     settings = {
-        "spark.sql.adaptive.enabled": "false",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.shuffle.partitions": "32",
+        "spark.sql.shuffle.partitions": "8",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
     }
-    before = {key: spark.conf.get(key) for key in settings}
+    before = {key: spark.conf.get(key, None) for key in settings}
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
-        tasks = {}
-        for rows_per_salt in (100, 10_000_000):
-            joined = lookup_join(large, lookup, "k", small=False, rows_per_salt=rows_per_salt)
-            placed = joined.where("k = 7").select(F.spark_partition_id().alias("task"))
-            tasks[rows_per_salt] = placed.distinct().count()
-            assert joined.where("k = 7").count() == large.where("k = 7").count()
+        # The key's rows lie in every fourth input partition only.
+        large = spark.range(0, 80_000, numPartitions=8).select(
+            F.when(F.spark_partition_id() % 4 == 0, 7).otherwise(F.col("id") % 500).cast("int").alias("k"),
+            F.md5(F.col("id").cast("string")).alias("v"),
+        )
+        lookup = spark.range(0, 500).select(F.col("id").cast("int").alias("k"))
+        joined = lookup_join(large, lookup, "k", small=False)
+        placed = joined.select("k", "v", F.spark_partition_id().alias("task")).collect()
+        assert len({r.task for r in placed if r.k == 7}) > 1
     finally:
         for key, value in before.items():
-            spark.conf.set(key, value)
-    assert tasks[10_000_000] == 1
-    assert tasks[100] > 1
-
-
-def test_without_a_hot_key_the_result_is_the_same(sides):
-    large, lookup = sides
-    cold = lookup_join(large, lookup, "k", small=False, rows_per_salt=10_000_000)
-    assert sorted(cold.collect()) == sorted(lookup_join(large, lookup, "k", small=True).collect())
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def test_size_is_checked(sides):
@@ -68,5 +67,5 @@ def test_join_on_several_keys(spark):
     left = spark.createDataFrame([(1, 1, "x"), (1, 2, "y")], "a int, b int, c string")
     right = spark.createDataFrame([(1, 2, "r")], "a int, b int, d string")
     for small in (True, False):
-        rows = lookup_join(left, right, ["a", "b"], small=small, rows_per_salt=1).collect()
+        rows = lookup_join(left, right, ["a", "b"], small=small).collect()
         assert [tuple(r) for r in rows] == [(1, 2, "y", "r")]
