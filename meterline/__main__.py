@@ -70,7 +70,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 
 
 def main(argv: list[str] | None = None) -> int:
-    """Run one stage; 1 if a check did not hold, else 0."""
+    """Run one stage; 1 if a check did not hold or an input was left out, else 0."""
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
     a = arguments(argv)
     spark = SparkSession.builder.appName(f"meterline {a.stage}").getOrCreate()
@@ -79,6 +79,7 @@ def main(argv: list[str] | None = None) -> int:
     raw, clean = (f"{a.lake}/raw", f"{a.lake}/clean") if hasattr(a, "lake") else (None, None)
     options = {"years": a.years, "skip_failed": a.skip_failed}
     warehouse = None
+    left_out: list[str] = []
     if hasattr(a, "root"):
         warehouse = pipeline.Warehouse(a.staging, a.production, a.root)
 
@@ -93,13 +94,13 @@ def main(argv: list[str] | None = None) -> int:
 
     match a.stage:
         case "load-raw":
-            pipeline.load_raw(
+            left_out += pipeline.load_raw(
                 spark, a.base, raw, services=a.services, layout=a.layout, **options
             )
         case "clean":
-            pipeline.clean_layer(spark, raw, clean, zones(), **options)
+            left_out += pipeline.clean_layer(spark, raw, clean, zones(), **options)
         case "convert":
-            pipeline.convert_layer(
+            left_out += pipeline.convert_layer(
                 spark,
                 clean,
                 a.target,
@@ -110,11 +111,13 @@ def main(argv: list[str] | None = None) -> int:
         case "create":
             pipeline.reset_warehouse(spark, warehouse, cascade=a.cascade)
         case "load-staging":
-            pipeline.load_staging(spark, clean, warehouse, append=a.append, **options)
+            pipeline.load_staging(
+                spark, clean, warehouse, append=a.append, left_out=left_out, **options
+            )
         case "load-jdbc":
             properties = dict(p.split("=", 1) for p in a.property)
             pipeline.load_staging_jdbc(
-                spark, clean, a.url, a.table, properties, mode=a.mode, **options
+                spark, clean, a.url, a.table, properties, mode=a.mode, years=a.years
             )
         case "validate":
             return _report(
@@ -136,14 +139,23 @@ def main(argv: list[str] | None = None) -> int:
                 layout=a.layout,
                 reset=a.cascade,
                 skip_failed=a.skip_failed,
+                left_out=left_out,
             )
-            return max(_report(out["staging_report"]), _report(out["star_report"]))
+            held = max(_report(out["staging_report"]), _report(out["star_report"]))
+            return max(held, _named(left_out))
         case "inspect":
             df = spark.read.parquet(a.path)
             df.printSchema()
             preview(df).show()
             null_profile(df).show()
-    return 0
+    return _named(left_out)
+
+
+def _named(left_out: list[str]) -> int:
+    """Print what was left out; 1 if there is any."""
+    for path in left_out:
+        print("left out", path, sep="\t")
+    return 1 if left_out else 0
 
 
 def _report(report) -> int:

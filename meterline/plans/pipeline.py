@@ -7,9 +7,11 @@ monthly input a row came from. That folder is what a repeated run replaces.
 from __future__ import annotations
 
 import logging
+from collections import Counter
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -29,10 +31,13 @@ from ..sources.layers import (
     PARENT_FOLDER,
     Input,
     Scan,
+    Scans,
     find_service_inputs,
     input_name,
     input_year,
+    is_input_fault,
     list_inputs,
+    literal,
     scan_by_schema,
     source_of_path,
     union_drifted,
@@ -55,73 +60,129 @@ def load_raw(
     services: Sequence[str] = tuple(SERVICES),
     layout: str = LAYOUT,
     skip_failed: bool = False,
-) -> None:
+) -> list[str]:
     """Bring delivered monthly files into the raw layer, content unchanged.
 
     A job per service and distinct schema takes all years; a row's year and source are
-    read off the path of its file.
+    read off the path of its file. Returns the inputs that were left out.
     """
     years = list(years)
     found = find_service_inputs(spark, base, years, services, layout)
 
-    def load(service: str) -> None:
-        def write(scan: Scan) -> None:
+    def load(service: str) -> list[Input]:
+        def rows(scan: Scan) -> DataFrame:
             path = F.col("_metadata.file_path")
-            rows = scan.df.withColumns(
+            return scan.df.withColumns(
                 {
                     "batch_year": year_of_path(path, layout),
                     "source": source_of_path(path, layout),
                 }
             )
-            write_layer(rows, f"{raw}/service={service}", partition_by=PARTITIONS)
-
-        # A partition's folder has '=' in a value escaped.
-        folders = {
-            item: f"/service={service}/batch_year={input_year(item.path, layout)}"
-            f"/source={input_name(item.path, layout).replace('=', '%3D')}"
-            for item in found[service]
-        }
-        if len(set(folders.values())) < len(folders):
+
+        def key(item: Input) -> Key:
+            return input_year(item.path, layout), input_name(item.path, layout)
+
+        if len({key(item) for item in found[service]}) < len(found[service]):
             raise ValueError(f"inputs of {service} that share a year and a name: {base}")
-        earlier = _samples(layer_inputs(spark, raw, service, years))
-        done = _each_scan(spark, found[service], write, skip_failed=skip_failed)
-        if earlier:
-            now = _samples(layer_inputs(spark, raw, service, years))
-            _empty_unreplaced(spark, raw, [folders[item] for item in done], earlier, now)
+        return _replace_sources(
+            spark, found[service], rows, raw, service, years, key, skip_failed=skip_failed
+        )
+
+    return _side_by_side(load, found)
 
-    _side_by_side(load, found)
 
+Key = tuple[str, str]  # year of delivery and source
 
-def _side_by_side(work: Callable[[str], None], services: Iterable[str]) -> None:
+
+def _side_by_side(work: Callable[[str], list[Input]], services: Iterable[str]) -> list[str]:
     """Work on all services at the same time, each in a folder of its own."""
     services = list(services)
     with ThreadPoolExecutor(max(len(services), 1)) as pool:
-        list(pool.map(work, services))
+        return [item.path for left_out in pool.map(work, services) for item in left_out]
 
 
-def _samples(inputs: Iterable[Input]) -> dict[str, str]:
-    """A file of each source folder, by the folder's path below its layer."""
-    return {i.path[i.path.rindex("/service=") :]: i.sample for i in inputs}
+def _folder_key(folder: Input) -> Key:
+    """Year and source of a folder of a layer, as Spark reads them off its path."""
+    year, source = folder.path.split("/")[-2:]
+    return unquote(year.split("=", 1)[1]), unquote(source.split("=", 1)[1])
 
 
-def _empty_unreplaced(
+def _replace_sources(
     spark: SparkSession,
+    inputs: Sequence[Input],
+    rows: Callable[[Scan], DataFrame],
     layer: str,
-    folders: Iterable[str],
-    earlier: Mapping[str, str],
-    now: Mapping[str, str],
-) -> None:
-    """Empty the folders of a layer that a run covered but had no rows for.
+    service: str,
+    years: Sequence[int] | None,
+    key: Callable[[Input], Key] = _folder_key,
+    *,
+    base: str | None = None,
+    skip_failed: bool = False,
+) -> list[Input]:
+    """Replace the source folders of a layer by the rows of their inputs.
 
-    Overwriting partitions leaves alone those without new rows, but their earlier rows
-    are no longer true. They still hold the file they held before the run, as every run
-    names its files anew.
+    Inputs of one schema are written together. One whose part files differ is written by
+    itself: its first schema replaces the folder, the others are appended, so that each
+    file keeps its own columns. Returns the inputs that were left out; their folders stay
+    as they were.
     """
-    for folder in folders:
-        if folder in earlier and earlier[folder] == now.get(folder):
-            log.warning("no rows any more in %s%s", layer, folder)
-            schema = spark.read.parquet(f"{layer}{folder}").schema
-            spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{layer}{folder}")
+    target = f"{layer}/service={service}"
+
+    def folders() -> dict[Key, Input]:
+        return {_folder_key(f): f for f in layer_inputs(spark, layer, service, years)}
+
+    def empty_unreplaced(items: Iterable[Input]) -> None:
+        # Overwriting partitions leaves alone those without new rows, but their earlier
+        # rows are no longer true. They still hold the files they held before the run, as
+        # every run names its files anew.
+        covered = [k for k in map(key, items) if k in earlier]
+        now = folders() if covered else {}
+        for k in covered:
+            if k in now and now[k].files == earlier[k].files:
+                log.warning("no rows any more in %s", earlier[k].path)
+                schema = spark.read.parquet(literal(earlier[k].path)).schema
+                empty = spark.createDataFrame([], schema)
+                empty.write.mode("overwrite").parquet(earlier[k].path)
+
+    def replace(scan: Scan) -> None:
+        write_layer(rows(scan), target, partition_by=PARTITIONS)
+
+    earlier = folders()
+    steady, drifting, left_out = _by_drift(spark, inputs, base, skip_failed)
+    done, failed = _each_scan(spark, steady, replace, base=base, skip_failed=skip_failed)
+    empty_unreplaced(done)
+    left_out += failed
+    for item in drifting:
+        if skip_failed:
+            # All parts are tried before the first of them replaces the earlier rows.
+            _, failed = _each_scan(
+                spark, [item], lambda scan: _try(rows(scan)), base=base, skip_failed=True
+            )
+            if failed:
+                left_out += failed
+                continue
+        first, *others = _scans(spark, [item], base, False).scans
+        replace(first)
+        empty_unreplaced([item])
+        for scan in others:
+            rows(scan).write.partitionBy(*PARTITIONS).mode("append").parquet(target)
+    return left_out
+
+
+def _try(df: DataFrame) -> None:
+    """Compute all rows and keep none."""
+    df.write.format("noop").mode("overwrite").save()
+
+
+def _by_drift(
+    spark: SparkSession, inputs: Sequence[Input], base: str | None, skip_failed: bool
+) -> tuple[list[Input], list[Input], list[Input]]:
+    """Inputs of one schema, those whose parts differ, and those that are unreadable."""
+    found = _scans(spark, inputs, base, skip_failed)
+    times = Counter(item for scan in found.scans for item in scan.inputs)
+    steady = [item for item, n in times.items() if n == 1]
+    drifting = [item for item, n in times.items() if n > 1]
+    return steady, drifting, list(found.left_out)
 
 
 def _each_scan(
@@ -131,34 +192,41 @@ def _each_scan(
     *,
     base: str | None = None,
     skip_failed: bool = False,
-) -> list[Input]:
+) -> tuple[list[Input], list[Input]]:
     """Run a job per distinct schema; where one fails, isolate the inputs that cause it.
 
-    With ``skip_failed`` the inputs of a failed job are halved and run again until those
-    that fail by themselves are found; these are logged and left out as a whole. Returns
-    the inputs that were run.
+    With ``skip_failed`` the inputs of a job that failed on their data are halved and run
+    again until those that fail by themselves are found; these are logged and left out as
+    a whole. Other failures are raised. Returns the inputs that were run and those that
+    were left out.
     """
+    found = _scans(spark, inputs, base, skip_failed)
     done: list[Input] = []
-    for scan in _scans(spark, inputs, base, skip_failed):
+    left_out = list(found.left_out)
+    for scan in found.scans:
         try:
             run(scan)
             done += scan.inputs
         except Exception as error:
-            if not skip_failed:
+            if not (skip_failed and is_input_fault(error)):
                 raise
             if len(scan.inputs) == 1:
                 log.error("left out %s: %s", scan.inputs[0].path, error)
+                left_out += scan.inputs
                 continue
             log.warning("halving %d inputs after: %s", len(scan.inputs), error)
             middle = len(scan.inputs) // 2
             for half in (scan.inputs[:middle], scan.inputs[middle:]):
-                done += _each_scan(spark, half, run, base=base, skip_failed=True)
-    return done
+                more, failed = _each_scan(spark, half, run, base=base, skip_failed=True)
+                done += more
+                left_out += failed
+    bad = set(left_out)
+    return [item for item in dict.fromkeys(done) if item not in bad], list(dict.fromkeys(left_out))
 
 
 def _scans(
     spark: SparkSession, inputs: Iterable[Input], base: str | None, skip_unreadable: bool
-) -> list[Scan]:
+) -> Scans:
     types = _PARTITION_TYPES if base else ""
     return scan_by_schema(
         spark, inputs, base=base, partitions=types, skip_unreadable=skip_unreadable
@@ -186,8 +254,8 @@ def clean_layer(
     *,
     years: Iterable[int] | None = None,
     skip_failed: bool = False,
-) -> None:
-    """Clean and enrich every source of the raw layer.
+) -> list[str]:
+    """Clean and enrich every source of the raw layer; returns the sources left out.
 
     A job per service and distinct schema covers all months at once. With a broadcast
     lookup it is a single pass from scan to write.
@@ -195,19 +263,80 @@ def clean_layer(
     years = None if years is None else list(years)
     small = fits_broadcast(zones)
 
-    def work(service: str) -> None:
-        def write(scan: Scan) -> None:
-            rows = clean_trips(scan.df, zones, service, small=small).drop("service")
-            write_layer(rows, f"{clean}/service={service}", partition_by=PARTITIONS)
+    def work(service: str) -> list[Input]:
+        def rows(scan: Scan) -> DataFrame:
+            return clean_trips(scan.df, zones, service, small=small).drop("service")
 
         inputs = layer_inputs(spark, raw, service, years)
-        earlier = _samples(layer_inputs(spark, clean, service, years))
-        done = _each_scan(spark, inputs, write, base=raw, skip_failed=skip_failed)
-        if earlier:
-            now = _samples(layer_inputs(spark, clean, service, years))
-            _empty_unreplaced(spark, clean, _samples(done), earlier, now)
+        return _replace_sources(
+            spark, inputs, rows, clean, service, years, base=raw, skip_failed=skip_failed
+        )
+
+    return _side_by_side(work, SERVICES)
+
+
+def _write_isolated(
+    spark: SparkSession,
+    layer: str,
+    years: Sequence[int] | None,
+    rows: Callable[[Scan, str], DataFrame],
+    write: Callable[[list[DataFrame], set[Key]], None],
+    *,
+    skip_failed: bool = False,
+) -> list[str]:
+    """Write the sources of all services of a layer in one job.
 
-    _side_by_side(work, SERVICES)
+    ``write`` gets a frame for each scan and the (service, year) pairs of which a source
+    was left out. If the job fails on the data of a source, every scan is tried by itself
+    to find those sources, and the job runs again without them.
+    """
+    inputs = {service: layer_inputs(spark, layer, service, years) for service in SERVICES}
+    left_out: list[tuple[str, Input]] = []
+
+    def frames_of(service: str) -> list[DataFrame]:
+        while True:
+            bad = {item for s, item in left_out if s == service}
+            good = [item for item in inputs[service] if item not in bad]
+            found = _scans(spark, good, layer, skip_failed)
+            absent: list[Input] = list(found.left_out)
+            out = []
+            for scan in found.scans:
+                try:
+                    out.append(rows(scan, service))
+                except AnalysisException as error:
+                    if not (skip_failed and is_input_fault(error)):
+                        raise
+                    log.error("left out %s: %s", ", ".join(i.path for i in scan.inputs), error)
+                    absent += scan.inputs
+            left_out.extend((service, item) for item in dict.fromkeys(absent))
+            # An input with other parts in the scans that did succeed goes as a whole.
+            if len(absent) == len(found.left_out):
+                return out
+
+    def run() -> None:
+        made = [frame for service in SERVICES for frame in frames_of(service)]
+        write(made, {(service, _folder_key(item)[0]) for service, item in left_out})
+
+    try:
+        run()
+    except Exception as error:
+        if not (skip_failed and is_input_fault(error)):
+            raise
+        log.warning("trying the sources of %s one by one after: %s", layer, error)
+        before = len(left_out)
+        for service in SERVICES:
+            _, failed = _each_scan(
+                spark,
+                inputs[service],
+                lambda scan, service=service: _try(rows(scan, service)),
+                base=layer,
+                skip_failed=True,
+            )
+            left_out += [(service, f) for f in failed if (service, f) not in left_out]
+        if len(left_out) == before:
+            raise
+        run()
+    return [item.path for _, item in left_out]
 
 
 def convert_layer(
@@ -219,60 +348,97 @@ def convert_layer(
     years: Iterable[int] | None = None,
     options: Mapping[str, str] | None = None,
     skip_unreadable: bool = False,
-) -> None:
-    """Rewrite a layer in another format as one table partitioned by service and year."""
+) -> list[str]:
+    """Rewrite a layer in another format as one table partitioned by service and year.
+
+    Returns the sources left out. A year of a service that is there already and of which a
+    source was left out stays as it is; one without rows is emptied (not in a Delta table,
+    from which its own DELETE takes them).
+    """
     years = None if years is None else list(years)
-    frames = [
-        scan.df
-        for service in SERVICES
-        for scan in _scans(
-            spark, layer_inputs(spark, source, service, years), source, skip_unreadable
+
+    def write(frames: list[DataFrame], kept: set[Key]) -> None:
+        if not frames:
+            log.warning("nothing to convert below %s", source)
+            return
+        earlier = {_folder_key(folder): folder for folder in _partitions(spark, target)}
+        together = _without(union_drifted(frames), "service", kept & earlier.keys())
+        write_layer(
+            together,
+            target,
+            partition_by=("service", "batch_year"),
+            fmt=fmt,
+            options=options,
         )
-    ]
-    if not frames:
-        log.warning("nothing to convert below %s", source)
-        return
-    write_layer(
-        union_drifted(frames),
-        target,
-        partition_by=("service", "batch_year"),
-        fmt=fmt,
-        options=options,
+        if fmt == "delta":
+            return  # its log, not its folders, says which rows there are
+        now = {_folder_key(folder): folder for folder in _partitions(spark, target)}
+        for pair, folder in earlier.items():
+            asked = years is None or pair[1] in map(str, years)
+            if asked and pair not in kept and now[pair].files == folder.files:
+                log.warning("no rows any more in %s", folder.path)
+                schema = spark.read.format(fmt).load(folder.path).schema
+                empty = spark.createDataFrame([], schema)
+                empty.write.format(fmt).mode("overwrite").save(folder.path)
+
+    return _write_isolated(
+        spark, source, years, lambda scan, _: scan.df, write, skip_failed=skip_unreadable
     )
 
 
+def _partitions(spark: SparkSession, table: str) -> list[Input]:
+    """The folders of a stored table of two partition levels, of any format."""
+    try:
+        files = (
+            spark.read.format("binaryFile")
+            .option("recursiveFileLookup", True)
+            .load(f"{table}/*=*/*=*")
+            .inputFiles()
+        )
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    folders: dict[str, list[str]] = {}
+    for file in sorted(unquote(f) for f in files):
+        folders.setdefault(file.rsplit("/", 1)[0], []).append(file)
+    return [Input(path, tuple(names)) for path, names in folders.items()]
+
+
+def _without(df: DataFrame, service: str, pairs: Iterable[tuple[object, str]]) -> DataFrame:
+    """Rows of other years and services than the given pairs."""
+    for value, year in sorted(pairs):
+        log.warning("%s of %s stays as it is, as a source was left out", year, value)
+        df = df.where(~((F.col(service) == value) & (F.col("batch_year") == int(year))))
+    return df
+
+
+def _staging_source(scan: Scan, service: str) -> DataFrame:
+    tagged = scan.df.withColumn("service_type", F.lit(SERVICES[service]))
+    return staging_input(tagged, "service_type", "batch_year")
+
+
+def _stack(frames: Sequence[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.unionByName(frame)
+    return out
+
+
 def read_clean(
-    spark: SparkSession,
-    clean: str,
-    years: Iterable[int] | None = None,
-    *,
-    skip_failed: bool = False,
+    spark: SparkSession, clean: str, years: Iterable[int] | None = None
 ) -> DataFrame | None:
     """The clean trips of both services, as far as staging needs them; None if none.
 
-    A group of sources that lacks a column staging needs is an error, or is logged and
-    left out.
+    A source that lacks a column staging needs is an error.
     """
     years = None if years is None else list(years)
-    frames = []
-    for service, code in SERVICES.items():
-        inputs = layer_inputs(spark, clean, service, years)
-        for scan in _scans(spark, inputs, clean, skip_failed):
-            tagged = scan.df.withColumn("service_type", F.lit(code))
-            try:
-                checked = staging_input(tagged, "service_type", "batch_year")
-            except AnalysisException as error:
-                if not skip_failed:
-                    raise
-                log.error("left out %s: %s", ", ".join(i.path for i in scan.inputs), error)
-                continue
-            frames.append(checked)
-    if not frames:
-        return None
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
-    return out
+    frames = [
+        _staging_source(scan, service)
+        for service in SERVICES
+        for scan in _scans(spark, layer_inputs(spark, clean, service, years), clean, False).scans
+    ]
+    return _stack(frames) if frames else None
 
 
 @dataclass(frozen=True)
@@ -315,22 +481,15 @@ def _declare_staging(spark: SparkSession, warehouse: Warehouse, *, replace: bool
     )
 
 
-def staging_frame(
-    spark: SparkSession,
-    clean: str,
-    *,
-    years: Iterable[int] | None = None,
-    skip_failed: bool = False,
-) -> DataFrame | None:
-    """The staging rows of the clean layer with their ``batch_year``; None if there are none.
+def _staging_of(frames: Sequence[DataFrame], clean: str) -> DataFrame | None:
+    """The staging rows of clean trips with their ``batch_year``; None if there are none.
 
     One shuffle does the grouping of both services and all years.
     """
-    trips = read_clean(spark, clean, years, skip_failed=skip_failed)
-    if trips is None:
+    if not frames:
         log.warning("no clean trips below %s", clean)
         return None
-    return trips.transform(staging_rows, "batch_year")
+    return _stack(frames).transform(staging_rows, "batch_year")
 
 
 def load_staging(
@@ -341,38 +500,53 @@ def load_staging(
     years: Iterable[int] | None = None,
     append: bool = False,
     skip_failed: bool = False,
+    left_out: list[str] | None = None,
 ) -> DataFrame:
     """Replace the years the clean trips belong to in the staging table, or append to it.
 
     The years are those of the delivery, not of the pickup: a stray trip dated years
     back must not replace that year's rows. A year of a service that was asked for and
-    has no rows any more leaves the table.
+    has no rows any more leaves the table. With ``skip_failed``, sources that cannot be
+    read or staged are left out and added to ``left_out``; a year of a service that is
+    staged already and of which a source was left out stays as it is.
     """
     table = warehouse.staging_table
     years = None if years is None else list(years)
-    rows = staging_frame(spark, clean, years=years, skip_failed=skip_failed)
-    if rows is None:
-        return read_staging(spark, table)
-    earlier = {} if append else _staged_files(spark, table, years)
-    columns = spark.table(table).columns
-    rows.select(*columns).write.insertInto(table, overwrite=not append)
-    present = _staged_files(spark, table, years) if earlier else {}
-    for partition, file in earlier.items():
-        if present.get(partition) == file:
-            log.warning("no rows any more in %s (%s)", table, partition)
-            spark.sql(f"ALTER TABLE {table} DROP PARTITION ({partition})")
+
+    def write(frames: list[DataFrame], kept: set[Key]) -> None:
+        pairs = {(str(SERVICES[service]), year) for service, year in kept}
+        staged = _staged(spark, table, years)
+        if kept and not append:
+            frames = [_without(f, "service_type", pairs & staged.keys()) for f in frames]
+        rows = _staging_of(frames, clean)
+        if rows is None:
+            return
+        columns = spark.table(table).columns
+        rows.select(*columns).write.insertInto(table, overwrite=not append)
+        if append:
+            return
+        present = _staged(spark, table, years)
+        for pair, folder in staged.items():
+            if pair not in pairs and pair in present and present[pair].files == folder.files:
+                partition = ", ".join(folder.path.split("/")[-2:])
+                log.warning("no rows any more in %s (%s)", table, partition)
+                spark.sql(f"ALTER TABLE {table} DROP PARTITION ({partition})")
+
+    failed = _write_isolated(spark, clean, years, _staging_source, write, skip_failed=skip_failed)
+    if left_out is not None:
+        left_out += failed
     return read_staging(spark, table)
 
 
-def _staged_files(
+def _staged(
     spark: SparkSession, table: str, years: Sequence[int] | None
-) -> dict[str, str]:
-    """A file of each stored year and service of the staging table."""
+) -> dict[tuple[str, str], Input]:
+    """The folder of each stored service and year of the staging table."""
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
     location = described.where("col_name = 'Location'").first().data_type
     pattern = f"{location}/batch_year={_any_of(years)}/*/*.parquet"
-    inputs = list_inputs(spark, pattern, PARENT_FOLDER)
-    return {", ".join(i.path.split("/")[-2:]): i.sample for i in inputs}
+    folders = list_inputs(spark, pattern, PARENT_FOLDER)
+    return {tuple(reversed(_folder_key(folder))): folder for folder in folders}
 
 
 def load_staging_jdbc(
@@ -384,10 +558,14 @@ def load_staging_jdbc(
     *,
     years: Iterable[int] | None = None,
     mode: str = "append",
-    skip_failed: bool = False,
 ) -> None:
-    """Append the staging rows to a table of a relational warehouse instead."""
-    rows = staging_frame(spark, clean, years=years, skip_failed=skip_failed)
+    """Append the staging rows to a table of a relational warehouse instead.
+
+    There is no leaving out here: an append that ran in part cannot be repeated, and rows
+    of a year that lacks a source could not be told from complete ones.
+    """
+    trips = read_clean(spark, clean, years)
+    rows = _staging_of([trips] if trips is not None else [], clean)
     if rows is not None:
         append_jdbc(rows.drop("batch_year"), url, table, properties, mode=mode)
 
@@ -428,12 +606,15 @@ def run_all(
     layout: str = LAYOUT,
     reset: bool = False,
     skip_failed: bool = False,
+    left_out: list[str] | None = None,
 ) -> dict[str, DataFrame]:
     """Every stage in order; returns the star, the staging report and the star tests.
 
-    Years loaded before stay in the warehouse unless ``reset`` drops both schemas.
+    Years loaded before stay in the warehouse unless ``reset`` drops both schemas. What
+    ``skip_failed`` leaves out in any stage is added to ``left_out``.
     """
-    load_raw(
+    left_out = [] if left_out is None else left_out
+    left_out += load_raw(
         spark,
         base,
         f"{lake}/raw",
@@ -442,14 +623,21 @@ def run_all(
         layout=layout,
         skip_failed=skip_failed,
     )
-    clean_layer(
+    left_out += clean_layer(
         spark, f"{lake}/raw", f"{lake}/clean", zones, years=years, skip_failed=skip_failed
     )
     if reset:
         reset_warehouse(spark, warehouse, cascade=True)
     else:
         create_warehouse(spark, warehouse)
-    load_staging(spark, f"{lake}/clean", warehouse, years=years, skip_failed=skip_failed)
+    load_staging(
+        spark,
+        f"{lake}/clean",
+        warehouse,
+        years=years,
+        skip_failed=skip_failed,
+        left_out=left_out,
+    )
     report = validate_staging(spark, warehouse)
     star = load_star(spark, warehouse)
     return {**star, "staging_report": report, "star_report": star_tests(star)}

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import logging
+import re
 from collections import Counter
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from urllib.parse import quote, unquote
 
+import pandas as pd
+from pyarrow.fs import FileSystem
+from pyarrow.parquet import ParquetFile
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (
@@ -42,22 +48,27 @@ def read_tree(spark: SparkSession, root: str, schema: StructType | None = None)
 WHOLE_INPUT = r"^(.*?\.parquet)(/.*)?$"
 PARENT_FOLDER = r"^(.*)/[^/]+$"
 
-FOOTER_READERS = 16
+# Threads that ask Spark for one schema each, and files whose footers a task reads.
+SCHEMA_READERS = 16
+FOOTERS_PER_TASK = 64
 
 
 @dataclass(frozen=True)
 class Input:
-    """A monthly input (a file or a folder of part files) and one file of it."""
+    """A monthly input (a file or a folder of part files) and its files, sorted."""
 
     path: str
-    sample: str
+    files: tuple[str, ...]
+
+    @property
+    def sample(self) -> str:
+        return self.files[0]
 
 
 def list_inputs(spark: SparkSession, pattern: str, unit: str = WHOLE_INPUT) -> list[Input]:
     """Parquet inputs matched by a glob; ``unit`` tells a file's input from its path.
 
-    Spark lists the files, at any depth, and looks at their names only. What comes to
-    the driver is one row per monthly input, however many part files it has.
+    Spark lists the files, at any depth; no job reads them. Only names come to the driver.
     """
     try:
         files = (
@@ -65,25 +76,100 @@ def list_inputs(spark: SparkSession, pattern: str, unit: str = WHOLE_INPUT) -> l
             .option("recursiveFileLookup", True)
             .option("pathGlobFilter", "*.parquet")
             .load(pattern)
+            .inputFiles()
         )
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return []
-    inputs = files.groupBy(F.regexp_extract("path", unit, 1).alias("input")).agg(
-        F.min("path").alias("sample")
-    )
-    return sorted((Input(r.input, r.sample) for r in inputs.collect()), key=lambda i: i.path)
+    inputs: dict[str, list[str]] = {}
+    for file in sorted(unquote(f) for f in files):
+        inputs.setdefault(re.match(unit, file).group(1), []).append(file)
+    return [Input(path, tuple(files)) for path, files in sorted(inputs.items())]
 
 
 @dataclass(frozen=True)
 class Scan:
-    """Inputs that share one schema, as one frame."""
+    """Inputs whose files, or some of whose files, share one schema, as one frame."""
 
     df: DataFrame
     inputs: tuple[Input, ...]
 
 
+@dataclass(frozen=True)
+class Scans:
+    """The scans of some inputs, and the inputs that were left out as unreadable."""
+
+    scans: tuple[Scan, ...]
+    left_out: tuple[Input, ...] = ()
+
+
+def _footer_marks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A digest of the schema in each file's footer; null where it cannot be read."""
+    for batch in batches:
+        marks = []
+        for path in batch["path"]:
+            try:
+                system, name = FileSystem.from_uri(path)
+                with system.open_input_file(name) as file:
+                    footer = ParquetFile(file)
+                    own = (footer.metadata.metadata or {}).get(SPARK_SCHEMA, b"")
+                    # The first line of the text is the object's address.
+                    text = str(footer.schema).split("\n", 1)[-1]
+                marks.append(hashlib.sha256(own + text.encode()).hexdigest())
+            except Exception:  # Spark tries these again, and says why it cannot.
+                marks.append(None)
+        yield pd.DataFrame({"path": batch["path"], "mark": marks})
+
+
+# Fixed value: the footer entry under which Spark keeps its own form of the schema.
+SPARK_SCHEMA = b"org.apache.spark.sql.parquet.row.metadata"
+
+
+def _schemas_of_files(spark: SparkSession, files: Sequence[str]) -> dict[str, str | Exception]:
+    """Each file's schema as JSON, or the error that reading it gives.
+
+    Footers are read in tasks, and Spark is asked for the schema of one file for each
+    distinct footer. Files in a store that the tasks' own reader does not know are asked
+    for one by one.
+    """
+    if not files:
+        return {}
+
+    def schema_of(file: str) -> str | Exception:
+        try:
+            return spark.read.parquet(literal(file)).schema.json()
+        except Exception as error:
+            return error
+
+    names = spark.createDataFrame(
+        pd.DataFrame({"path": [as_uri(f) for f in files]}), "path string"
+    )
+    read = names.repartition(-(-len(files) // FOOTERS_PER_TASK)).mapInPandas(
+        _footer_marks, "path string, mark string"
+    )
+    marks = {unquote(r.path): r.mark for r in read.collect()}
+    first: dict[str, str] = {}
+    for file in files:
+        first.setdefault(marks[unquote(as_uri(file))] or file, file)
+    with ThreadPoolExecutor(SCHEMA_READERS) as pool:
+        schemas = dict(zip(first, pool.map(schema_of, first.values())))
+    return {file: schemas[marks[unquote(as_uri(file))] or file] for file in files}
+
+
+def as_uri(path: str) -> str:
+    """A path as Spark lists it, with what a URI cannot hold escaped."""
+    scheme, colon, rest = path.partition(":/")
+    if not colon:
+        return quote(path)
+    return f"{scheme}:/{quote(rest)}"
+
+
+def literal(path: str) -> str:
+    """A path in which no sign is taken for a glob."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def scan_by_schema(
     spark: SparkSession,
     inputs: Iterable[Input],
@@ -91,90 +177,137 @@ def scan_by_schema(
     base: str | None = None,
     partitions: str = "",
     skip_unreadable: bool = False,
-) -> list[Scan]:
-    """One scan per distinct schema among ``inputs``.
+) -> Scans:
+    """One scan per distinct schema among the files of ``inputs``.
 
     Inputs that are folders of a layer below ``base`` also get its ``partitions``, given
     as column definitions.
 
-    Monthly inputs differ in columns and types. Reading them as one would either fail
-    or fill absent columns with nulls, for which cleaning then drops the whole month.
-    One footer per input is read, several at a time. An input whose footer cannot be read is an error, or
-    is logged and left out.
+    Monthly inputs, and the part files of one input, differ in columns and types. Reading
+    them as one would either fail or fill absent columns with nulls, for which cleaning
+    then drops their rows. An input whose parts differ takes part in several scans. One
+    with a file that cannot be read is an error, or is logged and left out as a whole.
     """
-    def schema_of(item: Input) -> str | Exception:
-        try:
-            return spark.read.parquet(item.sample).schema.json()
-        except Exception as error:
-            return error
-
     inputs = list(inputs)
-    with ThreadPoolExecutor(FOOTER_READERS) as pool:
-        schemas = list(pool.map(schema_of, inputs))
-    groups: dict[str, list[Input]] = {}
-    for item, schema in zip(inputs, schemas):
-        if isinstance(schema, str):
-            groups.setdefault(schema, []).append(item)
-        elif skip_unreadable:
-            log.error("left out %s: %s", item.path, schema)
-        else:
-            raise schema
+    schemas = _schemas_of_files(spark, [f for item in inputs for f in item.files])
+    groups: dict[str, dict[Input, list[str]]] = {}
+    left_out = []
+    for item in inputs:
+        errors = [schemas[f] for f in item.files if isinstance(schemas[f], Exception)]
+        if errors and not (skip_unreadable and is_input_fault(errors[0])):
+            raise errors[0]
+        if errors:
+            log.error("left out %s: %s", item.path, errors[0])
+            left_out.append(item)
+            continue
+        for file in item.files:
+            groups.setdefault(schemas[file], {}).setdefault(item, []).append(file)
     reader = spark.read.option("basePath", base) if base else spark.read
     scans = []
     for schema, items in groups.items():
         columns = StructType.fromJson(json.loads(schema)).fields
         known = StructType([*columns, *StructType.fromDDL(partitions).fields])
-        scan = reader.schema(known).parquet(*[i.path for i in items])
+        paths = []
+        for item, files in items.items():
+            paths += [item.path] if len(files) == len(item.files) else files
+        scan = reader.schema(known).parquet(*map(literal, paths))
         scans.append(Scan(scan, tuple(items)))
-    return scans
+    return Scans(tuple(scans), tuple(left_out))
+
+
+# Conditions under which Spark reports a file it cannot read, or a column that is absent.
+INPUT_FAULTS = (
+    "FAILED_READ_FILE",
+    "CANNOT_READ_FILE_FOOTER",
+    "PARQUET_COLUMN_DATA_TYPE_MISMATCH",
+    "UNABLE_TO_INFER_SCHEMA",
+    "UNRESOLVED_COLUMN",
+)
+
+
+def is_input_fault(error: Exception) -> bool:
+    """Whether an error comes from an input's own data rather than from the cluster.
+
+    A lost store, a full disk, a target that cannot be written or too little memory are
+    no reason to leave out an input.
+    """
+    if isinstance(error, AnalysisException):
+        return (error.getCondition() or "").startswith(INPUT_FAULTS)
+    return any(f"[{fault}" in str(error) for fault in INPUT_FAULTS)
 
 
+# A layout that ends in "*.parquet" has inputs that are files or folders of that name; one
+# that ends in "/" has a folder as the input, whatever the part files in it are called.
 LAYOUT = "{base}/{year}/{service}/*.parquet"
 
 
+def _segments(layout: str) -> list[str]:
+    return layout.rstrip("/").split("/")
+
+
 def _year_segment(layout: str) -> tuple[int, str]:
-    """Where a layout has the year: segments from the file's end, and text before it."""
-    segments = layout.split("/")
-    for back, segment in enumerate(reversed(segments), 1):
+    """Where a layout has the year: segments from the input's end, and text before it."""
+    for back, segment in enumerate(reversed(_segments(layout)), 1):
         if segment.endswith("{year}"):
             return back, segment.removesuffix("{year}")
     raise ValueError(f"no {{year}} at the end of a folder name in {layout}")
 
 
+def _own_segments(layout: str) -> int:
+    """How many segments at the end of a layout name an input within its year and service."""
+    segments = _segments(layout)
+    own = next(n for n, segment in enumerate(reversed(segments)) if "{" in segment)
+    return max(own, 1)
+
+
+def _end_of_path(path: Column, layout: str, segments: int) -> Column:
+    """The last segments of the path of the input that a file belongs to.
+
+    Plain text functions, as this runs for every row of a delivery.
+    """
+    if layout.endswith("/"):
+        end = F.substring_index(path, "/", -segments - 1)
+        return F.substring_index(end, "/", segments)
+    return F.substring_index(F.substring_index(path, ".parquet", 1), "/", -segments)
+
+
+def _unescaped(path: Column) -> Column:
+    """The text of a path that Spark gives with blanks and other signs escaped."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def year_of_path(path: Column, layout: str = LAYOUT) -> Column:
     """The year a file was delivered for, as its layout gives it."""
     back, before = _year_segment(layout)
-    whole = F.substring_index(path, ".parquet", 1)
-    segment = F.substring_index(F.substring_index(whole, "/", -back), "/", 1)
+    segment = F.substring_index(_end_of_path(path, layout, back), "/", 1)
     return F.substr(segment, F.lit(len(before) + 1)).cast("int")
 
 
-def _own_segments(layout: str) -> int:
-    """How many segments at the end of a layout name an input within its year and service."""
-    segments = layout.split("/")
-    return next(n for n, segment in enumerate(reversed(segments)) if "{" in segment)
-
-
 def source_of_path(path: Column, layout: str = LAYOUT) -> Column:
     """Name of the monthly input a file belongs to: itself, or the folder of its parts.
 
-    Folders that the layout has below year and service are part of the name. Plain text
-    functions, as this runs for every row of a delivery.
+    ``path`` is as ``_metadata.file_path`` gives it. Folders that the layout has below year
+    and service are part of the name.
     """
     own = _own_segments(layout)
-    name = F.substring_index(F.substring_index(path, ".parquet", 1), "/", -own)
+    name = _unescaped(_end_of_path(path, layout, own))
     return name if own == 1 else F.replace(name, F.lit("/"), F.lit("-"))
 
 
+def _end_of_input(path: str, layout: str, segments: int) -> list[str]:
+    whole = path if layout.endswith("/") else path.split(".parquet")[0]
+    return whole.split("/")[-segments:]
+
+
 def input_year(path: str, layout: str) -> str:
     """As ``year_of_path``, for the path of one input."""
     back, before = _year_segment(layout)
-    return path.split(".parquet")[0].split("/")[-back].removeprefix(before)
+    return _end_of_input(path, layout, back)[0].removeprefix(before)
 
 
 def input_name(path: str, layout: str) -> str:
     """As ``source_of_path``, for the path of one input."""
-    return "-".join(path.split(".parquet")[0].split("/")[-_own_segments(layout) :])
+    return "-".join(_end_of_input(path, layout, _own_segments(layout)))
 
 
 def find_service_inputs(
@@ -190,7 +323,10 @@ def find_service_inputs(
     for service in services:
         any_year = "{" + ",".join(years) + "}"
         pattern = layout.format(base=base.rstrip("/"), year=any_year, service=service)
-        inputs = list_inputs(spark, pattern)
+        if layout.endswith("/"):
+            inputs = list_inputs(spark, f"{pattern}*.parquet", PARENT_FOLDER)
+        else:
+            inputs = list_inputs(spark, pattern)
         counts = Counter(input_year(item.path, layout) for item in inputs)
         for year in years:
             if counts[year]:

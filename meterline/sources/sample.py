@@ -131,4 +131,4 @@ def land_sample(spark: SparkSession, folder: str, base: str) -> str:
             .parquet(f"{base}/{service}")
         )
     sample_zones(spark, folder).write.mode("overwrite").csv(f"{base}/zones", header=True)
-    return "{base}/{service}/year={year}/*.parquet"
+    return "{base}/{service}/year={year}/"

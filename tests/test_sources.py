@@ -115,7 +115,9 @@ def test_scans_are_grouped_by_schema(spark, tmp_path, caplog):
     inputs = list_inputs(spark, f"{tmp_path}/*.parquet")
     with pytest.raises(Exception, match="d.parquet"):
         scan_by_schema(spark, inputs)
-    scans = scan_by_schema(spark, inputs, skip_unreadable=True)
+    found = scan_by_schema(spark, inputs, skip_unreadable=True)
+    assert [i.path[-9:] for i in found.left_out] == ["d.parquet"]
+    scans = found.scans
     assert [(len(s.inputs), s.df.count()) for s in scans] == [(2, 3), (1, 3)]
     assert "d.parquet" in caplog.text
 
