@@ -452,6 +452,12 @@ FROM trips JOIN zones ON PULocationID = LocationID""",
         f"""SELECT * EXCLUDE (service_type), {_SERVICE_FOLDER} AS service,
         year(pickup_datetime)::INTEGER AS batch_year FROM clean""",
     ),
+    "drifted_parts": _sql(
+        "clean",
+        f"""SELECT * EXCLUDE (service_type), {_SERVICE_FOLDER} AS service,
+        year(pickup_datetime)::INTEGER AS batch_year,
+        CASE WHEN "VendorID" = 1 THEN 0.75::DOUBLE END AS cbd_fee FROM clean""",
+    ),
     "catalog_tables": _sql(
         "fact",
         """SELECT service_type_id, service_name, count(*) AS trips,

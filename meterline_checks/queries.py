@@ -381,6 +381,22 @@ def convert_layer(spark, sf_dir):
     return spark.read.orc(target).drop("source")
 
 
+def drifted_parts(spark, sf_dir):
+    """Inputs whose part files differ: those of vendor 1 have a column more."""
+    base, layout = landing(spark, sf_dir)
+    delivery, lake, clean = (new_folder(spark, name) for name in ("drifted", "raw", "clean"))
+    more = F.col("VendorID") == 1
+    for service in SERVICES:
+        trips_ = spark.read.parquet(f"{base}/{service}")
+        for part in (trips_.where(more).withColumn("cbd_fee", F.lit(0.75)), trips_.where(~more)):
+            by_year = part.hint("rebalance", F.col("year")).write.mode("append").partitionBy("year")
+            by_year.parquet(f"{delivery}/{service}")
+    years = delivered_years(spark, sf_dir)
+    pipeline.load_raw(spark, delivery, lake, years, layout=layout)
+    pipeline.clean_layer(spark, lake, clean, zones(spark, sf_dir))
+    return spark.read.option("mergeSchema", True).parquet(clean).drop("source")
+
+
 def catalog_tables(spark, sf_dir):
     tag = uuid.uuid4().hex[:12]
     folder = new_folder(spark, "catalog")
@@ -461,6 +477,7 @@ QUERIES: dict[str, Query] = {
     "preview_rows": preview_rows,
     "parquet_roundtrip": parquet_roundtrip,
     "convert_layer": convert_layer,
+    "drifted_parts": drifted_parts,
     "catalog_tables": catalog_tables,
     "full_run": full_run,
 }
