@@ -121,9 +121,9 @@ def _replace_sources(
 ) -> list[Input]:
     """Replace the source folders of a layer by the rows of their inputs.
 
-    Inputs of one schema are written together. One whose part files differ is written by
-    itself: its first schema replaces the folder, the others are appended, so that each
-    file keeps its own columns. Returns the inputs that were left out; their folders stay
+    Inputs of one schema are written together. Of those whose part files differ, one schema
+    replaces the folder and the others are appended, so that each file keeps its own
+    columns. Returns the inputs that were left out; their folders stay
     as they were.
     """
     target = f"{layer}/service={service}"
@@ -152,20 +152,25 @@ def _replace_sources(
     done, failed = _each_scan(spark, steady, replace, base=base, skip_failed=skip_failed)
     empty_unreplaced(done)
     left_out += failed
-    for item in drifting:
-        if skip_failed:
-            # All parts are tried before the first of them replaces the earlier rows.
-            _, failed = _each_scan(
-                spark, [item], lambda scan: _try(rows(scan)), base=base, skip_failed=True
-            )
-            if failed:
-                left_out += failed
-                continue
-        first, *others = _scans(spark, [item], base, False).scans
-        replace(first)
-        empty_unreplaced([item])
-        for scan in others:
-            rows(scan).write.partitionBy(*PARTITIONS).mode("append").parquet(target)
+    if skip_failed and drifting:
+        # All parts are tried before the first of them replaces the earlier rows.
+        drifting, failed = _each_scan(
+            spark, drifting, lambda scan: _try(rows(scan)), base=base, skip_failed=True
+        )
+        left_out += failed
+    begun: set[Input] = set()
+    later = []
+    for scan in _scans(spark, drifting, base, False).scans:
+        again = [item for item in scan.inputs if item in begun]
+        fresh = [item for item in scan.inputs if item not in begun]
+        if fresh:
+            replace(scan.part(fresh))
+            begun.update(fresh)
+        if again:
+            later.append(scan.part(again))
+    empty_unreplaced(drifting)
+    for scan in later:
+        rows(scan).write.partitionBy(*PARTITIONS).mode("append").parquet(target)
     return left_out
 
 

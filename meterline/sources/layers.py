@@ -7,7 +7,7 @@ import json
 import logging
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from urllib.parse import quote, unquote
@@ -94,6 +94,8 @@ class Scan:
 
     df: DataFrame
     inputs: tuple[Input, ...]
+    #: The same for some of the inputs.
+    part: Callable[[Iterable[Input]], Scan]
 
 
 @dataclass(frozen=True)
@@ -202,19 +204,28 @@ def scan_by_schema(
             continue
         for file in item.files:
             groups.setdefault(schemas[file], {}).setdefault(item, []).append(file)
-    reader = spark.read.option("basePath", base) if base else spark.read
     scans = []
     for schema, items in groups.items():
         columns = StructType.fromJson(json.loads(schema)).fields
         known = StructType([*columns, *StructType.fromDDL(partitions).fields])
-        paths = []
-        for item, files in items.items():
-            paths += [item.path] if len(files) == len(item.files) else files
-        scan = reader.schema(known).parquet(*map(literal, paths))
-        scans.append(Scan(scan, tuple(items)))
+        scans.append(_scan(spark, base, known, items))
     return Scans(tuple(scans), tuple(left_out))
 
 
+def _scan(
+    spark: SparkSession, base: str | None, schema: StructType, items: Mapping[Input, list[str]]
+) -> Scan:
+    paths = []
+    for item, files in items.items():
+        paths += [item.path] if len(files) == len(item.files) else files
+    reader = spark.read.option("basePath", base) if base else spark.read
+    return Scan(
+        reader.schema(schema).parquet(*map(literal, paths)),
+        tuple(items),
+        lambda some: _scan(spark, base, schema, {item: items[item] for item in some}),
+    )
+
+
 # Conditions under which Spark reports a file it cannot read, or a column that is absent.
 INPUT_FAULTS = (
     "FAILED_READ_FILE",
