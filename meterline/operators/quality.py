@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..schemas import COORDINATES
+from .joins import fits_broadcast
 
 
 @dataclass(frozen=True)
@@ -191,10 +192,10 @@ def _named(counts: DataFrame, model: str, test: str) -> DataFrame:
     )
 
 
-def not_null_tests(star: Mapping[str, DataFrame]) -> DataFrame:
-    return _stack(
-        _named(failed_not_null(star[m], columns), m, "not_null") for m, columns in NOT_NULL.items()
-    )
+def not_null_tests(
+    star: Mapping[str, DataFrame], models: Iterable[str] = tuple(NOT_NULL)
+) -> DataFrame:
+    return _stack(_named(failed_not_null(star[m], NOT_NULL[m]), m, "not_null") for m in models)
 
 
 def unique_tests(star: Mapping[str, DataFrame]) -> DataFrame:
@@ -209,10 +210,48 @@ def relationship_tests(star: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def fact_tests(star: Mapping[str, DataFrame]) -> DataFrame:
+    """Missing values and orphans of the fact, in one pass over it.
+
+    The distinct keys of small parents (counted first) are broadcast to the fact, and one
+    aggregation counts everything. A parent too large for that is tested by itself.
+    """
+    fact, counts, apart = star["factTrip"], [], []
+    for c in NOT_NULL["factTrip"]:
+        counts.append((c, "not_null", F.count_if(F.col(c).isNull())))
+    looked_up = fact
+    for i, (c, m) in enumerate(RELATIONSHIPS.items()):
+        if not fits_broadcast(star[m]):
+            apart.append(_named(failed_relationship(fact, c, star[m]), "factTrip", "relationships"))
+            continue
+        known = f"_known{i}"
+        keys = star[m].select(c).where(F.col(c).isNotNull()).distinct().withColumn(known, F.lit(True))
+        looked_up = looked_up.join(F.broadcast(keys), c, "left")
+        orphan = F.col(c).isNotNull() & F.col(known).isNull()
+        counts.append((c, "relationships", F.count_if(orphan)))
+    totals = looked_up.agg(*[count.alias(f"n{i}") for i, (_, _, count) in enumerate(counts)])
+    rows = [
+        F.struct(F.lit(c).alias("column"), F.lit(t).alias("test"), F.col(f"n{i}").alias("failures"))
+        for i, (c, t, _) in enumerate(counts)
+    ]
+    together = totals.select(F.inline(F.array(*rows))).select(
+        F.lit("factTrip").alias("model"),
+        "column",
+        "test",
+        "failures",
+        (F.col("failures") == 0).alias("success"),
+    )
+    return _stack([together, *apart])
+
+
 def _stack(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
 def star_tests(star: Mapping[str, DataFrame]) -> DataFrame:
-    """All 35 column tests: model, column, test, failures, success."""
-    return _stack((not_null_tests(star), unique_tests(star), relationship_tests(star)))
+    """All 35 column tests: model, column, test, failures, success.
+
+    Sizes of the dimensions are counted while the plan is built; the fact is read once.
+    """
+    dimensions = [m for m in NOT_NULL if m != "factTrip"]
+    return _stack((not_null_tests(star, dimensions), unique_tests(star), fact_tests(star)))

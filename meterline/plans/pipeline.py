@@ -11,6 +11,7 @@ from collections import Counter
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from datetime import datetime, timezone
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
@@ -22,10 +23,10 @@ from ..operators.grouping import staging_input, staging_rows
 from ..operators.joins import fits_broadcast
 from ..operators.quality import STAGING_SUITE, Expectation, star_tests, validate
 from ..operators.star import build_star
-from ..schemas import SERVICES, STAGING
+from ..schemas import SERVICES, STAGING, STAR
 from ..sinks.jdbc import append_jdbc
 from ..sinks.layers import write_layer
-from ..sinks.tables import create_schema, create_table, reset_schema, save_table
+from ..sinks.tables import create_schema, create_table, exchange_tables, name_beside, reset_schema
 from ..sources.layers import (
     LAYOUT,
     PARENT_FOLDER,
@@ -43,7 +44,7 @@ from ..sources.layers import (
     union_drifted,
     year_of_path,
 )
-from ..sources.warehouse import read_staging
+from ..sources.warehouse import read_staging, read_star
 
 log = logging.getLogger(__name__)
 
@@ -506,6 +507,7 @@ def load_staging(
     append: bool = False,
     skip_failed: bool = False,
     left_out: list[str] | None = None,
+    compact: bool = False,
 ) -> DataFrame:
     """Replace the years the clean trips belong to in the staging table, or append to it.
 
@@ -513,7 +515,9 @@ def load_staging(
     back must not replace that year's rows. A year of a service that was asked for and
     has no rows any more leaves the table. With ``skip_failed``, sources that cannot be
     read or staged are left out and added to ``left_out``; a year of a service that is
-    staged already and of which a source was left out stays as it is.
+    staged already and of which a source was left out stays as it is. ``compact`` shuffles
+    the grouped rows once more by year and service (splitting large ones), so that not
+    every task writes a file for each of them.
     """
     table = warehouse.staging_table
     years = None if years is None else list(years)
@@ -527,6 +531,8 @@ def load_staging(
         if rows is None:
             return
         columns = spark.table(table).columns
+        if compact:
+            rows = rows.hint("rebalance", F.col("batch_year"), F.col("service_type"))
         rows.select(*columns).write.insertInto(table, overwrite=not append)
         if append:
             return
@@ -582,21 +588,41 @@ def validate_staging(
     *,
     results: str | None = None,
 ) -> DataFrame:
-    """Hold the stored staging table to a suite; keeps the report where asked to."""
+    """Hold the stored staging table to a suite; returns the report of this run.
+
+    ``results`` is a folder that keeps the reports of all runs, told apart by ``run_at``.
+    """
     report = validate(read_staging(spark, warehouse.staging_table), suite)
     if results:
-        report.write.mode("overwrite").parquet(results)
-        report = spark.read.schema(report.schema).parquet(results)
+        run_at = F.lit(datetime.now(timezone.utc))
+        kept = report.withColumn("run_at", run_at)
+        kept.write.mode("append").parquet(results)
+        kept = spark.read.schema(kept.schema).parquet(results)
+        report = kept.where(F.col("run_at") == run_at).drop("run_at")
     return report
 
 
 def load_star(spark: SparkSession, warehouse: Warehouse) -> dict[str, DataFrame]:
-    """Build the six dimensions and then the fact as stored tables."""
+    """Build the six dimensions and then the fact as stored tables.
+
+    All seven are written beside the stored ones and exchanged once all are finished, so
+    a build that fails leaves the star of the run before.
+    """
+    tables = [f"{warehouse.production}.{name}" for name in STAR]
+    beside = {table: name_beside(table) for table in tables}
 
     def store(name: str, df: DataFrame) -> DataFrame:
-        return save_table(df, f"{warehouse.production}.{name}")
+        new = beside[f"{warehouse.production}.{name}"]
+        df.write.saveAsTable(new)
+        return spark.table(new)
 
-    return build_star(read_staging(spark, warehouse.staging_table), store)
+    try:
+        build_star(read_staging(spark, warehouse.staging_table), store)
+        exchange_tables(spark, beside)
+    finally:
+        for new in beside.values():
+            spark.sql(f"DROP TABLE IF EXISTS {new}")
+    return read_star(spark, warehouse.production)
 
 
 def run_all(

@@ -15,13 +15,17 @@ def append_jdbc(
     *,
     mode: str = "append",
     rows_per_insert: int = 10_000,
+    writers: int | None = None,
 ) -> None:
     """Write rows over JDBC, each partition in its own transaction.
 
-    As many connections are open as tasks run at a time. A task whose executor is lost
+    As many connections are open as tasks run at a time, ``writers`` at most if given;
+    that merges partitions and leaves no row out. A task whose executor is lost
     after it committed runs again, so appended rows can come twice; load into an empty
     batch table (``mode="overwrite"``) and exchange it in the database where that
     matters, or use the catalog table, which is replaced as a whole.
     """
     settings = {"batchsize": str(rows_per_insert), **properties}
+    if writers is not None:
+        settings["numPartitions"] = str(writers)
     df.write.jdbc(url=url, table=table, mode=mode, properties=settings)

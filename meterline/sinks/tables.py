@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -46,6 +47,30 @@ def create_table(
 
 
 def save_table(df: DataFrame, table: str, *, fmt: str = "parquet") -> DataFrame:
-    """Replace a table by the rows of ``df`` and return it as stored."""
-    df.write.format(fmt).mode("overwrite").saveAsTable(table)
-    return df.sparkSession.table(table)
+    """Replace a table by the rows of ``df`` and return it as stored.
+
+    The rows are written beside the table first, so a failed write leaves the old one.
+    """
+    spark = df.sparkSession
+    beside = name_beside(table)
+    try:
+        df.write.format(fmt).saveAsTable(beside)
+        exchange_tables(spark, {table: beside})
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {beside}")
+    return spark.table(table)
+
+
+def name_beside(table: str) -> str:
+    """A new name in the schema of ``table``."""
+    return f"{table}__{uuid.uuid4().hex}"
+
+
+def exchange_tables(spark: SparkSession, beside: Mapping[str, str]) -> None:
+    """Put finished tables, unpartitioned ones, in the place of the tables they stand for.
+
+    Each exchange is a drop and a rename in the catalog, without any rows.
+    """
+    for table, new in beside.items():
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql(f"ALTER TABLE {new} RENAME TO {table}")

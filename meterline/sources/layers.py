@@ -18,11 +18,15 @@ from pyarrow.parquet import ParquetFile
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (
+    ByteType,
     DataType,
+    DecimalType,
     DoubleType,
-    FractionalType,
+    FloatType,
+    IntegerType,
     IntegralType,
     LongType,
+    ShortType,
     StringType,
     StructType,
     TimestampNTZType,
@@ -356,18 +360,29 @@ def _common_type(kinds: set[DataType]) -> DataType:
         return next(iter(kinds))
     if all(isinstance(k, IntegralType) for k in kinds):
         return LongType()
-    if all(isinstance(k, (IntegralType, FractionalType)) for k in kinds):
+    if all(isinstance(k, (IntegralType, DecimalType)) for k in kinds):
+        exact = [_as_decimal(k) for k in kinds]
+        scale = max(k.scale for k in exact)
+        digits = max(k.precision - k.scale for k in exact) + scale
+        return DecimalType(digits, scale) if digits <= 38 else StringType()
+    if all(isinstance(k, (ByteType, ShortType, IntegerType, FloatType, DoubleType)) for k in kinds):
         return DoubleType()
     if all(isinstance(k, (TimestampType, TimestampNTZType)) for k in kinds):
         return TimestampNTZType()
     return StringType()
 
 
+def _as_decimal(kind: DataType) -> DecimalType:
+    return kind if isinstance(kind, DecimalType) else DecimalType(19, 0)
+
+
 def union_drifted(frames: Sequence[DataFrame]) -> DataFrame:
     """All rows of frames that differ in columns, types or letter case of names.
 
-    A column takes the narrowest type that holds every input's values; where an input
-    lacks it, it is null.
+    A column takes a type that holds every input's values: whole numbers are long, whole
+    numbers and decimals a decimal wide enough, numbers of up to 32 bits and floating ones
+    double. What no number type holds without loss (long with double, decimal with double)
+    becomes text. Where an input lacks a column, it is null.
     """
     names: dict[str, str] = {}
     kinds: dict[str, set[DataType]] = {}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+# The measures of a trip.
 MEASURES = (
     "passenger_count",
     "trip_distance",
@@ -100,6 +101,7 @@ staging AS (
              dropoff_latitude, dropoff_longitude, service_type
 )"""
 
+# The texts of the codes.
 VENDOR_NAME = """CASE {0} WHEN 1 THEN 'Creative Mobile Technologies, LLC'
     WHEN 2 THEN 'VeriFone Inc' END"""
 RATE_CODE_TEXT = """CASE {0} WHEN 1 THEN 'Standard rate' WHEN 2 THEN 'JFK' WHEN 3 THEN 'Newark'
@@ -218,6 +220,7 @@ def _suite(table: str, *rows) -> str:
     )
 
 
+# The expectations on staging.
 _STAGING_SUITE = [
     *[
         ("not_null", column, None, None)
@@ -257,26 +260,36 @@ def _orphans(column: str, table: str, parent: str, parent_column: str) -> str:
             SELECT 1 FROM {parent} AS p WHERE p.{parent_column} = c.{column})"""
 
 
+# Table, unique key and required columns of each model.
 _STAR_COLUMNS = {
     "factTrip": (
         "fact",
         None,
-        "vendor_key rate_code_key pickup_location_id dropoff_location_id payment_type_key "
-        "service_type_id passenger_count trip_distance total_amount",
+        (
+            "vendor_key",
+            "rate_code_key",
+            "pickup_location_id",
+            "dropoff_location_id",
+            "payment_type_key",
+            "service_type_id",
+            "passenger_count",
+            "trip_distance",
+            "total_amount",
+        ),
     ),
-    "dimVendor": ("dim_vendor", "vendor_key", "vendor_key vendor_name"),
-    "dimRateCode": ("dim_rate_code", "rate_code_key", "rate_code_key rate_code_description"),
-    "dimPayment": ("dim_payment", "payment_type_key", "payment_type_key payment_description"),
-    "dimService": ("dim_service", "service_type_id", "service_type_id service_name"),
+    "dimVendor": ("dim_vendor", "vendor_key", ("vendor_key", "vendor_name")),
+    "dimRateCode": ("dim_rate_code", "rate_code_key", ("rate_code_key", "rate_code_description")),
+    "dimPayment": ("dim_payment", "payment_type_key", ("payment_type_key", "payment_description")),
+    "dimService": ("dim_service", "service_type_id", ("service_type_id", "service_name")),
     "dimPickupLocation": (
         "dim_pickup_location",
         "pickup_location_id",
-        "pickup_location_id pickup_latitude pickup_longitude",
+        ("pickup_location_id", "pickup_latitude", "pickup_longitude"),
     ),
     "dimDropoffLocation": (
         "dim_dropoff_location",
         "dropoff_location_id",
-        "dropoff_location_id dropoff_latitude dropoff_longitude",
+        ("dropoff_location_id", "dropoff_latitude", "dropoff_longitude"),
     ),
 }
 
@@ -284,7 +297,7 @@ _STAR_COLUMNS = {
 def _star_tests() -> str:
     tests = []
     for model, (table, key, columns) in _STAR_COLUMNS.items():
-        tests += [(model, "not_null", _nulls(c, table)) for c in columns.split()]
+        tests += [(model, "not_null", _nulls(c, table)) for c in columns]
         if key:
             tests.append((model, "unique", _repeated(key, table)))
             tests.append(("factTrip", "relationships", _orphans(key, "fact", table, key)))

@@ -44,9 +44,9 @@ from meterline.schemas import MEASURES, SERVICES, STAGING_AS_DECLARED, conform
 from meterline.session import new_folder, stored
 from meterline.sinks.tables import reset_schema, save_table
 from meterline.sources.layers import read_tree
-from meterline.sources.sample import land_sample
 from meterline.sources.warehouse import read_star
 from meterline.sources.zones import read_zones
+from meterline_checks.sample import land_sample
 
 Query = Callable[[SparkSession, str], DataFrame]
 

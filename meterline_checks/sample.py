@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.joins import fits_broadcast, lookup_join
-from ..schemas import SERVICES
-from ..session import stored
+from meterline.operators.joins import fits_broadcast, lookup_join
+from meterline.schemas import SERVICES
+from meterline.session import stored
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:

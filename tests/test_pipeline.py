@@ -59,7 +59,12 @@ def run(spark, base, tmp_path, zones, warehouse, years=(2023, 2024), **options):
     )
 
 
-def test_full_run(spark, base, tmp_path, zones, warehouse):
+def _half_built(staging, store):
+    store("dimVendor", staging.select("vendor_id"))
+    raise RuntimeError("stopped")
+
+
+def test_full_run(spark, base, tmp_path, zones, warehouse, monkeypatch):
     out = run(spark, base, tmp_path, zones, warehouse)
     staging = read_staging(spark, warehouse.staging_table)
     got = sorted((r.service_type, r.year, r.vendor_id, r.fare_amount) for r in staging.collect())
@@ -80,7 +85,18 @@ def test_full_run(spark, base, tmp_path, zones, warehouse):
     suite = [quality.NotNull("vendor_id"), quality.Between("fare_amount", 0, 12)]
     report = pipeline.validate_staging(spark, warehouse, suite, results=str(tmp_path / "report"))
     assert [r.success for r in report.orderBy("position").collect()] == [True, False]
-    assert spark.read.parquet(str(tmp_path / "report")).count() == 2
+    again = pipeline.validate_staging(spark, warehouse, suite, results=str(tmp_path / "report"))
+    assert again.count() == report.count() == 2
+    kept = spark.read.parquet(str(tmp_path / "report"))
+    assert kept.count() == 4 and kept.select("run_at").distinct().count() == 2
+
+    # A star whose build stops half-way stays as it was.
+    with monkeypatch.context() as m:
+        m.setattr("meterline.plans.pipeline.build_star", _half_built)
+        with pytest.raises(RuntimeError):
+            pipeline.load_star(spark, warehouse)
+    assert sorted(star["factTrip"].collect()) == sorted(out["factTrip"].collect())
+    assert len(spark.catalog.listTables(warehouse.production)) == 7
 
     # Schemas with tables are only dropped on request.
     with pytest.raises(AnalysisException):

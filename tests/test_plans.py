@@ -86,6 +86,15 @@ def test_fact_without_small_dimensions_has_no_broadcast_of_them(staging, monkeyp
     assert text.count("FileScan parquet") == 6
 
 
+def test_star_tests_read_the_fact_once(staging):
+    rows = stored(staging, "staging")
+    tables = star.build_star(rows, lambda name, df: stored(df, name))
+    details = plan(quality.star_tests(tables), "formatted")
+    schemas = re.findall(r"ReadSchema: struct<(.*)>", details)
+    assert sum("total_amount" in s for s in schemas) == 1
+    assert sum("rate_code_key" in s and "payment_type_key" in s for s in schemas) == 1
+
+
 def test_a_suite_is_one_pass(staging):
     rows = stored(staging, "staging")
     details = plan(quality.validate(rows), "formatted")

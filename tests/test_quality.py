@@ -77,6 +77,26 @@ def test_star_has_35_tests(spark):
     assert kinds == {"not_null": 23, "unique": 6, "relationships": 6}
 
 
+def test_large_parents_are_tested_alike(spark, monkeypatch):
+    star = {
+        model: spark.createDataFrame([], ", ".join(f"{c} string" for c in columns))
+        for model, columns in quality.NOT_NULL.items()
+    }
+    fact = quality.NOT_NULL["factTrip"]
+    schema = ", ".join(f"{c} string" for c in fact)
+    star["factTrip"] = spark.createDataFrame([("a",) * len(fact), (None,) * len(fact)], schema)
+    star["dimVendor"] = spark.createDataFrame(
+        [("a", "x"), ("a", "y"), (None, "z")], "vendor_key string, vendor_name string"
+    )
+    small = sorted(quality.fact_tests(star).collect())
+    monkeypatch.setattr("meterline.operators.quality.fits_broadcast", lambda df: False)
+    assert sorted(quality.fact_tests(star).collect()) == small
+    found = {(r.column, r.test): r.failures for r in small}
+    assert found["vendor_key", "relationships"] == 0
+    assert found["rate_code_key", "relationships"] == 1
+    assert found["vendor_key", "not_null"] == 1
+
+
 def test_star_tests_report_failures(spark):
     star = {
         model: spark.createDataFrame([], ", ".join(f"{c} string" for c in columns))

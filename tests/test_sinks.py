@@ -90,6 +90,18 @@ def test_save_table_replaces(spark, tmp_path):
     spark.sql("DROP DATABASE wh_save CASCADE")
 
 
+def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
+    reset_schema(spark, "wh_fail", location=str(tmp_path / "wh"))
+    save_table(spark.range(3).toDF("n"), "wh_fail.t")
+    with pytest.raises(Exception, match="stop here"):
+        save_table(spark.range(2).selectExpr("raise_error('stop here') AS n"), "wh_fail.t")
+    assert spark.table("wh_fail.t").count() == 3
+    assert [t.name for t in spark.catalog.listTables("wh_fail")] == ["t"]
+    # A table can be made from itself.
+    assert save_table(spark.table("wh_fail.t").where("n > 0"), "wh_fail.t").count() == 2
+    spark.sql("DROP DATABASE wh_fail CASCADE")
+
+
 class Frame:
     """Records what would be written over JDBC."""
 
@@ -105,6 +117,8 @@ def test_jdbc_append_passes_the_settings_on():
     frame = Frame()
     append_jdbc(frame, "jdbc:x", "staging.trips", {"user": "u", "batchsize": "5"})
     append_jdbc(frame, "jdbc:x", "staging.trips", {}, mode="overwrite", rows_per_insert=7)
+    append_jdbc(frame, "jdbc:x", "staging.trips", {}, writers=4)
+    assert frame.calls[2]["properties"] == {"batchsize": "10000", "numPartitions": "4"}
     assert frame.calls[0] == {
         "url": "jdbc:x",
         "table": "staging.trips",

@@ -105,8 +105,8 @@ def test_year_and_source_of_a_path(spark):
 
 def test_scans_are_grouped_by_schema(spark, tmp_path, caplog):
     paths = {
-        "a": spark.range(1).selectExpr("id AS n"),
-        "b": spark.range(2).selectExpr("id AS n"),
+        "a": spark.range(1).selectExpr("CAST(id AS int) AS n"),
+        "b": spark.range(2).selectExpr("CAST(id AS int) AS n"),
         "c": spark.range(3).selectExpr("CAST(id AS double) AS N", "'x' AS extra"),
     }
     for name, df in paths.items():
@@ -134,11 +134,21 @@ def test_union_drifted_types(spark):
 
     assert kinds("int", "int") == "int"
     assert kinds("int", "bigint") == "bigint"
-    assert kinds("bigint", "float") == "double"
+    assert kinds("int", "float") == "double"
+    assert kinds("bigint", "float") == "string"
+    assert kinds("decimal(10,2)", "double") == "string"
+    assert kinds("decimal(20,19)", "bigint") == "decimal(38,19)"
+    assert kinds("decimal(10,2)", "decimal(8,4)") == "decimal(12,4)"
+    assert kinds("decimal(38,30)", "bigint") == "string"
     assert kinds("timestamp", "timestamp_ntz") == "timestamp_ntz"
     assert kinds("int", "string") == "string"
 
 
+def test_union_drifted_loses_no_digit(spark):
+    frames = [spark.sql("SELECT 9007199254740993L AS c"), spark.sql("SELECT 0.5D AS c")]
+    assert {r.c for r in union_drifted(frames).collect()} == {"9007199254740993", "0.5"}
+
+
 def test_zones_have_fixed_types_and_nulls(spark, tmp_path):
     path = tmp_path / "zones.csv"
     path.write_text(
