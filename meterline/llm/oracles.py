@@ -112,6 +112,22 @@ SELECT doc_id, min(s.line_no)::INTEGER AS first_line, max(s.line_no)::INTEGER AS
 FROM islands JOIN seqs s USING (doc_id, seq) GROUP BY doc_id, island
 """
 
+_OP7_ALL = r"""
+WITH lines AS (
+  SELECT doc_id, lower(trim(unnest(string_split(text, chr(10))), ' ' || chr(9) || chr(13) || chr(11) || chr(12))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no
+  FROM documents WHERE text IS NOT NULL
+), seqs AS (
+  SELECT doc_id, line_no, row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS seq,
+         row_number() OVER (PARTITION BY line ORDER BY doc_id, line_no) AS k
+  FROM lines WHERE line <> ''
+), islands AS (
+  SELECT doc_id, line_no, seq - row_number() OVER (PARTITION BY doc_id ORDER BY seq) AS island FROM seqs WHERE k > 1
+)
+SELECT doc_id, min(line_no)::INTEGER AS first_line, max(line_no)::INTEGER AS last_line, count(*)::INTEGER AS n_lines
+FROM islands GROUP BY doc_id, island
+"""
+
 _OP8 = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -164,6 +180,7 @@ ORACLES = {
     "op1_mtree_top_k": _OP1,
     "op2_hash_threshold_mix": _OP2,
     "op3_line_hashing": _OP3,
+    "op7_all_repeated_lines": _OP7_ALL,
     "op7_suffix_runs": _OP7,
     "op8_signature_trees": _OP8,
     "op10_url_rules": _OP10,
