@@ -10,6 +10,12 @@ Defined results: offsets count characters of the original text, end exclusive. N
 empty texts have no units. Rows with a null id come last in rank. Rows with equal ids and
 equal offsets are one occurrence, so repeated rows do not remove each other. Only the id
 and the text are read from the documents.
+
+``passage_units`` cuts so that every word lies in a unit: whole paragraphs (between blank
+lines), whole lines of any length, and sentences, short ones with the next of their line (at
+its end the last before) until there are enough words. Spans of these overlap and are
+merged on removal. What is removed stands at an earlier place too, so the earliest copy
+of every text stays.
 """
 
 from __future__ import annotations
@@ -40,8 +46,49 @@ def text_units(text: str, min_words: int) -> list[tuple[int, int, str]]:
     return out
 
 
-def units(docs: DataFrame, min_words: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, unit_start, unit_end and digest of every long enough unit."""
+def _plain(text: str) -> str:
+    return " ".join(w for w in _BLANKS.split(text.lower().replace("\n", " ")) if w)
+
+
+def passage_units(text: str, min_words: int) -> list[tuple[int, int, str]]:
+    """(start, end, normalised text) of paragraphs, lines and sentences; every word is in one."""
+    spans: set[tuple[int, int]] = set()
+    start, opened, closed = 0, None, 0
+    for line in text.split("\n"):
+        end = start + len(line)
+        if not _plain(line):
+            if opened is not None:
+                spans.add((opened, closed))
+            opened = None
+        else:
+            opened, closed = (start if opened is None else opened), end
+            spans.add((start, end))
+            pieces, at = [], start
+            for piece in re.split(r"(?<=[.!?]) ", line):
+                words = len(_plain(piece).split(" ")) if _plain(piece) else 0
+                pieces.append((at, at + len(piece), words))
+                at += len(piece) + 1
+            for i in range(len(pieces)):
+                first = last = i
+                words = pieces[i][2]
+                while words < min_words and last + 1 < len(pieces):
+                    last += 1
+                    words += pieces[last][2]
+                while words < min_words and first > 0:
+                    first -= 1
+                    words += pieces[first][2]
+                if words >= min_words:
+                    spans.add((pieces[first][0], pieces[last][1]))
+        start = end + 1
+    if opened is not None:
+        spans.add((opened, closed))
+    return [(a, b, _plain(text[a:b])) for a, b in sorted(spans)]
+
+
+def units(
+    docs: DataFrame, min_words: int, key: str = "doc_id", text: str = "text", cut=text_units
+) -> DataFrame:
+    """doc_id, unit_start, unit_end and digest of every unit that ``cut`` makes."""
 
     def run(batches):
         digest = xxhash.xxh3_128_digest
@@ -52,7 +99,7 @@ def units(docs: DataFrame, min_words: int, key: str = "doc_id", text: str = "tex
                     doc = None if pd.isna(doc) else int(doc)
                     rows.extend(
                         (doc, a, b, digest(unit.encode("utf-8", "surrogatepass")))
-                        for a, b, unit in text_units(body, min_words)
+                        for a, b, unit in cut(body, min_words)
                     )
                 if len(rows) >= 50_000:
                     yield _frame(rows)
@@ -70,13 +117,15 @@ def _frame(rows: list) -> pd.DataFrame:
     )
 
 
-def repeated_units(docs: DataFrame, *, min_words: int = 8, key: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_units(
+    docs: DataFrame, *, min_words: int = 8, key: str = "doc_id", text: str = "text", cut=text_units
+) -> DataFrame:
     """Every occurrence to remove: doc_id, its span, and the document and offset that stay.
 
     Digests that occur once leave at the first aggregation, and a digest of very many
     occurrences is one row there; the join back spreads over the occurrences.
     """
-    found = units(docs, min_words, key, text)
+    found = units(docs, min_words, key, text, cut)
     rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "unit_start")
     first = (
         found.groupBy("digest")
@@ -111,7 +160,7 @@ def without_units(docs: DataFrame, removed: DataFrame, *, key: str = "doc_id", t
                 parts, at = [], 0
                 for c in cuts:
                     parts.append(body[at : c["unit_start"]])
-                    at = c["unit_end"]
+                    at = max(at, c["unit_end"])
                 body = "".join([*parts, body[at:]])
             out.append(body)
         return pd.Series(out, dtype=object)
