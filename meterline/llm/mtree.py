@@ -7,10 +7,11 @@ neighbours of a metric and an M-tree can search them.
 
 The tree has three levels. A bounded number of routing objects (``pivots``, a documented
 sample) form the root; every vector goes to its nearest one. Below each pivot its rows are
-cut into pages by distance to the pivot, and each page into nodes of ``fan`` entries. A
+dealt to pages by a hash of the id, so pages have no radius and every page of a wanted pivot
+is searched; each page is cut into nodes of ``fan`` entries. A
 node keeps a routing object, its covering radius and its distance to the pivot (parent
-distance); an entry keeps its distance to the node's object. Best-first search takes
-pages and nodes by their lower bound; it leaves out a distance computation where the
+distance); an entry keeps its distance to the node's object. Inside a page best-first search
+takes nodes by their lower bound; it leaves out a distance computation where the
 difference of two stored distances already exceeds the current k-th distance.
 
 Queries travel in blocks. First each searches the pages of its nearest pivot, which gives
