@@ -176,6 +176,85 @@ SELECT page_id, host, path,
 FROM parsed
 """
 
+# CRC-32 of the id's decimal text, bit by bit.
+_OP11 = r"""
+WITH ids AS (
+  SELECT DISTINCT conv_id AS c, conv_id - conv_id % 5 AS base,
+         list_transform(range(1, length(conv_id::VARCHAR) + 1), lambda i: ord(substr(conv_id::VARCHAR, i, 1))::BIGINT) AS codes
+  FROM conversations WHERE conv_id IS NOT NULL
+), heads AS (
+  SELECT c, base, xor(list_reduce(list_prepend(4294967295::BIGINT, codes), lambda crc, b: list_reduce(
+           list_prepend(xor(crc, b), range(8)),
+           lambda x, i: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END)::BIGINT)), 4294967295::BIGINT) % 9 AS h
+  FROM ids
+), turns AS (
+  SELECT conv_id AS c, coalesce("role", '') AS who, coalesce("text", '') AS said,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+           md5(length(coalesce("role", '')) || ':' || coalesce("role", '') || coalesce("text", ''))) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), rebuilt AS (
+  SELECT h.c, 0 AS part, t.pos, t.who, t.said FROM heads h JOIN turns t ON t.c = h.base WHERE t.pos < h.h
+  UNION ALL
+  SELECT h.c, 1, t.pos, t.who, t.said FROM heads h JOIN turns t ON t.c = h.c WHERE t.pos >= h.h
+), numbered AS (
+  SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, pos) AS depth, said, md5(length(who) || ':' || who || said) AS item FROM rebuilt
+), paths AS (
+  SELECT c, depth, strlen(said) AS bytes,
+         string_agg(item, '') OVER (PARTITION BY c ORDER BY depth ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS path
+  FROM numbered
+  UNION ALL SELECT c, 0, 0, '' FROM heads
+), ends AS (
+  SELECT path, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS digest
+  FROM (SELECT c, arg_max(path, depth) AS path FROM paths GROUP BY c) GROUP BY path
+), nodes AS (
+  SELECT path, depth, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(bytes) AS saved,
+         left(path, 32 * (depth::INTEGER - 1)) AS up FROM paths GROUP BY path, depth
+), kids AS (
+  SELECT up, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY up
+), sums AS (
+  SELECT a.path, sum((k.n IS NULL)::BIGINT)::BIGINT AS leaves, sum(b.saved)::BIGINT AS saved
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS at FROM nodes) b
+  JOIN nodes a ON a.path = left(b.path, 32 * b.at::INTEGER) LEFT JOIN kids k ON k.up = b.path GROUP BY a.path
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n, 0) AS n_children,
+       s.leaves AS n_leaves, s.saved AS saved_tokens, coalesce(e.digest, sha256('')) AS ends_sha256
+FROM nodes n JOIN sums s USING (path) LEFT JOIN kids k ON k.up = n.path
+LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.up LEFT JOIN ends e ON e.path = n.path
+"""
+
+_OP12 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), counted AS (
+  SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM words, (SELECT unnest([1, 2, 3, 4]) AS size))
+  GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(f)::BIGINT AS n FROM counted WHERE size = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM counted WHERE size > 1 AND f >= 30
+), cuts AS (
+  SELECT c.lang, c.phrase, c.a, c.k, l.f AS l, r.f AS r, ((2000000::HUGEINT * c.a) // (l.f + r.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates) c
+  JOIN counted l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:c.k], ' ')
+  JOIN counted r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.k + 1:], ' ')
+), best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+  SELECT DISTINCT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, a
+  FROM (SELECT *, unnest(range(1, size - s + 2)) AS i FROM (SELECT *, unnest(range(2, size)) AS s FROM candidates))
+), placed AS (
+  SELECT b.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM best b
+  WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = b.lang AND i.phrase = b.phrase AND 100 * i.a::HUGEINT >= 80 * b.a::HUGEINT)
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM placed JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 ORACLES = {
     "op1_mtree_top_k": _OP1,
     "op2_hash_threshold_mix": _OP2,
@@ -184,4 +263,6 @@ ORACLES = {
     "op7_suffix_runs": _OP7,
     "op8_signature_trees": _OP8,
     "op10_url_rules": _OP10,
+    "op11_prefix_trie": _OP11,
+    "op12_phrases": _OP12,
 }

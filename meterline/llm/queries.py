@@ -6,11 +6,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.llm import (
+    byte_bpe,
     cgk_windows,
     crf_langid,
     line_hashing,
     mixing,
     mtree,
+    phrases,
+    prefix_trie,
     signature_trees,
     suffix_runs,
     token_shards,
@@ -100,6 +103,28 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation takes up to eight turns from the first of its five."""
+    turns = prefix_trie.turns(table(spark, sf_dir, "conversations"))
+    base = F.col("conv_id") - F.col("conv_id") % 5
+    seq, convs = prefix_trie.grafted(turns, base, fold("conv_id", 9), most=8)
+    return prefix_trie.trie(seq, convs)
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = byte_bpe.decode_ids(byte_bpe.encode_texts(table(spark, sf_dir, "documents")))
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -116,5 +141,8 @@ QUERIES = {
         op8_signature_trees,
         op9_token_shards,
         op10_url_rules,
+        op11_prefix_trie,
+        op12_phrases,
+        op13_byte_bpe,
     )
 }
