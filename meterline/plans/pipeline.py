@@ -20,13 +20,25 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..operators.cleaning import clean_trips
 from ..operators.grouping import staging_input, staging_rows
-from ..operators.joins import fits_broadcast
+from ..operators.joins import BROADCAST_ROWS
 from ..operators.quality import STAGING_SUITE, Expectation, star_tests, validate
 from ..operators.star import build_star
 from ..schemas import SERVICES, STAGING, STAR
 from ..sinks.jdbc import append_jdbc
 from ..sinks.layers import write_layer
 from ..sinks.tables import create_schema, create_table, exchange_tables, name_beside, reset_schema
+from ..sources.manifest import (
+    EMPTY,
+    LEFT_OUT,
+    STORED,
+    Entry,
+    File,
+    Key,
+    Manifest,
+    digest,
+    read_manifest,
+    write_manifest,
+)
 from ..sources.layers import (
     LAYOUT,
     PARENT_FOLDER,
@@ -61,14 +73,19 @@ def load_raw(
     services: Sequence[str] = tuple(SERVICES),
     layout: str = LAYOUT,
     skip_failed: bool = False,
+    full: bool = False,
+    mirror: bool = False,
 ) -> list[str]:
     """Bring delivered monthly files into the raw layer, content unchanged.
 
     A job per service and distinct schema takes all years; a row's year and source are
-    read off the path of its file. Returns the inputs that were left out.
+    read off the path of its file. Inputs whose files have the paths, sizes and times that
+    the layer's manifest has are neither opened nor moved, unless ``full`` asks for all.
+    With ``mirror``, sources of the given years that are no longer delivered are emptied
+    (not if nothing at all is found). Returns the inputs that were left out.
     """
     years = list(years)
-    found = find_service_inputs(spark, base, years, services, layout)
+    found = find_service_inputs(spark, base, years, services, layout, stats=True)
 
     def load(service: str) -> list[Input]:
         def rows(scan: Scan) -> DataFrame:
@@ -83,16 +100,20 @@ def load_raw(
         def key(item: Input) -> Key:
             return input_year(item.path, layout), input_name(item.path, layout)
 
-        if len({key(item) for item in found[service]}) < len(found[service]):
+        inputs = found.get(service, [])
+        if len({key(item) for item in inputs}) < len(inputs):
             raise ValueError(f"inputs of {service} that share a year and a name: {base}")
-        return _replace_sources(
-            spark, found[service], rows, raw, service, years, key, skip_failed=skip_failed
+        work = _Work(spark, raw, service, years, key, full=full, skip_failed=skip_failed)
+        stats = {f: s for item in inputs for f, s in zip(item.files, item.stats)}
+        work.known.update(work.manifest.input_schemas(stats))
+        left_out = work.replace(
+            inputs, rows, lambda item: digest(*zip(item.files, item.stats))
         )
+        if mirror:
+            work.empty_others({key(item) for item in inputs})
+        return left_out
 
-    return _side_by_side(load, found)
-
-
-Key = tuple[str, str]  # year of delivery and source
+    return _side_by_side(load, services if mirror and found else found)
 
 
 def _side_by_side(work: Callable[[str], list[Input]], services: Iterable[str]) -> list[str]:
@@ -108,71 +129,161 @@ def _folder_key(folder: Input) -> Key:
     return unquote(year.split("=", 1)[1]), unquote(source.split("=", 1)[1])
 
 
-def _replace_sources(
-    spark: SparkSession,
-    inputs: Sequence[Input],
-    rows: Callable[[Scan], DataFrame],
-    layer: str,
-    service: str,
-    years: Sequence[int] | None,
-    key: Callable[[Input], Key] = _folder_key,
-    *,
-    base: str | None = None,
-    skip_failed: bool = False,
-) -> list[Input]:
-    """Replace the source folders of a layer by the rows of their inputs.
-
-    Inputs of one schema are written together. Of those whose part files differ, one schema
-    replaces the folder and the others are appended, so that each file keeps its own
-    columns. Returns the inputs that were left out; their folders stay
-    as they were.
-    """
-    target = f"{layer}/service={service}"
-
-    def folders() -> dict[Key, Input]:
-        return {_folder_key(f): f for f in layer_inputs(spark, layer, service, years)}
-
-    def empty_unreplaced(items: Iterable[Input]) -> None:
+class _Work:
+    """Keeping the source folders of one service of a layer in step with their inputs."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        layer: str,
+        service: str,
+        years: Sequence[int] | None,
+        key: Callable[[Input], Key] = _folder_key,
+        *,
+        base: str | None = None,
+        full: bool = False,
+        skip_failed: bool = False,
+    ):
+        self.spark, self.layer, self.service, self.years = spark, layer, service, years
+        self.key, self.base, self.full, self.skip_failed = key, base, full, skip_failed
+        self.target = f"{layer}/service={service}"
+        self.manifest: Manifest = read_manifest(spark, layer, service)
+        #: Schemas of input files; what a scan finds in footers is added.
+        self.known: dict[str, str | Exception] = {}
+        self.earlier = self._folders()
+
+    def _folders(self) -> dict[Key, Input]:
+        found = layer_inputs(self.spark, self.layer, self.service, self.years)
+        return {_folder_key(f): f for f in found}
+
+    def replace(
+        self,
+        inputs: Sequence[Input],
+        rows: Callable[[Scan], DataFrame],
+        version: Callable[[Input], str],
+    ) -> list[Input]:
+        """Replace the source folders by the rows of their inputs, where these changed.
+
+        Inputs of one schema are written together. Of those whose part files differ, one
+        schema replaces the folder and the others are appended, so that each file keeps
+        its own columns. Returns the inputs that were left out; their folders stay as they
+        were.
+        """
+        changed = [item for item in inputs if self.full or not self._holds(item, version(item))]
+        if len(changed) < len(inputs):
+            unchanged = len(inputs) - len(changed)
+            log.info("%d of %d sources of %s unchanged", unchanged, len(inputs), self.target)
+        if not changed:
+            return []
+        schemas: dict[Input, set[str]] = {}
+        left_out = self._write(changed, rows, schemas)
+        now = self._folders()
+        entries = []
+        for item in changed:
+            key = self.key(item)
+            state = LEFT_OUT if item in left_out else STORED if key in now else EMPTY
+            own = schemas.get(item, set())
+            # Parts of several schemas are told apart by their footers again.
+            schema = next(iter(own)) if len(own) == 1 else None
+            held = now[key].files if state == STORED else ()
+            stats = item.stats or ((None, None),) * len(item.files)
+            made_from = [
+                File(f, *s, known if isinstance(known := self.known.get(f), str) else None)
+                for f, s in zip(item.files, stats)
+            ]
+            entries.append(
+                Entry(key, version(item), tuple(made_from), tuple(File(f, schema=schema) for f in held), state)
+            )
+        write_manifest(self.spark, self.layer, self.service, entries)
+        return left_out
+
+    def _holds(self, item: Input, version: str) -> bool:
+        key = self.key(item)
+        files = self.earlier[key].files if key in self.earlier else ()
+        return self.manifest.holds(key, version, files)
+
+    def _write(
+        self,
+        inputs: Sequence[Input],
+        rows: Callable[[Scan], DataFrame],
+        schemas: dict[Input, set[str]],
+    ) -> list[Input]:
+        def replace(scan: Scan) -> None:
+            out = rows(scan)
+            note(scan, out)
+            write_layer(out, self.target, partition_by=PARTITIONS)
+
+        def note(scan: Scan, out: DataFrame) -> None:
+            for item in scan.inputs:
+                schemas.setdefault(item, set()).add(_stored_schema(out))
+
+        found = _scans(self.spark, inputs, self.base, self.skip_failed, self.known)
+        steady, drifting, left_out = _by_drift(found)
+        done, failed = _each_scan(
+            self.spark, steady, replace, base=self.base, skip_failed=self.skip_failed, known=self.known
+        )
+        self._empty_unreplaced(done)
+        left_out += failed
+        if self.skip_failed and drifting:
+            # All parts are tried before the first of them replaces the earlier rows.
+            drifting, failed = _each_scan(
+                self.spark,
+                drifting,
+                lambda scan: _try(rows(scan)),
+                base=self.base,
+                skip_failed=True,
+                known=self.known,
+            )
+            left_out += failed
+        begun: set[Input] = set()
+        later = []
+        for scan in _scans(self.spark, drifting, self.base, False, self.known).scans:
+            again = [item for item in scan.inputs if item in begun]
+            fresh = [item for item in scan.inputs if item not in begun]
+            if fresh:
+                replace(scan.part(fresh))
+                begun.update(fresh)
+            if again:
+                later.append(scan.part(again))
+        self._empty_unreplaced(drifting)
+        for scan in later:
+            out = rows(scan)
+            note(scan, out)
+            out.write.partitionBy(*PARTITIONS).mode("append").parquet(self.target)
+        return left_out
+
+    def _empty_unreplaced(self, items: Iterable[Input]) -> None:
         # Overwriting partitions leaves alone those without new rows, but their earlier
         # rows are no longer true. They still hold the files they held before the run, as
         # every run names its files anew.
-        covered = [k for k in map(key, items) if k in earlier]
-        now = folders() if covered else {}
+        covered = [k for k in map(self.key, items) if k in self.earlier]
+        now = self._folders() if covered else {}
         for k in covered:
-            if k in now and now[k].files == earlier[k].files:
-                log.warning("no rows any more in %s", earlier[k].path)
-                schema = spark.read.parquet(literal(earlier[k].path)).schema
-                empty = spark.createDataFrame([], schema)
-                empty.write.mode("overwrite").parquet(earlier[k].path)
-
-    def replace(scan: Scan) -> None:
-        write_layer(rows(scan), target, partition_by=PARTITIONS)
-
-    earlier = folders()
-    steady, drifting, left_out = _by_drift(spark, inputs, base, skip_failed)
-    done, failed = _each_scan(spark, steady, replace, base=base, skip_failed=skip_failed)
-    empty_unreplaced(done)
-    left_out += failed
-    if skip_failed and drifting:
-        # All parts are tried before the first of them replaces the earlier rows.
-        drifting, failed = _each_scan(
-            spark, drifting, lambda scan: _try(rows(scan)), base=base, skip_failed=True
-        )
-        left_out += failed
-    begun: set[Input] = set()
-    later = []
-    for scan in _scans(spark, drifting, base, False).scans:
-        again = [item for item in scan.inputs if item in begun]
-        fresh = [item for item in scan.inputs if item not in begun]
-        if fresh:
-            replace(scan.part(fresh))
-            begun.update(fresh)
-        if again:
-            later.append(scan.part(again))
-    empty_unreplaced(drifting)
-    for scan in later:
-        rows(scan).write.partitionBy(*PARTITIONS).mode("append").parquet(target)
-    return left_out
+            if k in now and now[k].files == self.earlier[k].files:
+                self._empty(self.earlier[k])
+
+    def _empty(self, folder: Input) -> None:
+        log.warning("no rows any more in %s", folder.path)
+        schema = self.spark.read.parquet(literal(folder.path)).schema
+        empty = self.spark.createDataFrame([], schema)
+        empty.write.mode("overwrite").parquet(folder.path)
+
+    def empty_others(self, keys: set[Key]) -> None:
+        """Empty the stored sources that are none of ``keys``."""
+        withdrawn = digest("withdrawn")
+        others = {k: f for k, f in self.earlier.items() if k not in keys}
+        gone = [k for k, f in others.items() if not self.manifest.holds(k, withdrawn, f.files)]
+        for k in gone:
+            self._empty(self.earlier[k])
+        now = self._folders() if gone else {}
+        entries = [Entry(k, withdrawn, (), tuple(map(File, now[k].files)), STORED) for k in gone]
+        write_manifest(self.spark, self.layer, self.service, entries)
+
+
+def _stored_schema(out: DataFrame) -> str:
+    """The schema that files of a partitioned layer get, as their footers will say it."""
+    kept = [StructField(f.name, f.dataType) for f in out.schema.fields if f.name not in PARTITIONS]
+    return StructType(kept).json()
 
 
 def _try(df: DataFrame) -> None:
@@ -180,11 +291,8 @@ def _try(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def _by_drift(
-    spark: SparkSession, inputs: Sequence[Input], base: str | None, skip_failed: bool
-) -> tuple[list[Input], list[Input], list[Input]]:
+def _by_drift(found: Scans) -> tuple[list[Input], list[Input], list[Input]]:
     """Inputs of one schema, those whose parts differ, and those that are unreadable."""
-    found = _scans(spark, inputs, base, skip_failed)
     times = Counter(item for scan in found.scans for item in scan.inputs)
     steady = [item for item, n in times.items() if n == 1]
     drifting = [item for item, n in times.items() if n > 1]
@@ -198,6 +306,7 @@ def _each_scan(
     *,
     base: str | None = None,
     skip_failed: bool = False,
+    known: dict[str, str | Exception] | None = None,
 ) -> tuple[list[Input], list[Input]]:
     """Run a job per distinct schema; where one fails, isolate the inputs that cause it.
 
@@ -206,7 +315,7 @@ def _each_scan(
     a whole. Other failures are raised. Returns the inputs that were run and those that
     were left out.
     """
-    found = _scans(spark, inputs, base, skip_failed)
+    found = _scans(spark, inputs, base, skip_failed, known)
     done: list[Input] = []
     left_out = list(found.left_out)
     for scan in found.scans:
@@ -223,7 +332,9 @@ def _each_scan(
             log.warning("halving %d inputs after: %s", len(scan.inputs), error)
             middle = len(scan.inputs) // 2
             for half in (scan.inputs[:middle], scan.inputs[middle:]):
-                more, failed = _each_scan(spark, half, run, base=base, skip_failed=True)
+                more, failed = _each_scan(
+                    spark, half, run, base=base, skip_failed=True, known=known
+                )
                 done += more
                 left_out += failed
     bad = set(left_out)
@@ -231,11 +342,15 @@ def _each_scan(
 
 
 def _scans(
-    spark: SparkSession, inputs: Iterable[Input], base: str | None, skip_unreadable: bool
+    spark: SparkSession,
+    inputs: Iterable[Input],
+    base: str | None,
+    skip_unreadable: bool,
+    known: dict[str, str | Exception] | None = None,
 ) -> Scans:
     types = _PARTITION_TYPES if base else ""
     return scan_by_schema(
-        spark, inputs, base=base, partitions=types, skip_unreadable=skip_unreadable
+        spark, inputs, base=base, partitions=types, skip_unreadable=skip_unreadable, known=known
     )
 
 
@@ -260,27 +375,53 @@ def clean_layer(
     *,
     years: Iterable[int] | None = None,
     skip_failed: bool = False,
+    full: bool = False,
 ) -> list[str]:
     """Clean and enrich every source of the raw layer; returns the sources left out.
 
     A job per service and distinct schema covers all months at once. With a broadcast
-    lookup it is a single pass from scan to write.
+    lookup it is a single pass from scan to write. Sources that were cleaned from the same
+    raw files with the same lookup stay as they are, unless ``full`` asks for all.
     """
     years = None if years is None else list(years)
-    small = fits_broadcast(zones)
+    counted = zones.agg(
+        F.count(F.lit(1)).alias("rows"), F.bit_xor(F.xxhash64(*zones.columns)).alias("mark")
+    ).first()
 
     def work(service: str) -> list[Input]:
         def rows(scan: Scan) -> DataFrame:
-            return clean_trips(scan.df, zones, service, small=small).drop("service")
+            return clean_trips(scan.df, zones, service, small=counted.rows <= BROADCAST_ROWS).drop("service")
 
-        inputs = layer_inputs(spark, raw, service, years)
-        return _replace_sources(
-            spark, inputs, rows, clean, service, years, base=raw, skip_failed=skip_failed
+        return _derive_layer(
+            spark, raw, clean, service, years, rows, (tuple(counted), zones.schema.json()), full=full, skip_failed=skip_failed
         )
 
     return _side_by_side(work, SERVICES)
 
 
+def _derive_layer(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    service: str,
+    years: Sequence[int] | None,
+    rows: Callable[[Scan], DataFrame],
+    also: object = None,
+    *,
+    full: bool = False,
+    skip_failed: bool = False,
+) -> list[Input]:
+    """Make a service's sources of one layer from those of another, where these changed.
+
+    Files of a layer are never written twice under a name, so the names say what a source
+    holds; ``also`` is what else the rows depend on.
+    """
+    work = _Work(spark, target, service, years, base=source, full=full, skip_failed=skip_failed)
+    work.known.update(read_manifest(spark, source, service).stored_schemas())
+    inputs = layer_inputs(spark, source, service, years)
+    return work.replace(inputs, rows, lambda item: digest(item.files, also))
+
+
 def _write_isolated(
     spark: SparkSession,
     layer: str,
@@ -297,13 +438,14 @@ def _write_isolated(
     to find those sources, and the job runs again without them.
     """
     inputs = {service: layer_inputs(spark, layer, service, years) for service in SERVICES}
+    known = _known_schemas(spark, layer)
     left_out: list[tuple[str, Input]] = []
 
     def frames_of(service: str) -> list[DataFrame]:
         while True:
             bad = {item for s, item in left_out if s == service}
             good = [item for item in inputs[service] if item not in bad]
-            found = _scans(spark, good, layer, skip_failed)
+            found = _scans(spark, good, layer, skip_failed, known)
             absent: list[Input] = list(found.left_out)
             out = []
             for scan in found.scans:
@@ -337,6 +479,7 @@ def _write_isolated(
                 lambda scan, service=service: _try(rows(scan, service)),
                 base=layer,
                 skip_failed=True,
+                known=known,
             )
             left_out += [(service, f) for f in failed if (service, f) not in left_out]
         if len(left_out) == before:
@@ -345,6 +488,14 @@ def _write_isolated(
     return [item.path for _, item in left_out]
 
 
+def _known_schemas(spark: SparkSession, layer: str) -> dict[str, str | Exception]:
+    """Schemas of the files of a layer, as far as its manifests have them."""
+    known: dict[str, str | Exception] = {}
+    for service in SERVICES:
+        known.update(read_manifest(spark, layer, service).stored_schemas())
+    return known
+
+
 def convert_layer(
     spark: SparkSession,
     source: str,
@@ -439,10 +590,11 @@ def read_clean(
     A source that lacks a column staging needs is an error.
     """
     years = None if years is None else list(years)
+    known = _known_schemas(spark, clean)
     frames = [
         _staging_source(scan, service)
         for service in SERVICES
-        for scan in _scans(spark, layer_inputs(spark, clean, service, years), clean, False).scans
+        for scan in _scans(spark, layer_inputs(spark, clean, service, years), clean, False, known).scans
     ]
     return _stack(frames) if frames else None
 

@@ -18,16 +18,13 @@ from pyarrow.parquet import ParquetFile
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (
-    ByteType,
     DataType,
     DecimalType,
     DoubleType,
-    FloatType,
-    IntegerType,
     IntegralType,
     LongType,
-    ShortType,
-    StringType,
+    NullType,
+    NumericType,
     StructType,
     TimestampNTZType,
     TimestampType,
@@ -63,33 +60,45 @@ class Input:
 
     path: str
     files: tuple[str, ...]
+    #: Size and modification time (ms) of each file, if they were asked for.
+    stats: tuple[tuple[int, int], ...] = ()
 
     @property
     def sample(self) -> str:
         return self.files[0]
 
 
-def list_inputs(spark: SparkSession, pattern: str, unit: str = WHOLE_INPUT) -> list[Input]:
+def list_inputs(
+    spark: SparkSession, pattern: str, unit: str = WHOLE_INPUT, *, stats: bool = False
+) -> list[Input]:
     """Parquet inputs matched by a glob; ``unit`` tells a file's input from its path.
 
-    Spark lists the files, at any depth; no job reads them. Only names come to the driver.
+    Spark lists the files, at any depth; no job reads them. Only names come to the driver,
+    with ``stats`` also sizes and times, which one job gathers without opening a file.
     """
     try:
-        files = (
+        listing = (
             spark.read.format("binaryFile")
             .option("recursiveFileLookup", True)
             .option("pathGlobFilter", "*.parquet")
             .load(pattern)
-            .inputFiles()
         )
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return []
+    if stats:
+        found = listing.select("path", "length", F.unix_millis("modificationTime").alias("at"))
+        marks = {r.path: (r.length, r.at) for r in found.collect()}
+    else:
+        marks = dict.fromkeys(unquote(f) for f in listing.inputFiles())
     inputs: dict[str, list[str]] = {}
-    for file in sorted(unquote(f) for f in files):
+    for file in sorted(marks):
         inputs.setdefault(re.match(unit, file).group(1), []).append(file)
-    return [Input(path, tuple(files)) for path, files in sorted(inputs.items())]
+    return [
+        Input(path, tuple(files), tuple(marks[f] for f in files) if stats else ())
+        for path, files in sorted(inputs.items())
+    ]
 
 
 @dataclass(frozen=True)
@@ -137,7 +146,7 @@ def _schemas_of_files(spark: SparkSession, files: Sequence[str]) -> dict[str, st
 
     Footers are read in tasks, and Spark is asked for the schema of one file for each
     distinct footer. Files in a store that the tasks' own reader does not know are asked
-    for one by one.
+    for one by one, and so are a few files, for which Python workers would start in vain.
     """
     if not files:
         return {}
@@ -148,6 +157,10 @@ def _schemas_of_files(spark: SparkSession, files: Sequence[str]) -> dict[str, st
         except Exception as error:
             return error
 
+    if len(files) <= FOOTERS_PER_TASK:
+        with ThreadPoolExecutor(SCHEMA_READERS) as pool:
+            return dict(zip(files, pool.map(schema_of, files)))
+
     names = spark.createDataFrame(
         pd.DataFrame({"path": [as_uri(f) for f in files]}), "path string"
     )
@@ -183,11 +196,13 @@ def scan_by_schema(
     base: str | None = None,
     partitions: str = "",
     skip_unreadable: bool = False,
+    known: dict[str, str | Exception] | None = None,
 ) -> Scans:
     """One scan per distinct schema among the files of ``inputs``.
 
     Inputs that are folders of a layer below ``base`` also get its ``partitions``, given
-    as column definitions.
+    as column definitions. Footers are read of those files only that ``known`` does not
+    have; what they say is added to it.
 
     Monthly inputs, and the part files of one input, differ in columns and types. Reading
     them as one would either fail or fill absent columns with nulls, for which cleaning
@@ -195,7 +210,9 @@ def scan_by_schema(
     with a file that cannot be read is an error, or is logged and left out as a whole.
     """
     inputs = list(inputs)
-    schemas = _schemas_of_files(spark, [f for item in inputs for f in item.files])
+    schemas = {} if known is None else known
+    unknown = [f for item in inputs for f in item.files if f not in schemas]
+    schemas.update(_schemas_of_files(spark, unknown))
     groups: dict[str, dict[Input, list[str]]] = {}
     left_out = []
     for item in inputs:
@@ -331,6 +348,8 @@ def find_service_inputs(
     years: Iterable[int | str],
     services: Sequence[str],
     layout: str = LAYOUT,
+    *,
+    stats: bool = False,
 ) -> dict[str, list[Input]]:
     """Inputs of the given years per service; what is missing is warned about."""
     years = [str(y) for y in years]
@@ -339,9 +358,9 @@ def find_service_inputs(
         any_year = "{" + ",".join(years) + "}"
         pattern = layout.format(base=base.rstrip("/"), year=any_year, service=service)
         if layout.endswith("/"):
-            inputs = list_inputs(spark, f"{pattern}*.parquet", PARENT_FOLDER)
+            inputs = list_inputs(spark, f"{pattern}*.parquet", PARENT_FOLDER, stats=stats)
         else:
-            inputs = list_inputs(spark, pattern)
+            inputs = list_inputs(spark, pattern, stats=stats)
         counts = Counter(input_year(item.path, layout) for item in inputs)
         for year in years:
             if counts[year]:
@@ -355,7 +374,21 @@ def find_service_inputs(
     return found
 
 
-def _common_type(kinds: set[DataType]) -> DataType:
+class DriftError(ValueError):
+    """Inputs whose values of one column no common type holds without loss."""
+
+
+# Whole numbers up to this size, and decimals of up to so many digits, are doubles exactly.
+EXACT_WHOLE = 2**53
+EXACT_DIGITS = 15
+
+
+def _common_type(kinds: set[DataType]) -> DataType | None:
+    """A type for all of ``kinds``, None if there is none.
+
+    With floating numbers among them it is double, whether or not it holds all values.
+    """
+    kinds = {k for k in kinds if not isinstance(k, NullType)} or kinds
     if len(kinds) == 1:
         return next(iter(kinds))
     if all(isinstance(k, IntegralType) for k in kinds):
@@ -364,42 +397,97 @@ def _common_type(kinds: set[DataType]) -> DataType:
         exact = [_as_decimal(k) for k in kinds]
         scale = max(k.scale for k in exact)
         digits = max(k.precision - k.scale for k in exact) + scale
-        return DecimalType(digits, scale) if digits <= 38 else StringType()
-    if all(isinstance(k, (ByteType, ShortType, IntegerType, FloatType, DoubleType)) for k in kinds):
+        return DecimalType(digits, scale) if digits <= 38 else None
+    if all(isinstance(k, NumericType) for k in kinds):
         return DoubleType()
     if all(isinstance(k, (TimestampType, TimestampNTZType)) for k in kinds):
         return TimestampNTZType()
-    return StringType()
+    return None
 
 
 def _as_decimal(kind: DataType) -> DecimalType:
     return kind if isinstance(kind, DecimalType) else DecimalType(19, 0)
 
 
+def _lossy(value: Column, kind: DataType) -> Column | None:
+    """Whether a number is no double; None if every number of its type is one."""
+    if isinstance(kind, LongType):
+        return ~value.between(-EXACT_WHOLE, EXACT_WHOLE)
+    if isinstance(kind, DecimalType) and kind.precision > EXACT_DIGITS:
+        return ~value.cast("double").try_cast(kind).eqNullSafe(value)
+    return None
+
+
+def _refuse_loss(frames: Sequence[DataFrame], kinds: Mapping[str, DataType]) -> None:
+    """One pass over the columns that become double, if any need it; an error if one loses digits."""
+    checks = []
+    for frame in frames:
+        own = {}
+        for field in frame.schema.fields:
+            if isinstance(kinds[field.name.lower()], DoubleType):
+                lossy = _lossy(F.col(f"`{field.name}`"), field.dataType)
+                if lossy is not None:
+                    own[field.name] = lossy
+        if own:
+            checks.append((frame, own))
+    if not checks:
+        return
+    counts = [
+        frame.agg(*[F.count_if(lossy).alias(str(i)) for i, lossy in enumerate(own.values())])
+        .select(F.lit(n).alias("frame"), F.array("*").alias("counts"))
+        for n, (frame, own) in enumerate(checks)
+    ]
+    together = counts[0]
+    for part in counts[1:]:
+        together = together.unionByName(part)
+    for row in together.where(F.exists("counts", lambda c: c > 0)).limit(1).collect():
+        frame, own = checks[row.frame]
+        name, lossy = next((n, x) for (n, x), c in zip(own.items(), row.counts) if c)
+        first = frame.where(lossy).select(F.input_file_name(), F.col(f"`{name}`").cast("string")).first()
+        raise DriftError(
+            f"column {name} is a whole number or decimal in one input and floating in another, "
+            f"and {first[1]} is no double: {unquote(first[0])}"
+        )
+
+
 def union_drifted(frames: Sequence[DataFrame]) -> DataFrame:
     """All rows of frames that differ in columns, types or letter case of names.
 
     A column takes a type that holds every input's values: whole numbers are long, whole
-    numbers and decimals a decimal wide enough, numbers of up to 32 bits and floating ones
-    double. What no number type holds without loss (long with double, decimal with double)
-    becomes text. Where an input lacks a column, it is null.
+    numbers and decimals a decimal wide enough, and with floating numbers among them
+    double. Where long or decimal values become double, one pass over those columns alone
+    proves that none loses a digit. What no type holds is a ``DriftError`` that names the
+    column and an input: such inputs are to be told apart, not to become text. Where an
+    input lacks a column, it is null.
     """
     names: dict[str, str] = {}
-    kinds: dict[str, set[DataType]] = {}
+    found: dict[str, dict[DataType, DataFrame]] = {}
     for frame in frames:
         for field in frame.schema.fields:
             key = field.name.lower()
             names.setdefault(key, field.name)
-            kinds.setdefault(key, set()).add(field.dataType)
+            found.setdefault(key, {}).setdefault(field.dataType, frame)
+    kinds: dict[str, DataType] = {}
+    for key, types in found.items():
+        common = _common_type(set(types))
+        if common is None:
+            where = ", ".join(f"{k.simpleString()} in {_an_input(f)}" for k, f in types.items())
+            raise DriftError(f"column {names[key]} has no common type: {where}")
+        kinds[key] = common
+    _refuse_loss(frames, kinds)
     aligned = []
     for frame in frames:
         own = {c.lower() for c in frame.columns}
         columns = []
         for key, name in names.items():
             value = F.col(f"`{name}`") if key in own else F.lit(None)
-            columns.append(value.cast(_common_type(kinds[key])).alias(name))
+            columns.append(value.cast(kinds[key]).alias(name))
         aligned.append(frame.select(*columns))
     out = aligned[0]
     for frame in aligned[1:]:
         out = out.unionByName(frame)
     return out
+
+
+def _an_input(frame: DataFrame) -> str:
+    return next((unquote(f) for f in frame.inputFiles()[:1]), "a frame without files")

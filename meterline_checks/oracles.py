@@ -465,6 +465,11 @@ FROM trips JOIN zones ON PULocationID = LocationID""",
         f"""SELECT * EXCLUDE (service_type), {_SERVICE_FOLDER} AS service,
         year(pickup_datetime)::INTEGER AS batch_year FROM clean""",
     ),
+    "convert_drifted": _sql(
+        "clean",
+        f"""SELECT * EXCLUDE (service_type), {_SERVICE_FOLDER} AS service,
+        year(pickup_datetime)::INTEGER AS batch_year FROM clean""",
+    ),
     "drifted_parts": _sql(
         "clean",
         f"""SELECT * EXCLUDE (service_type), {_SERVICE_FOLDER} AS service,

@@ -397,6 +397,29 @@ def drifted_parts(spark, sf_dir):
     return spark.read.option("mergeSchema", True).parquet(clean).drop("source")
 
 
+def convert_drifted(spark, sf_dir):
+    """Months that differ in types become one table: whole numbers meet floating ones.
+
+    Passengers are long and tips decimal in the years that 3 does not divide.
+    """
+    base, layout = landing(spark, sf_dir)
+    delivery, lake, clean, target = (
+        new_folder(spark, name) for name in ("drifted", "raw", "clean", "converted")
+    )
+    for service in SERVICES:
+        for year in delivered_years(spark, sf_dir):
+            trips_ = spark.read.parquet(f"{base}/{service}/year={year}")
+            if year % 3:
+                kinds = {"passenger_count": "bigint", "tip_amount": "decimal(18,2)"}
+                trips_ = trips_.withColumns({c: F.col(c).cast(k) for c, k in kinds.items()})
+            trips_.write.parquet(f"{delivery}/{service}/year={year}")
+    years = delivered_years(spark, sf_dir)
+    pipeline.load_raw(spark, delivery, lake, years, layout=layout)
+    pipeline.clean_layer(spark, lake, clean, zones(spark, sf_dir))
+    pipeline.convert_layer(spark, clean, target, fmt="orc")
+    return spark.read.orc(target).drop("source")
+
+
 def catalog_tables(spark, sf_dir):
     tag = uuid.uuid4().hex[:12]
     folder = new_folder(spark, "catalog")
@@ -478,6 +501,7 @@ QUERIES: dict[str, Query] = {
     "parquet_roundtrip": parquet_roundtrip,
     "convert_layer": convert_layer,
     "drifted_parts": drifted_parts,
+    "convert_drifted": convert_drifted,
     "catalog_tables": catalog_tables,
     "full_run": full_run,
 }

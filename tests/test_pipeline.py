@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from meterline.operators import quality
 from meterline.plans import pipeline
 from meterline.schemas import STAGING
+from meterline.sources.layers import DriftError
 from meterline.sources.warehouse import read_staging, read_star
 
 
@@ -265,6 +266,18 @@ def test_convert_layer(spark, base, tmp_path, zones, caplog):
     assert "nothing to convert" in caplog.text
 
 
+def test_converting_a_number_that_is_no_double_is_an_error(
+    spark, base, tmp_path, zones, raw_trips
+):
+    huge = raw_trips("yellow", {}).withColumn("passenger_count", F.lit(2**53 + 1))
+    land(huge, base, 2024, "yellow", 3)
+    lake = str(tmp_path / "lake")
+    pipeline.load_raw(spark, base, f"{lake}/raw", [2024])
+    pipeline.clean_layer(spark, f"{lake}/raw", f"{lake}/clean", zones)
+    with pytest.raises(DriftError, match="passenger_count.*9007199254740993.*2024-03"):
+        pipeline.convert_layer(spark, f"{lake}/clean", f"{lake}/orc", fmt="orc")
+
+
 def test_no_input_at_all(spark, tmp_path, zones, warehouse, caplog):
     out = run(spark, str(tmp_path / "empty"), tmp_path, zones, warehouse, years=[2024])
     assert out["factTrip"].count() == 0

@@ -17,6 +17,7 @@ from meterline.sources.layers import (
     read_tree,
     scan_by_schema,
     source_of_path,
+    DriftError,
     union_drifted,
     year_of_path,
 )
@@ -135,18 +136,39 @@ def test_union_drifted_types(spark):
     assert kinds("int", "int") == "int"
     assert kinds("int", "bigint") == "bigint"
     assert kinds("int", "float") == "double"
-    assert kinds("bigint", "float") == "string"
-    assert kinds("decimal(10,2)", "double") == "string"
+    assert kinds("bigint", "float") == "double"
+    assert kinds("decimal(10,2)", "double") == "double"
     assert kinds("decimal(20,19)", "bigint") == "decimal(38,19)"
     assert kinds("decimal(10,2)", "decimal(8,4)") == "decimal(12,4)"
-    assert kinds("decimal(38,30)", "bigint") == "string"
     assert kinds("timestamp", "timestamp_ntz") == "timestamp_ntz"
-    assert kinds("int", "string") == "string"
-
-
-def test_union_drifted_loses_no_digit(spark):
-    frames = [spark.sql("SELECT 9007199254740993L AS c"), spark.sql("SELECT 0.5D AS c")]
-    assert {r.c for r in union_drifted(frames).collect()} == {"9007199254740993", "0.5"}
+    assert kinds("void", "int") == "int"
+    for apart in (("decimal(38,30)", "bigint"), ("int", "string"), ("date", "int")):
+        with pytest.raises(DriftError, match="column c has no common type"):
+            kinds(*apart)
+
+
+def test_union_drifted_loses_no_digit(spark, tmp_path):
+    def together(whole, floating="0.5D"):
+        paths = []
+        for n, value in enumerate((whole, floating)):
+            paths.append(str(tmp_path / f"{abs(hash(whole))}-{n}.parquet"))
+            spark.sql(f"SELECT {value} AS c, 'x' AS other").write.parquet(paths[-1])
+        return union_drifted([spark.read.parquet(p) for p in paths])
+
+    for whole in ("9007199254740992L", "-9007199254740992L", "CAST(NULL AS BIGINT)", "1L"):
+        rows = together(whole)
+        assert dict(rows.dtypes)["c"] == "double" and rows.count() == 2
+    exact = together("CAST(1234567890123456.5 AS DECIMAL(20,1))")
+    assert 1234567890123456.5 in {r.c for r in exact.collect()}
+    # One more than 2^53, and more digits than a double keeps: named with its input.
+    for lossy in ("9007199254740993L", "CAST(0.12345678901234567891 AS DECIMAL(30,20))"):
+        with pytest.raises(DriftError, match=r"column c .*-0\.parquet"):
+            together(lossy)
+
+
+def test_equal_numbers_of_drifting_months_stay_equal(spark):
+    frames = [spark.sql("SELECT 1L AS c"), spark.sql("SELECT 1.0D AS c")]
+    assert [tuple(r) for r in union_drifted(frames).groupBy("c").count().collect()] == [(1.0, 2)]
 
 
 def test_zones_have_fixed_types_and_nulls(spark, tmp_path):
