@@ -49,9 +49,17 @@ def grouped_sums(df: DataFrame, *also: str) -> DataFrame:
     grouping: the groups are the same, and two texts and a number per row need not be
     hashed, shuffled and compared.
     """
+    return add_calendar(partial_sums(df, *also))
+
+
+def partial_sums(df: DataFrame, *also: str) -> DataFrame:
+    """The groups of ``grouped_sums`` without the columns that follow from the keys.
+
+    Sums of parts can be stored and summed again: ``staging_rows`` of the parts' sums is
+    ``staging_rows`` of all their rows.
+    """
     keys = [new for new, _ in ID_COLUMNS.values()] + [*TIME_COLUMNS, *COORDINATES, *also]
-    sums = df.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in MEASURES])
-    return add_calendar(sums)
+    return df.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in MEASURES])
 
 
 def staging_rows(rows: DataFrame, *also: str) -> DataFrame:

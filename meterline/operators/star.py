@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import (
     payment_description,
@@ -101,9 +102,11 @@ def in_key_order(dim: DataFrame, name: str) -> DataFrame:
     return dim.orderBy(NATURAL_KEYS[name])
 
 
-def fact_trip(staging: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+def fact_trip(staging: DataFrame, dims: Mapping[str, DataFrame], *also: str) -> DataFrame:
     """Staging rows that have a row in each of five dimensions, with their keys.
 
+    ``also`` names further staging columns to keep, such as the year of delivery.
+
     Only the key columns of a dimension take part. A location that has several
     coordinates repeats its trips, as a plain join does. With small dimensions the
     whole fact is one pass over staging without a shuffle.
@@ -140,15 +143,22 @@ def fact_trip(staging: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
         F.col("service_type").alias("service_type_id"),
         *TIME_COLUMNS,
         *MEASURES,
+        *also,
     )
-    return conform(keyed, STAR["factTrip"])
+    return conform(keyed, StructType([*STAR["factTrip"].fields, *[keyed.schema[c] for c in also]]))
 
 
 def build_star(
-    staging: DataFrame, store: Callable[[str, DataFrame], DataFrame]
+    staging: DataFrame,
+    store: Callable[[str, DataFrame], DataFrame],
+    *,
+    facts: Callable[[Mapping[str, DataFrame]], DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     """All seven tables, dimensions first.
 
+    ``facts`` makes the fact rows from the stored dimensions; without it they are those of
+    all of ``staging``.
+
     ``store`` keeps a finished table and returns it as read back, so the fact joins
     stored dimensions of known size. ``staging`` should be a stored table: each
     dimension then reads only its own one to three columns of it. The dimensions do not
@@ -157,7 +167,7 @@ def build_star(
     with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
         dims = pool.map(lambda name: store(name, DIMENSIONS[name](staging)), DIMENSIONS)
         star = dict(zip(DIMENSIONS, dims))
-    star["factTrip"] = store("factTrip", fact_trip(staging, star))
+    star["factTrip"] = store("factTrip", facts(star) if facts else fact_trip(staging, star))
     return star
 
 

@@ -19,14 +19,25 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..operators.cleaning import clean_trips
-from ..operators.grouping import staging_input, staging_rows
+from ..operators.grouping import partial_sums, staging_input, staging_rows
 from ..operators.joins import BROADCAST_ROWS
 from ..operators.quality import STAGING_SUITE, Expectation, star_tests, validate
-from ..operators.star import build_star
-from ..schemas import SERVICES, STAGING, STAR
+from ..operators.star import NATURAL_KEYS, build_star, fact_trip
+from ..schemas import CALENDAR, SERVICES, STAGING, conform
 from ..sinks.jdbc import append_jdbc
 from ..sinks.layers import write_layer
-from ..sinks.tables import create_schema, create_table, exchange_tables, name_beside, reset_schema
+from ..sinks.tables import create_schema, create_table, reset_schema
+from ..sinks.versions import (
+    Current,
+    create_store,
+    current,
+    new_build,
+    part_name,
+    read_version,
+    store_rows,
+    store_schema,
+    switch,
+)
 from ..sources.manifest import (
     EMPTY,
     LEFT_OUT,
@@ -623,8 +634,11 @@ def create_warehouse(spark: SparkSession, warehouse: Warehouse) -> None:
 
 
 def reset_warehouse(spark: SparkSession, warehouse: Warehouse, *, cascade: bool = False) -> None:
-    """Drop and create both schemas, and create the empty staging table."""
-    for schema in (warehouse.staging, warehouse.production):
+    """Drop and create both schemas, and create the empty staging table.
+
+    The stored rows of the star, which the production schema shows, go with it.
+    """
+    for schema in (warehouse.staging, warehouse.production, store_schema(warehouse.production)):
         reset_schema(spark, schema, location=warehouse.folder(schema), cascade=cascade)
     _declare_staging(spark, warehouse, replace=True)
 
@@ -688,12 +702,7 @@ def load_staging(
         rows.select(*columns).write.insertInto(table, overwrite=not append)
         if append:
             return
-        present = _staged(spark, table, years)
-        for pair, folder in staged.items():
-            if pair not in pairs and pair in present and present[pair].files == folder.files:
-                partition = ", ".join(folder.path.split("/")[-2:])
-                log.warning("no rows any more in %s (%s)", table, partition)
-                spark.sql(f"ALTER TABLE {table} DROP PARTITION ({partition})")
+        _drop_unreplaced(spark, table, years, staged, staged.keys() - pairs)
 
     failed = _write_isolated(spark, clean, years, _staging_source, write, skip_failed=skip_failed)
     if left_out is not None:
@@ -701,6 +710,115 @@ def load_staging(
     return read_staging(spark, table)
 
 
+Pair = tuple[str, str]  # service and year of delivery
+
+# What is stored of a source between cleaning and staging.
+_SUMS = StructType([f for f in STAGING.fields if f.name not in CALENDAR])
+# The sources of a staged year and service, as one entry of a manifest.
+_ALL = "all"
+
+
+def partial_layer(
+    spark: SparkSession,
+    clean: str,
+    partials: str,
+    *,
+    years: Iterable[int] | None = None,
+    skip_failed: bool = False,
+    full: bool = False,
+) -> list[str]:
+    """Store the sums of each clean source by itself; returns the sources left out.
+
+    A source that did not change keeps its sums, so a month delivered anew is the only one
+    that is grouped again.
+    """
+    years = None if years is None else list(years)
+
+    def work(service: str) -> list[Input]:
+        def rows(scan: Scan) -> DataFrame:
+            tagged = scan.df.withColumn("service_type", F.lit(SERVICES[service]))
+            keys = ("service_type", *PARTITIONS)
+            return conform(
+                partial_sums(staging_input(tagged, *keys), *keys),
+                StructType([*_SUMS.fields, *StructType.fromDDL("batch_year int, source string").fields]),
+            )
+
+        return _derive_layer(
+            spark, clean, partials, service, years, rows, _SUMS.json(), full=full, skip_failed=skip_failed
+        )
+
+    return _side_by_side(work, SERVICES)
+
+
+def merge_staging(
+    spark: SparkSession,
+    partials: str,
+    warehouse: Warehouse,
+    *,
+    years: Iterable[int] | None = None,
+    full: bool = False,
+) -> list[Pair]:
+    """Combine the stored sums into the staging table; returns the pairs that were replaced.
+
+    A year of a service is combined anew if one of its sources changed or its staged rows
+    are not those of the last run. One that has no rows any more leaves the table.
+    """
+    table = warehouse.staging_table
+    years = None if years is None else list(years)
+    log_folder = f"{partials}/_staged"
+    staged = _staged(spark, table, years)
+    found: dict[Pair, list[Input]] = {}
+    for service in SERVICES:
+        for folder in layer_inputs(spark, partials, service, years):
+            found.setdefault((service, _folder_key(folder)[0]), []).append(folder)
+    logs = {service: read_manifest(spark, log_folder, service) for service in SERVICES}
+    versions = {pair: digest(*[f.files for f in folders]) for pair, folders in found.items()}
+
+    def files(pair: Pair, now: Mapping[tuple[str, str], Input]) -> tuple[str, ...]:
+        held = now.get((str(SERVICES[pair[0]]), pair[1]))
+        return held.files if held else ()
+
+    changed = [
+        (service, year)
+        for (service, year), version in versions.items()
+        if full or not logs[service].holds((year, _ALL), version, files((service, year), staged))
+    ]
+    if not changed:
+        log.info("staging is up to date")
+        return []
+    types = StructType([*_SUMS.fields, *StructType.fromDDL(_PARTITION_TYPES).fields])
+    paths = [literal(folder.path) for pair in changed for folder in found[pair]]
+    sums = spark.read.schema(types).option("basePath", partials).parquet(*paths).drop("service", "source")
+    rows = staging_rows(sums, "batch_year")
+    rows.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    _drop_unreplaced(spark, table, years, staged, {(str(SERVICES[s]), y) for s, y in changed})
+    now = _staged(spark, table, years)
+    for service in SERVICES:
+        entries = [
+            Entry((year, _ALL), versions[s, year], (), tuple(File(f) for f in files((s, year), now)))
+            for s, year in changed
+            if s == service
+        ]
+        write_manifest(spark, log_folder, service, entries)
+    return changed
+
+
+def _drop_unreplaced(
+    spark: SparkSession,
+    table: str,
+    years: Sequence[int] | None,
+    staged: Mapping[tuple[str, str], Input],
+    pairs: Iterable[tuple[str, str]],
+) -> None:
+    """Drop those partitions of ``pairs`` that hold the same files as before the write."""
+    present = _staged(spark, table, years)
+    for pair in pairs:
+        if pair in staged and pair in present and present[pair].files == staged[pair].files:
+            partition = ", ".join(present[pair].path.split("/")[-2:])
+            log.warning("no rows any more in %s (%s)", table, partition)
+            spark.sql(f"ALTER TABLE {table} DROP PARTITION ({partition})")
+
+
 def _staged(
     spark: SparkSession, table: str, years: Sequence[int] | None
 ) -> dict[tuple[str, str], Input]:
@@ -754,27 +872,54 @@ def validate_staging(
     return report
 
 
-def load_star(spark: SparkSession, warehouse: Warehouse) -> dict[str, DataFrame]:
-    """Build the six dimensions and then the fact as stored tables.
+def load_star(
+    spark: SparkSession, warehouse: Warehouse, *, full: bool = False
+) -> dict[str, DataFrame]:
+    """Build the six dimensions and then the fact as stored tables, and switch to them.
 
-    All seven are written beside the stored ones and exchanged once all are finished, so
-    a build that fails leaves the star of the run before.
+    Readers see the star of the run before until all seven tables are finished, and a
+    build that fails leaves it as it is. The fact is stored by year of delivery and
+    service; parts whose staging files are those they were built from stay valid as
+    stored, unless ``full`` asks for all. That holds as long as each location has one
+    place; where one has several, trips of any part can repeat, so all parts are built.
     """
-    tables = [f"{warehouse.production}.{name}" for name in STAR]
-    beside = {table: name_beside(table) for table in tables}
-
-    def store(name: str, df: DataFrame) -> DataFrame:
-        new = beside[f"{warehouse.production}.{name}"]
-        df.write.saveAsTable(new)
-        return spark.table(new)
-
-    try:
-        build_star(read_staging(spark, warehouse.staging_table), store)
-        exchange_tables(spark, beside)
-    finally:
-        for new in beside.values():
-            spark.sql(f"DROP TABLE IF EXISTS {new}")
-    return read_star(spark, warehouse.production)
+    production = warehouse.production
+    create_store(spark, production, warehouse.folder(store_schema(production)))
+    before, build = current(spark, production), new_build()
+    made_from = {
+        part_name(year, service): digest(folder.files)
+        for (service, year), folder in _staged(spark, warehouse.staging_table, None).items()
+    }
+    kept: dict[str, str] = {}
+    if before is not None and not full:
+        kept = {p: b for p, b in before.fact.items() if before.made_from.get(p) == made_from.get(p)}
+        if kept.keys() == made_from.keys() == before.fact.keys():
+            log.info("the star is up to date")
+            return read_star(spark, production)
+    table = spark.table(warehouse.staging_table)
+
+    def facts(dims: Mapping[str, DataFrame]) -> DataFrame:
+        rows = table
+        if kept and not (_one_place(dims) and _one_place(read_version(spark, production, before))):
+            kept.clear()
+        if kept:
+            log.info("%d of %d parts of the fact are built", len(made_from) - len(kept), len(made_from))
+            part = F.concat_ws("/", F.col("batch_year").cast("string"), F.col("service_type").cast("string"))
+            rows = table.where(~part.isin(sorted(kept)))
+        return fact_trip(rows, dims, "batch_year")
+
+    staging = read_staging(spark, warehouse.staging_table)
+    build_star(staging, lambda name, df: store_rows(df, production, name, build), facts=facts)
+    switch(spark, production, Current(build, {part: kept.get(part, build) for part in made_from}, made_from))
+    return read_star(spark, production)
+
+
+def _one_place(star: Mapping[str, DataFrame]) -> bool:
+    """Whether no location id has several rows, so that no trip is repeated."""
+    return all(
+        star[name].groupBy(NATURAL_KEYS[name]).count().where("count > 1").isEmpty()
+        for name in ("dimPickupLocation", "dimDropoffLocation")
+    )
 
 
 def run_all(
@@ -824,3 +969,38 @@ def run_all(
     report = validate_staging(spark, warehouse)
     star = load_star(spark, warehouse)
     return {**star, "staging_report": report, "star_report": star_tests(star)}
+
+
+def run_changed(
+    spark: SparkSession,
+    base: str,
+    lake: str,
+    zones: DataFrame,
+    warehouse: Warehouse,
+    years: Sequence[int],
+    *,
+    services: Sequence[str] = tuple(SERVICES),
+    layout: str = LAYOUT,
+    mirror: bool = False,
+    skip_failed: bool = False,
+    left_out: list[str] | None = None,
+) -> dict[str, DataFrame]:
+    """Bring every layer, the staging table and the star up to date; returns the star.
+
+    Each step compares what it has with what it was made from and works on the sources
+    that changed: a month delivered anew is loaded, cleaned and grouped by itself, its year
+    and service are combined from stored sums, and only their part of the fact is built.
+    The result is that of ``run_all`` over the same delivery. With ``mirror``, sources of
+    the given years that are no longer delivered leave it.
+    """
+    left_out = [] if left_out is None else left_out
+    raw, clean, partials = (f"{lake}/{layer}" for layer in ("raw", "clean", "sums"))
+    years = list(years)
+    left_out += load_raw(
+        spark, base, raw, years, services=services, layout=layout, mirror=mirror, skip_failed=skip_failed
+    )
+    left_out += clean_layer(spark, raw, clean, zones, years=years, skip_failed=skip_failed)
+    left_out += partial_layer(spark, clean, partials, years=years, skip_failed=skip_failed)
+    create_warehouse(spark, warehouse)
+    merge_staging(spark, partials, warehouse, years=years)
+    return load_star(spark, warehouse)

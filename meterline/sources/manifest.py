@@ -26,10 +26,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 FOLDER = "_manifest"
 LOG = (
     "run string, batch_year string, source string, state string, version string, "
-    "role string, path string, size long, modified long, schema string"
+    "role string, path string, size long, modified long, mark string, schema string"
 )
 STORED, EMPTY, LEFT_OUT = "stored", "empty", "left_out"
-_MADE_FROM, _HELD_IN = "input", "stored"
+# A row is a file that a source was made from, one that holds it, or a schema and its mark.
+_MADE_FROM, _HELD_IN, _SCHEMA = "input", "stored", "schema"
 
 Key = tuple[str, str]  # year of delivery and source
 
@@ -91,7 +92,7 @@ def _path(layer: str, service: str) -> str:
 
 
 def log_of(spark: SparkSession, layer: str, service: str) -> DataFrame | None:
-    """All rows ever logged, one per file; None if there are none."""
+    """All rows ever logged; None if there are none."""
     try:
         return spark.read.schema(LOG).parquet(_path(layer, service))
     except AnalysisException as error:
@@ -105,19 +106,19 @@ def read_manifest(spark: SparkSession, layer: str, service: str) -> Manifest:
     log = log_of(spark, layer, service)
     if log is None:
         return Manifest()
-    # One schema stands for many files, so schemas travel once.
-    marked = log.where(F.col("state") != LEFT_OUT).withColumn("mark", F.sha2("schema", 256))
-    last = marked.groupBy("batch_year", "source").agg(F.max("run").alias("run"))
-    rows = marked.join(last, ["batch_year", "source", "run"]).drop("schema").collect()
-    used = {r.mark for r in rows if r.mark}
-    schemas = {}
-    if used:
-        distinct = marked.where(F.col("schema").isNotNull()).groupBy("mark").agg(F.first("schema").alias("schema"))
-        schemas = {r.mark: r.schema for r in distinct.collect()}
+    rows = log.where((F.col("state") != LEFT_OUT) | (F.col("role") == _SCHEMA)).collect()
+    schemas = {r.mark: r.schema for r in rows if r.role == _SCHEMA}
+    last: dict[Key, str] = {}
+    for r in rows:
+        if r.role != _SCHEMA:
+            key = (r.batch_year, r.source)
+            last[key] = max(r.run, last.get(key, r.run))
     found: dict[Key, dict[str, list[File]]] = {}
     heads = {}
     for r in rows:
         key = (r.batch_year, r.source)
+        if r.role == _SCHEMA or r.run != last[key]:
+            continue
         heads[key] = (r.version, r.state)
         parts = found.setdefault(key, {_MADE_FROM: [], _HELD_IN: []})
         if r.path is not None:
@@ -131,16 +132,20 @@ def read_manifest(spark: SparkSession, layer: str, service: str) -> Manifest:
 
 
 def write_manifest(spark: SparkSession, layer: str, service: str, entries: Sequence[Entry]) -> None:
-    """Append the entries of a run, in one commit."""
+    """Append the entries of a run, in one commit. A schema is written once, however many files have it."""
     if not entries:
         return
     run = f"{time.time_ns():020d}"
-    rows = []
+    rows, schemas = [], {}
     for entry in entries:
         head = (run, *entry.key, entry.state, entry.version)
         files = [(_MADE_FROM, f) for f in entry.made_from] + [(_HELD_IN, f) for f in entry.held_in]
         # A source without files still has its version.
         for role, f in files or [(_MADE_FROM, File(None))]:
-            rows.append((*head, role, f.path, f.size, f.modified, f.schema))
+            mark = digest(f.schema) if f.schema else None
+            schemas[mark] = f.schema
+            rows.append((*head, role, f.path, f.size, f.modified, mark, None))
+    schemas.pop(None, None)
+    rows += [(run, *(None,) * 4, _SCHEMA, *(None,) * 3, mark, text) for mark, text in schemas.items()]
     log = spark.createDataFrame(rows, LOG).coalesce(1)
     log.write.mode("append").parquet(_path(layer, service))

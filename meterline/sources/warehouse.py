@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import STAGING, STAR
+from ..sinks.versions import current, read_version
 
 
 def read_staging(spark: SparkSession, table: str = "staging.trips") -> DataFrame:
@@ -15,7 +16,14 @@ def read_staging(spark: SparkSession, table: str = "staging.trips") -> DataFrame
 
 
 def read_star(spark: SparkSession, schema: str = "production") -> dict[str, DataFrame]:
-    """The seven stored star tables by name."""
+    """The seven stored star tables by name.
+
+    Of a star with versions all seven are of the version that is valid now, also if
+    another one becomes valid between two reads.
+    """
+    at = current(spark, schema)
+    if at is not None:
+        return read_version(spark, schema, at)
     return {name: spark.table(f"{schema}.{name}") for name in STAR}
 
 

@@ -484,4 +484,12 @@ FROM trips JOIN zones ON PULocationID = LocationID""",
         GROUP BY service_type_id, service_name""",
     ),
     "full_run": _sql("fact", _REVENUE),
+    "merged_staging": _sql("staging", _STAGING_ROWS),
+    "incremental_run": _sql("fact", _REVENUE),
+    "fact_by_service": _sql(
+        "fact",
+        """SELECT service_name, vendor_name, count(*) AS trips, round(sum(total_amount), 2) AS revenue
+        FROM fact JOIN dim_service USING (service_type_id) JOIN dim_vendor USING (vendor_key)
+        WHERE service_name LIKE 'Green%' GROUP BY service_name, vendor_name""",
+    ),
 }

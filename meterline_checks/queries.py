@@ -44,7 +44,7 @@ from meterline.schemas import MEASURES, SERVICES, STAGING_AS_DECLARED, conform
 from meterline.session import new_folder, stored
 from meterline.sinks.tables import reset_schema, save_table
 from meterline.sources.layers import read_tree
-from meterline.sources.warehouse import read_star
+from meterline.sources.warehouse import read_staging, read_star
 from meterline.sources.zones import read_zones
 from meterline_checks.sample import land_sample
 
@@ -457,6 +457,91 @@ def _run(spark, sf_dir) -> dict[str, DataFrame]:
     )
 
 
+def _deliver_and_correct(spark, sf_dir, bring_up_to_date) -> None:
+    """Two deliveries, each followed by a run of ``bring_up_to_date(base, layout, years)``.
+
+    The first has a year of yellow trips of which most are missing and a year of green ones
+    too many; the second delivers the one as a whole and withdraws the other. What
+    results must be that of the right delivery.
+    """
+    years = delivered_years(spark, sf_dir)
+    landed, _ = landing(spark, sf_dir)
+    schema, folder = f"delivery_{uuid.uuid4().hex[:12]}", new_folder(spark, "delivery")
+    reset_schema(spark, schema, location=folder)
+    year, extra = F.col("year"), years[-1] + 1
+    for service in SERVICES:
+        trips_ = spark.read.parquet(f"{landed}/{service}")
+        first = trips_
+        if service == "yellow":
+            first = trips_.where((year != years[0]) | (F.col("VendorID") == 2))
+        else:
+            more = trips_.where(year == years[0]).withColumn("year", F.lit(extra))
+            first = trips_.unionByName(more)
+        by_year = first.hint("rebalance", year).write.partitionBy("year")
+        by_year.saveAsTable(f"{schema}.{service}")
+    layout = "{base}/{service}/year={year}/"
+    bring_up_to_date(folder, layout, [*years, extra])
+    whole = spark.read.parquet(f"{landed}/yellow").where(year == years[0])
+    whole.write.option("partitionOverwriteMode", "dynamic").insertInto(f"{schema}.yellow", overwrite=True)
+    spark.sql(f"ALTER TABLE {schema}.green DROP PARTITION (year={extra})")
+    bring_up_to_date(folder, layout, [*years, extra])
+
+
+def _new_warehouse(folder: str) -> pipeline.Warehouse:
+    tag = uuid.uuid4().hex[:12]
+    return pipeline.Warehouse(f"staging_{tag}", f"production_{tag}", f"{folder}/warehouse")
+
+
+def merged_staging(spark, sf_dir):
+    """Staging from sums stored by source, after a replaced and a withdrawn source."""
+    folder, lookup = new_folder(spark, "merged"), zones(spark, sf_dir)
+    warehouse = _new_warehouse(folder)
+    pipeline.create_warehouse(spark, warehouse)
+
+    def run(base, layout, years):
+        raw, clean, sums = (f"{folder}/{layer}" for layer in ("raw", "clean", "sums"))
+        pipeline.load_raw(spark, base, raw, years, layout=layout, mirror=True)
+        pipeline.clean_layer(spark, raw, clean, lookup)
+        pipeline.partial_layer(spark, clean, sums)
+        pipeline.merge_staging(spark, sums, warehouse)
+
+    _deliver_and_correct(spark, sf_dir, run)
+    return rounded(read_staging(spark, warehouse.staging_table))
+
+
+def incremental_run(spark, sf_dir):
+    """Every layer, staging and star brought up to date, after a replaced and a withdrawn source."""
+    folder, lookup = new_folder(spark, "incremental"), zones(spark, sf_dir)
+    warehouse = _new_warehouse(folder)
+
+    def run(base, layout, years):
+        pipeline.run_changed(
+            spark, base, f"{folder}/lake", lookup, warehouse, years, layout=layout, mirror=True
+        )
+
+    _deliver_and_correct(spark, sf_dir, run)
+    return star.revenue_by_vendor(read_star(spark, warehouse.production))
+
+
+def fact_by_service(spark, sf_dir):
+    """A report on one service: the dimension's filter picks the folders of the fact."""
+    base, layout = landing(spark, sf_dir)
+    folder = new_folder(spark, "by_service")
+    warehouse = _new_warehouse(folder)
+    years = delivered_years(spark, sf_dir)
+    pipeline.run_all(
+        spark, base, f"{folder}/lake", zones(spark, sf_dir), warehouse, years, layout=layout
+    )
+    schema = warehouse.production
+    return spark.sql(
+        f"""SELECT s.service_name, v.vendor_name, count(*) AS trips, round(sum(f.total_amount), 2) AS revenue
+        FROM {schema}.factTrip f
+        JOIN {schema}.dimService s ON f.service_type_id = s.service_type_id
+        JOIN {schema}.dimVendor v ON f.vendor_key = v.vendor_key
+        WHERE s.service_name LIKE 'Green%' GROUP BY s.service_name, v.vendor_name"""
+    )
+
+
 def full_run(spark, sf_dir):
     """Every stage over stored layers and tables, then the revenue report."""
     return star.revenue_by_vendor(_run(spark, sf_dir))
@@ -504,4 +589,7 @@ QUERIES: dict[str, Query] = {
     "convert_drifted": convert_drifted,
     "catalog_tables": catalog_tables,
     "full_run": full_run,
+    "merged_staging": merged_staging,
+    "incremental_run": incremental_run,
+    "fact_by_service": fact_by_service,
 }

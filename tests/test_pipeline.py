@@ -60,7 +60,7 @@ def run(spark, base, tmp_path, zones, warehouse, years=(2023, 2024), **options):
     )
 
 
-def _half_built(staging, store):
+def _half_built(staging, store, facts):
     store("dimVendor", staging.select("vendor_id"))
     raise RuntimeError("stopped")
 
