@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -42,10 +42,10 @@ _PLAIN = bytes(
 _BLANKS = re.compile(rb" {2,}")
 #: Distinct chunks of a task, and words of a group of chunks, that are held at a time.
 HELD_CHUNKS = 300_000
-HELD_WORDS = 1_000_000
+HELD_WORDS = 2_000_000
 MOST_BITS = 27
 BLOCK_BITS = 13
-CHUNKS = "lang string, chunk string, last boolean, freq long"
+CHUNKS = "lang string, chunk binary, last boolean, freq long"
 COUNTS = "lang string, phrase string, f long"
 
 
@@ -79,32 +79,29 @@ def chunks_of(texts: list[str], window: int, period: int) -> tuple[list[bytes],
 
 def _parse(window: int, period: int) -> Callable:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found: Counter = Counter()
-
-        def rows() -> pd.DataFrame:
-            keys = list(found)
-            out = pd.DataFrame(
-                {
-                    "lang": [k[0] for k in keys],
-                    "chunk": [k[2].decode("utf-8", "surrogatepass") for k in keys],
-                    "last": [k[1] for k in keys],
-                    "freq": np.fromiter(found.values(), dtype=np.int64, count=len(found)),
-                }
-            )
+        found: dict[tuple[str, bool], Counter] = defaultdict(Counter)
+
+        def rows() -> Iterator[pd.DataFrame]:
+            for (lang, flag), counts in found.items():
+                yield pd.DataFrame(
+                    {
+                        "lang": lang,
+                        "chunk": pd.Series(list(counts), dtype=object),
+                        "last": flag,
+                        "freq": np.fromiter(counts.values(), dtype=np.int64, count=len(counts)),
+                    }
+                )
             found.clear()
-            return out
 
         for batch in batches:
             for lang, texts in batch.groupby("lang")["text"]:
                 for group in in_groups(texts.tolist(), len, 1 << 20):
                     inner, last = chunks_of(group, window, period)
-                    for flag, some in ((False, inner), (True, last)):
-                        for chunk, times in Counter(some).items():
-                            found[lang, flag, chunk] += times
-                    if len(found) > HELD_CHUNKS:
-                        yield rows()
-        if found:
-            yield rows()
+                    found[lang, False].update(inner)
+                    found[lang, True].update(last)
+                    if sum(map(len, found.values())) > HELD_CHUNKS:
+                        yield from rows()
+        yield from rows()
 
     return run
 
@@ -115,13 +112,10 @@ def dictionary(docs: DataFrame, window: int, period: int) -> DataFrame:
         F.coalesce(F.col("lang"), F.lit("und")).alias("lang"), F.coalesce(F.col("text"), F.lit("")).alias("text")
     )
     parts = texts.mapInPandas(_parse(window, period), CHUNKS)
+    parts = parts.withColumn("chunk", F.col("chunk").cast("string"))
     return stored(parts.groupBy("lang", "chunk", "last").agg(F.sum("freq").alias("freq")), "chunks")
 
 
-def _slot(lang: str, phrase: str) -> int:
-    return zlib.crc32(f"{lang}\0{phrase}".encode("utf-8", "surrogatepass"))
-
-
 class Frequent:
     """A bitmap of hashes; what it denies is not frequent."""
 
@@ -134,7 +128,8 @@ class Frequent:
         self._data = data
 
     def __call__(self, lang: str, phrases) -> np.ndarray:
-        slots = np.fromiter((_slot(lang, p) for p in phrases), dtype=np.int64) & self._mask
+        start = zlib.crc32(f"{lang}\0".encode())
+        slots = np.fromiter((zlib.crc32(p.encode(), start) for p in phrases), dtype=np.int64) & self._mask
         return (self._data[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1
 
 
@@ -264,7 +259,7 @@ def mine(
     cover: int = 80,
     scale: int = 2_000_000,
     top: int = 2000,
-    period: int = 8,
+    period: int = 24,
 ) -> DataFrame:
     """The best phrases of each language: lang, rank, phrase, a, l, r, n, score.
 
