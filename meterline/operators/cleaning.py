@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable
+import uuid
+from collections.abc import Callable, Iterable
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.types import DoubleType, FloatType, StringType
 
 from .joins import fits_broadcast, lookup_join
@@ -102,24 +103,59 @@ def add_zone(
 
 
 def clean_trips(
-    df: DataFrame, zones: DataFrame, service: str, *, small: bool | None = None
+    df: DataFrame,
+    zones: DataFrame,
+    service: str,
+    *,
+    small: bool | None = None,
+    watch: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """Raw trips of one service -> complete, enriched rows in canonical column order.
 
     Incomplete rows leave before the joins and zones without coordinates leave the
     lookup: the same rows remain as when filtering last, and less is read and joined.
+    ``watch`` gets the rows between the rules (see ``CleaningCounts``). The not-null tests
+    then stay above the scan, as rows that they would skip there could not be counted.
     """
     if small is None:
         small = fits_broadcast(zones)
     located = complete_rows(zones, ("latitude", "longitude"))
+    watch = watch or (lambda rows, _: rows)
     return (
         drop_if_present(df)
         .transform(rename_service_columns, service)
         .transform(drop_service_columns, service)
+        .transform(watch, "read")
         .transform(complete_rows)
+        .transform(watch, "complete")
         .transform(add_zone, located, "pickup", small=small)
         .transform(add_zone, located, "dropoff", small=small)
+        .transform(watch, "located")
         .transform(cast_ids)
         .transform(complete_rows, INTEGER_IDS)
         .transform(canonical_columns)
+        .transform(watch, "written")
     )
+
+
+class CleaningCounts:
+    """Rows read, dropped by each rule and written, counted by the job that cleans them.
+
+    Give ``watch`` to ``clean_trips`` and ask for ``counts`` once the rows are written; no
+    row is read for it.
+    """
+
+    RULES = {"incomplete": ("read", "complete"), "no_zone": ("complete", "located"), "no_id": ("located", "written")}
+
+    def __init__(self) -> None:
+        self._points: dict[str, Observation] = {}
+
+    def watch(self, rows: DataFrame, point: str) -> DataFrame:
+        self._points[point] = Observation(f"{point}_{uuid.uuid4().hex}")
+        return rows.observe(self._points[point], F.count(F.lit(1)).alias("rows"))
+
+    def counts(self) -> dict[str, int]:
+        """rows_read, dropped by rule (incomplete, no_zone, no_id), rows_written."""
+        rows = {point: seen.get["rows"] for point, seen in self._points.items()}
+        dropped = {rule: rows[a] - rows[b] for rule, (a, b) in self.RULES.items()}
+        return {"rows_read": rows["read"], **dropped, "rows_written": rows["written"]}

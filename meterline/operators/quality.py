@@ -86,9 +86,13 @@ def validate(df: DataFrame, suite: Iterable[Expectation] = STAGING_SUITE) -> Dat
 
 
 def _report(i: int, e: Expectation) -> Column:
-    rows, missing, unexpected = F.col("rows"), F.col(f"missing_{i}"), F.col(f"unexpected_{i}")
+    counts = [F.col("rows"), F.col(f"missing_{i}"), F.col(f"unexpected_{i}")]
+    return F.struct(*_judged(i, e, *counts))
+
+
+def _judged(i: int, e: Expectation, rows: Column, missing: Column, unexpected: Column) -> list[Column]:
     judged = rows if isinstance(e, NotNull) else rows - missing
-    return F.struct(
+    return [
         F.lit(i + 1).alias("position"),
         F.lit(e.check).alias("check"),
         F.lit(e.column).alias("column"),
@@ -99,7 +103,43 @@ def _report(i: int, e: Expectation) -> Column:
         unexpected.alias("unexpected_count"),
         F.try_divide(unexpected * F.lit(100.0), judged).alias("unexpected_percent"),
         (unexpected == 0).alias("success"),
-    )
+    ]
+
+
+def check_counts(df: DataFrame, suite: Iterable[Expectation], *by: str) -> DataFrame:
+    """The counts a suite needs, for each value of ``by`` and expectation: they add up.
+
+    ``combined_report`` of the counts of parts is ``validate`` of all their rows.
+    """
+    suite = tuple(suite)
+    counts = [F.count(F.lit(1)).alias("rows")]
+    for i, e in enumerate(suite):
+        counts.append(F.count_if(F.col(e.column).isNull()).alias(f"missing_{i}"))
+        counts.append(F.count_if(e.missed()).alias(f"unexpected_{i}"))
+    each = [
+        F.struct(
+            F.lit(i + 1).alias("position"),
+            F.col("rows").alias("element_count"),
+            F.col(f"missing_{i}").alias("missing_count"),
+            F.col(f"unexpected_{i}").alias("unexpected_count"),
+        )
+        for i in range(len(suite))
+    ]
+    return df.groupBy(*by).agg(*counts).select(*by, F.inline(F.array(*each)))
+
+
+def combined_report(counts: DataFrame, suite: Iterable[Expectation] = STAGING_SUITE) -> DataFrame:
+    """The report of ``validate`` from the ``check_counts`` of all parts; none count as 0."""
+    suite = tuple(suite)
+    sums = {}
+    for i in range(len(suite)):
+        mine = F.col("position") == i + 1
+        for name in ("element_count", "missing_count", "unexpected_count"):
+            sums[f"{name}_{i}"] = F.coalesce(F.sum(F.when(mine, F.col(name))), F.lit(0).cast("long"))
+    total = counts.agg(*[value.alias(name) for name, value in sums.items()])
+    names = ("element_count", "missing_count", "unexpected_count")
+    reports = [F.struct(*_judged(i, e, *[F.col(f"{n}_{i}") for n in names])) for i, e in enumerate(suite)]
+    return total.select(F.inline(F.array(*reports)))
 
 
 def unexpected_rows(df: DataFrame, expectation: Expectation) -> DataFrame:
@@ -182,6 +222,33 @@ def failed_relationship(
     )
 
 
+def failed_dependency(df: DataFrame, key: str, *dependents: str) -> DataFrame:
+    """Number of keys that come with several values of ``dependents``; null keys are left out.
+
+    Names the smallest such key and how many values it has. Nulls among the dependents are
+    a value. Rows are reduced to distinct ones in each task, so a hot key is one row.
+    """
+    values = df.where(F.col(key).isNotNull()).select(key, *dependents).distinct()
+    repeated = values.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return repeated.agg(
+        F.count(F.lit(1)).alias("failures"),
+        F.min(key).cast("string").alias("sample_key"),
+        F.min_by("n", key).alias("sample_values"),
+    ).select(F.lit(key).alias("column"), F.lit(", ".join(dependents)).alias("depends"), "*")
+
+
+def location_tests(staging: DataFrame) -> DataFrame:
+    """Whether each location has one place, so that the location dimensions have one row for it.
+
+    Where it has several, the fact repeats its trips.
+    """
+    checks = [
+        failed_dependency(staging, f"{role}_location_id", f"{role}_latitude", f"{role}_longitude")
+        for role in ("pickup", "dropoff")
+    ]
+    return _stack(checks).withColumn("success", F.col("failures") == 0)
+
+
 def _named(counts: DataFrame, model: str, test: str) -> DataFrame:
     return counts.select(
         F.lit(model).alias("model"),

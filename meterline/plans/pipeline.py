@@ -18,10 +18,18 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from ..operators.cleaning import clean_trips
+from ..operators.cleaning import CleaningCounts, clean_trips
 from ..operators.grouping import partial_sums, staging_input, staging_rows
 from ..operators.joins import BROADCAST_ROWS
-from ..operators.quality import STAGING_SUITE, Expectation, star_tests, validate
+from ..operators.quality import (
+    STAGING_SUITE,
+    Expectation,
+    check_counts,
+    combined_report,
+    star_tests,
+    suite_to_json,
+    validate,
+)
 from ..operators.star import NATURAL_KEYS, build_star, fact_trip
 from ..schemas import CALENDAR, SERVICES, STAGING, conform
 from ..sinks.jdbc import append_jdbc
@@ -154,9 +162,12 @@ class _Work:
         base: str | None = None,
         full: bool = False,
         skip_failed: bool = False,
+        after: Callable[[Scan], None] | None = None,
     ):
         self.spark, self.layer, self.service, self.years = spark, layer, service, years
         self.key, self.base, self.full, self.skip_failed = key, base, full, skip_failed
+        #: Called for each scan whose rows are stored.
+        self.after = after or (lambda scan: None)
         self.target = f"{layer}/service={service}"
         self.manifest: Manifest = read_manifest(spark, layer, service)
         #: Schemas of input files; what a scan finds in footers is added.
@@ -223,6 +234,7 @@ class _Work:
             out = rows(scan)
             note(scan, out)
             write_layer(out, self.target, partition_by=PARTITIONS)
+            self.after(scan)
 
         def note(scan: Scan, out: DataFrame) -> None:
             for item in scan.inputs:
@@ -261,6 +273,7 @@ class _Work:
             out = rows(scan)
             note(scan, out)
             out.write.partitionBy(*PARTITIONS).mode("append").parquet(self.target)
+            self.after(scan)
         return left_out
 
     def _empty_unreplaced(self, items: Iterable[Input]) -> None:
@@ -387,27 +400,64 @@ def clean_layer(
     years: Iterable[int] | None = None,
     skip_failed: bool = False,
     full: bool = False,
+    metrics: str | None = None,
 ) -> list[str]:
     """Clean and enrich every source of the raw layer; returns the sources left out.
 
     A job per service and distinct schema covers all months at once. With a broadcast
     lookup it is a single pass from scan to write. Sources that were cleaned from the same
     raw files with the same lookup stay as they are, unless ``full`` asks for all.
+    ``metrics`` is a folder that keeps the counts of each job, told apart by ``run_at``:
+    rows read, dropped by rule and written, gathered in the job itself.
     """
     years = None if years is None else list(years)
     counted = zones.agg(
         F.count(F.lit(1)).alias("rows"), F.bit_xor(F.xxhash64(*zones.columns)).alias("mark")
     ).first()
+    small = counted.rows <= BROADCAST_ROWS
+    run_at = datetime.now(timezone.utc)
+    stored: list[tuple] = []
 
     def work(service: str) -> list[Input]:
+        watched: dict[Scan, CleaningCounts] = {}
+
         def rows(scan: Scan) -> DataFrame:
-            return clean_trips(scan.df, zones, service, small=counted.rows <= BROADCAST_ROWS).drop("service")
+            watch = None
+            if metrics:
+                watched[scan] = CleaningCounts()
+                watch = watched[scan].watch
+            return clean_trips(scan.df, zones, service, small=small, watch=watch).drop("service")
+
+        def keep(scan: Scan) -> None:
+            if metrics:
+                counts = watched[scan].counts()
+                sources = sorted("/".join(_folder_key(item)) for item in scan.inputs)
+                stored.append((run_at, service, sources, *counts.values()))
 
         return _derive_layer(
-            spark, raw, clean, service, years, rows, (tuple(counted), zones.schema.json()), full=full, skip_failed=skip_failed
+            spark,
+            raw,
+            clean,
+            service,
+            years,
+            rows,
+            (tuple(counted), zones.schema.json()),
+            full=full,
+            skip_failed=skip_failed,
+            after=keep,
         )
 
-    return _side_by_side(work, SERVICES)
+    left_out = _side_by_side(work, SERVICES)
+    if stored:
+        spark.createDataFrame(stored, CLEANING_METRICS).coalesce(1).write.mode("append").parquet(metrics)
+    return left_out
+
+
+# One row for each job of cleaning.
+CLEANING_METRICS = (
+    "run_at timestamp, service string, sources array<string>, rows_read long, "
+    "incomplete long, no_zone long, no_id long, rows_written long"
+)
 
 
 def _derive_layer(
@@ -421,13 +471,16 @@ def _derive_layer(
     *,
     full: bool = False,
     skip_failed: bool = False,
+    after: Callable[[Scan], None] | None = None,
 ) -> list[Input]:
     """Make a service's sources of one layer from those of another, where these changed.
 
     Files of a layer are never written twice under a name, so the names say what a source
     holds; ``also`` is what else the rows depend on.
     """
-    work = _Work(spark, target, service, years, base=source, full=full, skip_failed=skip_failed)
+    work = _Work(
+        spark, target, service, years, base=source, full=full, skip_failed=skip_failed, after=after
+    )
     work.known.update(read_manifest(spark, source, service).stored_schemas())
     inputs = layer_inputs(spark, source, service, years)
     return work.replace(inputs, rows, lambda item: digest(item.files, also))
@@ -872,6 +925,53 @@ def validate_staging(
     return report
 
 
+def validate_changed(
+    spark: SparkSession,
+    warehouse: Warehouse,
+    counts: str,
+    suite: Iterable[Expectation] = STAGING_SUITE,
+) -> DataFrame:
+    """Hold staging to a suite, reading only what changed since the last run; the report.
+
+    ``counts`` is a folder that keeps the suite's counts of each staged year and service,
+    marked with the files they were counted in and the suite. Partitions whose files are
+    the same are not read again.
+    """
+    suite = tuple(suite)
+    table = warehouse.staging_table
+    versions = {
+        part_name(year, service): digest(part_name(year, service), folder.files, suite_to_json(suite))
+        for (service, year), folder in _staged(spark, table, None).items()
+    }
+    types = "version string, position int, element_count long, missing_count long, unexpected_count long"
+
+    def kept() -> DataFrame:
+        return spark.read.schema(types).parquet(counts)
+
+    def known() -> set[str]:
+        try:
+            return {r.version for r in kept().select("version").distinct().collect()}
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return set()
+
+    had = known()
+    missing = {part: version for part, version in versions.items() if version not in had}
+    log.info("checking %d of %d parts of %s", len(missing), len(versions), table)
+    if missing or not had:
+        part = F.concat_ws("/", F.col("batch_year").cast("string"), F.col("service_type").cast("string"))
+        marks = F.create_map(*[F.lit(x) for pair in sorted(missing.items()) for x in pair]).cast("map<string, string>")
+        rows = spark.table(table).where(part.isin(sorted(missing)) if missing else F.lit(False))
+        fresh = check_counts(rows, suite, "batch_year", "service_type")
+        fresh = fresh.withColumn("version", F.try_element_at(marks, part))
+        names = [f.name for f in StructType.fromDDL(types).fields]
+        fresh.select(*names).write.mode("append").parquet(counts)
+    # A run that stopped can have left the same counts before.
+    mine = kept().where(F.col("version").isin(sorted(versions.values()))).distinct()
+    return combined_report(mine, suite)
+
+
 def load_star(
     spark: SparkSession, warehouse: Warehouse, *, full: bool = False
 ) -> dict[str, DataFrame]:
@@ -909,6 +1009,7 @@ def load_star(
         return fact_trip(rows, dims, "batch_year")
 
     staging = read_staging(spark, warehouse.staging_table)
+    # Dimensions come first, so a location in two places is known before the fact is built.
     build_star(staging, lambda name, df: store_rows(df, production, name, build), facts=facts)
     switch(spark, production, Current(build, {part: kept.get(part, build) for part in made_from}, made_from))
     return read_star(spark, production)

@@ -260,6 +260,13 @@ def _orphans(column: str, table: str, parent: str, parent_column: str) -> str:
             SELECT 1 FROM {parent} AS p WHERE p.{parent_column} = c.{column})"""
 
 
+def _dependency(table: str, key: str, *dependents: str) -> str:
+    return f"""SELECT '{key}' AS "column", '{", ".join(dependents)}' AS depends, count(*) AS failures,
+        min({key})::VARCHAR AS sample_key, arg_min(n, {key}) AS sample_values
+        FROM (SELECT {key}, count(*) AS n FROM (SELECT DISTINCT {key}, {", ".join(dependents)} FROM {table})
+              WHERE {key} IS NOT NULL GROUP BY {key} HAVING count(*) > 1)"""
+
+
 # Table, unique key and required columns of each model.
 _STAR_COLUMNS = {
     "factTrip": (
@@ -486,6 +493,30 @@ FROM trips JOIN zones ON PULocationID = LocationID""",
     "full_run": _sql("fact", _REVENUE),
     "merged_staging": _sql("staging", _STAGING_ROWS),
     "incremental_run": _sql("fact", _REVENUE),
+    "merged_expectations": _sql("staging", _suite("staging", *_STAGING_SUITE)),
+    "location_dependency": _sql(
+        "staging",
+        "\nUNION ALL ".join(
+            _dependency("staging", key, *dependents)
+            for key, *dependents in (
+                ("pickup_location_id", "pickup_latitude", "pickup_longitude"),
+                ("dropoff_location_id", "dropoff_latitude", "dropoff_longitude"),
+                ("payment_type_id", "vendor_id"),
+                ("pickup_location_id", "vendor_id", "service_type"),
+            )
+        ),
+    ),
+    "run_metrics": _sql(
+        "located",
+        f"""SELECT {_SERVICE_FOLDER} AS service, count(*) AS rows_read,
+        count(*) FILTER (WHERE NOT complete) AS incomplete,
+        count(*) FILTER (WHERE complete AND NOT located) AS no_zone, 0::BIGINT AS no_id,
+        count(*) FILTER (WHERE complete AND located) AS rows_written
+        FROM (SELECT service_type, passenger_count IS NOT NULL AS complete,
+              PULocationID IN (SELECT LocationID FROM zones WHERE latitude IS NOT NULL)
+              AND DOLocationID IN (SELECT LocationID FROM zones WHERE latitude IS NOT NULL) AS located FROM trips)
+        GROUP BY service_type""",
+    ),
     "fact_by_service": _sql(
         "fact",
         """SELECT service_name, vendor_name, count(*) AS trips, round(sum(total_amount), 2) AS revenue

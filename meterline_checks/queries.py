@@ -478,11 +478,11 @@ def _deliver_and_correct(spark, sf_dir, bring_up_to_date) -> None:
             more = trips_.where(year == years[0]).withColumn("year", F.lit(extra))
             first = trips_.unionByName(more)
         by_year = first.hint("rebalance", year).write.partitionBy("year")
-        by_year.saveAsTable(f"{schema}.{service}")
+        by_year.option("partitionOverwriteMode", "dynamic").saveAsTable(f"{schema}.{service}")
     layout = "{base}/{service}/year={year}/"
     bring_up_to_date(folder, layout, [*years, extra])
     whole = spark.read.parquet(f"{landed}/yellow").where(year == years[0])
-    whole.write.option("partitionOverwriteMode", "dynamic").insertInto(f"{schema}.yellow", overwrite=True)
+    whole.write.insertInto(f"{schema}.yellow", overwrite=True)
     spark.sql(f"ALTER TABLE {schema}.green DROP PARTITION (year={extra})")
     bring_up_to_date(folder, layout, [*years, extra])
 
@@ -523,6 +523,44 @@ def incremental_run(spark, sf_dir):
     return star.revenue_by_vendor(read_star(spark, warehouse.production))
 
 
+def merged_expectations(spark, sf_dir):
+    """The staging suite from counts kept by partition, after a replaced and a withdrawn source."""
+    folder, lookup = new_folder(spark, "expectations"), zones(spark, sf_dir)
+    warehouse = _new_warehouse(folder)
+    pipeline.create_warehouse(spark, warehouse)
+
+    def run(base, layout, years):
+        raw, clean, sums = (f"{folder}/{layer}" for layer in ("raw", "clean", "sums"))
+        pipeline.load_raw(spark, base, raw, years, layout=layout, mirror=True)
+        pipeline.clean_layer(spark, raw, clean, lookup)
+        pipeline.partial_layer(spark, clean, sums)
+        pipeline.merge_staging(spark, sums, warehouse)
+        pipeline.validate_changed(spark, warehouse, f"{folder}/counts")
+
+    _deliver_and_correct(spark, sf_dir, run)
+    return pipeline.validate_changed(spark, warehouse, f"{folder}/counts")
+
+
+def location_dependency(spark, sf_dir):
+    """Places depend on location ids; vendors do not depend on how a trip is paid."""
+    rows = staging(spark, sf_dir)
+    checks = [
+        quality.location_tests(rows).drop("success"),
+        quality.failed_dependency(rows, "payment_type_id", "vendor_id"),
+        quality.failed_dependency(rows, "pickup_location_id", "vendor_id", "service_type"),
+    ]
+    return union_services(*checks)
+
+
+def run_metrics(spark, sf_dir):
+    """What cleaning read, dropped by rule and wrote, as its own jobs counted it."""
+    lake, clean, kept = _raw_layer(spark, sf_dir), new_folder(spark, "clean"), new_folder(spark, "metrics")
+    pipeline.clean_layer(spark, lake, clean, zones(spark, sf_dir), metrics=kept)
+    rows = spark.read.schema(pipeline.CLEANING_METRICS).parquet(kept)
+    numbers = ("rows_read", "incomplete", "no_zone", "no_id", "rows_written")
+    return rows.groupBy("service").agg(*[F.sum(n).alias(n) for n in numbers])
+
+
 def fact_by_service(spark, sf_dir):
     """A report on one service: the dimension's filter picks the folders of the fact."""
     base, layout = landing(spark, sf_dir)
@@ -591,5 +629,8 @@ QUERIES: dict[str, Query] = {
     "full_run": full_run,
     "merged_staging": merged_staging,
     "incremental_run": incremental_run,
+    "merged_expectations": merged_expectations,
+    "location_dependency": location_dependency,
+    "run_metrics": run_metrics,
     "fact_by_service": fact_by_service,
 }

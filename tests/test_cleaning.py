@@ -1,9 +1,11 @@
 import math
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
 
 from meterline.operators.cleaning import (
+    CleaningCounts,
     add_zone,
     canonical_columns,
     cast_ids,
@@ -13,6 +15,10 @@ from meterline.operators.cleaning import (
     drop_service_columns,
     rename_service_columns,
 )
+from meterline.plans import pipeline
+from meterline.session import stored
+
+from .test_pipeline import corrupt
 
 
 def test_complete_rows_drops_null_and_nan(spark):
@@ -138,3 +144,43 @@ def test_clean_trips_equals_filtering_last(raw_trips, zones):
 def test_a_service_only_column_that_stays_takes_part_in_the_filter(raw_trips, zones):
     df = raw_trips("yellow", {}, extra_columns="later_fee double", extra_values=(None,))
     assert clean_trips(df, zones, "yellow").count() == 0
+
+
+def test_cleaning_counts_what_its_rules_drop(spark, raw_trips, zones):
+    trips = raw_trips(
+        "yellow",
+        {},
+        {"passenger_count": None},
+        {"fare_amount": math.nan},
+        {"PULocationID": 21},
+        {"DOLocationID": 999},
+        {"VendorID": 5_000_000_000},
+    )
+    trips = stored(trips, "trips")
+    counts = CleaningCounts()
+    watched = clean_trips(trips, zones, "yellow", watch=counts.watch)
+    plain = clean_trips(trips, zones, "yellow")
+    leaves = [p._jdf.queryExecution().optimizedPlan().collectLeaves().size() for p in (watched, plain)]
+    assert leaves[0] == leaves[1]  # nothing is read for the counts
+    assert sorted(watched.collect()) == sorted(plain.collect())
+    assert counts.counts() == {"rows_read": 6, "incomplete": 2, "no_zone": 2, "no_id": 1, "rows_written": 1}
+
+
+def test_metrics_of_a_layer_are_kept(spark, raw_trips, zones, tmp_path):
+    base, raw, clean, kept = (str(tmp_path / n) for n in ("in", "raw", "clean", "metrics"))
+    for month in (1, 2, 3):
+        rows = [{"fare_amount": float(i)} for i in range(month)] + [{"passenger_count": None}]
+        path = f"{base}/2024/yellow/yellow_tripdata_2024-{month:02}.parquet"
+        raw_trips("yellow", *rows).coalesce(1).write.parquet(path)
+    pipeline.load_raw(spark, base, raw, [2024])
+    folder = pathlib.Path(raw, "service=yellow/batch_year=2024/source=yellow_tripdata_2024-02")
+    corrupt(folder, keep=40)
+    left_out = pipeline.clean_layer(spark, raw, clean, zones, skip_failed=True, metrics=kept)
+    assert len(left_out) == 1
+    # The job that failed leaves no counts, those of its halves do.
+    got = spark.read.parquet(kept).agg(F.sum("rows_read"), F.sum("incomplete"), F.sum("rows_written")).first()
+    assert tuple(got) == (6, 2, 4)
+    assert spark.read.parquet(clean).count() == 4
+    before = spark.read.parquet(kept).count()
+    pipeline.clean_layer(spark, raw, clean, zones, skip_failed=True, metrics=kept)
+    assert spark.read.parquet(kept).count() == before  # nothing was cleaned

@@ -7,6 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from meterline.operators import quality
+from meterline.operators.star import dim_vendor
 from meterline.plans import pipeline
 from meterline.schemas import STAGING
 from meterline.sources.layers import DriftError
@@ -61,7 +62,7 @@ def run(spark, base, tmp_path, zones, warehouse, years=(2023, 2024), **options):
 
 
 def _half_built(staging, store, facts):
-    store("dimVendor", staging.select("vendor_id"))
+    store("dimVendor", dim_vendor(staging))
     raise RuntimeError("stopped")
 
 
@@ -95,7 +96,7 @@ def test_full_run(spark, base, tmp_path, zones, warehouse, monkeypatch):
     with monkeypatch.context() as m:
         m.setattr("meterline.plans.pipeline.build_star", _half_built)
         with pytest.raises(RuntimeError):
-            pipeline.load_star(spark, warehouse)
+            pipeline.load_star(spark, warehouse, full=True)
     assert sorted(star["factTrip"].collect()) == sorted(out["factTrip"].collect())
     assert len(spark.catalog.listTables(warehouse.production)) == 7
 

@@ -1,6 +1,7 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from meterline.operators import quality
 from meterline.operators.profile import null_profile, preview
@@ -124,3 +125,35 @@ def test_star_tests_report_failures(spark):
         ("factTrip", "dropoff_location_id", "relationships"): 1,
         ("factTrip", "service_type_id", "relationships"): 1,
     }
+
+
+def test_counts_of_parts_add_up_to_the_report(spark):
+    df = spark.createDataFrame(
+        [(1, 0.5, "a"), (1, None, None), (2, 7.0, "a"), (2, math.nan, None), (3, 2.0, "b")],
+        "part int, d double, s string",
+    )
+    suite = [Between("d", 0, 3), NotNull("s"), Between("part", min_value=2)]
+    parts = [quality.check_counts(df.where(F.col("part") == p), suite, "part") for p in (1, 2, 3)]
+    together = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    assert quality.combined_report(together, suite).collect() == quality.validate(df, suite).collect()
+    assert quality.check_counts(df, suite, "part").count() == 9
+    none = quality.check_counts(df.limit(0), suite, "part")
+    assert quality.combined_report(none, suite).collect() == quality.validate(df.limit(0), suite).collect()
+
+
+def test_dependencies_name_a_key(spark):
+    rows = [(5, 1.0, "x"), (5, 1.0, "x"), (7, 1.0, None), (7, 1.0, "y"), (6, 2.0, "x"), (6, 3.0, "x")]
+    df = spark.createDataFrame([*rows, (None, 1.0, "x"), (None, 2.0, "x")], "k int, v double, w string")
+    found = quality.failed_dependency(df, "k", "v", "w").first()
+    assert tuple(found) == ("k", "v, w", 2, "6", 2)
+    assert tuple(quality.failed_dependency(df, "k", "v").first()) == ("k", "v", 1, "6", 2)
+    held = quality.failed_dependency(df.where("k = 5"), "k", "v", "w").first()
+    assert tuple(held) == ("k", "v, w", 0, None, None)
+    assert quality.failed_dependency(df.limit(0), "k", "v").first().failures == 0
+
+
+def test_locations_in_two_places(spark):
+    columns = [f"{r}_{c}" for r in ("pickup", "dropoff") for c in ("location_id", "latitude", "longitude")]
+    df = spark.createDataFrame([(1, 0.0, 0.0, 2, 0.0, 0.0), (1, 0.0, 0.0, 2, 0.0, 9.0)], columns)
+    got = {r.column: (r.failures, r.sample_key, r.success) for r in quality.location_tests(df).collect()}
+    assert got == {"pickup_location_id": (0, None, True), "dropoff_location_id": (1, "2", False)}
