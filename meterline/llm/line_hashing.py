@@ -6,10 +6,11 @@ Units of at least ``min_words`` words are normalised (lower case, single blanks)
 digested to 128 bits; digests are counted globally; of each the first occurrence, by
 document id and offset, stays and the others are removed with their offsets kept.
 
-Defined results: offsets count characters of the original text, end exclusive. Null and
+Defined results (of both ways to cut): offsets count characters of the original text, end exclusive. Null and
 empty texts have no units. Rows with a null id come last in rank. Rows with equal ids and
 equal offsets are one occurrence, so repeated rows do not remove each other. Only the id
-and the text are read from the documents.
+and the text are read from the documents, so other columns may have any name. An empty
+table has no units; very long texts are cut whole.
 
 ``passage_units`` cuts so that every word lies in a unit: whole paragraphs (between blank
 lines), whole lines of any length, and sentences, short ones with the next of their line (at
@@ -27,6 +28,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterline.session import stored
+
 _BLANKS = re.compile(r"[ \t\r\x0b\x0c]+")
 
 
@@ -46,43 +49,60 @@ def text_units(text: str, min_words: int) -> list[tuple[int, int, str]]:
     return out
 
 
-def _plain(text: str) -> str:
-    return " ".join(w for w in _BLANKS.split(text.lower().replace("\n", " ")) if w)
+def _plain(text: str) -> bytes:
+    """Lower case, single blanks; bytes split at the six ASCII white-space characters."""
+    return b" ".join(text.lower().encode("utf-8", "surrogatepass").split())
 
 
 def passage_units(text: str, min_words: int) -> list[tuple[int, int, str]]:
     """(start, end, normalised text) of paragraphs, lines and sentences; every word is in one."""
-    spans: set[tuple[int, int]] = set()
-    start, opened, closed = 0, None, 0
+    return [(a, b, plain.decode("utf-8", "surrogatepass")) for a, b, plain in passage_spans(text, min_words)]
+
+
+def passage_spans(text: str, min_words: int) -> list[tuple[int, int, bytes]]:
+    """As ``passage_units``, with the normalised text as the bytes that are digested."""
+    spans: dict[tuple[int, int], bytes] = {}
+    start, opened, closed = 0, 0, 0
+    paragraph: list[bytes] = []
+
+    def close() -> None:
+        if paragraph:
+            spans[opened, closed] = b" ".join(paragraph)
+            paragraph.clear()
+
     for line in text.split("\n"):
         end = start + len(line)
-        if not _plain(line):
-            if opened is not None:
-                spans.add((opened, closed))
-            opened = None
-        else:
-            opened, closed = (start if opened is None else opened), end
-            spans.add((start, end))
-            pieces, at = [], start
-            for piece in re.split(r"(?<=[.!?]) ", line):
-                words = len(_plain(piece).split(" ")) if _plain(piece) else 0
-                pieces.append((at, at + len(piece), words))
-                at += len(piece) + 1
-            for i in range(len(pieces)):
-                first = last = i
-                words = pieces[i][2]
-                while words < min_words and last + 1 < len(pieces):
-                    last += 1
-                    words += pieces[last][2]
-                while words < min_words and first > 0:
-                    first -= 1
-                    words += pieces[first][2]
-                if words >= min_words:
-                    spans.add((pieces[first][0], pieces[last][1]))
+        ends, plains, counts = [], [], []
+        at = start
+        for piece in re.split(r"(?<=[.!?]) ", line):
+            plain = _plain(piece)
+            at += len(piece) + 1
+            ends.append(at - 1)
+            plains.append(plain)
+            counts.append(plain.count(b" ") + 1 if plain else 0)
+        whole = b" ".join(p for p in plains if p)
+        if not whole:
+            close()
+            start = end + 1
+            continue
+        opened, closed = (opened if paragraph else start), end
+        paragraph.append(whole)
+        spans[start, end] = whole
+        begins = [start, *(e + 1 for e in ends[:-1])]
+        for i, words in enumerate(counts):
+            first = last = i
+            while words < min_words and last + 1 < len(counts):
+                last += 1
+                words += counts[last]
+            while words < min_words and first > 0:
+                first -= 1
+                words += counts[first]
+            span = begins[first], ends[last]
+            if words >= min_words and span not in spans:
+                spans[span] = b" ".join(p for p in plains[first : last + 1] if p)
         start = end + 1
-    if opened is not None:
-        spans.add((opened, closed))
-    return [(a, b, _plain(text[a:b])) for a, b in sorted(spans)]
+    close()
+    return [(a, b, plain) for (a, b), plain in sorted(spans.items())]
 
 
 def units(
@@ -98,7 +118,7 @@ def units(
                 if isinstance(body, str) and body:
                     doc = None if pd.isna(doc) else int(doc)
                     rows.extend(
-                        (doc, a, b, digest(unit.encode("utf-8", "surrogatepass")))
+                        (doc, a, b, digest(unit if isinstance(unit, bytes) else unit.encode("utf-8", "surrogatepass")))
                         for a, b, unit in cut(body, min_words)
                     )
                 if len(rows) >= 50_000:
@@ -122,10 +142,12 @@ def repeated_units(
 ) -> DataFrame:
     """Every occurrence to remove: doc_id, its span, and the document and offset that stay.
 
-    Digests that occur once leave at the first aggregation, and a digest of very many
-    occurrences is one row there; the join back spreads over the occurrences.
+    Units are made once and stored as digests and spans. Digests that occur once leave at
+    the first aggregation, and a digest of very many occurrences is one row there. What is
+    left is stored too, so that the join back is a plain one of two stored frames, in which
+    adaptive execution splits the partition of a hot digest.
     """
-    found = units(docs, min_words, key, text, cut)
+    found = stored(units(docs, min_words, key, text, cut), "units")
     rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "unit_start")
     first = (
         found.groupBy("digest")
@@ -133,6 +155,7 @@ def repeated_units(
         .where("not (first <=> latest)")
         .select("digest", "first")
     )
+    first = stored(first, "repeated_digests")
     return (
         found.join(first, "digest")
         .where("not (doc_id <=> first.doc_id and unit_start = first.unit_start)")

@@ -89,6 +89,50 @@ SELECT doc_id, unit_start::INTEGER AS unit_start, (unit_start + length(piece))::
 FROM long_units WHERE NOT (doc_id = kept.d AND unit_start = kept.s)
 """
 
+_OP3_PASSAGES = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no
+  FROM documents WHERE text IS NOT NULL AND text <> ''
+), placed AS (
+  SELECT *, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY line_no
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS line_start,
+         trim(regexp_replace(line, '[ \t\r\x0b\x0c]+', ' ', 'g')) <> '' AS full_line FROM lines
+), cut AS (
+  SELECT *, string_split(regexp_replace(line, '([.!?]) ', '\1' || chr(10), 'g'), chr(10)) AS parts FROM placed WHERE full_line
+), pieces AS (
+  SELECT doc_id, line_no, line_start, unnest(parts) AS piece, generate_subscripts(parts, 1) AS n FROM cut
+), counted AS (
+  SELECT *, CASE WHEN plain = '' THEN 0 ELSE len(string_split(plain, ' ')) END AS words,
+         line_start + coalesce(sum(length(piece) + 1) OVER (PARTITION BY doc_id, line_no ORDER BY n
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a
+  FROM (SELECT *, trim(regexp_replace(piece, '[ \t\r\x0b\x0c]+', ' ', 'g')) AS plain FROM pieces)
+), summed AS (
+  SELECT *, a + length(piece) AS b, sum(words) OVER (PARTITION BY doc_id, line_no ORDER BY n) AS upto,
+         sum(words) OVER (PARTITION BY doc_id, line_no) AS total, max(n) OVER (PARTITION BY doc_id, line_no) AS last_n FROM counted
+), reach AS (
+  SELECT i.doc_id, i.line_no, i.n, min(j.n) FILTER (WHERE j.n >= i.n AND j.upto - i.upto + i.words >= 8) AS forth,
+         max(j.n) FILTER (WHERE j.n <= i.n AND j.total - j.upto + j.words >= 8) AS back, any_value(i.last_n) AS last_n
+  FROM summed i JOIN summed j ON i.doc_id = j.doc_id AND i.line_no = j.line_no GROUP BY ALL
+), spans AS (
+  SELECT r.doc_id, f.a, l.b FROM reach r
+  JOIN summed f ON f.doc_id = r.doc_id AND f.line_no = r.line_no AND f.n = CASE WHEN r.forth IS NULL THEN r.back ELSE r.n END
+  JOIN summed l ON l.doc_id = r.doc_id AND l.line_no = r.line_no AND l.n = coalesce(r.forth, r.last_n)
+  UNION
+  SELECT doc_id, line_start, line_start + length(line) FROM placed WHERE full_line
+  UNION
+  SELECT doc_id, min(line_start), max(line_start + length(line))
+  FROM (SELECT *, line_no - row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS island FROM placed WHERE full_line)
+  GROUP BY doc_id, island
+), units AS (
+  SELECT s.doc_id, s.a, s.b, trim(regexp_replace(lower(substr(d.text, s.a::BIGINT + 1, (s.b - s.a)::BIGINT)), '[ \t\r\n\x0b\x0c]+', ' ', 'g')) AS plain
+  FROM spans s JOIN documents d USING (doc_id)
+), ranked AS (
+  SELECT *, first_value(struct_pack(d := doc_id, s := a)) OVER (PARTITION BY plain ORDER BY doc_id, a) AS kept FROM units
+)
+SELECT doc_id, a::INTEGER AS unit_start, b::INTEGER AS unit_end, kept.d AS kept_doc_id, kept.s::INTEGER AS kept_start
+FROM ranked WHERE NOT (doc_id = kept.d AND a = kept.s)
+"""
+
 _OP7 = r"""
 WITH lines AS (
   SELECT doc_id, lower(trim(unnest(string_split(text, chr(10))), ' ' || chr(9) || chr(13) || chr(11) || chr(12))) AS line,
@@ -259,6 +303,7 @@ ORACLES = {
     "op1_mtree_top_k": _OP1,
     "op2_hash_threshold_mix": _OP2,
     "op3_line_hashing": _OP3,
+    "op3_passage_hashing": _OP3_PASSAGES,
     "op7_all_repeated_lines": _OP7_ALL,
     "op7_suffix_runs": _OP7,
     "op8_signature_trees": _OP8,

@@ -54,7 +54,7 @@ def op3_line_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_passage_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paragraphs, lines and sentences; ``op3_line_hashing`` takes long sentences only, as its SQL does."""
-    return line_hashing.repeated_units(table(spark, sf_dir, "documents"), cut=line_hashing.passage_units)
+    return line_hashing.repeated_units(table(spark, sf_dir, "documents"), cut=line_hashing.passage_spans)
 
 
 def op4_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:

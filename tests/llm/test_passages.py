@@ -40,3 +40,19 @@ def test_short_sentences_leave_with_their_passage(spark, tmp_path):
         docs[5],
         (7, ""),
     ]
+
+
+def test_edges(spark):
+    kind = "doc_id long, text string, digest int, first int, unit_start int"
+    long = "\n".join(f"line {i % 300} of a very long text" for i in range(20_000))
+    docs = [(1, None), (2, ""), (3, " \n\t"), (4, LONG), (4, LONG), (5, LONG), (None, LONG), (6, long)]
+    df = spark.createDataFrame([(*d, 1, 2, 3) for d in docs], kind)
+    got = line_hashing.repeated_units(df, cut=line_hashing.passage_spans)
+    by_doc = {}
+    for r in got.collect():
+        by_doc.setdefault(r.doc_id, []).append(r)
+    # Equal ids and offsets are one occurrence, a null id is the last in rank.
+    assert set(by_doc) == {5, 6, None}
+    assert all(r.kept_doc_id == 4 for r in by_doc[5] + by_doc[None])
+    assert len({r.unit_start for r in by_doc[6]}) == 20_000 - 300
+    assert line_hashing.repeated_units(df.limit(0), cut=line_hashing.passage_spans).collect() == []
