@@ -44,6 +44,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
             one.add_argument("--append", action="store_true", help="add to staging")
             one.add_argument("--suite", help="JSON file with expectations")
             one.add_argument("--results", help="folder to keep the validation report in")
+            one.add_argument("--clustered", action="store_true", help="order the fact by time and place")
+            one.add_argument("--mirror", action="store_true", help="empty what is no longer delivered")
         if "format" in needs:
             one.add_argument("--format", default="delta")
             one.add_argument("--target", required=True)
@@ -64,6 +66,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     stage("validate", "hold the staging table to its suite", "warehouse")
     stage("star", "build dimensions and fact", "warehouse")
     stage("test-star", "test the star schema", "warehouse")
+    stage("update", "work on what changed since the last run", "years", "base", "lake", "zones", "warehouse")
     stage("all", "every stage in order", "years", "base", "lake", "zones", "warehouse")
     stage("inspect", "schema, first rows and null counts of a Parquet path", "path")
     return parser.parse_args(argv)
@@ -124,7 +127,23 @@ def main(argv: list[str] | None = None) -> int:
                 pipeline.validate_staging(spark, warehouse, suite(), results=a.results)
             )
         case "star":
-            pipeline.load_star(spark, warehouse)
+            pipeline.load_star(spark, warehouse, clustered=a.clustered)
+        case "update":
+            star = pipeline.run_changed(
+                spark,
+                a.base,
+                a.lake,
+                zones(),
+                warehouse,
+                a.years,
+                services=a.services,
+                layout=a.layout,
+                mirror=a.mirror,
+                skip_failed=a.skip_failed,
+                left_out=left_out,
+                clustered=a.clustered,
+            )
+            return max(_report(star_tests(star)), _named(left_out))
         case "test-star":
             return _report(star_tests(read_star(spark, warehouse.production)))
         case "all":

@@ -973,7 +973,7 @@ def validate_changed(
 
 
 def load_star(
-    spark: SparkSession, warehouse: Warehouse, *, full: bool = False
+    spark: SparkSession, warehouse: Warehouse, *, full: bool = False, clustered: bool = False
 ) -> dict[str, DataFrame]:
     """Build the six dimensions and then the fact as stored tables, and switch to them.
 
@@ -982,6 +982,7 @@ def load_star(
     service; parts whose staging files are those they were built from stay valid as
     stored, unless ``full`` asks for all. That holds as long as each location has one
     place; where one has several, trips of any part can repeat, so all parts are built.
+    ``clustered`` lays the fact out by time and place, see ``store_rows``.
     """
     production = warehouse.production
     create_store(spark, production, warehouse.folder(store_schema(production)))
@@ -1010,7 +1011,11 @@ def load_star(
 
     staging = read_staging(spark, warehouse.staging_table)
     # Dimensions come first, so a location in two places is known before the fact is built.
-    build_star(staging, lambda name, df: store_rows(df, production, name, build), facts=facts)
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        return store_rows(df, production, name, build, clustered=clustered)
+
+    build_star(staging, store, facts=facts)
     switch(spark, production, Current(build, {part: kept.get(part, build) for part in made_from}, made_from))
     return read_star(spark, production)
 
@@ -1085,6 +1090,7 @@ def run_changed(
     mirror: bool = False,
     skip_failed: bool = False,
     left_out: list[str] | None = None,
+    clustered: bool = False,
 ) -> dict[str, DataFrame]:
     """Bring every layer, the staging table and the star up to date; returns the star.
 
@@ -1104,4 +1110,4 @@ def run_changed(
     left_out += partial_layer(spark, clean, partials, years=years, skip_failed=skip_failed)
     create_warehouse(spark, warehouse)
     merge_staging(spark, partials, warehouse, years=years)
-    return load_star(spark, warehouse)
+    return load_star(spark, warehouse, clustered=clustered)

@@ -26,6 +26,10 @@ def test_every_stage_by_itself(spark, raw_trips, zones, tmp_path, capsys):
         assert read_star(spark, "prd_cli")["factTrip"].count() == 4
         printed = capsys.readouterr().out
         assert printed.count("not_null") == 10 + 23
+        update = ["update", "--base", base, "--lake", lake, "--zones", lookup, "--years", "2024"]
+        assert main([*update, "--mirror", "--clustered", *names]) == 0
+        assert read_star(spark, "prd_cli")["factTrip"].count() == 4
+        assert capsys.readouterr().out.count("not_null") == 23
 
         strict = tmp_path / "suite.json"
         strict.write_text(suite_to_json([Between("fare_amount", 0, 5)]))

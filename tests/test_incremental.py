@@ -133,8 +133,8 @@ def test_readers_see_one_version(spark, lake, raw_trips, monkeypatch):
     production, seen = lake.made.production, []
     store = pipeline.store_rows
 
-    def between(df, schema, name, build):
-        out = store(df, schema, name, build)
+    def between(df, schema, name, build, **how):
+        out = store(df, schema, name, build, **how)
         seen.append((name, rows(spark.table(f"{production}.factTrip")), rows(spark.table(f"{production}.dimVendor"))))
         return out
 
@@ -162,8 +162,8 @@ def test_a_build_that_stops_leaves_the_old_star(spark, lake, raw_trips, monkeypa
     land(raw_trips("yellow", {"VendorID": 2, "fare_amount": 3.0}), lake.base, 2024, "yellow", 1)
     store = pipeline.store_rows
 
-    def stops(df, schema, name, build):
-        out = store(df, schema, name, build)
+    def stops(df, schema, name, build, **how):
+        out = store(df, schema, name, build, **how)
         if name == stop_at:
             raise RuntimeError("stopped")
         return out
