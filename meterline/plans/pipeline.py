@@ -107,34 +107,55 @@ def load_raw(
     found = find_service_inputs(spark, base, years, services, layout, stats=True)
 
     def load(service: str) -> list[Input]:
-        def rows(scan: Scan) -> DataFrame:
-            path = F.col("_metadata.file_path")
-            return scan.df.withColumns(
-                {
-                    "batch_year": year_of_path(path, layout),
-                    "source": source_of_path(path, layout),
-                }
-            )
-
-        def key(item: Input) -> Key:
-            return input_year(item.path, layout), input_name(item.path, layout)
-
-        inputs = found.get(service, [])
-        if len({key(item) for item in inputs}) < len(inputs):
-            raise ValueError(f"inputs of {service} that share a year and a name: {base}")
-        work = _Work(spark, raw, service, years, key, full=full, skip_failed=skip_failed)
-        stats = {f: s for item in inputs for f, s in zip(item.files, item.stats)}
-        work.known.update(work.manifest.input_schemas(stats))
-        left_out = work.replace(
-            inputs, rows, lambda item: digest(*zip(item.files, item.stats))
+        return load_inputs(
+            spark,
+            raw,
+            service,
+            found.get(service, []),
+            years,
+            layout=layout,
+            skip_failed=skip_failed,
+            full=full,
+            mirror=mirror,
         )
-        if mirror:
-            work.empty_others({key(item) for item in inputs})
-        return left_out
 
     return _side_by_side(load, services if mirror and found else found)
 
 
+def load_inputs(
+    spark: SparkSession,
+    raw: str,
+    service: str,
+    inputs: Sequence[Input],
+    years: Sequence[int | str],
+    *,
+    layout: str = LAYOUT,
+    skip_failed: bool = False,
+    full: bool = False,
+    mirror: bool = False,
+) -> list[Input]:
+    """Bring inputs of one service, listed with their stats, into the raw layer."""
+
+    def rows(scan: Scan) -> DataFrame:
+        path = F.col("_metadata.file_path")
+        return scan.df.withColumns(
+            {"batch_year": year_of_path(path, layout), "source": source_of_path(path, layout)}
+        )
+
+    def key(item: Input) -> Key:
+        return input_year(item.path, layout), input_name(item.path, layout)
+
+    if len({key(item) for item in inputs}) < len(inputs):
+        raise ValueError(f"inputs of {service} that share a year and a name: {inputs[0].path}")
+    work = _Work(spark, raw, service, years, key, full=full, skip_failed=skip_failed)
+    stats = {f: s for item in inputs for f, s in zip(item.files, item.stats)}
+    work.known.update(work.manifest.input_schemas(stats))
+    left_out = work.replace(inputs, rows, lambda item: digest(*zip(item.files, item.stats)))
+    if mirror:
+        work.empty_others({key(item) for item in inputs})
+    return left_out
+
+
 def _side_by_side(work: Callable[[str], list[Input]], services: Iterable[str]) -> list[str]:
     """Work on all services at the same time, each in a folder of its own."""
     services = list(services)

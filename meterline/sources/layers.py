@@ -69,9 +69,9 @@ class Input:
 
 
 def list_inputs(
-    spark: SparkSession, pattern: str, unit: str = WHOLE_INPUT, *, stats: bool = False
+    spark: SparkSession, pattern: str | list[str], unit: str = WHOLE_INPUT, *, stats: bool = False
 ) -> list[Input]:
-    """Parquet inputs matched by a glob; ``unit`` tells a file's input from its path.
+    """Parquet inputs matched by a glob or several; ``unit`` tells a file's input from its path.
 
     Spark lists the files, at any depth; no job reads them. Only names come to the driver,
     with ``stats`` also sizes and times, which one job gathers without opening a file.
@@ -342,6 +342,17 @@ def input_name(path: str, layout: str) -> str:
     return "-".join(_end_of_input(path, layout, _own_segments(layout)))
 
 
+def delivery_pattern(base: str, service: str, year: str, layout: str) -> str:
+    """Glob for the files of a delivery."""
+    pattern = layout.format(base=base.rstrip("/"), year=year, service=service)
+    return f"{pattern}*.parquet" if layout.endswith("/") else pattern
+
+
+def unit_of(layout: str) -> str:
+    """How a layout tells a file's input from its path."""
+    return PARENT_FOLDER if layout.endswith("/") else WHOLE_INPUT
+
+
 def find_service_inputs(
     spark: SparkSession,
     base: str,
@@ -355,12 +366,8 @@ def find_service_inputs(
     years = [str(y) for y in years]
     found = {}
     for service in services:
-        any_year = "{" + ",".join(years) + "}"
-        pattern = layout.format(base=base.rstrip("/"), year=any_year, service=service)
-        if layout.endswith("/"):
-            inputs = list_inputs(spark, f"{pattern}*.parquet", PARENT_FOLDER, stats=stats)
-        else:
-            inputs = list_inputs(spark, pattern, stats=stats)
+        pattern = delivery_pattern(base, service, "{" + ",".join(years) + "}", layout)
+        inputs = list_inputs(spark, pattern, unit_of(layout), stats=stats)
         counts = Counter(input_year(item.path, layout) for item in inputs)
         for year in years:
             if counts[year]:
