@@ -4,20 +4,44 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    DatetimeType,
+    MapType,
+    NumericType,
+    StructType,
+    VariantType,
+)
 
-# Lookups are projected to a few fixed-width columns first (ids, coordinates, md5
-# keys: under 100 bytes a row), so this many rows stay under about 50 MB.
+# What a lookup may take in the memory of every executor, in rows and in bytes.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 50_000_000
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows.
+def row_bytes(df: DataFrame) -> Column:
+    """About what a row takes in memory: 8 bytes a column and its texts and nested values."""
+    size = F.lit(8 * len(df.columns)).cast("long")
+    for field in df.schema.fields:
+        value = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (ArrayType, MapType, StructType, VariantType)):
+            value = F.to_json(F.struct(value))
+        if not isinstance(field.dataType, (NumericType, BooleanType, DatetimeType)):
+            size = size + F.coalesce(F.octet_length(value), F.lit(0))
+    return size
 
-    A count, not a limited collect: each task returns one number, and on Parquet it
-    is answered from the footers.
+
+def fits_broadcast(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes.
+
+    One aggregation, not a limited collect: each task returns two numbers, and where no
+    column is of varying width the count is answered from Parquet footers.
     """
-    return df.count() <= max_rows
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(row_bytes(df))).first()
+    return rows <= max_rows and (size or 0) <= max_bytes
 
 
 def lookup_join(

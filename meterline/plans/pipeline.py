@@ -20,7 +20,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..operators.cleaning import CleaningCounts, clean_trips
 from ..operators.grouping import partial_sums, staging_input, staging_rows
-from ..operators.joins import BROADCAST_ROWS
+from ..operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, row_bytes
 from ..operators.quality import (
     STAGING_SUITE,
     Expectation,
@@ -433,9 +433,11 @@ def clean_layer(
     """
     years = None if years is None else list(years)
     counted = zones.agg(
-        F.count(F.lit(1)).alias("rows"), F.bit_xor(F.xxhash64(*zones.columns)).alias("mark")
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(row_bytes(zones)).alias("bytes"),
+        F.bit_xor(F.xxhash64(*zones.columns)).alias("mark"),
     ).first()
-    small = counted.rows <= BROADCAST_ROWS
+    small = counted.rows <= BROADCAST_ROWS and (counted.bytes or 0) <= BROADCAST_BYTES
     run_at = datetime.now(timezone.utc)
     stored: list[tuple] = []
 
@@ -628,6 +630,64 @@ def convert_layer(
     )
 
 
+# Sources that are converted at the same time.
+CONVERTERS = 8
+
+
+def convert_sources(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    *,
+    fmt: str = "delta",
+    years: Iterable[int] | None = None,
+    options: Mapping[str, str] | None = None,
+    skip_failed: bool = False,
+    full: bool = False,
+) -> list[str]:
+    """Rewrite every source of a layer as a table of its own, under its own schema.
+
+    Months whose columns differ need no common type then. A table lies where its source
+    does below ``target``; sources that were converted from the same files stay as they
+    are. Where the parts of one source differ, its table has a column for each. Returns
+    the sources left out.
+    """
+    years = None if years is None else list(years)
+
+    def work(service: str) -> list[Input]:
+        done = read_manifest(spark, target, service)
+        known: dict[str, str | Exception] = dict(read_manifest(spark, source, service).stored_schemas())
+        inputs = layer_inputs(spark, source, service, years)
+        versions = {item: digest(item.files, fmt) for item in inputs}
+        todo = [i for i in inputs if full or not done.holds(_folder_key(i), versions[i], ())]
+        found = _scans(spark, todo, None, skip_failed, known)
+        parts: dict[Input, list[DataFrame]] = {}
+        for scan in found.scans:
+            for item in scan.inputs:
+                parts.setdefault(item, []).append(scan.part([item]).df)
+
+        def convert(item: Input) -> Entry | None:
+            if item in found.left_out:
+                return None
+            folder = "/".join([target, *item.path.split("/")[-3:]])
+            try:
+                table = parts[item][0] if len(parts[item]) == 1 else union_drifted(parts[item])
+                table.write.format(fmt).mode("overwrite").options(**(options or {})).save(folder)
+            except Exception as error:
+                if not (skip_failed and is_input_fault(error)):
+                    raise
+                log.error("left out %s: %s", item.path, error)
+                return None
+            return Entry(_folder_key(item), versions[item], tuple(map(File, item.files)))
+
+        with ThreadPoolExecutor(CONVERTERS) as pool:
+            made = dict(zip(todo, pool.map(convert, todo)))
+        write_manifest(spark, target, service, [entry for entry in made.values() if entry])
+        return [item for item, entry in made.items() if entry is None]
+
+    return _side_by_side(work, SERVICES)
+
+
 def _partitions(spark: SparkSession, table: str) -> list[Input]:
     """The folders of a stored table of two partition levels, of any format."""
     try:

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from urllib.parse import quote, unquote
 
 import pandas as pd
-from pyarrow.fs import FileSystem
+from pyarrow.fs import FileSystem, S3FileSystem
 from pyarrow.parquet import ParquetFile
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -119,22 +119,53 @@ class Scans:
     left_out: tuple[Input, ...] = ()
 
 
-def _footer_marks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def s3_settings(spark: SparkSession) -> dict[str, object]:
+    """What the session says about its S3 store, as arguments of pyarrow's S3 file system."""
+
+    def setting(name: str) -> str | None:
+        return spark.conf.get(f"spark.hadoop.fs.s3a.{name}", None)
+
+    found: dict[str, object] = {}
+    for name, ours in (("access.key", "access_key"), ("secret.key", "secret_key"), ("endpoint.region", "region")):
+        if setting(name):
+            found[ours] = setting(name)
+    endpoint = setting("endpoint")
+    if endpoint:
+        scheme, mark, host = endpoint.rpartition("://")
+        secure = (setting("connection.ssl.enabled") or "true").lower() != "false"
+        found["endpoint_override"] = host.rstrip("/")
+        found["scheme"] = scheme if mark else "https" if secure else "http"
+    return found
+
+
+def _open_store(path: str, s3: Mapping[str, object]) -> tuple[FileSystem, str]:
+    """The store of a URI and the name in it; ``s3a`` is Spark's name for S3."""
+    scheme, _, rest = path.partition("://")
+    if scheme in ("s3a", "s3n"):
+        return S3FileSystem(**s3), unquote(rest)
+    return FileSystem.from_uri(path)
+
+
+def _footer_marks(s3: Mapping[str, object], open_store=_open_store) -> Callable:
     """A digest of the schema in each file's footer; null where it cannot be read."""
-    for batch in batches:
-        marks = []
-        for path in batch["path"]:
-            try:
-                system, name = FileSystem.from_uri(path)
-                with system.open_input_file(name) as file:
-                    footer = ParquetFile(file)
-                    own = (footer.metadata.metadata or {}).get(SPARK_SCHEMA, b"")
-                    # The first line of the text is the object's address.
-                    text = str(footer.schema).split("\n", 1)[-1]
-                marks.append(hashlib.sha256(own + text.encode()).hexdigest())
-            except Exception:  # Spark tries these again, and says why it cannot.
-                marks.append(None)
-        yield pd.DataFrame({"path": batch["path"], "mark": marks})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            marks = []
+            for path in batch["path"]:
+                try:
+                    system, name = open_store(path, s3)
+                    with system.open_input_file(name) as file:
+                        footer = ParquetFile(file)
+                        own = (footer.metadata.metadata or {}).get(SPARK_SCHEMA, b"")
+                        # The first line of the text is the object's address.
+                        text = str(footer.schema).split("\n", 1)[-1]
+                    marks.append(hashlib.sha256(own + text.encode()).hexdigest())
+                except Exception:  # Spark tries these again, and says why it cannot.
+                    marks.append(None)
+            yield pd.DataFrame({"path": batch["path"], "mark": marks})
+
+    return run
 
 
 # Fixed value: the footer entry under which Spark keeps its own form of the schema.
@@ -145,8 +176,9 @@ def _schemas_of_files(spark: SparkSession, files: Sequence[str]) -> dict[str, st
     """Each file's schema as JSON, or the error that reading it gives.
 
     Footers are read in tasks, and Spark is asked for the schema of one file for each
-    distinct footer. Files in a store that the tasks' own reader does not know are asked
-    for one by one, and so are a few files, for which Python workers would start in vain.
+    distinct footer. Tasks read ``s3a`` with the session's settings of that store. Files in
+    a store that their reader does not know are asked for one by one, and so are a few
+    files, for which Python workers would start in vain.
     """
     if not files:
         return {}
@@ -165,7 +197,7 @@ def _schemas_of_files(spark: SparkSession, files: Sequence[str]) -> dict[str, st
         pd.DataFrame({"path": [as_uri(f) for f in files]}), "path string"
     )
     read = names.repartition(-(-len(files) // FOOTERS_PER_TASK)).mapInPandas(
-        _footer_marks, "path string, mark string"
+        _footer_marks(s3_settings(spark)), "path string, mark string"
     )
     marks = {unquote(r.path): r.mark for r in read.collect()}
     first: dict[str, str] = {}

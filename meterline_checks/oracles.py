@@ -472,6 +472,13 @@ FROM trips JOIN zones ON PULocationID = LocationID""",
         f"""SELECT * EXCLUDE (service_type), {_SERVICE_FOLDER} AS service,
         year(pickup_datetime)::INTEGER AS batch_year FROM clean""",
     ),
+    "convert_sources": _sql(
+        "trips",
+        f"""SELECT {_SERVICE_FOLDER} AS service, year(pickup_datetime)::INTEGER AS batch_year,
+        CASE WHEN year(pickup_datetime) % 2 = 1 THEN 'bigint' ELSE 'double' END AS passenger_type,
+        count(*) AS trips, sum(passenger_count) AS passengers
+        FROM trips GROUP BY service_type, year(pickup_datetime)""",
+    ),
     "convert_drifted": _sql(
         "clean",
         f"""SELECT * EXCLUDE (service_type), {_SERVICE_FOLDER} AS service,

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meterline.functions import (
@@ -420,6 +421,43 @@ def convert_drifted(spark, sf_dir):
     return spark.read.orc(target).drop("source")
 
 
+def convert_sources(spark, sf_dir):
+    """Every source as a table under its own schema: passengers are long or double as delivered."""
+    base, layout = landing(spark, sf_dir)
+    delivery, lake, target = (new_folder(spark, name) for name in ("typed", "raw", "converted"))
+    years = delivered_years(spark, sf_dir)
+    for service in SERVICES:
+        for year in years:
+            trips_ = spark.read.parquet(f"{base}/{service}/year={year}")
+            kind = "bigint" if year % 2 else "double"
+            typed = trips_.withColumn("passenger_count", F.col("passenger_count").cast(kind))
+            typed.write.parquet(f"{delivery}/{service}/year={year}")
+    pipeline.load_raw(spark, delivery, lake, years, layout=layout)
+    pipeline.convert_sources(spark, lake, target, fmt="orc")
+    tables = []
+    for service in SERVICES:
+        for year in years:
+            try:
+                table = spark.read.orc(f"{target}/service={service}/batch_year={year}/source=year%3D{year}")
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                continue
+            tables.append(
+                table.agg(
+                    F.count(F.lit(1)).alias("trips"),
+                    F.sum(F.col("passenger_count").cast("double")).alias("passengers"),
+                ).select(
+                    F.lit(service).alias("service"),
+                    F.lit(year).alias("batch_year"),
+                    F.lit(dict(table.dtypes)["passenger_count"]).alias("passenger_type"),
+                    "trips",
+                    "passengers",
+                )
+            )
+    return union_services(*tables)
+
+
 def catalog_tables(spark, sf_dir):
     tag = uuid.uuid4().hex[:12]
     folder = new_folder(spark, "catalog")
@@ -625,6 +663,7 @@ QUERIES: dict[str, Query] = {
     "convert_layer": convert_layer,
     "drifted_parts": drifted_parts,
     "convert_drifted": convert_drifted,
+    "convert_sources": convert_sources,
     "catalog_tables": catalog_tables,
     "full_run": full_run,
     "merged_staging": merged_staging,

@@ -61,6 +61,14 @@ def test_size_is_checked(sides):
     _, lookup = sides
     assert fits_broadcast(lookup)
     assert not fits_broadcast(lookup, max_rows=40)
+    assert fits_broadcast(lookup, max_bytes=41 * 17) and not fits_broadcast(lookup, max_bytes=41 * 17 - 1)
+    assert fits_broadcast(lookup.limit(0), max_bytes=0)
+
+
+def test_wide_rows_are_no_small_lookup(spark):
+    few = spark.range(3).select("id", F.repeat(F.lit("x"), 1000).alias("text"), F.array(F.lit(1)).alias("list"))
+    assert not fits_broadcast(few, max_bytes=3000) and fits_broadcast(few, max_bytes=3200)
+    assert fits_broadcast(few.withColumns({"text": F.lit(None), "list": F.lit(None)}), max_bytes=3 * 24)
 
 
 def test_join_on_several_keys(spark):

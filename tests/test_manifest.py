@@ -160,3 +160,28 @@ def test_manifests_keep_the_last_entry(spark, tmp_path):
     write_manifest(spark, layer, "yellow", [new])
     assert read_manifest(spark, layer, "yellow").entries == {key: new, other: Entry(other, "w")}
     assert read_manifest(spark, layer, "green").entries == {}
+
+
+def test_sources_converted_by_themselves(spark, base, tmp_path, zones, raw_trips, monkeypatch):
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "orc")
+    path = f"{base}/2024/yellow/yellow_tripdata_2024-07.parquet"
+    for extra in (None, 0.75):
+        part = raw_trips("yellow", {"fare_amount": 2.0})
+        part = part if extra is None else part.withColumn("cbd_fee", F.lit(extra))
+        part.coalesce(1).write.mode("append").parquet(path)
+    pipeline.load_raw(spark, base, raw, YEARS)
+    corrupt(f"{raw}/service=green/batch_year=2024/source=green_tripdata_2024-01", keep=40)
+    left_out = pipeline.convert_sources(spark, raw, out, fmt="orc", skip_failed=True)
+    assert [p.rsplit("=", 1)[-1] for p in left_out] == ["green_tripdata_2024-01"]
+    yellow = f"{out}/service=yellow/batch_year=2024/source=yellow_tripdata_2024"
+    kinds = [dict(spark.read.orc(f"{yellow}-0{m}").dtypes)["passenger_count"] for m in (1, 2)]
+    assert kinds == ["double", "bigint"]
+    both = spark.read.orc(f"{yellow}-07").select("fare_amount", "cbd_fee").collect()
+    assert sorted(map(str, both)) == ["Row(fare_amount=2.0, cbd_fee=0.75)", "Row(fare_amount=2.0, cbd_fee=None)"]
+    before = {str(p) for p in pathlib.Path(out).glob("*/*/*/*.orc")}
+    land(raw_trips("yellow", {"fare_amount": 8.0}), base, 2024, "yellow", 2)
+    pipeline.load_raw(spark, base, raw, YEARS)
+    pipeline.convert_sources(spark, raw, out, fmt="orc", skip_failed=True)
+    now = {str(p) for p in pathlib.Path(out).glob("*/*/*/*.orc")}
+    assert {"2024-02" in p for p in now ^ before} == {True}
+    assert [r.fare_amount for r in spark.read.orc(f"{yellow}-02").collect()] == [8.0]

@@ -1,14 +1,18 @@
 import logging
 import math
 
+import pandas as pd
 import pytest
+from pyarrow.fs import LocalFileSystem, SubTreeFileSystem
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from meterline.schemas import ZONES
 from meterline.session import new_folder, shared_folder, stored
+from meterline.sources import layers
 from meterline.sources.layers import (
     PARENT_FOLDER,
+    DriftError,
     find_service_inputs,
     input_name,
     input_year,
@@ -17,7 +21,6 @@ from meterline.sources.layers import (
     read_tree,
     scan_by_schema,
     source_of_path,
-    DriftError,
     union_drifted,
     year_of_path,
 )
@@ -249,3 +252,30 @@ def test_jdbc_reads_are_always_split():
 def test_missing_path_is_an_error_for_a_plain_read(spark, tmp_path):
     with pytest.raises(AnalysisException):
         read_parquet(spark, str(tmp_path / "none"))
+
+
+def test_s3a_is_read_with_the_settings_of_the_session(spark, tmp_path, monkeypatch):
+    settings = {"endpoint": "http://store:9000/", "access.key": "a", "secret.key": "b", "endpoint.region": "r"}
+    for name, value in settings.items():
+        spark.conf.set(f"spark.hadoop.fs.s3a.{name}", value)
+    try:
+        found = layers.s3_settings(spark)
+    finally:
+        for name in settings:
+            spark.conf.unset(f"spark.hadoop.fs.s3a.{name}")
+    assert found == {"access_key": "a", "secret_key": "b", "region": "r", "endpoint_override": "store:9000", "scheme": "http"}
+    assert layers.s3_settings(spark) == {}
+
+    # The store itself is stood in for by a local folder.
+    one_file(spark.range(2), str(tmp_path / "bucket/a b.parquet"))
+    asked = []
+
+    def local(**how):
+        asked.append(how)
+        return SubTreeFileSystem(str(tmp_path), LocalFileSystem())
+
+    monkeypatch.setattr(layers, "S3FileSystem", local)
+    paths = ["s3a://bucket/a%20b.parquet", "s3a://bucket/none.parquet", (tmp_path / "bucket/a b.parquet").as_uri()]
+    (marks,) = layers._footer_marks(found)(iter([pd.DataFrame({"path": paths})]))
+    first, absent, same = marks["mark"]
+    assert first == same and absent is None and asked[0] == found
