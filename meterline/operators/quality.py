@@ -62,8 +62,42 @@ def suite_to_json(suite: Iterable[Expectation]) -> str:
     return json.dumps([{"check": e.check, **asdict(e)} for e in suite], indent=2)
 
 
+# Names of the checks in the stored form of suites that other tools share.
+STORED_NAMES = {
+    "expect_column_values_to_not_be_null": NotNull,
+    "expect_column_values_to_be_between": Between,
+}
+
+
+def suite_to_stored(suite: Iterable[Expectation], name: str) -> str:
+    """A named suite in the form with ``expectation_type`` and ``kwargs``; open ends are left out."""
+    types = {kind: stored for stored, kind in STORED_NAMES.items()}
+    rows = [
+        {
+            "expectation_type": types[type(e)],
+            "kwargs": {k: v for k, v in asdict(e).items() if v is not None},
+            "meta": {},
+        }
+        for e in suite
+    ]
+    return json.dumps({"expectation_suite_name": name, "expectations": rows, "meta": {}}, indent=2)
+
+
+def _from_stored(row: Mapping) -> Expectation:
+    kind = STORED_NAMES.get(row["expectation_type"])
+    known = set(kind.__dataclass_fields__) if kind else set()
+    strange = sorted(k for k, v in row["kwargs"].items() if v is not None and k not in known)
+    if kind is None or strange:
+        # Half a check would pass what the whole one objects to.
+        raise ValueError(f"no such check here: {row['expectation_type']} {', '.join(strange)}".strip())
+    return kind(**{k: v for k, v in row["kwargs"].items() if k in known})
+
+
 def suite_from_json(text: str) -> tuple[Expectation, ...]:
+    """A suite from either form; a stored check or argument that is unknown is an error."""
     rows = json.loads(text)
+    if isinstance(rows, dict):
+        return tuple(_from_stored(row) for row in rows["expectations"])
     return tuple(
         _KINDS[row["check"]](**{k: v for k, v in row.items() if k != "check"}) for row in rows
     )

@@ -427,6 +427,9 @@ FROM trips JOIN zones ON PULocationID = LocationID""",
         ),
     ),
     "expectation_suite": _sql("staging", _suite("staging", *_STAGING_SUITE)),
+    "stored_suite": _sql(
+        "staging", _suite("staging", *_STAGING_SUITE, ("between", "fare_amount", None, 50_000))
+    ),
     "unexpected_rows": _sql(
         "staging",
         """SELECT vendor_id, rate_code_id, pickup_location_id, dropoff_location_id,

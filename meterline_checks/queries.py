@@ -303,6 +303,13 @@ def expectation_suite(spark, sf_dir):
     return quality.validate(staging(spark, sf_dir), suite)
 
 
+def stored_suite(spark, sf_dir):
+    """The staging suite as another tool would store it, with a range open at one end more."""
+    suite = (*quality.STAGING_SUITE, quality.Between("fare_amount", max_value=50_000))
+    suite = quality.suite_from_json(quality.suite_to_stored(suite, "staging"))
+    return quality.validate(staging(spark, sf_dir), suite)
+
+
 def unexpected_rows(spark, sf_dir):
     too_far = quality.unexpected_rows(
         staging(spark, sf_dir), quality.Between("trip_distance", 0, 100)
@@ -653,6 +660,7 @@ QUERIES: dict[str, Query] = {
     "expect_not_null": expect_not_null,
     "expect_between": expect_between,
     "expectation_suite": expectation_suite,
+    "stored_suite": stored_suite,
     "unexpected_rows": unexpected_rows,
     "test_not_null": test_not_null,
     "test_unique": test_unique,

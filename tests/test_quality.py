@@ -46,6 +46,20 @@ def test_suite_order_and_size():
     assert quality.suite_from_json(quality.suite_to_json(suite)) == suite
 
 
+def test_suites_in_the_stored_form():
+    text = """{"data_asset_type": null, "expectation_suite_name": "trips", "expectations": [
+        {"expectation_type": "expect_column_values_to_not_be_null", "kwargs": {"column": "vendor_id"}, "meta": {}},
+        {"expectation_type": "expect_column_values_to_be_between",
+         "kwargs": {"column": "extra", "max_value": 3, "min_value": 0}, "meta": {}}], "meta": {}}"""
+    assert quality.suite_from_json(text) == (NotNull("vendor_id"), Between("extra", 0, 3))
+    suite = (*quality.STAGING_SUITE, Between("fare_amount", max_value=9.5))
+    assert quality.suite_from_json(quality.suite_to_stored(suite, "all")) == suite
+    assert '"min_value"' not in quality.suite_to_stored(suite[-1:], "one")
+    for old, new in (("to_not_be_null", "to_be_unique"), ('"column": "extra"', '"column": "extra", "mostly": 0.9')):
+        with pytest.raises(ValueError, match="no such check here"):
+            quality.suite_from_json(text.replace(old, new))
+
+
 def test_null_profile_of_empty_input_is_zero(spark):
     df = spark.createDataFrame([(1, None), (None, "x")], "`a.b` int, c string")
     assert tuple(null_profile(df).first()) == (1, 1)
