@@ -228,7 +228,7 @@ class Items:
         self.walked = Seeds(walked) if walked else None
         self.pieces = {width: Seeds(parts) for width, parts in pieces.items()}
 
-    def may_be_near(self, symbols: np.ndarray, item: np.ndarray, at: np.ndarray, most: int = 2048) -> np.ndarray:
+    def may_be_near(self, symbols: np.ndarray, item: np.ndarray, at: np.ndarray, most: int = 8192) -> np.ndarray:
         """Rows where an item may start within ``_NEAR`` of ``at``. The least edits of its parts,
         each near its own place, add up to no more than those of the whole; rows leave when
         the sum is above the bound."""
@@ -258,20 +258,38 @@ class Items:
         place = at + begin - slack
         one, top = np.uint64(1), (size - 1).astype(np.uint64)
         up, down = np.full(len(own), 2**64 - 1, dtype=np.uint64), np.zeros(len(own), dtype=np.uint64)
-        edits = size.copy()
-        least = size.copy()
-        for column in range(int((size + 2 * slack).max()) + _NEAR):
-            match = table.take(base + classes.take(place + column, mode="clip"))
-            diagonal = (((match & up) + up) ^ up) | match | down
-            rise = down | ~(diagonal | up)
-            fall = up & diagonal
-            edits += ((rise >> top) & one).view(np.int64)
-            edits -= ((fall >> top) & one).view(np.int64)
+        edits, least = size.copy(), size.copy()
+        # One set of arrays for all columns.
+        symbol, match, diagonal, rise, fall, bit = (
+            np.empty(len(own), dtype=kind) for kind in (np.int64, *[np.uint64] * 5)
+        )
+        for _ in range(int((size + 2 * slack).max()) + _NEAR):
+            classes.take(place, mode="clip", out=symbol)
+            place += 1
+            symbol += base
+            table.take(symbol, mode="clip", out=match)
+            np.bitwise_and(match, up, out=diagonal)
+            diagonal += up
+            diagonal ^= up
+            diagonal |= match
+            diagonal |= down
+            np.bitwise_or(diagonal, up, out=rise)
+            np.invert(rise, out=rise)
+            rise |= down
+            np.bitwise_and(up, diagonal, out=fall)
+            np.right_shift(rise, top, out=bit)
+            bit &= one
+            edits += bit.view(np.int64)
+            np.right_shift(fall, top, out=bit)
+            bit &= one
+            edits -= bit.view(np.int64)
             np.minimum(least, edits, out=least)
             rise <<= one
             fall <<= one
-            up = fall | ~(diagonal | rise)
-            down = rise & diagonal
+            np.bitwise_or(diagonal, rise, out=up)
+            np.invert(up, out=up)
+            up |= fall
+            np.bitwise_and(rise, diagonal, out=down)
         return least
 
 
