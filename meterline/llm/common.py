@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -121,6 +122,23 @@ def ranked(df: DataFrame, *order: str, name: str = "ranked", column: str = "rank
     )
 
 
+def numbered(docs: DataFrame, name: str = "numbered", column: str = "_row") -> DataFrame:
+    """``docs`` with a number of its own for every row, whatever its id is.
+
+    Rows of Parquet files are numbered by file and place in it, without reading or storing
+    them; only the files' names reach the driver. Any other frame is stored with numbers.
+    The numbers stay the same when tasks run again.
+    """
+    try:
+        places = docs.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_place"))
+    except AnalysisException:
+        return stored(docs.withColumn(column, F.monotonically_increasing_id()), name)
+    files = sorted(r[0] for r in places.select("_file").distinct().collect())
+    numbers = docs.sparkSession.createDataFrame(list(enumerate(files)), f"{column}_file long, _file string")
+    row = F.shiftleft(F.col(f"{column}_file"), 40) + F.col("_place")
+    return places.join(numbers, "_file").select(*[docs[c] for c in docs.columns], row.alias(column))
+
+
 def components(edges: DataFrame, name: str = "components", rounds: int = 60) -> DataFrame:
     """(id, component): the smallest id that edges ``a``-``b`` connect each id with.
 

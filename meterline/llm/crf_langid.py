@@ -25,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
@@ -275,21 +275,28 @@ def fit(
 
 
 def labelled_sample(
-    docs: DataFrame, *, text: str, lang: str, key: str, per_label: int, most_labels: int, most_chars: int
+    docs: DataFrame, *, text: str, lang: str, key: str, per_label: int, most_texts: int, most_chars: int
 ) -> tuple[list[str], list[str]]:
-    """About ``per_label`` texts of each of the ``most_labels`` commonest labels, chosen by id
-    hash, none longer than ``most_chars``: the documented bound of what reaches the driver."""
+    """Up to ``per_label`` texts of every label, those of the smallest hashes of id and text.
+
+    None is longer than ``most_chars``, and with very many labels each has fewer, one at
+    least, so that about ``most_texts`` reach the driver: the documented bound. The same
+    documents give the same sample on any cluster. Hashes are ranked without the texts;
+    every task keeps its own smallest ones of a label before the shuffle.
+    """
     usable = docs.where(F.col(lang).isNotNull() & (F.length(text) <= most_chars) & (F.length(text) > 0))
-    counts = usable.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(most_labels).collect()
-    unit = F.pmod(F.xxhash64(F.col(key), F.lit(3)), F.lit(1_000_000)) / F.lit(1_000_000.0)
-    texts, langs = [], []
-    for r in counts:
-        share = min(1.0, 1.2 * per_label / r["count"])
-        rows = usable.where((F.col(lang) == r[lang]) & (unit < share)).select(text)
-        for row in rows.limit(per_label).collect():
-            texts.append(row[0])
-            langs.append(r[lang])
-    return texts, langs
+    rows = usable.select(
+        F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(key), F.col(text), F.lit(3)).alias("hash")
+    )
+    labels = rows.select("lang").distinct().count()
+    take = max(1, min(per_label, most_texts // max(labels, 1)))
+    order = Window.partitionBy("lang").orderBy("hash")
+    placed = rows.select("lang", "hash").distinct().withColumn("place", F.row_number().over(order))
+    chosen = placed.where(F.col("place") <= take).select("lang", "hash")
+    # At most ``most_texts`` pairs, or one for each label.
+    kept = rows.join(F.broadcast(chosen), ["lang", "hash"]).dropDuplicates(["lang", "hash"])
+    found = sorted((r.lang, r.hash, r.text) for r in kept.collect())
+    return [text for _, _, text in found], [lang for lang, _, _ in found]
 
 
 def train(
@@ -299,12 +306,12 @@ def train(
     text: str = "text",
     lang: str = "lang",
     per_label: int = 200,
-    most_labels: int = 64,
+    most_texts: int = 12_800,
     most_chars: int = 20_000,
 ) -> Model:
     """A model from a bounded sample of ``docs``, whose ``lang`` holds the labels."""
     sample = labelled_sample(
-        docs, text=text, lang=lang, key=key, per_label=per_label, most_labels=most_labels, most_chars=most_chars
+        docs, text=text, lang=lang, key=key, per_label=per_label, most_texts=most_texts, most_chars=most_chars
     )
     return fit(*sample)
 

@@ -166,16 +166,22 @@ def mix(
     )
 
 
-def mix_rows(docs: DataFrame, mixed: DataFrame, *, key: str = "doc_id") -> DataFrame:
+def mix_rows(
+    docs: DataFrame, mixed: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source"
+) -> DataFrame:
     """The documents as often as the mix takes them; documents without words stay once.
 
-    ``mixed`` is a result of ``mix`` for the same documents with distinct keys.
+    ``mixed`` is a result of ``mix`` for the same documents. How often a document is taken
+    follows from its key and source, so rows that share them, null ones too, are each
+    taken as often, and none more often for the others.
     """
-    often = mixed.where("times > 0 and size > 0 or size = 0").select(
-        F.col(key).alias("_mix_key"),
-        F.when(F.col("size") == 0, 1).otherwise(F.col("times")).cast("int").alias("_mix_times"),
+    often = mixed.groupBy(F.col(key).alias("_mix_key"), F.col("source").alias("_mix_source")).agg(
+        F.max("times").cast("int").alias("_mix_times")
     )
-    joined = docs.join(often, docs[key].eqNullSafe(F.col("_mix_key")))
+    same = docs[key].eqNullSafe(F.col("_mix_key")) & docs[source].eqNullSafe(F.col("_mix_source"))
+    words = F.coalesce(docs[text].rlike(WORD), F.lit(False))
+    joined = docs.join(often, same)
+    joined = joined.withColumn("_mix_times", F.when(words, F.col("_mix_times")).otherwise(1)).where("_mix_times > 0")
     return joined.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), "_mix_times"))).select(
         *[docs[c] for c in docs.columns]
     )

@@ -482,3 +482,16 @@ def first_of_groups(docs: DataFrame, groups: DataFrame, *, key: str = "doc_id",
         return kept
     twice = kept.join(again, key, "left_semi").select(*docs.columns).dropDuplicates([key, text])
     return kept.join(again, key, "left_anti").select(*docs.columns).unionByName(twice)
+
+
+def one_of_each(docs: DataFrame, groups: DataFrame, *, row: str, key: str = "doc_id") -> DataFrame:
+    """One document of each component: that of the smallest id, null ones last.
+
+    ``groups`` is a result of ``jaccard_components`` over ``docs`` with ``row``, a number of
+    its own for every row, as the key. So repeated and null ids are documents like others,
+    and every component keeps exactly one.
+    """
+    rank = F.struct(F.col(key).isNull(), F.col(key), F.col(row))
+    ranked_rows = docs.select(row, rank.alias("_rank")).join(groups.select(row, "component_id"), row)
+    kept = ranked_rows.groupBy("component_id").agg(F.min_by(row, "_rank").alias(row)).select(row)
+    return docs.join(kept, row, "left_semi").select(*docs.columns)
