@@ -5,6 +5,12 @@ last one returns the records of the written token shards. Languages come first,
 texts without any language never reach the joins; near copies go before benchmark
 passages are searched; the mix is taken from what is left and repeats documents where
 their source is short; the tokens follow the mix.
+
+Defined results: rows are documents of their own, also those of null or equal ids. Null and
+empty texts have no language and leave in the first stage. Of equal texts one stays, that of the smallest id
+(null last, then the place in its file). Very long texts are read as a whole in every
+stage. An empty table gives no record. Columns beside ``doc_id``, ``text``, ``lang`` and
+``source`` are passed on; ``_row``, ``_file`` and ``_place`` are no names for them.
 """
 
 from __future__ import annotations
@@ -14,9 +20,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from meterline.llm import cgk_windows, crf_langid, mixing, signature_trees, token_shards
-from meterline.llm.common import table
+from meterline.llm.common import numbered, table
 from meterline.session import new_folder
 
+#: Rows are told apart by a number of their own, as ids can be null or repeated.
+ROW = "_row"
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps texts with a language: not ``und``, and one language has half of all words.
@@ -29,14 +38,16 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id."""
-    groups = signature_trees.jaccard_components(docs, width=5, num=80, den=100)
-    return signature_trees.first_of_groups(docs, groups)
+    rows = numbered(docs)
+    groups = signature_trees.jaccard_components(rows, width=5, num=80, den=100, key=ROW)
+    return signature_trees.one_of_each(rows, groups, row=ROW).select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
-    found = cgk_windows.leaks(docs, table(spark, sf_dir, "benchmark"))
-    return cgk_windows.without_leaks(docs, found).select(*docs.columns)
+    rows = numbered(docs)
+    found = cgk_windows.leaks(rows, table(spark, sf_dir, "benchmark"), key=ROW)
+    return cgk_windows.without_leaks(rows, found, key=ROW).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
