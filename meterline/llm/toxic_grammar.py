@@ -1,10 +1,15 @@
 """Toxicity by a weighted finite-state pattern grammar over clauses.
 
-Five small transducers read the words of a clause: insults and threats give weights,
-second-person or person targets, negations and reported speech change the weight of what
-stands near. Their composition is one table, built state by state as it is needed, that
-reads each word once. A clause yields sums of plain, aimed, negated and reported insult
-weight and of aimed threats; a text yields the sums and the largest clause; a logistic
+Five small transducers read the words of a clause. Three only remember: that a target (a
+second person, people) stood near, that a negation did, that speech is reported, which
+ends with a conjunction. Two have output: an insult and a threat each write a weight on
+their arc, or wait a few words for the target that makes them aimed. Their composition is
+one transducer whose arcs are built as they are needed: a state and a word's role give
+the next state and the weights that the arc adds to the sums of a clause. An insult is
+reported, negated, aimed or plain; a threat counts where it is aimed, before or after its
+target, and neither negated nor reported.
+
+A clause yields these sums; a text yields their totals and the largest clause; a logistic
 function turns them into the score.
 
 Insult stems are learned, with the calibration, from a bounded sample of labelled texts: a
@@ -12,9 +17,11 @@ stem (a word or the first letters of several) is kept when it is far likelier in
 texts and stands in several toxic texts that are no copies of each other. Word lists for
 the other roles are fixed values below and can be replaced.
 
-Defined results: null and empty texts, and texts without a match, get the score of no
+Defined results: null and empty texts, very long ones as a whole like others, and texts without a match, get the score of no
 evidence. Without labelled texts of both kinds the score is 0 everywhere. Repeated rows
 score alike. Labels, language, source and id are not inputs of a score.
+Columns beside id, text and label are not read, so they may have any name; an empty table
+gives an empty one.
 """
 
 from __future__ import annotations
@@ -35,42 +42,88 @@ REPORTS = ("said", "says", "told", "quoted", "called", "wrote", "sagte", "sagt",
 TARGETS = ("you", "your", "they", "them", "he", "she", "people", "du", "dich", "ihr", "tu", "toi", "vous", "usted", "ustedes")
 THREATS = ("kill", "hurt", "destroy", "beat", "stab", "töten", "umbringen", "tuer", "frapper", "matar", "golpear")
 
-INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = range(6)
+CONJUNCTIONS = ("and", "but", "or", "und", "aber", "oder", "et", "mais", "ou", "y", "pero", "o")
+# Endings under which a threat is still one.
+ENDINGS = ("s", "es", "ed", "d", "ing")
+
+INSULT, THREAT, TARGET, NEGATION, REPORT, CONJUNCTION, OTHER = range(7)
 FEATURES = ("plain", "aimed", "negated", "reported", "threat", "largest")
 _WORD = re.compile(r"[^\W\d_]+")
 _CLAUSE = re.compile(r"[.!?;\n]+")
 
 
+PLAIN, AIMED, NEGATED, REPORTED, THREATENED = range(5)
+# Where the weight of an arc comes from: the word read, the insult that waits, or one.
+OF_WORD, OF_WAITING, ONE = range(3)
+
+
 class Near:
-    """Remembers a symbol for ``reach`` words (0: to the end of the clause)."""
+    """Remembers a symbol for ``reach`` words (0: until ``until``, at most to the clause's end)."""
 
-    def __init__(self, symbol: int, reach: int):
-        self.symbol, self.reach, self.start = symbol, reach, 0
+    def __init__(self, symbol: int, reach: int, until: int | None = None):
+        self.symbol, self.reach, self.until, self.start = symbol, reach, until, 0
 
     def step(self, state: int, symbol: int) -> int:
         if symbol == self.symbol:
             return self.reach or 1
+        if symbol == self.until:
+            return 0
         return max(0, state - 1) if self.reach else state
 
 
+class Waiting:
+    """Waits ``reach`` words for a target, if its own symbol came without one."""
+
+    def __init__(self, symbol: int, reach: int):
+        self.symbol, self.reach, self.start = symbol, reach, 0
+
+    def step(self, state: int, symbol: int, free: bool) -> int:
+        if symbol == self.symbol:
+            return self.reach if free else 0
+        return 0 if symbol == TARGET else max(0, state - 1)
+
+
+Arc = tuple[int, float, int]  # which sum, factor, where the weight comes from
+
+
 class Composition:
-    """The transducers run as one: (state, symbol) gives the next state and the roles in force."""
+    """The five transducers run as one: (state, symbol) gives the next state and an arc's weights."""
 
-    def __init__(self, parts: list[Near]):
-        self.parts = parts
-        self.names = [tuple(p.start for p in parts)]
-        self.table: dict[tuple[int, int], tuple[int, tuple[bool, ...]]] = {}
+    def __init__(self, target: int = 5, negation: int = 3):
+        self.memory = [Near(TARGET, target), Near(NEGATION, negation), Near(REPORT, 0, CONJUNCTION)]
+        self.insult, self.threat = Waiting(INSULT, target), Waiting(THREAT, target)
+        self.numbers = {(0, 0, 0, 0, 0): 0}
+        self.states = [(0, 0, 0, 0, 0)]
+        self.table: dict[tuple[int, int], tuple[int, tuple[Arc, ...]]] = {}
 
-    def step(self, state: int, symbol: int) -> tuple[int, tuple[bool, ...]]:
+    def step(self, state: int, symbol: int) -> tuple[int, tuple[Arc, ...]]:
         found = self.table.get((state, symbol))
         if found is None:
-            new = tuple(p.step(s, symbol) for p, s in zip(self.parts, self.names[state]))
-            if new not in self.names:
-                self.names.append(new)
-            found = self.names.index(new), tuple(s > 0 for s in new)
-            self.table[state, symbol] = found
+            new, arcs = self._arc(self.states[state], symbol)
+            if new not in self.numbers:
+                self.numbers[new] = len(self.states)
+                self.states.append(new)
+            found = self.table[state, symbol] = self.numbers[new], arcs
         return found
 
+    def _arc(self, state: tuple[int, ...], symbol: int) -> tuple[tuple[int, ...], tuple[Arc, ...]]:
+        remembered = [part.step(s, symbol) for part, s in zip(self.memory, state)]
+        aimed, negated, reported = (s > 0 for s in remembered)
+        free = not (aimed or negated or reported)
+        new = (*remembered, self.insult.step(state[3], symbol, free), self.threat.step(state[4], symbol, free))
+        arcs: list[Arc] = []
+        if symbol == INSULT:
+            kind = REPORTED if reported else NEGATED if negated else AIMED if aimed else PLAIN
+            arcs.append((kind, 1.0, OF_WORD))
+        elif symbol == THREAT and aimed and not (negated or reported):
+            arcs.append((THREATENED, 1.0, ONE))
+        elif symbol == TARGET:
+            if state[3]:
+                arcs += [(PLAIN, -1.0, OF_WAITING), (AIMED, 1.0, OF_WAITING)]
+            if state[4]:
+                arcs.append((THREATENED, 1.0, ONE))
+        return new, tuple(arcs)
+
 
 @dataclass
 class Grammar:
@@ -81,9 +134,7 @@ class Grammar:
     weights: np.ndarray
     bias: float
     means: np.ndarray
-    composition: Composition = field(
-        default_factory=lambda: Composition([Near(TARGET, 5), Near(NEGATION, 3), Near(REPORT, 0)])
-    )
+    composition: Composition = field(default_factory=Composition)
 
     def __post_init__(self):
         anchors = sorted([*self.stems, *(w for w, r in self.roles.items() if r == THREAT)])
@@ -97,28 +148,24 @@ class Grammar:
     def insult(self, word: str) -> float:
         return max((self.stems.get(word[:n], 0.0) for n in self.sizes if n <= len(word)), default=0.0)
 
+    def role(self, word: str) -> int:
+        found = self.roles.get(word)
+        if found is None:
+            roots = (self.roles.get(word.removesuffix(e)) for e in ENDINGS if word.endswith(e))
+            found = THREAT if THREAT in roots else OTHER
+        return found
+
     def clause(self, words: list[str]) -> np.ndarray:
         """plain, aimed, negated, reported and threat weight of a clause."""
-        out = np.zeros(5)
-        state, pending = 0, 0.0
+        out = [0.0] * 5
+        state, waiting = 0, 0.0
         for word in words:
-            role = self.roles.get(word, OTHER)
             weight = self.insult(word)
-            if weight:
-                role = INSULT
-            state, (aimed, negated, reported) = self.composition.step(state, role)
-            if role == INSULT:
-                kind = 3 if reported else 2 if negated else 1 if aimed else 0
-                out[kind] += weight
-                pending = weight if kind == 0 else 0.0
-            elif role == THREAT and aimed:
-                out[4] += 1.0
-            elif role == TARGET and pending:
-                # An insult whose target follows is aimed too.
-                out[0] -= pending
-                out[1] += pending
-                pending = 0.0
-        return out
+            state, arcs = self.composition.step(state, INSULT if weight else self.role(word))
+            for kind, factor, source in arcs:
+                out[kind] += factor * (weight, waiting, 1.0)[source]
+            waiting = weight or waiting
+        return np.array(out)
 
     def features(self, text) -> np.ndarray:
         total = np.zeros(len(FEATURES))
@@ -202,6 +249,7 @@ def fit(texts: list[str], labels: list[int], shares: tuple[float, float] = (1.0,
         **dict.fromkeys(TARGETS, TARGET),
         **dict.fromkeys(NEGATIONS, NEGATION),
         **dict.fromkeys(REPORTS, REPORT),
+        **dict.fromkeys(CONJUNCTIONS, CONJUNCTION),
     }
     size = len(FEATURES)
     if len(set(labels)) < 2:
@@ -250,14 +298,16 @@ def train(
     for y in (0, 1):
         share = min(1.0, per_label / counts[y]) if counts.get(y) else 1.0
         shares.append(share)
-        part = marked.where((F.col("_label") == y) & (unit < share)).limit(per_label)
+        # In total order, so that the same labels give the same sample on any cluster.
+        part = marked.where((F.col("_label") == y) & (unit < share)).orderBy(unit, "_key").limit(per_label)
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).where(
         F.length("_text") <= most_chars
     )
     # At most 2 * per_label ids are broadcast.
-    rows = texts.join(F.broadcast(chosen), "_key").select("_text", "_label").limit(2 * per_label).collect()
-    rows.sort()
+    found = texts.join(F.broadcast(chosen), "_key").select("_key", "_text", "_label").distinct()
+    ordered = found.orderBy(F.xxhash64("_key"), "_text", "_label").limit(2 * per_label)
+    rows = sorted(ordered.select("_text", "_label").collect())
     return fit([r[0] for r in rows], [int(r[1] > 0) for r in rows], (shares[0], shares[1]))
 
 

@@ -177,12 +177,46 @@ def test_clause_roles():
     assert grammar.clause("idiot are you".split())[1] == 2
     assert grammar.clause("he is not an idiot".split())[2] == 2
     assert grammar.clause("she said you idiot".split())[3] == 2
-    assert grammar.clause("i will hurt you".split())[4] == 0
+    assert grammar.clause("i will hurt you".split())[4] == 1
     assert grammar.clause("you i will hurt".split())[4] == 1
+    assert grammar.clause("we are going to destroy them".split())[4] == 1
+    assert grammar.clause("he kills people".split())[4] == 1
+    assert grammar.clause("i will not hurt you".split())[4] == 0
+    assert grammar.clause("she said i will hurt you".split())[4] == 0
+    assert grammar.clause("i hurt my foot".split())[4] == 0
+    assert grammar.clause("she said so and you are an idiot".split()).tolist() == [0, 2, 0, 0, 0]
     assert grammar.features("fine words. an idiot! more").tolist() == [2, 0, 0, 0, 0, 2]
     assert not grammar.features("nothing here").any() and not grammar.features(None).any()
 
 
+def test_composition_equals_its_parts_one_by_one():
+    """Each sum read off the words themselves: what stands before and after, and how far."""
+    rng = random.Random(8)
+    g = toxic_grammar
+    words = {"idiot": g.INSULT, "hurt": g.THREAT, "you": g.TARGET, "not": g.NEGATION, "said": g.REPORT, "and": g.CONJUNCTION, "x": g.OTHER}
+    grammar = g.Grammar({"idiot": 2.0}, {w: r for w, r in words.items() if w != "idiot"}, np.ones(6), 0.0, np.zeros(6))
+    for _ in range(500):
+        clause = [rng.choice(list(words)) for _ in range(rng.randint(1, 14))]
+        want = [0.0] * 5
+        for i, word in enumerate(clause):
+            if word not in ("idiot", "hurt"):
+                continue
+            before = clause[:i]
+            aimed, negated = "you" in before[-4:], "not" in before[-2:]
+            since = len(before) - before[::-1].index("said") if "said" in before else None
+            reported = since is not None and "and" not in before[since:]
+            # The next target counts if it is near and no further word of this kind takes it.
+            rest = clause[i + 1 : i + 6]
+            follows = "you" in rest and word not in rest[: rest.index("you")]
+            free = not (aimed or negated or reported)
+            if word == "idiot":
+                kind = 3 if reported else 2 if negated else 1 if aimed or follows else 0
+                want[kind] += 2.0
+            elif not (negated or reported) and (aimed or (free and follows)):
+                want[4] += 1.0
+        assert grammar.clause(clause).tolist() == want, clause
+
+
 def test_toxic_learning(spark, edges, empty):
     random.seed(4)
     words = ["".join(random.choices("abcdefgh", k=6)) for _ in range(2000)]
