@@ -122,6 +122,10 @@ def ranked(df: DataFrame, *order: str, name: str = "ranked", column: str = "rank
     )
 
 
+#: File names that are broadcast at most, some 20 MB; more are joined by a shuffle.
+MOST_FILES = 100_000
+
+
 def numbered(docs: DataFrame, name: str = "numbered", column: str = "_row") -> DataFrame:
     """``docs`` with a number of its own for every row, whatever its id is.
 
@@ -135,6 +139,8 @@ def numbered(docs: DataFrame, name: str = "numbered", column: str = "_row") -> D
         return stored(docs.withColumn(column, F.monotonically_increasing_id()), name)
     files = sorted(r[0] for r in places.select("_file").distinct().collect())
     numbers = docs.sparkSession.createDataFrame(list(enumerate(files)), f"{column}_file long, _file string")
+    if len(files) <= MOST_FILES:
+        numbers = F.broadcast(numbers)
     row = F.shiftleft(F.col(f"{column}_file"), 40) + F.col("_place")
     return places.join(numbers, "_file").select(*[docs[c] for c in docs.columns], row.alias(column))
 

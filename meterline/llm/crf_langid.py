@@ -28,6 +28,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from meterline.session import stored
+
 UNKNOWN = "und"
 TABLE = 1 << 16
 BLOCK = 32
@@ -281,17 +283,21 @@ def labelled_sample(
 
     None is longer than ``most_chars``, and with very many labels each has fewer, one at
     least, so that about ``most_texts`` reach the driver: the documented bound. The same
-    documents give the same sample on any cluster. Hashes are ranked without the texts;
-    every task keeps its own smallest ones of a label before the shuffle.
+    documents give the same sample on any cluster. Hashes are ranked without the texts, and
+    only the smallest parts of them.
     """
     usable = docs.where(F.col(lang).isNotNull() & (F.length(text) <= most_chars) & (F.length(text) > 0))
     rows = usable.select(
         F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(key), F.col(text), F.lit(3)).alias("hash")
     )
-    labels = rows.select("lang").distinct().count()
-    take = max(1, min(per_label, most_texts // max(labels, 1)))
-    order = Window.partitionBy("lang").orderBy("hash")
-    placed = rows.select("lang", "hash").distinct().withColumn("place", F.row_number().over(order))
+    counts = stored(rows.groupBy("lang").count(), "label-counts")
+    take = max(1, min(per_label, most_texts // max(counts.count(), 1)))
+    # Only hashes so small that they can be among the first are ranked: about eight times
+    # as many as are taken, however many texts a label has.
+    few = F.pmod("hash", F.lit(1_000_000_007)) * F.col("count") < F.lit(8.0 * take * 1_000_000_007)
+    small = rows.join(counts, "lang").where(few).select("lang", "hash").distinct()
+    order = Window.partitionBy("lang").orderBy(F.pmod("hash", F.lit(1_000_000_007)), "hash")
+    placed = small.withColumn("place", F.row_number().over(order))
     chosen = placed.where(F.col("place") <= take).select("lang", "hash")
     # At most ``most_texts`` pairs, or one for each label.
     kept = rows.join(F.broadcast(chosen), ["lang", "hash"]).dropDuplicates(["lang", "hash"])
