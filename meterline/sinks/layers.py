@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import unsorted_folders
+
 
 def write_layer(
     df: DataFrame,
@@ -30,4 +32,5 @@ def write_layer(
         writer = writer.partitionBy(*partition_by)
         if only_given_partitions:
             writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.save(path)
+    with unsorted_folders(df.sparkSession):
+        writer.save(path)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meterline.operators.joins import fits_broadcast, lookup_join
 from meterline.schemas import SERVICES
-from meterline.session import stored
+from meterline.session import stored, unsorted_folders
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -119,16 +119,14 @@ def as_raw(trips: DataFrame, service: str) -> DataFrame:
 def land_sample(spark: SparkSession, folder: str, base: str) -> str:
     """Write raw trips and the zone lookup below ``base``; returns the trips' layout.
 
-    The order tables are joined once, for both services.
+    The order tables are joined once, for both services. The joined rows are then only
+    dealt to folders: a task reads a split of them, so it writes few files, and no row is
+    shuffled or sorted once more.
     """
     trips = stored(sample_trips(spark, folder), "trips")
     for service in SERVICES:
         raw = as_raw(trips, service).withColumn("year", F.year(RAW_PICKUP[service]))
-        (
-            raw.hint("rebalance", F.col("year"))
-            .write.mode("overwrite")
-            .partitionBy("year")
-            .parquet(f"{base}/{service}")
-        )
+        with unsorted_folders(spark):
+            raw.write.mode("overwrite").partitionBy("year").parquet(f"{base}/{service}")
     sample_zones(spark, folder).write.mode("overwrite").csv(f"{base}/zones", header=True)
     return "{base}/{service}/year={year}/"
