@@ -42,7 +42,7 @@ from meterline.operators.joins import fits_broadcast, lookup_join
 from meterline.operators.profile import null_profile, preview
 from meterline.plans import pipeline
 from meterline.schemas import MEASURES, SERVICES, STAGING_AS_DECLARED, conform
-from meterline.session import new_folder, stored
+from meterline.session import new_folder, stored, unsorted_folders
 from meterline.sinks.tables import reset_schema, save_table
 from meterline.sources.layers import read_tree
 from meterline.sources.warehouse import read_staging, read_star
@@ -397,8 +397,8 @@ def drifted_parts(spark, sf_dir):
     for service in SERVICES:
         trips_ = spark.read.parquet(f"{base}/{service}")
         for part in (trips_.where(more).withColumn("cbd_fee", F.lit(0.75)), trips_.where(~more)):
-            by_year = part.hint("rebalance", F.col("year")).write.mode("append").partitionBy("year")
-            by_year.parquet(f"{delivery}/{service}")
+            with unsorted_folders(spark):
+                part.write.mode("append").partitionBy("year").parquet(f"{delivery}/{service}")
     years = delivered_years(spark, sf_dir)
     pipeline.load_raw(spark, delivery, lake, years, layout=layout)
     pipeline.clean_layer(spark, lake, clean, zones(spark, sf_dir))

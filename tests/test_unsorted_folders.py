@@ -6,6 +6,7 @@ from pyspark.sql.readwriter import DataFrameWriter
 
 from meterline.session import OPEN_FILES, unsorted_folders
 from meterline.sinks.layers import write_layer
+from meterline_checks.queries import drifted_parts
 from meterline_checks.sample import land_sample
 
 SETTING = "spark.sql.maxConcurrentOutputFileWriters"
@@ -79,3 +80,7 @@ def test_raw_trips_are_dealt_to_folders_as_they_come(spark, tmp_path, writes):
     land_sample(spark, SMALL, str(tmp_path / "landing"))
     assert len(writes) == 2
     assert all(s == str(OPEN_FILES) and "RebalancePartitions" not in plan for s, plan in writes)
+
+def test_drifted_parts_are_dealt_to_folders_as_they_come(spark, writes):
+    assert drifted_parts(spark, SMALL).count() > 0
+    assert all(s == str(OPEN_FILES) and "RebalancePartitions" not in plan for s, plan in writes)
