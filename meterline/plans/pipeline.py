@@ -32,6 +32,7 @@ from ..operators.quality import (
 )
 from ..operators.star import NATURAL_KEYS, build_star, fact_trip
 from ..schemas import CALENDAR, SERVICES, STAGING, conform
+from ..session import unsorted_folders
 from ..sinks.jdbc import append_jdbc
 from ..sinks.layers import write_layer
 from ..sinks.tables import create_schema, create_table, reset_schema
@@ -293,7 +294,8 @@ class _Work:
         for scan in later:
             out = rows(scan)
             note(scan, out)
-            out.write.partitionBy(*PARTITIONS).mode("append").parquet(self.target)
+            with unsorted_folders(self.spark):
+                out.write.partitionBy(*PARTITIONS).mode("append").parquet(self.target)
             self.after(scan)
         return left_out
 
@@ -833,7 +835,8 @@ def load_staging(
         columns = spark.table(table).columns
         if compact:
             rows = rows.hint("rebalance", F.col("batch_year"), F.col("service_type"))
-        rows.select(*columns).write.insertInto(table, overwrite=not append)
+        with unsorted_folders(spark):
+            rows.select(*columns).write.insertInto(table, overwrite=not append)
         if append:
             return
         _drop_unreplaced(spark, table, years, staged, staged.keys() - pairs)
@@ -924,7 +927,8 @@ def merge_staging(
     paths = [literal(folder.path) for pair in changed for folder in found[pair]]
     sums = spark.read.schema(types).option("basePath", partials).parquet(*paths).drop("service", "source")
     rows = staging_rows(sums, "batch_year")
-    rows.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    with unsorted_folders(spark):
+        rows.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
     _drop_unreplaced(spark, table, years, staged, {(str(SERVICES[s]), y) for s, y in changed})
     now = _staged(spark, table, years)
     for service in SERVICES:

@@ -522,12 +522,14 @@ def _deliver_and_correct(spark, sf_dir, bring_up_to_date) -> None:
         else:
             more = trips_.where(year == years[0]).withColumn("year", F.lit(extra))
             first = trips_.unionByName(more)
-        by_year = first.hint("rebalance", year).write.partitionBy("year")
-        by_year.option("partitionOverwriteMode", "dynamic").saveAsTable(f"{schema}.{service}")
+        by_year = first.write.partitionBy("year").option("partitionOverwriteMode", "dynamic")
+        with unsorted_folders(spark):
+            by_year.saveAsTable(f"{schema}.{service}")
     layout = "{base}/{service}/year={year}/"
     bring_up_to_date(folder, layout, [*years, extra])
     whole = spark.read.parquet(f"{landed}/yellow").where(year == years[0])
-    whole.write.insertInto(f"{schema}.yellow", overwrite=True)
+    with unsorted_folders(spark):
+        whole.write.insertInto(f"{schema}.yellow", overwrite=True)
     spark.sql(f"ALTER TABLE {schema}.green DROP PARTITION (year={extra})")
     bring_up_to_date(folder, layout, [*years, extra])
 
