@@ -34,45 +34,65 @@ def sample_zones(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _first_of(at: str, unit: str):
-    return F.trunc(F.col(at).cast("date"), unit).cast("timestamp_ntz")
+    return F.trunc(F.col(at).cast("date"), unit)
 
 
-def sample_trips(spark: SparkSession, folder: str) -> DataFrame:
-    """One trip per order line, both services together, with ``service_type``."""
-    lines = _table(spark, folder, "lineitem").withColumnsRenamed(
-        {"l_orderkey": "order", "l_suppkey": "supplier"}
+def placed_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """What a trip takes of its order and that order's customer: one row per order.
+
+    Stored, as the trips of each service are joined with it by themselves.
+    """
+    orders = _table(spark, folder, "orders").withColumnsRenamed({"o_custkey": "customer"})
+    customers = _table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("customer"), F.col("c_nationkey").alias("DOLocationID")
     )
-    orders = _table(spark, folder, "orders").select(
+    status = F.col("o_orderstatus")
+    taken = orders.select(
         F.col("o_orderkey").alias("order"),
-        F.col("o_custkey").alias("customer"),
-        "o_orderstatus",
-        "o_orderdate",
-        "o_orderpriority",
+        "customer",
+        F.when(status == "F", 1).when(status == "O", 2).otherwise(3).alias("vendor"),
+        _first_of("o_orderdate", "month").alias("picked_up"),
+        F.substring("o_orderpriority", 1, 1).alias("priority"),
     )
-    suppliers = _table(spark, folder, "supplier").select(
-        F.col("s_suppkey").alias("supplier"), "s_nationkey"
+    # Orders meet customers first: fewer rows take part than if order lines did.
+    return stored(lookup_join(taken, customers, "customer").drop("customer"), "placed")
+
+
+def sample_trips(spark: SparkSession, folder: str) -> DataFrame:
+    """One trip per order line, both services together, with ``service_type``."""
+    lines = _table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("order"),
+        F.col("l_suppkey").alias("supplier"),
+        "l_linenumber",
+        "l_quantity",
+        "l_extendedprice",
+        "l_discount",
+        "l_tax",
+        "l_returnflag",
+        "l_linestatus",
+        _first_of("l_shipdate", "quarter").alias("dropped_off"),
     )
-    customers = _table(spark, folder, "customer").select(
-        F.col("c_custkey").alias("customer"), "c_nationkey"
+    suppliers = _table(spark, folder, "supplier").select(
+        F.col("s_suppkey").alias("supplier"), (F.col("s_nationkey") % 5).alias("PULocationID")
     )
-    # Orders meet customers first: fewer rows take part than if order lines did. There
-    # are as many placed orders as orders, so the latter, which are stored, are counted.
-    placed = lookup_join(orders, customers, "customer")
-    ordered = lookup_join(lines, placed, "order", small=fits_broadcast(orders))
-    joined = lookup_join(ordered, suppliers, "supplier")
-    status = F.col("o_orderstatus")
-    vendor = F.when(status == "F", 1).when(status == "O", 2).otherwise(3)
+    # Suppliers come first: what their number becomes is smaller to shuffle than it is. All
+    # that a trip takes of its order line is as small before the shuffle as afterwards.
+    supplied = lookup_join(lines, suppliers, "supplier").drop("supplier")
+    placed = placed_orders(spark, folder)
+    small = fits_broadcast(placed)
+    # Beyond that bound Spark would still go by the size of the files, which are compressed.
+    joined = lookup_join(supplied, placed if small else placed.hint("merge"), "order", small=small)
     trips = joined.select(
-        vendor.cast("bigint").alias("VendorID"),
-        _first_of("o_orderdate", "month").alias("pickup_datetime"),
-        _first_of("l_shipdate", "quarter").alias("dropoff_datetime"),
+        F.col("vendor").cast("bigint").alias("VendorID"),
+        F.col("picked_up").cast("timestamp_ntz").alias("pickup_datetime"),
+        F.col("dropped_off").cast("timestamp_ntz").alias("dropoff_datetime"),
         F.when(F.col("l_quantity") != 50, F.col("l_quantity")).alias("passenger_count"),
         (F.col("l_quantity") * 2.5).alias("trip_distance"),
         F.col("l_linenumber").cast("double").alias("RatecodeID"),
         F.when(F.col("l_returnflag") != "R", F.lit("N")).alias("store_and_fwd_flag"),
-        (F.col("s_nationkey") % 5).alias("PULocationID"),
-        F.col("c_nationkey").alias("DOLocationID"),
-        F.substring("o_orderpriority", 1, 1).cast("bigint").alias("payment_type"),
+        "PULocationID",
+        "DOLocationID",
+        F.col("priority").cast("bigint").alias("payment_type"),
         F.col("l_extendedprice").alias("fare_amount"),
         F.round(F.col("l_tax") * 50, 1).alias("extra"),
         F.lit(0.5).alias("mta_tax"),
@@ -119,11 +139,11 @@ def as_raw(trips: DataFrame, service: str) -> DataFrame:
 def land_sample(spark: SparkSession, folder: str, base: str) -> str:
     """Write raw trips and the zone lookup below ``base``; returns the trips' layout.
 
-    The order tables are joined once, for both services. The joined rows are then only
-    dealt to folders: a task reads a split of them, so it writes few files, and no row is
-    shuffled or sorted once more.
+    The order lines of each service are joined by themselves, so that each line is
+    shuffled once and its trip written once. The joined rows are only dealt to folders,
+    without a shuffle and a sort by folder.
     """
-    trips = stored(sample_trips(spark, folder), "trips")
+    trips = sample_trips(spark, folder)
     for service in SERVICES:
         raw = as_raw(trips, service).withColumn("year", F.year(RAW_PICKUP[service]))
         with unsorted_folders(spark):

@@ -1,0 +1,101 @@
+"""The landing joins the order tables with few bytes and stores no trip twice."""
+
+import datetime as dt
+from collections import Counter
+
+import pytest
+
+from meterline_checks import sample
+
+DAY = dt.datetime(2024, 5, 17)
+
+
+@pytest.fixture
+def orders(spark, tmp_path):
+    """Six tables of few rows: keys that repeat, are null or meet nothing."""
+
+    def table(name, columns, *rows):
+        spark.createDataFrame(rows, columns).write.parquet(str(tmp_path / f"{name}.parquet"))
+
+    table("region", "r_regionkey int, r_name string", (0, "AFRICA"))
+    table("nation", "n_nationkey int, n_name string, n_regionkey int", (3, "K", 0), (8, "L", 0))
+    table("customer", "c_custkey bigint, c_nationkey int", (1, 3), (2, 8), (2, 9), (None, 4))
+    table("supplier", "s_suppkey bigint, s_nationkey int", (1, 7), (2, None), (2, 4), (None, 5))
+    table(
+        "orders",
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp, o_orderpriority string",
+        (1, 1, "F", DAY, "1-URGENT"),
+        (2, 2, None, None, "4-NOT SPECIFIED"),
+        (2, 1, "O", DAY, None),
+        (3, None, "P", DAY, "3-MEDIUM"),
+        (None, 1, "F", DAY, "1-URGENT"),
+    )
+    line = (1.0, 50.0, 10.0, 0.05, 0.02)
+    keys = [(o, s) for o in (1, 2, 3, 4, None) for s in (1, 2, 3, None)]
+    table(
+        "lineitem",
+        "l_orderkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+        "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp",
+        *[(*key, 1, *line[1:], flag, status, DAY) for key in keys for flag, status in (("R", "O"), ("A", "F"), (None, None))],
+    )
+    return str(tmp_path)
+
+
+def test_trips_are_stored_by_their_service_alone(spark, orders, tmp_path, monkeypatch):
+    kept = []
+
+    def stored(df, name):
+        kept.append((name, df.count()))
+        return df
+
+    monkeypatch.setattr(sample, "stored", stored)
+    sample.land_sample(spark, orders, str(tmp_path / "landing"))
+    # Orders with their customers: of order 1 one, of the two orders 2 two and one.
+    assert kept == [("placed", 5)]
+
+
+def test_order_lines_are_shuffled_with_a_place_not_with_a_supplier(spark, orders, monkeypatch):
+    asked = []
+    join = sample.lookup_join
+
+    def noted(left, lookup, on, **how):
+        asked.append((on, set(left.columns)))
+        return join(left, lookup, on, **how)
+
+    monkeypatch.setattr(sample, "lookup_join", noted)
+    sample.sample_trips(spark, orders)
+    lines = next(columns for on, columns in asked if on == "order")
+    assert "PULocationID" in lines and "supplier" not in lines and "l_shipdate" not in lines
+
+
+def test_orders_beyond_the_bound_are_not_broadcast(spark, orders, monkeypatch):
+    trips = sample.sample_trips(spark, orders)
+    assert "SortMergeJoin" not in trips._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(sample, "fits_broadcast", lambda df: False)
+    trips = sample.sample_trips(spark, orders)
+    assert "SortMergeJoin [order" in trips._jdf.queryExecution().executedPlan().toString()
+
+
+def test_landed_trips_are_those_of_a_plain_join(spark, orders, tmp_path):
+    base = str(tmp_path / "landing")
+    sample.land_sample(spark, orders, base)
+    for name in ("lineitem", "orders", "customer", "supplier"):
+        spark.read.parquet(f"{orders}/{name}.parquet").createOrReplaceTempView(f"landing_{name}")
+    expected = spark.sql(
+        """SELECT CASE WHEN l_linestatus = 'O' THEN 'yellow' ELSE 'green' END,
+        CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END,
+        CAST(date_trunc('month', o_orderdate) AS timestamp_ntz),
+        CAST(date_trunc('quarter', l_shipdate) AS timestamp_ntz),
+        s_nationkey % 5, c_nationkey, CAST(left(o_orderpriority, 1) AS bigint),
+        CASE WHEN l_returnflag <> 'R' THEN 'N' END, l_extendedprice, year(o_orderdate)
+        FROM landing_lineitem JOIN landing_orders ON o_orderkey = l_orderkey
+        JOIN landing_customer ON c_custkey = o_custkey JOIN landing_supplier ON s_suppkey = l_suppkey"""
+    ).collect()
+    landed = []
+    for service, prefix in (("yellow", "tpep"), ("green", "lpep")):
+        landed += spark.read.parquet(f"{base}/{service}").selectExpr(
+            f"'{service}'", "VendorID", f"{prefix}_pickup_datetime", f"{prefix}_dropoff_datetime", "PULocationID",
+            "DOLocationID", "payment_type", "store_and_fwd_flag", "fare_amount", "year",
+        ).collect()
+    assert len(landed) > 0
+    assert Counter(map(tuple, landed)) == Counter(map(tuple, expected))
