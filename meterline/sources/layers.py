@@ -336,8 +336,12 @@ def _end_of_path(path: Column, layout: str, segments: int) -> Column:
 
 
 def _unescaped(path: Column) -> Column:
-    """The text of a path that Spark gives with blanks and other signs escaped."""
-    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    """The text of a path that Spark gives with blanks and other signs escaped.
+
+    Most paths have none, and decoding takes longer per row than all else about them.
+    """
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.when(path.contains("%"), decoded).otherwise(path)
 
 
 def year_of_path(path: Column, layout: str = LAYOUT) -> Column:
