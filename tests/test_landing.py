@@ -38,7 +38,10 @@ def orders(spark, tmp_path):
         "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp",
         *[(*key, 1, *line[1:], flag, status, DAY) for key in keys for flag, status in (("R", "O"), ("A", "F"), (None, None))],
     )
-    return str(tmp_path)
+    yield str(tmp_path)
+    # The session is shared: later tests list the tables of it, views among them.
+    for name in ("lineitem", "orders", "customer", "supplier"):
+        spark.catalog.dropTempView(f"landing_{name}")
 
 
 def test_trips_are_stored_by_their_service_alone(spark, orders, tmp_path, monkeypatch):
