@@ -82,8 +82,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def shingle_set(hashes: np.ndarray, width: int) -> np.ndarray:
-    """Sorted distinct hashes of the runs of ``width`` words; fewer words make one run."""
+def shingle_runs(hashes: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of the runs of ``width`` words, in place order; fewer words make one run."""
     n = len(hashes)
     if n == 0:
         return hashes
@@ -93,7 +93,12 @@ def shingle_set(hashes: np.ndarray, width: int) -> np.ndarray:
         runs = mixed(runs * np.uint64(0x9E3779B97F4A7C15) + hashes[i : n - take + 1 + i])
     if n < width:
         runs = runs + np.uint64(n)
-    return np.unique(runs)
+    return runs
+
+
+def shingle_set(hashes: np.ndarray, width: int) -> np.ndarray:
+    """Sorted distinct hashes of the runs of ``width`` words; fewer words make one run."""
+    return np.unique(shingle_runs(hashes, width))
 
 
 def ranked(df: DataFrame, *order: str, name: str = "ranked", column: str = "rank") -> DataFrame:
@@ -124,6 +129,8 @@ def ranked(df: DataFrame, *order: str, name: str = "ranked", column: str = "rank
 
 #: File names that are broadcast at most, some 20 MB; more are joined by a shuffle.
 MOST_FILES = 100_000
+#: Numbers of rows that are broadcast at most, some 20 MB; more are joined by a shuffle.
+MOST_KEYS = 1_000_000
 
 
 def numbered(docs: DataFrame, name: str = "numbered", column: str = "_row") -> DataFrame:

@@ -7,16 +7,21 @@ result names each document's connected component by its smallest id.
 Stages, each a Spark job over whole tables:
 
 1. Texts become shingle sets; equal sets (exact copies) share one dense id. The same scan
-   fills a frequency sketch of fixed width (2**20 counters).
-2. Two linked sets share one of their rarest ``n - ceil(t n) + 1`` shingles, rarest by
-   the sketch, ties by hash. Ids that share such a shingle form a group; groups with the
-   same members are kept once.
+   keeps each set's signature and fills two frequency sketches of fixed width (2**20
+   counters each), of shingles and of words.
+2. Two linked sets share one of their rarest ``n - ceil(t n) + 1`` shingles, and the first
+   one they share is among the ``n - ceil(2t/(1+t) n) + 1`` rarest of the smaller set.
+   Rarest is by the words of a shingle, as most shingles of a large corpus are too rare for
+   any sketch; those that the sketch shows to be frequent come after. Rare shingles travel
+   packed, 17 bytes each, and meet in buckets. Sets that share one, of sizes that can link,
+   form a group; groups with the same members are kept once, and only members of groups
+   meet their signatures.
 3. In each group a signature tree (nodes with OR-combined bitmaps and size ranges) is
    traversed against itself. Node pairs that cannot reach the needed overlap are pruned;
    the pairs left over give a spanning forest, so a group of m members yields fewer than
    m rows. No true link is lost, as the bounds only overestimate.
 4. The components of those forests are small blocks that no true link leaves. Each block
-   gets its texts once, and the same traversal, now with exact intersections, links them.
+   gets its texts once (where they are few, no others are shuffled), and the same traversal, now with exact intersections, links them.
    A block or group above its budget is dealt out as pairs of sub-blocks, so that no task
    holds more than two of them.
 
@@ -28,6 +33,7 @@ result. Only the id and the text are read, so other columns cannot clash.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -36,6 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterline.llm.common import (
+    MOST_KEYS,
     Links,
     components,
     in_groups,
@@ -43,6 +50,7 @@ from meterline.llm.common import (
     mixed,
     plain_bytes,
     ranked,
+    shingle_runs,
     shingle_set,
     word_hashes,
 )
@@ -51,6 +59,11 @@ from meterline.session import stored
 SKETCH = 1 << 20
 _BLOCK = 1 << 16
 LEAF = 32
+#: Rare shingles that a task holds before it writes them, and that a task reads, about.
+_HELD = 1 << 20
+_READ = 500_000
+#: Members in a row of a group.
+_PART = 1024
 
 
 # --- sets and their digests -----------------------------------------------------------
@@ -63,6 +76,17 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
     return int(np.int64(a.view(np.int64))), int(np.int64(b.view(np.int64)))
 
 
+def _words(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+    """Some texts at a time: their keys, the hashes of their words, where each text's begin and end."""
+    for batch in batches:
+        texts = zip(batch["key"].tolist(), map(plain_bytes, batch["text"].tolist()))
+        for group in in_groups(texts, lambda text: len(text[1])):
+            hashes, counts, _, _ = word_hashes([text for _, text in group])
+            ends = np.cumsum(counts)
+            keys = [None if pd.isna(key) else int(key) for key, _ in group]
+            yield keys, hashes, (ends - counts).tolist(), ends.tolist()
+
+
 def _sets(texts: list, width: int) -> Iterator[np.ndarray]:
     """The shingle set of each text."""
     for group in in_groups(map(plain_bytes, texts), len):
@@ -72,40 +96,38 @@ def _sets(texts: list, width: int) -> Iterator[np.ndarray]:
             yield shingle_set(hashes[end - n : end], width)
 
 
-def _texts(batches: Iterator[pd.DataFrame], width: int) -> Iterator[tuple]:
-    for batch in batches:
-        for key, s in zip(batch["key"].tolist(), _sets(batch["text"].tolist(), width)):
-            yield (None if pd.isna(key) else int(key)), s
-
-
 def _first_pass(width: int) -> Callable:
     def run(batches):
-        counts = np.zeros(SKETCH, dtype=np.int64)
+        # Shingles, then words.
+        counts = np.zeros(2 * SKETCH, dtype=np.int64)
         rows: list = []
 
         def frame():
-            return pd.DataFrame(rows, columns=["key", "n", "d1", "d2", "block", "counts"]).astype(
+            return pd.DataFrame(rows, columns=["key", "n", "d1", "d2", "sig", "block", "counts"]).astype(
                 {"key": "Int64", "block": "Int32"}
             )
 
         pending: list = []
-        for key, s in _texts(batches, width):
-            rows.append((key, len(s), *_digest(s), None, None))
-            pending.append(s)
-            if len(pending) == 256:
-                counts += np.bincount(_slots(np.concatenate(pending)), minlength=SKETCH)
-                pending = []
-            if len(rows) >= 5000:
-                yield frame()
-                rows = []
+        for keys, hashes, starts, ends in _words(batches):
+            counts[SKETCH:] += np.bincount(_slots(hashes), minlength=SKETCH)
+            for key, start, end in zip(keys, starts, ends):
+                s = shingle_set(hashes[start:end], width)
+                rows.append((key, len(s), *_digest(s), signature(s).tobytes() if len(s) else None, None, None))
+                pending.append(s)
+                if len(pending) == 256:
+                    counts[:SKETCH] += np.bincount(_slots(np.concatenate(pending)), minlength=SKETCH)
+                    pending = []
+                if len(rows) >= 5000:
+                    yield frame()
+                    rows = []
         if pending:
-            counts += np.bincount(_slots(np.concatenate(pending)), minlength=SKETCH)
+            counts[:SKETCH] += np.bincount(_slots(np.concatenate(pending)), minlength=SKETCH)
         if rows:
             yield frame()
-        for block in range(SKETCH // _BLOCK):
-            part = np.minimum(counts[block * _BLOCK : (block + 1) * _BLOCK], 2**32 - 1)
+        for block in range(len(counts) // _BLOCK):
+            part = counts[block * _BLOCK : (block + 1) * _BLOCK]
             if part.any():
-                rows = [(None, 0, 0, 0, block, part.astype("<u4").tobytes())]
+                rows = [(None, 0, 0, 0, None, block, _counters(part))]
                 yield frame()
 
     return run
@@ -115,32 +137,57 @@ def _slots(s: np.ndarray) -> np.ndarray:
     return (s & np.uint64(SKETCH - 1)).astype(np.int64)
 
 
+def _planes(a: np.ndarray) -> np.ndarray:
+    """All lowest bytes of the numbers, then all second ones, and so on."""
+    return a.view(np.uint8).reshape(len(a), -1).T
+
+
+def _counters(part: np.ndarray) -> bytes:
+    return zlib.compress(_planes(np.minimum(part, 2**32 - 1).astype("<u4")).tobytes(), 1)
+
+
+def _counted(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), dtype=np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
 def _add_counts(batches):
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for block, counts in zip(batch["block"].tolist(), batch["counts"].tolist()):
-            part = np.frombuffer(counts, dtype="<u4").astype(np.int64)
+            part = _counted(counts).astype(np.int64)
             sums[block] = sums[block] + part if block in sums else part
     for block, total in sums.items():
-        low = np.minimum(total, 2**32 - 1).astype("<u4").tobytes()
-        yield pd.DataFrame({"block": [block], "counts": [low]})
+        yield pd.DataFrame({"block": [block], "counts": [_counters(total)]})
 
 
 def _sketch(first: DataFrame) -> np.ndarray:
-    """The summed counters; the driver gets the fixed 4 MB of them, nothing that grows."""
+    """The summed counters; the driver gets the fixed 8 MB of them, nothing that grows."""
     rows = first.where("block is not null").select("block", "counts")
     # Two steps, so that no task reads the blocks of all others.
     part = rows.withColumn("salt", F.pmod(F.xxhash64("counts"), F.lit(16)))
     part = part.repartition("block", "salt").select("block", "counts")
     part = part.mapInPandas(_add_counts, "block int, counts binary")
     total = part.repartition("block").mapInPandas(_add_counts, "block int, counts binary")
-    sketch = np.zeros(SKETCH, dtype=np.uint32)
+    sketch = np.zeros(2 * SKETCH, dtype=np.uint32)
     for r in total.collect():
         at = r["block"] * _BLOCK
-        sketch[at : at + _BLOCK] = np.frombuffer(r["counts"], dtype="<u4")
+        sketch[at : at + _BLOCK] = _counted(r["counts"])
     return sketch
 
 
+def _rarity(sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Sixteenths of powers of two: of the shingles that a counter shows beyond its chance
+    share (the least number where it shows none), of each word's count, of all words."""
+    shingles, words = sketch[:SKETCH].astype(np.float64), sketch[SKETCH:].astype(np.float64)
+    chance = shingles.sum() / SKETCH
+    frequent = np.full(SKETCH, -(1 << 15), dtype=np.int16)
+    shown = shingles > chance + 4 * np.sqrt(chance) + 1
+    frequent[shown] = np.round(16 * np.log2(shingles[shown] - chance))
+    counts = np.round(16 * np.log2(np.maximum(words, 1))).astype(np.int16)
+    return frequent, counts, round(16 * float(np.log2(max(words.sum(), 1))))
+
+
 # --- signatures and trees -------------------------------------------------------------
 
 
@@ -202,7 +249,7 @@ def tree_links(
     most the common bits of the two OR-bitmaps plus the smaller of the largest numbers of
     shingles hidden behind shared bits; the needed overlap is at least that of the two
     smallest sizes. Pairs that are connected already are not looked at again. With
-    ``sides`` only pairs from different sides count.
+    ``sides``, one or more rows of marks, only pairs that differ in every row count.
     """
     m = len(sizes)
     words = min(len(s) for s in sigs)
@@ -211,7 +258,7 @@ def tree_links(
     sig = np.stack([_fold(sigs[i], words) for i in order])
     own = _pop(sig)
     excess = size - own
-    side = None if sides is None else np.asarray(sides)[order]
+    side = None if sides is None else np.atleast_2d(sides)[:, order]
     links = Links(m)
     root = _build(size, sig, excess)
 
@@ -229,8 +276,8 @@ def tree_links(
         total = size[x.start : x.end, None] + size[None, y.start : y.end]
         # overlap / (total - overlap) >= num / den
         fits = most * (num + den) >= num * total
-        if side is not None:
-            fits &= side[x.start : x.end, None] != side[None, y.start : y.end]
+        for row in () if side is None else side:
+            fits &= row[x.start : x.end, None] != row[None, y.start : y.end]
         for i, j in zip(*np.nonzero(fits)):
             i, j = int(i) + x.start, int(j) + y.start
             if i < j and links.root(i) != links.root(j) and (same is None or same(int(order[i]), int(order[j]))):
@@ -266,30 +313,193 @@ def tree_links(
     return out
 
 
+def sized_links(
+    sizes: np.ndarray,
+    sigs: list[np.ndarray],
+    num: int,
+    den: int,
+    same: Callable[[int, int], bool] | None = None,
+    sides: list | None = None,
+) -> list[tuple[int, int]]:
+    """Links like those of ``tree_links``, over bitmaps that are folded to half at most as a rule.
+
+    A tree needs bitmaps of one length, and those of large sets that are folded to the
+    length of a small one are full, so that any two would pass. Sets whose bitmaps have the
+    same length get a tree, and so do those of two lengths whose sizes can link.
+    """
+    lengths = np.array([len(s) for s in sigs])
+    classes = [np.flatnonzero(lengths == n) for n in np.unique(lengths)]
+    out: list[tuple[int, int]] = []
+    for i, a in enumerate(classes):
+        for b in classes[i:]:
+            if b is a:
+                at, marks = a, []
+            elif sizes[a].max() * den < num * sizes[b].min():
+                continue
+            else:
+                at, marks = np.concatenate([a, b]), [np.repeat([0, 1], [len(a), len(b)])]
+            if len(at) < 2:
+                continue
+            if sides is not None:
+                marks = [*marks, np.asarray(sides)[at]]
+            found = tree_links(
+                sizes[at],
+                [sigs[k] for k in at],
+                num,
+                den,
+                same and (lambda x, y, at=at: same(int(at[x]), int(at[y]))),
+                np.array(marks) if marks else None,
+            )
+            out.extend((int(at[x]), int(at[y])) for x, y in found)
+    return out
+
+
 # --- the join -------------------------------------------------------------------------
 
 
-def _second_pass(width: int, num: int, den: int, sketch) -> Callable:
+def _second_pass(width: int, num: int, den: int, buckets: int, rarity) -> Callable:
+    """The rarest shingles of each set, packed by bucket.
+
+    The order is that of expected counts, were words independent, or of the sketch where it
+    shows more; equal ones go by hash. It depends on the shingle alone, so all sets agree.
+    """
+
     def run(batches):
-        counts = sketch.value
-        rows: list = []
-        columns = ["key", "n", "d1", "d2", "prefix", "sig"]
-        for key, s in _texts(batches, width):
-            n = len(s)
-            if not n:
-                continue
-            take = n - -(-num * n // den) + 1
-            rarest = np.lexsort((s, counts[_slots(s)]))[:take]
-            rows.append((key, n, *_digest(s), s[rarest].view(np.int64), signature(s).tobytes()))
-            if len(rows) >= 1000:
-                yield pd.DataFrame(rows, columns=columns).astype({"key": "Int64"})
-                rows = []
-        if rows:
-            yield pd.DataFrame(rows, columns=columns).astype({"key": "Int64"})
+        frequent, counts, whole = rarity.value
+        held: list[tuple] = []
+        total = 0
+        for _, hashes, starts, ends in _words(batches):
+            weights = counts[_slots(hashes)].astype(np.int64)
+            for start, end in zip(starts, ends):
+                if start == end:
+                    continue
+                s, at = np.unique(shingle_runs(hashes[start:end], width), return_index=True)
+                n, take = len(s), min(width, end - start)
+                sums = np.cumsum(weights[start:end])
+                sums[take:] -= sums[:-take].copy()
+                rank = np.maximum(frequent[_slots(s)], sums[take - 1 :][at] - (take - 1) * whole)
+                rarest = np.lexsort((s, rank))[: n - -(-num * n // den) + 1]
+                held.append((s[rarest], _digest(s)[0], n, n - -(-2 * num * n // (num + den)) + 1))
+                total += len(rarest)
+                if total >= _HELD:
+                    yield _packed(held, buckets)
+                    held, total = [], 0
+        if held:
+            yield _packed(held, buckets)
+
+    return run
+
+
+def _packed(held: list[tuple], buckets: int) -> pd.DataFrame:
+    """A row for each bucket: 40 bits of each shingle (others gave the bucket), the set's name,
+    twice its size, plus one where the shingle is too late for the smaller of two sets."""
+    lengths = np.array([len(s) for s, *_ in held])
+    shingles = np.concatenate([s for s, *_ in held])
+    names = np.repeat(np.array([name for _, name, _, _ in held], dtype=np.int64), lengths)
+    early = np.repeat(np.array([e for *_, e in held]), lengths)
+    place = np.arange(len(shingles)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    sizes = np.repeat(np.array([n for _, _, n, _ in held], dtype=np.int64), lengths)
+    marks = (2 * sizes + (place >= early)).astype("<u4")
+    bucket = ((shingles >> np.uint64(40)) % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int64)
+    order = np.argsort(bucket, kind="stable")
+    shingles, names, marks = shingles[order].astype("<u8"), names[order].astype("<i8"), marks[order]
+    found, starts = np.unique(bucket[order], return_index=True)
+    ends = np.append(starts[1:], len(order))
+    data = [
+        _planes(shingles[a:b])[:5].tobytes() + names[a:b].tobytes() + _planes(marks[a:b]).tobytes()
+        for a, b in zip(starts.tolist(), ends.tolist())
+    ]
+    return pd.DataFrame({"bucket": found.astype(np.int32), "data": data})
+
+
+def _unpacked(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    shingles, names, marks = [], [], []
+    for data in rows:
+        m = len(data) // 17
+        a = np.zeros((m, 8), dtype=np.uint8)
+        a[:, :5] = np.frombuffer(data, dtype=np.uint8, count=5 * m).reshape(5, m).T
+        shingles.append(a.view("<u8").ravel())
+        names.append(np.frombuffer(data, dtype="<i8", count=m, offset=5 * m))
+        b = np.frombuffer(data, dtype=np.uint8, offset=13 * m).reshape(4, m).T
+        marks.append(np.ascontiguousarray(b).view("<u4").ravel())
+    return np.concatenate(shingles), np.concatenate(names), np.concatenate(marks)
+
+
+def _groups(num: int, den: int) -> Callable:
+    """Sets that share a shingle of a bucket and may link, by the name of the group."""
+
+    def run(batches):
+        seen: set = set()
+        for rows in key_lists(batches, ("bucket",), ("data",)):
+            found = list(_bucket_groups(*_unpacked([r[0] for r in rows]), num, den))
+            found = [r for r in found if r[:3] not in seen]
+            seen.update(r[:3] for r in found)
+            if len(seen) > 200_000:
+                seen.clear()
+            if found:
+                yield pd.DataFrame(found, columns=["g1", "g2", "part", "members", "sets"])
 
     return run
 
 
+def _bucket_groups(
+    shingles: np.ndarray, names: np.ndarray, marks: np.ndarray, num: int, den: int
+) -> Iterator[tuple]:
+    """(g1, g2, part, members, sets) of each shingle; equal members give equal rows.
+
+    A larger set stays if a smaller one that it can link with has the shingle early enough,
+    a smaller one if it has it early and a larger one that it can link with has it.
+    """
+    order = np.argsort(shingles)
+    ordered = shingles[order]
+    again = ordered[1:] == ordered[:-1]
+    order = order[np.append(again, False) | np.append(False, again)]
+    shingles, names, marks = shingles[order], names[order], marks[order]
+    order = np.lexsort((marks & 1, names, marks >> 1, shingles))
+    shingles, names, marks = shingles[order], names[order], marks[order]
+    sizes, early = (marks >> 1).astype(np.int64), marks & 1 == 0
+    if len(shingles) < 2:
+        return
+    # Exact copies are one set.
+    other = (shingles[1:] != shingles[:-1]) | (names[1:] != names[:-1]) | (sizes[1:] != sizes[:-1])
+    once = np.append(True, other)
+    shingles, names, sizes, early = shingles[once], names[once], sizes[once], early[once]
+    first = np.append(True, shingles[1:] != shingles[:-1])
+    at = np.arange(len(shingles))
+    before = np.append(-1, np.maximum.accumulate(np.where(early, at, -1))[:-1])
+    has_smaller = (before >= np.maximum.accumulate(np.where(first, at, 0))) & (den * sizes[before] >= num * sizes)
+    has_larger = early & np.append(~first[1:] & (den * sizes[:-1] >= num * sizes[1:]), False)
+    stays = has_smaller | has_larger
+    shingles, names = shingles[stays], names[stays]
+    if not len(shingles):
+        return
+    starts = np.flatnonzero(np.append(True, shingles[1:] != shingles[:-1]))
+    ends = np.append(starts[1:], len(shingles))
+    u = names.view(np.uint64)
+    g1 = np.add.reduceat(mixed(u + np.uint64(0x51ED270B)), starts).view(np.int64)
+    g2 = np.bitwise_xor.reduceat(mixed(u ^ np.uint64(0xB5026F5AA96619E9)), starts).view(np.int64)
+    for a, b, x, y in zip(starts.tolist(), ends.tolist(), g1.tolist(), g2.tolist()):
+        for part, c in enumerate(range(a, b, _PART)):
+            yield x, y, part, b - a, names[c : min(c + _PART, b)].tobytes()
+
+
+def _members(batches):
+    """A row for each set of each group, from rows sorted by group."""
+    columns = ["g1", "g2", "members", "d1"]
+    frames: list = []
+    held = 0
+    for rows in key_lists(batches, ("g1", "g2", "part"), ("g1", "g2", "members", "sets")):
+        x, y, members, sets = rows[0]
+        names = np.frombuffer(sets, dtype="<i8")
+        frames.append((np.full(len(names), x), np.full(len(names), y), np.full(len(names), members), names))
+        held += len(names)
+        if held >= 10_000:
+            yield pd.DataFrame(dict(zip(columns, map(np.concatenate, zip(*frames)))))
+            frames, held = [], 0
+    if frames:
+        yield pd.DataFrame(dict(zip(columns, map(np.concatenate, zip(*frames)))))
+
+
 def _edges(found: list[tuple[int, int]]) -> pd.DataFrame:
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
@@ -299,12 +509,12 @@ def _forests(num: int, den: int) -> Callable:
         out: list = []
         seen: set = set()
         columns = ("id", "n", "sig", "i", "j", "side")
-        for rows in key_lists(batches, ("token", "i", "j"), columns):
+        for rows in key_lists(batches, ("g1", "g2", "i", "j"), columns):
             if len(rows) < 2:
                 continue
             ids = [r[0] for r in rows]
             cross = rows[0][3] != rows[0][4]
-            for a, b in tree_links(
+            for a, b in sized_links(
                 np.array([r[1] for r in rows], dtype=np.int64),
                 [np.frombuffer(r[2], dtype=np.uint64) for r in rows],
                 num,
@@ -352,7 +562,7 @@ def _exact(width: int, num: int, den: int) -> Callable:
                 return den * both >= num * (len(x) + len(y) - both)
 
             cross = kept[0][4] != kept[0][5]
-            found = tree_links(
+            found = sized_links(
                 np.array([len(s) for s in members], dtype=np.int64),
                 [signature(s) for s in members],
                 num,
@@ -398,7 +608,7 @@ def jaccard_components(
     texts = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     first = stored(
         texts.mapInPandas(
-            _first_pass(width), "key long, n long, d1 long, d2 long, block int, counts binary"
+            _first_pass(width), "key long, n long, d1 long, d2 long, sig binary, block int, counts binary"
         ),
         "jaccard-sets",
     )
@@ -409,47 +619,46 @@ def jaccard_components(
     )
     distinct = stored(distinct, "jaccard-distinct")
 
-    sketch = spark.sparkContext.broadcast(_sketch(first))
-    second = texts.mapInPandas(
-        _second_pass(width, num, den, sketch),
-        "key long, n long, d1 long, d2 long, prefix array<long>, sig binary",
-    ).alias("s")
-    reps = stored(
-        second.join(
-            distinct.alias("k"),
-            F.col("s.key").eqNullSafe(F.col("k.least"))
-            & (F.col("s.d1") == F.col("k.d1"))
-            & (F.col("s.d2") == F.col("k.d2"))
-            & (F.col("s.n") == F.col("k.n")),
-        ).select("k.id", "s.n", "s.prefix", "s.sig"),
-        "jaccard-reps",
+    # Distinct sets only; a name of two sets, should there be one, has the rows of both.
+    signatures = (
+        first.where("block is null and n > 0")
+        .groupBy("d1")
+        .agg(F.collect_set(F.struct("n", "sig")).alias("sets"))
+        .select("d1", F.explode("sets").alias("set"))
+        .select("d1", "set.n", "set.sig")
     )
-
-    tokens = reps.select("id", F.explode("prefix").alias("token"))
-    groups = (
-        tokens.groupBy("token")
-        .agg(
-            F.count("*").alias("members"),
-            F.bit_xor(F.xxhash64("id")).alias("mark"),
-            F.min("id").alias("lo"),
-            F.max("id").alias("hi"),
-        )
-        .where("hi > lo")
+    rarity = spark.sparkContext.broadcast(_rarity(_sketch(first)))
+    rare = rows.where("n > 0").agg(F.sum(F.expr(f"n - ({num} * n + {den - 1}) div {den} + 1"))).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rare // _READ))
+    shared = (
+        texts.mapInPandas(_second_pass(width, num, den, 4 * parts, rarity), "bucket int, data binary")
+        .repartition(parts, "bucket")
+        .sortWithinPartitions("bucket")
+        .mapInPandas(_groups(num, den), "g1 long, g2 long, part int, members int, sets binary")
+    )
+    members = (
+        shared.repartition("g1", "g2")
+        .sortWithinPartitions("g1", "g2", "part")
+        .mapInPandas(_members, "g1 long, g2 long, members int, d1 long")
+    )
+    members = members.join(signatures, "d1").select(
+        F.col("d1").alias("id"), "g1", "g2", "n", "sig", F.ceil(F.col("members") / group_rows).alias("blocks")
     )
-    kept = groups.groupBy("members", "mark", "lo", "hi").agg(F.min("token").alias("token"))
-    kept = kept.select("token", F.ceil(F.col("members") / group_rows).alias("blocks"))
-    members = tokens.join(kept, "token").join(reps.select("id", "n", "sig"), "id")
     forests = (
         _dealt(members, "blocks")
-        .repartition("token", "i", "j")
-        .sortWithinPartitions("token", "i", "j")
+        .repartition("g1", "g2", "i", "j")
+        .sortWithinPartitions("g1", "g2", "i", "j")
         .mapInPandas(_forests(num, den), "a long, b long")
     )
     near = stored(components(forests, "jaccard-near"), "jaccard-blocks")
 
-    sized = near.select("id", F.col("component").alias("comp")).join(distinct, "id")
+    sized = near.select(F.col("id").alias("d1"), F.col("component").alias("comp")).join(distinct, "d1")
     blocks = sized.groupBy("comp").agg(F.ceil(F.sum("n") / block_shingles).alias("blocks"))
-    work = sized.join(blocks, "comp").alias("w")
+    work = stored(sized.join(blocks, "comp"), "jaccard-work").alias("w")
+    if work.count() <= MOST_KEYS:
+        # One number for null and -1; the join below tells them apart.
+        wanted = work.select(F.coalesce("least", F.lit(-1)).alias("_wanted"))
+        texts = texts.join(F.broadcast(wanted), F.coalesce("key", F.lit(-1)) == F.col("_wanted"), "left_semi")
     held = work.join(texts.alias("t"), F.col("w.least").eqNullSafe(F.col("t.key"))).select("w.*", "t.text")
     edges = (
         _dealt(held.select("id", "comp", "d1", "d2", "text", "blocks"), "blocks")
