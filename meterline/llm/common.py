@@ -133,6 +133,14 @@ MOST_FILES = 100_000
 MOST_KEYS = 1_000_000
 
 
+def small(keys: DataFrame) -> DataFrame:
+    """``keys``, a frame of one number a row, broadcast where they are few.
+
+    The other side of a join then stays where it is; it holds the texts here.
+    """
+    return F.broadcast(keys) if keys.count() <= MOST_KEYS else keys
+
+
 def numbered(docs: DataFrame, name: str = "numbered", column: str = "_row") -> DataFrame:
     """``docs`` with a number of its own for every row, whatever its id is.
 

@@ -52,6 +52,7 @@ from meterline.llm.common import (
     ranked,
     shingle_runs,
     shingle_set,
+    small,
     word_hashes,
 )
 from meterline.session import stored
@@ -702,5 +703,7 @@ def one_of_each(docs: DataFrame, groups: DataFrame, *, row: str, key: str = "doc
     """
     rank = F.struct(F.col(key).isNull(), F.col(key), F.col(row))
     ranked_rows = docs.select(row, rank.alias("_rank")).join(groups.select(row, "component_id"), row)
-    kept = ranked_rows.groupBy("component_id").agg(F.min_by(row, "_rank").alias(row)).select(row)
-    return docs.join(kept, row, "left_semi").select(*docs.columns)
+    kept = ranked_rows.groupBy("component_id").agg(F.min_by(row, "_rank").alias("_kept"), F.count("*").alias("_rows"))
+    kept = kept.where("_rows > 1")
+    dropped = stored(ranked_rows.join(kept, "component_id").where(f"{row} <> _kept").select(row), "jaccard-dropped")
+    return docs.join(small(dropped), row, "left_anti").select(*docs.columns)

@@ -63,6 +63,31 @@ def test_only_texts_of_blocks_are_shuffled(spark, edges_of):
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
 
 
+def test_one_of_each_leaves_the_texts_where_they_are(spark):
+    rows = [(5, "a b c d e f", 0), (3, "a b c d e f", 1), (None, "a b c d e f", 2), (3, "x y z", 3), (3, "", 4), (3, "", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row long")
+    groups = signature_trees.jaccard_components(docs, key="_row")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = signature_trees.one_of_each(docs, groups, row="_row")
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert sorted(r._row for r in kept.collect()) == [1, 3, 4, 5]
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+def test_rows_beyond_the_broadcast_limit(spark, monkeypatch):
+    monkeypatch.setattr(common, "MOST_KEYS", 0)
+    monkeypatch.setattr(signature_trees, "MOST_KEYS", 0)
+    rows = [(i, "a b c d e f g" if i % 2 else f"u{i} v w x y z", i) for i in range(9)] + [(None, "a b c d e f g", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row long")
+    groups = signature_trees.jaccard_components(docs, key="_row")
+    kept = signature_trees.one_of_each(docs, groups, row="_row")
+    assert sorted(r._row for r in kept.collect()) == [0, 1, 2, 4, 6, 8]
+
+
 @pytest.mark.parametrize("num", [50, 80, 85, 100])
 def test_every_linked_pair_shares_a_group(num):
     r = random.Random(num)
